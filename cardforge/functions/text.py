@@ -101,7 +101,7 @@ def _decode_named(c: Column) -> Column:
 
     def step(acc, ref):
         ent = F.concat(F.lit("&"), ref, F.lit(";"))
-        return F.replace(acc, ent, F.coalesce(F.element_at(table, ref), ent))
+        return F.replace(acc, ent, F.coalesce(F.try_element_at(table, ref), ent))
 
     return F.aggregate(refs, c, step)
 

@@ -32,7 +32,7 @@ def _remove_dots(segments: Column) -> Column:
                                 .otherwise(acc))
         .when(seg == ".", acc)
         .otherwise(F.array_append(acc, seg)))
-    last = F.element_at(segments, -1)
+    last = F.try_element_at(segments, F.lit(-1))
     stack = F.when(last.isin(".", ".."), F.array_append(stack, F.lit(""))).otherwise(stack)
     joined = F.array_join(stack, "/")
     return F.when(joined == "", F.lit("/")).otherwise(joined)
@@ -64,7 +64,7 @@ def resolve_url(base, href) -> Column:
 
     # relative merge: base directory + href segments, empty middles dropped
     base_dir = F.split(b_path, "/")
-    base_dir = F.when(F.element_at(base_dir, -1) != "", F.slice(base_dir, 1, F.size(base_dir) - 1)) \
+    base_dir = F.when(F.try_element_at(base_dir, F.lit(-1)) != "", F.slice(base_dir, 1, F.size(base_dir) - 1)) \
         .otherwise(base_dir)
     base_dir = F.when(F.size(base_dir) == 0, F.array(F.lit(""))).otherwise(base_dir)
     merged = F.concat(base_dir, F.split(h_path, "/"))

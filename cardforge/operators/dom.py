@@ -62,7 +62,7 @@ def _attrs(tok: Column) -> Column:
 def attr(attrs, name: str) -> Column:
     """Value of an attribute (last one wins), or null."""
     a = F.col(attrs) if isinstance(attrs, str) else attrs
-    return F.element_at(F.filter(a, lambda p: p["k"] == name), -1)["v"]
+    return F.try_element_at(F.filter(a, lambda p: p["k"] == name), F.lit(-1))["v"]
 
 
 def has_class(attrs, cls: str) -> Column:
@@ -225,11 +225,15 @@ def first_element(nodes: DataFrame, name: str, pred: Column | None = None) -> Da
                     F.col("b.depth").alias("c_depth")))
 
 
+def _field(k: str):
+    return lambda x: x[k]
+
+
 def _concat_in_order(df: DataFrame, keys: list[str], pieces: dict[str, Column]) -> DataFrame:
     """Group and concatenate string pieces in ``pos`` order."""
     st = F.struct(F.col("pos"), *[c.alias(k) for k, c in pieces.items()])
     agg = df.groupBy(*keys).agg(F.array_sort(F.collect_list(st)).alias("ps"))
-    return agg.select(*keys, *[F.array_join(F.transform("ps", lambda x, k=k: x[k]), "").alias(k) for k in pieces])
+    return agg.select(*keys, *[F.array_join(F.transform("ps", _field(k)), "").alias(k) for k in pieces])
 
 
 def element_text(nodes: DataFrame, is_elem: Column, with_markup: bool = False) -> DataFrame:
@@ -246,7 +250,7 @@ def element_text(nodes: DataFrame, is_elem: Column, with_markup: bool = False) -
     grouped = enc.select("page_id", F.col("a_start").alias("elem"), "pos", "kind", "text", "raw")
     st = F.struct("pos", *[c.alias(k) for k, c in pieces.items()])
     agg = grouped.groupBy("page_id", F.col("elem").alias("pos")).agg(F.array_sort(F.collect_list(st)).alias("ps"))
-    agg = agg.select("page_id", "pos", *[F.array_join(F.transform("ps", lambda x, k=k: x[k]), "").alias(k)
+    agg = agg.select("page_id", "pos", *[F.array_join(F.transform("ps", _field(k)), "").alias(k)
                                          for k in pieces])
     el = nodes.filter(is_elem).select("page_id", "pos", "end_pos", "name", "raw")
     res = el.join(agg, ["page_id", "pos"], "left").withColumn("text", F.coalesce("text", F.lit("")))
