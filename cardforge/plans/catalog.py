@@ -281,3 +281,287 @@ def q_write_flat(spark, d):
     files.write_flat(_items_with_subject(spark, d).select("row_no", "pos", "term", "item"), path)
     back = spark.read.json(path)
     return back.select(F.col("row_no").cast("long"), F.col("pos").cast("long"), "term")
+
+
+# ================================================================ page structure (DOM-1..9, URL-1)
+
+_TOKEN_SQL = r"""'</?[a-zA-Z](?:[^>"'']|"[^"]*"|''[^'']*'')*>|[^<]+|<'"""
+_VOID_SQL = ", ".join(f"'{v}'" for v in dom.VOID_ELEMENTS)
+
+DOM_SQL = f"""
+cleaned AS (SELECT page_id, url, {fx.CLEAN_HTML_SQL} AS h FROM pages),
+arr AS (SELECT page_id, url, regexp_extract_all(h, {_TOKEN_SQL}) AS t FROM cleaned),
+toks AS (SELECT page_id, url, unnest(t) AS raw, CAST(unnest(range(len(t))) AS INTEGER) AS pos FROM arr),
+kinded AS (
+  SELECT page_id, url, pos, raw,
+         CASE WHEN regexp_matches(raw, '^<[a-zA-Z]') THEN 'start'
+              WHEN regexp_matches(raw, '^</[a-zA-Z]') THEN 'end' ELSE 'text' END AS kind,
+         lower(regexp_extract(raw, '^</?([a-zA-Z][^\\t\\n\\r\\f />\\x00]*)', 1)) AS name
+  FROM toks),
+flags AS (
+  SELECT *, kind = 'end' OR (kind = 'start' AND NOT (name IN ({_VOID_SQL}) OR regexp_matches(raw, '/>$')))
+         AS pairable
+  FROM kinded),
+lv AS (
+  SELECT *, sum(CASE WHEN NOT pairable THEN 0 WHEN kind = 'start' THEN 1 ELSE -1 END)
+            OVER (PARTITION BY page_id, name ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nl
+  FROM flags),
+keyed AS (SELECT *, CASE WHEN NOT pairable THEN NULL WHEN kind = 'end' THEN nl + 1 ELSE nl END AS key FROM lv),
+mates AS (
+  SELECT *, CASE WHEN pairable AND kind = 'start' AND lead(kind) OVER w = 'end' THEN lead(pos) OVER w END AS mate
+  FROM keyed WINDOW w AS (PARTITION BY page_id, name, key ORDER BY pos)),
+matched AS (SELECT page_id, pos AS s, mate AS e FROM mates WHERE mate IS NOT NULL),
+uend AS (
+  SELECT u.page_id, u.pos, min(m.e) AS e
+  FROM mates u JOIN matched m ON m.page_id = u.page_id AND m.s < u.pos AND u.pos < m.e
+  WHERE u.pairable AND u.kind = 'start' AND u.mate IS NULL GROUP BY u.page_id, u.pos),
+lastp AS (SELECT page_id, max(pos) AS lp FROM toks GROUP BY page_id),
+elems AS (
+  SELECT x.page_id, x.url, x.pos, x.name, x.raw,
+         CAST(CASE WHEN x.mate IS NOT NULL THEN x.mate WHEN x.pairable THEN coalesce(ue.e, lp.lp + 1)
+                   ELSE x.pos END AS INTEGER) AS end_pos
+  FROM mates x LEFT JOIN uend ue ON ue.page_id = x.page_id AND ue.pos = x.pos
+  JOIN lastp lp ON lp.page_id = x.page_id
+  WHERE x.kind = 'start'),
+depths AS (
+  SELECT a.page_id, a.pos, CAST(count(b.pos) AS INTEGER) AS depth
+  FROM elems a LEFT JOIN elems b ON b.page_id = a.page_id AND b.pos < a.pos AND a.pos < b.end_pos
+  GROUP BY a.page_id, a.pos)"""
+
+
+@query("dom_nodes", f"""
+WITH {DOM_SQL}
+SELECT e.page_id, e.pos, e.name, e.end_pos, d.depth FROM elems e JOIN depths d USING (page_id, pos)""")
+def q_dom_nodes(spark, d):
+    """DOM-1: element intervals and nesting depth of every page."""
+    n = dom.dom_nodes(fx.table(spark, d, "pages"))
+    return n.filter(F.col("kind") == "start").select("page_id", "pos", "name", "end_pos",
+                                                     F.col("depth").cast("int").alias("depth"))
+
+
+_ARTICLE_SQL = f"regexp_extract({fx.CLEAN_HTML_SQL}, '(?s)<article\\b[^>]*>.*?</article\\s*>', 0)"
+
+
+@query("select_container", f"""
+SELECT page_id, CAST(length(a) AS INTEGER) AS n_chars, md5(a) AS container_md5
+FROM (SELECT page_id, {_ARTICLE_SQL} AS a FROM pages) WHERE a <> ''""")
+def q_select_container(spark, d):
+    """DOM-2: the first container element (here ``article``) of each page."""
+    n = dom.dom_nodes(fx.table(spark, d, "pages"))
+    c = dom.container_markup(n, dom.is_element("article"))
+    return c.select("page_id", F.length("container_html").alias("n_chars"),
+                    F.md5("container_html").alias("container_md5"))
+
+
+@query("split_heading", """
+SELECT p_partkey AS page_id,
+       CASE WHEN p_partkey % 4 IN (0, 1) THEN p_name
+            WHEN p_partkey % 4 = 2 THEN p_name || '-' || lower(p_type)
+            ELSE p_name || ' ' || lower(p_type) END AS word,
+       CASE WHEN p_partkey % 4 IN (0, 1) THEN lower(p_type) ELSE p_brand || ' part' END AS definition
+FROM part""")
+def q_split_heading(spark, d):
+    """DOM-3: word / definition from the first h1 (dash rules, next sibling)."""
+    n = dom.dom_nodes(fx.heading_pages(spark, d))
+    return dom.split_heading(n)
+
+
+def _block_nodes(spark, d):
+    return dom.dom_nodes(fx.block_pages(spark, d))
+
+
+@query("page_images", """
+SELECT p_partkey // 50 AS page_id,
+       CAST(row_number() OVER (PARTITION BY p_partkey // 50 ORDER BY p_partkey) AS BIGINT) AS ordinal,
+       'https://cards.example.net/img/' || CAST(p_partkey AS VARCHAR) || '.png' AS image
+FROM part WHERE (p_partkey + 2) % 5 = 0""")
+def q_page_images(spark, d):
+    """DOM-4: container images, resolved, in order."""
+    im = dom.page_images(_block_nodes(spark, d))
+    return _ordinal(im, "page_id", ["pos"]).select("page_id", "ordinal", "image")
+
+
+@query("highlights", f"""
+WITH {fx.BLOCKS_SQL}
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) AS BIGINT) AS ordinal, highlight
+FROM bmn""")
+def q_highlights(spark, d):
+    """DOM-5: red-span highlights of the processed blocks."""
+    b, s = dom.block_analysis(_block_nodes(spark, d))
+    h = dom.highlights(b, s)
+    return _ordinal(h, "page_id", ["block_pos", "pos"]).select("page_id", "ordinal", "highlight")
+
+
+@query("mnemonic_blocks", f"""
+WITH {fx.BLOCKS_SQL}
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) AS BIGINT) AS ordinal, mnemonic
+FROM bmn""")
+def q_mnemonic_blocks(spark, d):
+    """DOM-6: first qualifying block per image segment (all before the first image)."""
+    b, _ = dom.block_analysis(_block_nodes(spark, d))
+    m = dom.mnemonic_blocks(b)
+    return _ordinal(m, "page_id", ["pos"]).select("page_id", "ordinal", "mnemonic")
+
+
+LESSONS_SQL = f"""
+{fx.BLOCKS_SQL},
+pg AS (SELECT p_partkey // 50 AS page_id, count(*) AS n_parts,
+              sum(CASE WHEN (p_partkey + 2) % 5 = 0 THEN 1 ELSE 0 END) AS n_img FROM part GROUP BY 1),
+mn AS (SELECT page_id, count(*) AS n_mn FROM bmn GROUP BY 1),
+lessons AS (
+  SELECT pg.page_id, 'https://cards.example.net/blocks/' || CAST(pg.page_id AS VARCHAR) || '.html' AS url,
+         'Block ' || CAST(pg.page_id AS VARCHAR) AS word, CAST(pg.n_parts AS VARCHAR) || ' parts' AS definition,
+         CAST(coalesce(mn.n_mn, 0) AS INTEGER) AS n_mnemonic, CAST(coalesce(mn.n_mn, 0) AS INTEGER) AS n_highlight,
+         CAST(pg.n_img AS INTEGER) AS n_images
+  FROM pg LEFT JOIN mn USING (page_id))"""
+
+
+@query("extract_lessons", f"""
+WITH {LESSONS_SQL}
+SELECT * FROM lessons""")
+def q_extract_lessons(spark, d):
+    """DOM-7: one lesson record per page with a container."""
+    ls = dom.extract_lessons(fx.block_pages(spark, d))
+    return ls.select("page_id", "url", "word", "definition", F.size("mnemonic").alias("n_mnemonic"),
+                     F.size("highlighted_text").alias("n_highlight"), F.size("images").alias("n_images"))
+
+
+_NEXT_SQL = """
+SELECT o_orderkey AS page_id,
+       CASE WHEN o_orderkey % 1000 = 500 THEN 'https://shop.example.net/o/missing-' || CAST(o_orderkey AS VARCHAR) || '.html'
+            WHEN o_orderkey % 150 <> 149 THEN 'https://shop.example.net/o/' || CAST(o_orderkey + 1 AS VARCHAR) || '.html'
+            WHEN (o_orderkey // 150) % 2 = 0 THEN 'https://shop.example.net/o/' || CAST(o_orderkey - 149 AS VARCHAR) || '.html'
+       END AS next_url
+FROM orders"""
+
+
+@query("next_links", _NEXT_SQL)
+def q_next_links(spark, d):
+    """DOM-8: the next-page link of every page, resolved."""
+    n = dom.dom_nodes(fx.chain_pages(spark, d))
+    return dom.next_links(n).select("page_id", "next_url")
+
+
+@query("index_links", f"""
+WITH navs AS (SELECT page_id, regexp_extract({fx.CLEAN_HTML_SQL}, '(?s)<nav\\b[^>]*>.*?</nav\\s*>', 0) AS nav
+              FROM pages),
+hrefs AS (SELECT page_id, regexp_extract_all(nav, '<a\\s[^>]*href="([^"]*)"', 1) AS hs FROM navs),
+flat AS (SELECT page_id, unnest(hs) AS href, unnest(range(len(hs))) AS i FROM hrefs)
+SELECT page_id, CAST(i + 1 AS BIGINT) AS ordinal, 'https://site.example.net' || replace(href, '&amp;', '&') AS link
+FROM flat""")
+def q_index_links(spark, d):
+    """DOM-9: every link of the first nav block, resolved against a fixed base."""
+    n = dom.dom_nodes(fx.table(spark, d, "pages"))
+    links = dom.index_links(n, tag="nav", css_class=None, base="https://site.example.net/")
+    return _ordinal(links, "page_id", ["pos"]).select("page_id", "ordinal", "link")
+
+
+# The relative reference forms resolved against every page URL.
+HREF_FORMS = ["img/x.png", "../up.html", "/root.html", "?q=1", "#frag", "//cdn.example.org/lib.js",
+              "https://other.example.org/a", "./here/", "", "a/../b.html"]
+
+
+@query("resolve_url", """
+WITH u AS (
+  SELECT page_id, url,
+         regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*):', 1) AS scheme,
+         regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/?#]*)', 1) AS auth,
+         regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path,
+         regexp_extract(url, '^[^?#]*(\\?[^#]*)', 1) AS query
+  FROM pages),
+v AS (
+  SELECT *, scheme || ':' || auth AS origin,
+         CASE WHEN regexp_replace(path, '[^/]*$', '') = '' THEN '/' ELSE regexp_replace(path, '[^/]*$', '') END AS dir
+  FROM u),
+w AS (SELECT *, CASE WHEN dir = '/' THEN '/' ELSE regexp_replace(dir, '[^/]*/$', '') END AS parent FROM v)
+SELECT page_id, form, resolved FROM (
+  SELECT page_id, CAST(0 AS INTEGER) AS form, origin || dir || 'img/x.png' AS resolved FROM w UNION ALL
+  SELECT page_id, 1, origin || parent || 'up.html' FROM w UNION ALL
+  SELECT page_id, 2, origin || '/root.html' FROM w UNION ALL
+  SELECT page_id, 3, origin || path || '?q=1' FROM w UNION ALL
+  SELECT page_id, 4, origin || path || query || '#frag' FROM w UNION ALL
+  SELECT page_id, 5, scheme || '://cdn.example.org/lib.js' FROM w UNION ALL
+  SELECT page_id, 6, 'https://other.example.org/a' FROM w UNION ALL
+  SELECT page_id, 7, origin || dir || 'here/' FROM w UNION ALL
+  SELECT page_id, 8, url FROM w UNION ALL
+  SELECT page_id, 9, origin || dir || 'b.html' FROM w)""")
+def q_resolve_url(spark, d):
+    """URL-1: reference resolution of ten relative forms against every page URL."""
+    p = fx.table(spark, d, "pages").select("page_id", "url")
+    forms = spark.createDataFrame([(i, h) for i, h in enumerate(HREF_FORMS)], "form int, href string")
+    j = p.crossJoin(F.broadcast(forms))
+    return j.select("page_id", "form", resolve_url(F.col("url"), F.col("href")).alias("resolved"))
+
+
+# ================================================================ traversal (TRV-1..5)
+
+def _chain_links(spark, d):
+    n = dom.dom_nodes(fx.chain_pages(spark, d))
+    return dom.next_links(n).select("url", "next_url")
+
+
+def _urgent_seeds(spark, d):
+    o = fx.table(spark, d, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    return o.select(F.col("o_orderkey").alias("seed_id"), fx.order_url("o_orderkey").alias("url"))
+
+
+@query("follow_chain", f"""
+WITH {fx.CHAIN_SQL}
+SELECT seed_id, depth, url FROM cvisit""")
+def q_follow_chain(spark, d):
+    """TRV-1: every page each seed's next-link walk visits, with depth."""
+    return crawl.follow_chain(_chain_links(spark, d), _urgent_seeds(spark, d))
+
+
+@query("visit_single", """
+SELECT o_orderkey AS seed_id, CAST(0 AS BIGINT) AS depth,
+       'https://shop.example.net/o/' || CAST(o_orderkey AS VARCHAR) || '.html' AS url
+FROM orders WHERE o_orderpriority = '1-URGENT'""")
+def q_visit_single(spark, d):
+    """TRV-2: one visit per seed present in the snapshot."""
+    o = fx.table(spark, d, "orders")
+    missing = o.filter(F.col("o_orderpriority") == "5-LOW").select(
+        F.col("o_orderkey").alias("seed_id"),
+        F.concat(F.lit("https://shop.example.net/gone/"), F.col("o_orderkey").cast("string")).alias("url"))
+    seeds = _urgent_seeds(spark, d).unionByName(missing)
+    return crawl.visit_single(fx.chain_pages(spark, d), seeds)
+
+
+@query("until_first_repeat", """
+WITH h AS (SELECT source, doc_id, md5(text) AS hh FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY source, hh ORDER BY doc_id) > 1 AS rep FROM h),
+m AS (SELECT *, max(CASE WHEN rep THEN 1 ELSE 0 END) OVER (PARTITION BY source ORDER BY doc_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seen FROM r)
+SELECT source, doc_id FROM m WHERE seen = 0""")
+def q_until_first_repeat(spark, d):
+    """TRV-3: per source, documents up to the first repeated content."""
+    docs = fx.table(spark, d, "documents")
+    return crawl.until_first_repeat(docs, "source", "doc_id", "text").select("source", "doc_id")
+
+
+def _customer_urls(spark, d):
+    c = fx.table(spark, d, "customer")
+    return c.select(F.col("c_custkey").alias("seed_id"), "c_mktsegment",
+                    F.concat(F.lit("https://shop.example.net/c/"), F.col("c_custkey").cast("string")).alias("url"))
+
+
+@query("skip_done", """
+SELECT c_custkey AS seed_id, 'https://shop.example.net/c/' || CAST(c_custkey AS VARCHAR) AS url
+FROM customer WHERE c_mktsegment <> 'BUILDING'""")
+def q_skip_done(spark, d):
+    """TRV-4: seeds already in the previous output are skipped."""
+    cu = _customer_urls(spark, d)
+    # the previous output: BUILDING customers done, HOUSEHOLD rows without a url
+    prior = cu.filter(F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD")).select(
+        F.when(F.col("c_mktsegment") == "BUILDING", F.col("url")).alias("url"))
+    return crawl.skip_done(cu.select("seed_id", "url"), readers.done_urls(prior))
+
+
+@query("crawl_all", f"""
+WITH {fx.CHAIN_SQL},
+ranked AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seed_id, depth) AS rn FROM cvisit)
+SELECT url, seed_id, depth FROM ranked WHERE rn = 1""")
+def q_crawl_all(spark, d):
+    """TRV-5: union of all walks, each page once (dedup='global')."""
+    w = crawl.crawl_all(_chain_links(spark, d), _urgent_seeds(spark, d), dedup="global")
+    return w.select("url", "seed_id", "depth")

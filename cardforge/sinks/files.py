@@ -26,7 +26,8 @@ def _writer(df: DataFrame, fmt: str, mode: str):
     data = _csv_safe(df) if fmt == "csv" else df
     w = data.write.mode(mode).format(fmt)
     if fmt == "csv":
-        w = w.option("header", True).option("quote", '"').option("escape", '"')
+        w = (w.option("header", True).option("quote", '"').option("escape", '"')
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     return w
 
 
