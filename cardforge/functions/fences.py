@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cardforge.functions._col import as_col
+from cardforge.functions._col import as_col, let
 from cardforge.functions.text import is_blank, strip_chars, strip_ws
 
 MODES = ("strict", "guarded", "symmetric", "collapse")
@@ -34,11 +34,16 @@ def strip_fence(c, mode: str = "strict") -> Column:
         s = F.regexp_replace(strip_ws(col), r"^```(?:json)?", "")
         return strip_ws(F.regexp_replace(s, r"```\z", ""))
     if mode == "guarded":
-        s = strip_ws(col)
-        s = F.when(s.startswith("```json"), strip_ws(F.substring(s, 8, 1 << 30))).otherwise(s)
-        s = F.when(s.endswith("```"), strip_ws(F.regexp_replace(s, r"```\z", ""))).otherwise(s)
-        ok = s.startswith("[") | s.startswith("{")
-        return F.when(is_blank(col) | ~ok, col).otherwise(s)
+        def head(s):
+            return F.when(s.startswith("```json"), strip_ws(F.substring(s, 8, 1 << 30))).otherwise(s)
+
+        def tail(s):
+            return F.when(s.endswith("```"), strip_ws(F.regexp_replace(s, r"```\z", ""))).otherwise(s)
+
+        def pick(s):
+            ok = s.startswith("[") | s.startswith("{")
+            return F.when(is_blank(col) | ~ok, col).otherwise(s)
+        return let(let(let(strip_ws(col), head), tail), pick)
     if mode == "symmetric":
         s = strip_chars(strip_ws(col), "`")
         return strip_ws(F.replace(s, F.lit("json"), F.lit("")))

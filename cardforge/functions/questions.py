@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cardforge.functions._col import as_col
+from cardforge.functions._col import as_col, let
 from cardforge.functions.text import strip_ws
 
 # The two question templates of the source material.
@@ -23,10 +23,11 @@ def rule_question(term) -> Column:
 def clean_answer(text) -> Column:
     """QST-4: strip, then remove one pair of surrounding double quotes only
     when both are present."""
-    s = strip_ws(as_col(text))
-    quoted = s.startswith('"') & s.endswith('"')
-    # s[1:-1]; a lone '"' becomes ''
-    return F.when(quoted, F.substring(s, F.lit(2), F.greatest(F.length(s) - 2, F.lit(0)))).otherwise(s)
+    def unquote(s):
+        quoted = s.startswith('"') & s.endswith('"')
+        # s[1:-1]; a lone '"' becomes ''
+        return F.when(quoted, F.substring(s, F.lit(2), F.greatest(F.length(s) - 2, F.lit(0)))).otherwise(s)
+    return let(strip_ws(as_col(text)), unquote)
 
 
 def fallback_question(term) -> Column:

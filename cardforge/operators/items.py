@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardforge.functions._col import as_col
+from cardforge.functions._col import as_col, let
 from cardforge.functions.fences import strip_fence, wrap_fence
 from cardforge.functions.text import is_blank, strip_ws
 
@@ -28,7 +28,7 @@ def try_parse_value(text) -> Column:
     """VARIANT of the JSON text, or null when it is not exactly one JSON value."""
     arr = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), as_col(text), F.lit("]"))),
                             "$", "array<variant>")
-    return F.when(F.size(arr) == 1, arr[0])
+    return let(arr, lambda a: F.when(F.size(a) == 1, a[0]))
 
 
 def is_json_array(v) -> Column:

@@ -36,10 +36,11 @@ def parse_record_items(records: DataFrame, text_col: str = TEXT) -> DataFrame:
     """Items of the records QST-6 can rewrite: blank text, text that does not
     start with [ or { after cleaning, unparseable text, or a non-list leave
     the record unchanged and give no items.  ``(row_no, pos, item, route)``."""
-    cleaned = strip_fence(F.col(text_col), "guarded")
-    v = F.when(~is_blank(F.col(text_col)) & (cleaned != F.col(text_col)) | F.col(text_col).startswith("[")
-               | F.col(text_col).startswith("{"), try_parse_value(cleaned))
-    r = records.withColumn("value", v).filter(is_json_array(F.col("value")))
+    # the guarded cleaner returns the text unchanged unless it yields [ or {
+    cleaned = records.withColumn("_clean", strip_fence(F.col(text_col), "guarded"))
+    ok = F.col("_clean").startswith("[") | F.col("_clean").startswith("{")
+    r = cleaned.withColumn("value", F.when(ok, try_parse_value(F.col("_clean")))) \
+        .filter(is_json_array(F.col("value")))
     items = r.select("row_no", F.posexplode(F.try_variant_get(F.col("value"), "$", "array<variant>"))
                      .alias("pos", "item"))
     return items.withColumn("route", question_route(F.col("item")))

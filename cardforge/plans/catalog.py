@@ -565,3 +565,294 @@ def q_crawl_all(spark, d):
     """TRV-5: union of all walks, each page once (dedup='global')."""
     w = crawl.crawl_all(_chain_links(spark, d), _urgent_seeds(spark, d), dedup="global")
     return w.select("url", "seed_id", "depth")
+
+
+# ================================================================ model requests (EXT-1, EXT-2)
+
+_TEMPLATES_SQL = " UNION ALL ".join(f"SELECT '{t}' AS template" for t in extraction.TEMPLATES)
+
+
+@query("extraction_requests", f"""
+WITH a AS (SELECT page_id, url, {_ARTICLE_SQL} AS input FROM pages),
+t AS ({_TEMPLATES_SQL})
+SELECT sha256(t.template || chr(1) || a.url || chr(1) || a.input) AS request_id, a.page_id, t.template,
+       CAST(length(a.input) AS INTEGER) AS n_input
+FROM a CROSS JOIN t""")
+def q_extraction_requests(spark, d):
+    """EXT-1: one request per page and template; input = container markup."""
+    n = dom.dom_nodes(fx.table(spark, d, "pages"))
+    r = extraction.extraction_requests(n, extraction.template_table(spark), dom.is_element("article"))
+    return r.select("request_id", "page_id", "template", F.length("input").alias("n_input"))
+
+
+def _conversation_tables(spark, d):
+    c = fx.table(spark, d, "conversations")
+    rid = lambda turn: F.sha2(F.concat_ws(":", F.col("conv_id").cast("string"), turn.cast("string")), 256)  # noqa
+    requests = c.filter(F.col("role") == "user").select(rid(F.col("turn")).alias("request_id"), "conv_id", "turn",
+                                                        F.col("text").alias("input"))
+    responses = c.filter(F.col("role") == "assistant").select(rid(F.col("turn") - 1).alias("request_id"),
+                                                              F.col("text").alias("output_text"))
+    return requests, responses
+
+
+@query("attach_responses", """
+SELECT u.conv_id, u.turn, CAST(length(u.text) AS INTEGER) AS n_input,
+       CAST(length(a.text) AS INTEGER) AS n_output
+FROM conversations u JOIN conversations a
+  ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+WHERE u.role = 'user'""")
+def q_attach_responses(spark, d):
+    """EXT-2: answers joined to their requests (raw output kept)."""
+    req, resp = _conversation_tables(spark, d)
+    answered, _ = extraction.attach_responses(req, resp)
+    return answered.select("conv_id", "turn", F.length("input").alias("n_input"),
+                           F.length("concept_and_mnemonic").alias("n_output"))
+
+
+@query("unanswered_requests", """
+SELECT u.conv_id, u.turn FROM conversations u
+WHERE u.role = 'user' AND NOT EXISTS (
+  SELECT 1 FROM conversations a WHERE a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant')""")
+def q_unanswered(spark, d):
+    """EXT-2: requests without an answer are reported, not kept."""
+    req, resp = _conversation_tables(spark, d)
+    _, unanswered = extraction.attach_responses(req, resp)
+    return unanswered.select("conv_id", "turn")
+
+
+# ================================================================ flashcard questions (QST-1..7)
+
+QITEMS_SQL = fx.RECORDS_SQL + """,
+qitems AS (
+  SELECT row_no, k, p_name, p_brand, subject, p_size, CAST(i AS INTEGER) AS pos,
+         p_name || ' ' || CAST(i AS VARCHAR) AS term,
+         CASE WHEN k % 7 IN (0, 1) THEN 'skip' WHEN (k + i) % 5 = 0 THEN 'rule' ELSE 'ask' END AS route
+  FROM records, range(0, 3) t(i)
+  WHERE k % 13 <> 0 AND k % 17 <> 0 AND k % 4 <> 1 AND k % 11 <> 0 AND i < n_items)"""
+
+
+def _question_items(spark, d):
+    return questions.parse_record_items(fx.records(spark, d))
+
+
+@query("question_route", f"""
+WITH {QITEMS_SQL}
+SELECT row_no, pos, route FROM qitems""")
+def q_question_route(spark, d):
+    """QST-1: skip / rule / ask per item of the records questions can rewrite."""
+    return _question_items(spark, d).select("row_no", "pos", "route")
+
+
+_QINPUT = ("""'Term: "' || term || '"' || chr(10) || 'Definition: "' || subject || ' size ' || CAST(p_size AS VARCHAR)"""
+           """ || '"' || chr(10) || 'Mnemonic: "' || p_brand || (CASE WHEN k % 23 = 0 THEN ' json ' ELSE ' keeps ' END)"""
+           """ || p_name || '"'""")
+
+
+@query("question_requests", f"""
+WITH {QITEMS_SQL}
+SELECT sha256('question' || chr(1) || CAST(row_no AS VARCHAR) || chr(1) || CAST(pos AS VARCHAR) || chr(1)
+              || {_QINPUT}) AS request_id, row_no, pos, {_QINPUT} AS input
+FROM qitems WHERE route = 'ask'""")
+def q_question_requests(spark, d):
+    """QST-3: one request per 'ask' item (term, definition, mnemonic lines)."""
+    r = questions.question_requests(_question_items(spark, d))
+    return r.select("request_id", "row_no", "pos", "input")
+
+
+def _question_responses(spark, d, it, req):
+    """Answers for the requests, derived from the items: every request except
+    those with (row_no + pos) % 7 = 3 (a failed call) gets a quoted answer."""
+    term = items.item_field("item", "term")
+    ans = req.join(it.select("row_no", "pos", term.alias("term")), ["row_no", "pos"]) \
+        .filter((F.col("row_no") + F.col("pos")) % 7 != 3)
+    return ans.select("request_id", F.concat(F.lit('  "How is '), F.col("term"), F.lit(' described?" '))
+                      .alias("output_text"))
+
+
+def _applied(spark, d):
+    rec = fx.records(spark, d)
+    it = questions.parse_record_items(rec)
+    req = questions.question_requests(it)
+    return rec, questions.apply_questions(rec, req, _question_responses(spark, d, it, req))
+
+
+@query("apply_questions", f"""
+WITH {QITEMS_SQL}
+SELECT row_no, pos,
+       CASE WHEN route = 'skip' THEN NULL
+            WHEN route = 'rule' THEN 'What is the first name associated with ' || term || '?'
+            WHEN (row_no + pos) % 7 = 3 THEN 'What is ' || term || '?'
+            ELSE 'How is ' || term || ' described?' END AS question
+FROM qitems""")
+def q_apply_questions(spark, d):
+    """QST-2/4/5/6: questions written into the records (rule, cleaned answer,
+    or fallback); read back from the rewritten text."""
+    _, after = _applied(spark, d)
+    again = questions.parse_record_items(after)
+    return again.select("row_no", F.col("pos").cast("int"), items.item_field("item", "question").alias("question"))
+
+
+@query("run_summary", f"""
+WITH {fx.RECORDS_SQL}
+SELECT count(*) AS total,
+       count(*) FILTER (WHERE k % 13 <> 0 AND k % 17 <> 0 AND k % 4 <> 1 AND k % 11 <> 0) AS processed,
+       count(*) FILTER (WHERE k % 13 <> 0 AND (k % 17 = 0 OR k % 4 = 1 OR k % 11 = 0)) AS errors
+FROM records""")
+def q_run_summary(spark, d):
+    """QST-7: total, processed (text changed) and errors (unchanged)."""
+    before, after = _applied(spark, d)
+    return questions.run_summary(before, after)
+
+
+# ================================================================ sources (SRC-1..5)
+
+@query("read_pages", """
+SELECT page_id, url, CAST(length(html) AS INTEGER) AS n_chars FROM pages""")
+def q_read_pages(spark, d):
+    """SRC-1: the listed URLs the snapshot holds (unlisted / missing give no row)."""
+    p = fx.table(spark, d, "pages").select("url")
+    listed = p.unionByName(p.select(F.concat("url", F.lit("?missing=1")).alias("url")))
+    pages = readers.read_pages(spark, f"{d.rstrip('/')}/pages.parquet", listed)
+    return pages.select("page_id", "url", F.length("html").alias("n_chars"))
+
+
+def _records_csv(spark, d) -> str:
+    path = scratch(spark, "records-csv")
+    files.refresh_rows(fx.records(spark, d).select("url", "concept_and_mnemonic"), path, fmt="csv")
+    return path
+
+
+@query("read_records", f"""
+WITH {fx.RECORDS_SQL}
+SELECT url, concept_and_mnemonic FROM records""")
+def q_read_records(spark, d):
+    """SRC-2: header CSV with quoted multi-line fields and doubled quotes."""
+    r = readers.read_records(spark, _records_csv(spark, d))
+    return r.select("url", "concept_and_mnemonic")
+
+
+@query("read_records_positional", f"""
+WITH {fx.RECORDS_SQL}
+SELECT CAST(2 AS INTEGER) AS n_fields, url AS _c0, concept_and_mnemonic AS _c1 FROM records
+UNION ALL SELECT 2, 'url', 'concept_and_mnemonic'""")
+def q_read_records_positional(spark, d):
+    """SRC-3: positional read; the header line is a data row."""
+    r = readers.read_records_positional(spark, _records_csv(spark, d))
+    return r.select(F.col("n_fields").cast("int"), "_c0", "_c1")
+
+
+@query("enumerate_urls", """
+SELECT c_custkey, CAST(n AS BIGINT) AS n,
+       'https://site.example.net/list.html?p=' || CAST(n AS VARCHAR) || '&order=alpha' AS url
+FROM (SELECT c_custkey, unnest(range(2, 2 + c_nationkey)) AS n FROM customer)""")
+def q_enumerate_urls(spark, d):
+    """SRC-4: ?p={n} pages for n in [2, 2 + c_nationkey) per customer."""
+    c = fx.table(spark, d, "customer").select("c_custkey", F.lit(2).cast("long").alias("lo"),
+                                              (F.lit(2) + F.col("c_nationkey")).cast("long").alias("hi"))
+    u = readers.enumerate_urls(c, "https://site.example.net/list.html?p=%d&order=alpha")
+    return u.select("c_custkey", "n", "url")
+
+
+@query("read_done_urls", """
+SELECT DISTINCT 'https://shop.example.net/c/' || CAST(c_custkey AS VARCHAR) AS url
+FROM customer WHERE c_mktsegment = 'BUILDING'""")
+def q_read_done_urls(spark, d):
+    """SRC-5: the resume set of a previous output (nulls dropped, distinct)."""
+    cu = _customer_urls(spark, d)
+    prior = cu.filter(F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD")).select(
+        F.when(F.col("c_mktsegment") == "BUILDING", F.col("url")).alias("url"), "seed_id")
+    path = scratch(spark, "done")
+    files.refresh_rows(prior, path)
+    return readers.read_done_urls(spark, path)
+
+
+# ================================================================ sinks (SNK-1..3)
+
+def _lesson_rows(spark, d):
+    ls = dom.extract_lessons(fx.block_pages(spark, d))
+    return ls.select("url", "word", "definition", "mnemonic", "highlighted_text", "images")
+
+
+@query("append_rows", f"""
+WITH {LESSONS_SQL}
+SELECT url, CAST(3 AS BIGINT) AS copies, word FROM lessons""")
+def q_append_rows(spark, d):
+    """SNK-1: appended outputs accumulate (refresh once, append twice)."""
+    path = scratch(spark, "append")
+    rows = _lesson_rows(spark, d)
+    files.refresh_rows(rows, path, fmt="csv")
+    files.append_rows(rows, path, fmt="csv")
+    files.append_rows(rows, path, fmt="csv")
+    back = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return back.groupBy("url", "word").agg(F.count(F.lit(1)).alias("copies")).select("url", "copies", "word")
+
+
+@query("refresh_rows", f"""
+WITH {LESSONS_SQL}
+SELECT url, CAST(1 AS BIGINT) AS copies, n_mnemonic FROM lessons""")
+def q_refresh_rows(spark, d):
+    """SNK-2: a refresh replaces the previous output."""
+    path = scratch(spark, "refresh")
+    rows = _lesson_rows(spark, d)
+    files.refresh_rows(rows, path)
+    files.refresh_rows(rows, path)
+    back = spark.read.parquet(path)
+    return back.groupBy("url").agg(F.count(F.lit(1)).alias("copies"), F.max(F.size("mnemonic")).alias("n_mnemonic"))
+
+
+@query("rewrite_records", f"""
+WITH {fx.RECORDS_SQL}
+SELECT url,
+       replace(regexp_replace({_trim('concept_and_mnemonic')}, '(?i)^```json\\s*|\\s*```$', '', 'g'), '""', '"')
+       AS concept_and_mnemonic
+FROM records""")
+def q_rewrite_records(spark, d):
+    """SNK-3: same-schema CSV rewrite through the collapse cleaner."""
+    src = readers.read_records(spark, _records_csv(spark, d))
+    path = scratch(spark, "rewrite")
+    files.rewrite_records(src.select("url", "concept_and_mnemonic"), path, "concept_and_mnemonic",
+                          lambda c: strip_fence(c, "collapse"))
+    back = readers.read_records(spark, path)
+    return back.select("url", "concept_and_mnemonic")
+
+
+# ================================================================ streams (STR-1..3)
+
+@query("stream_extract", f"""
+WITH {LESSONS_SQL}
+SELECT page_id, n_mnemonic, n_images FROM lessons""")
+def q_stream_extract(spark, d):
+    """STR-1: page files arriving in a folder become lessons exactly once."""
+    src, out = scratch(spark, "stream-pages"), scratch(spark, "stream-out")
+    fx.block_pages(spark, d).repartition(4, "page_id").write.parquet(src)
+    q = streams.stream_extract(spark, src, out, scratch(spark, "stream-ckpt"))
+    q.awaitTermination()
+    back = spark.read.parquet(out)
+    return back.select("page_id", F.size("mnemonic").alias("n_mnemonic"), F.size("images").alias("n_images"))
+
+
+@query("stream_dedup", """
+SELECT DISTINCT user_id, event_type FROM events""")
+def q_stream_dedup(spark, d):
+    """STR-2: first event per (user, type) within the watermark."""
+    src = scratch(spark, "events")
+    fx.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(src)
+    ev = streams.page_stream(spark, src)
+    dd = streams.stream_dedup(ev, ["user_id", "event_type"], event_time="ts", delay="3650 days")
+    name = f"dedup_{uuid.uuid4().hex[:8]}"
+    t = streams.run_to_table(spark, dd.select("user_id", "event_type"), name, scratch(spark, "dedup-ckpt"))
+    return t
+
+
+@query("stream_subject_counts", """
+SELECT coalesce(nullif(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/*([^/?#;]*)', 1), ''), 'unknown')
+       AS subject, count(*) AS n_items
+FROM pages GROUP BY 1""")
+def q_stream_subject_counts(spark, d):
+    """STR-3: running count per subject over a page stream (complete mode)."""
+    src = scratch(spark, "pages")
+    fx.table(spark, d, "pages").select("page_id", "url").write.parquet(src)
+    pg = streams.page_stream(spark, src)
+    name = f"subjects_{uuid.uuid4().hex[:8]}"
+    return streams.run_to_table(spark, streams.stream_subject_counts(pg), name, scratch(spark, "subj-ckpt"),
+                                mode="complete")

@@ -13,6 +13,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 from cardforge.functions.text import is_blank
 
 
+# a value no field holds, so that no field is read as null
+NO_NULL = "\u0000<null>\u0000"
+
+
 def read_pages(spark: SparkSession, path: str, urls: DataFrame | None = None) -> DataFrame:
     """SRC-1: ``pages(page_id, url, html)``.  With a URL list, only the
     listed URLs that the snapshot holds are returned (a page that cannot be
@@ -32,8 +36,9 @@ def read_records(spark: SparkSession, path: str, columns: tuple[str, ...] = ("ur
     order (file order within a file).  Multi-line CSV is not splittable, so
     it is an import format: convert once to Parquet for repeated use."""
     schema = StructType([StructField(c, StringType()) for c in columns])
+    # CSV has no null: an empty field is the empty string, as Python's csv reads it
     df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-          .option("mode", "PERMISSIVE").schema(schema).csv(path))
+          .option("nullValue", NO_NULL).option("mode", "PERMISSIVE").schema(schema).csv(path))
     return df.select(F.monotonically_increasing_id().alias("row_no"), *columns)
 
 
@@ -42,7 +47,7 @@ def read_records_positional(spark: SparkSession, path: str, max_columns: int = 8
     have fewer or more than two fields: ``(row_no, n_fields, _c0 .. _cN)``."""
     schema = StructType([StructField(f"_c{i}", StringType()) for i in range(max_columns)])
     df = (spark.read.option("header", False).option("multiLine", True).option("escape", '"')
-          .schema(schema).csv(path))
+          .option("nullValue", NO_NULL).schema(schema).csv(path))
     n = sum(F.when(F.col(f"_c{i}").isNotNull(), 1).otherwise(0) for i in range(max_columns))
     return df.select(F.monotonically_increasing_id().alias("row_no"), n.alias("n_fields"), *df.columns)
 
