@@ -856,3 +856,21 @@ def q_stream_subject_counts(spark, d):
     name = f"subjects_{uuid.uuid4().hex[:8]}"
     return streams.run_to_table(spark, streams.stream_subject_counts(pg), name, scratch(spark, "subj-ckpt"),
                                 mode="complete")
+
+
+# ================================================================ flagship
+
+@query("heading_subject_counts", """
+WITH p AS (
+  SELECT coalesce(nullif(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/*([^/?#;]*)', 1), ''), 'unknown')
+         AS subject,
+         regexp_matches(html, '<h1[\\s>]') AS has_h1,
+         regexp_matches(html, '<h1[^>]*>[^<]*( – | - )') OR regexp_matches(html, '</h1>[^<]*<[a-zA-Z]') AS has_def
+  FROM pages)
+SELECT subject, count(*) AS n_pages, count(*) FILTER (WHERE has_h1) AS n_with_word,
+       count(*) FILTER (WHERE has_h1 AND has_def) AS n_with_definition, CAST(GROUPING(subject) AS BIGINT) AS level
+FROM p GROUP BY ROLLUP (subject)""")
+def q_heading_subject_counts(spark, d):
+    """Flagship: pages per subject with a word / definition from the first h1."""
+    from cardforge.plans.lessons import heading_subject_counts
+    return heading_subject_counts(spark, d)
