@@ -68,24 +68,40 @@ def follow_chain(links: DataFrame, seeds: DataFrame, max_levels: int = 40) -> Da
     #          m = smallest url among the 2^k nodes starting here
     lv = _cut(g.select("url", F.col("nxt").alias("j"), F.col("url").alias("m")))
     jumps = [lv]
-    while (1 << (len(jumps) - 1)) < max(n_nodes, 1) and len(jumps) < max_levels:
+    image = lv.filter(F.col("j").isNotNull()).select("j").distinct().count()
+    converged = False
+    while len(jumps) < max_levels:
         a, b = jumps[-1].alias("a"), jumps[-1].alias("b")
         nxt = a.join(b, F.col("a.j") == F.col("b.url"), "left").select(
             F.col("a.url").alias("url"), F.col("b.j").alias("j"),
             F.least(F.col("a.m"), F.coalesce(F.col("b.m"), F.col("a.m"))).alias("m"))
         nxt = _cut(nxt)
+        # Stop when (1) the image of the jump stops shrinking: the jump is then
+        # a permutation of its image, so every walk has ended or entered its
+        # cycle within 2^k steps and the image is exactly the cycle nodes; and
+        # (2) the running minimum no longer changes, so each cycle node's
+        # window covers its whole cycle.  Both hold after at most log2(n) levels.
+        stats = (nxt.alias("n").join(jumps[-1].alias("p"), "url")
+                 .agg(F.count_distinct(F.col("n.j")).alias("img"),
+                      F.count_if(F.col("n.j").isNotNull() & (F.col("n.m") != F.col("p.m"))).alias("moved"))
+                 .first())
         jumps.append(nxt)
-        if nxt.filter(F.col("j").isNotNull()).limit(1).count() == 0:
+        if stats["img"] == image and stats["moved"] == 0:
+            converged = True
+            break
+        image = stats["img"]
+        if (1 << (len(jumps) - 1)) >= 2 * max(n_nodes, 1):
+            converged = True
             break
     top = jumps[-1]
-    if (1 << (len(jumps) - 1)) >= n_nodes:
-        # 2^K >= n steps ahead is always on a cycle: those images are the
-        # cycle nodes; their window minimum identifies the cycle
+    if converged:
+        # the image of the last jump is the set of cycle nodes; their window
+        # minimum identifies the cycle
         cyc_nodes = top.filter(F.col("j").isNotNull()).select(F.col("j").alias("url")).distinct()
         cyc = cyc_nodes.join(top.select("url", "m"), "url")
         cyc = _cut(cyc.join(cyc.groupBy("m").agg(F.count(F.lit(1)).alias("lam")), "m").select("url", "lam"))
     else:
-        cyc = g.limit(0).select("url", F.lit(1).cast("long").alias("lam"))
+        raise ValueError(f"walks longer than 2^{max_levels}")
 
     # tail length: greedy binary descent while the next position is not on a cycle
     flag = cyc.select(F.col("url").alias("to"), F.col("lam").alias("to_lam"))

@@ -84,7 +84,8 @@ def tokenize(pages: DataFrame) -> DataFrame:
 
 
 def enclosing(df: DataFrame, is_interval: Column, is_probe: Column, all_levels: bool = True,
-              payload: list[str] | None = None, keep_all: bool = False) -> DataFrame:
+              payload: list[str] | None = None, keep_all: bool = False,
+              ipayload: dict[str, Column] | None = None) -> DataFrame:
     """Intervals containing probes, computed on one stream of rows.
 
     ``df`` has ``page_id, pos, end_pos``; rows where ``is_interval`` holds are
@@ -93,7 +94,8 @@ def enclosing(df: DataFrame, is_interval: Column, is_probe: Column, all_levels:
     a_level, *payload)`` for every interval strictly containing it
     (``a_start < pos < a_end``), or only the tightest one.  With
     ``keep_all`` a probe inside no interval is returned once with nulls and
-    level 0.
+    level 0.  ``ipayload`` (name -> column) is carried from each interval's
+    own row to the probes it contains.
 
     Each row becomes up to three events (start +1, end -1, probe 0) through a
     generator; a running sum gives each probe's depth D and an as-of
@@ -101,15 +103,18 @@ def enclosing(df: DataFrame, is_interval: Column, is_probe: Column, all_levels:
     each level 1..D.  No join, no pairs: cost is rows x nesting depth.
     """
     payload = payload or []
+    ipayload = ipayload or {}
     pl = F.struct(*[F.col(c) for c in payload]) if payload else F.lit(None)
-    ev_t = lambda p, o, d, a_s, a_e, prb: F.struct(
+    ipl_struct = F.struct(*[c.alias(k) for k, c in ipayload.items()]) if ipayload else F.lit(None).cast("int")
+    ev_t = lambda p, o, d, a_s, a_e, prb, ipl: F.struct(
         p.cast("int").alias("p"), F.lit(o).alias("o"), F.lit(d).alias("d"), a_s.cast("int").alias("a_s"),
-        a_e.cast("int").alias("a_e"), prb.alias("prb"))
+        a_e.cast("int").alias("a_e"), prb.alias("prb"), ipl.alias("ipl"))
     none = F.lit(None).cast("int")
+    no_ipl = F.when(F.lit(False), ipl_struct)  # null of the interval payload's type
     evs = F.array(
-        F.when(is_interval, ev_t(F.col("pos"), 2, 1, F.col("pos"), F.col("end_pos"), F.lit(False))),
-        F.when(is_interval, ev_t(F.col("end_pos"), 0, -1, none, none, F.lit(False))),
-        F.when(is_probe, ev_t(F.col("pos"), 1, 0, none, none, F.lit(True))))
+        F.when(is_interval, ev_t(F.col("pos"), 2, 1, F.col("pos"), F.col("end_pos"), F.lit(False), ipl_struct)),
+        F.when(is_interval, ev_t(F.col("end_pos"), 0, -1, none, none, F.lit(False), no_ipl)),
+        F.when(is_probe, ev_t(F.col("pos"), 1, 0, none, none, F.lit(True), no_ipl)))
     ev = df.filter(is_interval | is_probe).select("page_id", pl.alias("pl"), F.explode(
         F.filter(evs, lambda e: e.isNotNull())).alias("e")).select("page_id", "pl", "e.*")
     w = Window.partitionBy("page_id").orderBy("p", "o").rowsBetween(Window.unboundedPreceding, 0)
@@ -124,9 +129,11 @@ def enclosing(df: DataFrame, is_interval: Column, is_probe: Column, all_levels:
     w2 = Window.partitionBy("page_id", "lvl").orderBy("p", "o").rowsBetween(Window.unboundedPreceding, 0)
     found = (ev.withColumn("s", F.last("a_s", ignorenulls=True).over(w2))
              .withColumn("e", F.last("a_e", ignorenulls=True).over(w2))
+             .withColumn("ip", F.last("ipl", ignorenulls=True).over(w2))
              .filter(F.col("prb") & (F.col("s").isNotNull() | F.lit(keep_all))))
     return found.select("page_id", F.col("p").alias("pos"), F.col("s").alias("a_start"), F.col("e").alias("a_end"),
-                        F.col("lvl").alias("a_level"), *[F.col("pl")[c].alias(c) for c in payload])
+                        F.col("lvl").alias("a_level"), *[F.col("pl")[c].alias(c) for c in payload],
+                        *[F.col("ip")[k].alias(k) for k in ipayload])
 
 
 def dom_nodes(pages: DataFrame, num_partitions: int | None = None) -> DataFrame:
@@ -314,15 +321,14 @@ def split_heading(nodes: DataFrame) -> DataFrame:
     texty = F.col("kind") == "text"
     in_h1 = texty & in_box("h")
     in_sib = texty & in_box("n") & sib_ok
-    parts = b.filter(in_h1 | in_sib | (F.col("pos") == F.col("h_pos")))
-    st = F.struct("pos", F.when(in_h1, F.col("text")).alias("h"), F.when(in_sib, F.col("text")).alias("n"))
-    agg = (parts.groupBy("page_id").agg(F.array_sort(F.collect_list(st)).alias("ps"), F.first("h_pos").alias("h_pos"),
-                                        F.max(sib_ok).alias("has_sib")))
+    # one aggregate over every node of the page (pages without h1 keep a row)
+    st = F.when(in_h1 | in_sib, F.struct("pos", F.when(in_h1, F.col("text")).alias("h"),
+                                          F.when(in_sib, F.col("text")).alias("n")))
+    agg = (b.groupBy("page_id").agg(F.array_sort(F.collect_list(st)).alias("ps"), F.max("h_pos").alias("h_pos"),
+                                    F.max(F.coalesce(sib_ok, F.lit(False))).alias("has_sib")))
     h1 = F.when(F.col("h_pos").isNotNull(), F.array_join(F.transform("ps", lambda x: x["h"]), ""))
     sib = F.when(F.col("has_sib"), F.array_join(F.transform("ps", lambda x: x["n"]), ""))
-    heads = agg.select("page_id", h1.alias("h1"), sib.alias("sib"))
-    pages = nodes.select("page_id").distinct()
-    j = pages.join(heads, "page_id", "left")
+    j = agg.select("page_id", h1.alias("h1"), sib.alias("sib"))
     t = nbsp_to_space(strip_ws(F.col("h1")))
     en, hy = F.split(t, " – ", 2), F.split(t, " - ", 2)
     word = (F.when(F.col("h1").isNull(), F.lit(None))
@@ -366,31 +372,45 @@ def block_analysis(nodes: DataFrame, pred: Column | None = None) -> tuple[DataFr
     segment (with or without src).  Before the first img every block is
     processed; after it, blocks are processed until the first one that
     becomes a mnemonic.  A processed block becomes a mnemonic when it holds a
-    red span, its text has no 'NOTE', and no earlier mnemonic has the same
-    markup.  Whether a block is a duplicate depends on which earlier blocks
-    were accepted, so the walk is a per-page fold (``aggregate``) over the
-    page's images and blocks - a handful of rows, evaluated in the JVM.
+    red span, its text has no 'NOTE', and no earlier mnemonic is the same
+    element (same start tag and content).  Whether a block is a duplicate
+    depends on which earlier blocks were accepted, so the walk is a per-page
+    fold (``aggregate``) over the page's images and blocks - a handful of
+    rows, evaluated in the JVM.
+
+    One containment pass over the family {blocks, red spans} and one
+    aggregate per element give every element's text, markup key, whether it
+    holds a black span and which red spans it holds.
     """
     inner = with_box(nodes, pred if pred is not None else container_pred()).filter(in_box()) \
-        .drop("c_pos", "c_end", "c_depth")
+        .drop("c_pos", "c_end", "c_depth").persist(StorageLevel.MEMORY_AND_DISK)
     is_block = is_element() & F.col("name").isin("p", "figcaption")
     is_red = is_element("span") & _style_has("#ff0000")
     is_black = is_element("span") & _style_has("#000000")
-
-    # red spans that hold a black span
-    has_black = enclosing(inner, is_red, is_black).select(
-        "page_id", F.col("a_start").alias("pos")).distinct().withColumn("black", F.lit(True))
-    red_txt = element_text(inner, is_red).join(has_black, ["page_id", "pos"], "left") \
-        .withColumn("black", F.coalesce("black", F.lit(False)))
-    # each red span under each enclosing block
-    span_in_block = enclosing(inner, is_block, is_red).select("page_id", "pos", F.col("a_start").alias("block_pos"))
-    span_rows = span_in_block.join(red_txt.select("page_id", "pos", "text", "black"), ["page_id", "pos"])
-    with_red = span_in_block.select("page_id", F.col("block_pos").alias("pos")).distinct() \
-        .withColumn("has_red", F.lit(True))
-
-    blk = element_text(inner, is_block, with_markup=True).join(with_red, ["page_id", "pos"], "left")
-    candidate = F.coalesce("has_red", F.lit(False)) & (F.instr(F.col("text"), "NOTE") == 0)
-    blk = blk.withColumn("candidate", candidate).withColumn("mkey", F.xxhash64("markup"))
+    probes = inner.withColumn("p_red", is_red).withColumn("p_black", is_black)
+    enc = enclosing(probes, is_block | is_red, F.col("kind").isin("start", "end", "text"), all_levels=True,
+                    payload=["kind", "text", "raw", "p_red", "p_black"],
+                    ipayload={"i_block": is_block, "i_raw": F.col("raw"), "i_name": F.col("name")})
+    piece = F.struct("pos", F.when(F.col("kind") == "text", F.col("text")).alias("t"), F.col("raw").alias("r"))
+    per = (enc.groupBy("page_id", F.col("a_start").alias("pos"))
+           .agg(F.first("i_block").alias("is_block"), F.first("i_raw").alias("i_raw"),
+                F.first("i_name").alias("i_name"), F.array_sort(F.collect_list(piece)).alias("ps"),
+                F.max("p_black").alias("black"), F.collect_list(F.when(F.col("p_red"), F.col("pos"))).alias("reds")))
+    per = per.select("page_id", "pos", "is_block", "black", "reds",
+                     F.array_join(F.transform("ps", lambda x: x["t"]), "").alias("text"),
+                     F.xxhash64(F.concat(F.col("i_raw"), F.array_join(F.transform("ps", lambda x: x["r"]), ""),
+                                         F.lit("</"), F.col("i_name"), F.lit(">"))).alias("mkey"))
+    # elements with no token inside have no row: add them with empty text
+    own = inner.filter(is_block | is_red).select(
+        "page_id", "pos", is_block.alias("own_block"),
+        F.xxhash64(F.concat(F.col("raw"), F.lit("</"), F.col("name"), F.lit(">"))).alias("own_key"))
+    elems = (own.join(per.drop("is_block"), ["page_id", "pos"], "left")
+             .select("page_id", "pos", F.col("own_block").alias("is_block"), F.coalesce("black", F.lit(False))
+                     .alias("black"), F.coalesce("reds", F.array().cast("array<int>")).alias("reds"),
+                     F.coalesce("text", F.lit("")).alias("text"), F.coalesce("mkey", "own_key").alias("mkey"))
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    blk = elems.filter("is_block").withColumn(
+        "candidate", (F.size("reds") > 0) & (F.instr(F.col("text"), "NOTE") == 0))
 
     # the walk: images and blocks in order, one fold per page
     imgs = inner.filter(is_element("img")).select("page_id", "pos", F.lit(True).alias("is_img"),
@@ -416,13 +436,16 @@ def block_analysis(nodes: DataFrame, pred: Column | None = None) -> tuple[DataFr
             F.when(is_mn, F.array_append(acc["mnemonic"], x["pos"])).otherwise(acc["mnemonic"]).alias("mnemonic"))
 
     walked = seq.select("page_id", F.aggregate("seq", init, step).alias("w"))
-    flags = walked.select("page_id", F.explode("w.processed").alias("pos"),
-                          F.col("w.mnemonic").alias("mn")) \
+    flags = walked.select("page_id", F.explode("w.processed").alias("pos"), F.col("w.mnemonic").alias("mn")) \
         .select("page_id", "pos", F.lit(True).alias("processed"), F.array_contains("mn", F.col("pos")).alias("is_mn"))
     blocks_out = blk.join(flags, ["page_id", "pos"], "left").select(
         "page_id", "pos", F.coalesce("processed", F.lit(False)).alias("processed"),
-        F.coalesce("is_mn", F.lit(False)).alias("is_mnemonic"), "text")
-    return blocks_out, span_rows
+        F.coalesce("is_mn", F.lit(False)).alias("is_mnemonic"), "text", "reds")
+    reds = elems.filter(~F.col("is_block")).select("page_id", F.col("pos").alias("span_pos"), "text", "black")
+    span_rows = (blocks_out.select("page_id", F.col("pos").alias("block_pos"), F.explode("reds").alias("span_pos"))
+                 .join(reds, ["page_id", "span_pos"])
+                 .select("page_id", "block_pos", F.col("span_pos").alias("pos"), "text", "black"))
+    return blocks_out.drop("reds"), span_rows
 
 
 def highlights(blocks: DataFrame, spans: DataFrame) -> DataFrame:

@@ -46,10 +46,14 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").withColumn("subject", F.lower("p_type"))
     k = F.col("p_partkey")
     n = F.lit(1) + k % 3
-    arr = F.concat(F.lit("["), _item(0), F.when(n > 1, F.concat(F.lit(", "), _item(1))).otherwise(F.lit("")),
-                   F.when(n > 2, F.concat(F.lit(", "), _item(2))).otherwise(F.lit("")), F.lit("]"))
-    body = F.when(k % 11 == 0, _item(0)).otherwise(arr)
-    body = F.when(k % 17 == 0, F.replace(body, F.lit('"definition"'), F.lit('"definition'))).otherwise(body)
+    # staged through named columns so each piece is built once
+    p = p.withColumn("_i0", _item(0)).withColumn("_i1", _item(1)).withColumn("_i2", _item(2))
+    arr = F.concat(F.lit("["), F.col("_i0"), F.when(n > 1, F.concat(F.lit(", "), F.col("_i1"))).otherwise(F.lit("")),
+                   F.when(n > 2, F.concat(F.lit(", "), F.col("_i2"))).otherwise(F.lit("")), F.lit("]"))
+    p = p.withColumn("_b0", F.when(k % 11 == 0, F.col("_i0")).otherwise(arr))
+    p = p.withColumn("_body", F.when(k % 17 == 0, F.replace(F.col("_b0"), F.lit('"definition"'),
+                                                                F.lit('"definition'))).otherwise(F.col("_b0")))
+    body = F.col("_body")
     text = (F.when(k % 13 == 0, F.lit("   "))
             .when(k % 4 == 0, F.concat(F.lit("```json" + NL), body, F.lit(NL + "```")))
             .when(k % 4 == 1, F.concat(F.lit("```" + NL), body, F.lit(NL + "```")))
