@@ -39,10 +39,11 @@ def parse_record_items(records: DataFrame, text_col: str = TEXT) -> DataFrame:
     # the guarded cleaner returns the text unchanged unless it yields [ or {
     cleaned = records.withColumn("_clean", strip_fence(F.col(text_col), "guarded"))
     ok = F.col("_clean").startswith("[") | F.col("_clean").startswith("{")
-    r = cleaned.withColumn("value", F.when(ok, try_parse_value(F.col("_clean")))) \
-        .filter(is_json_array(F.col("value")))
-    items = r.select("row_no", F.posexplode(F.try_variant_get(F.col("value"), "$", "array<variant>"))
-                     .alias("pos", "item"))
+    r = cleaned.withColumn("value", F.when(ok, try_parse_value(F.col("_clean"))))
+    # a non-list explodes to nothing: no filter for the optimizer to push
+    # down (pushing it would copy the cleaning and parsing into the filter)
+    arr = F.when(is_json_array(F.col("value")), F.try_variant_get(F.col("value"), "$", "array<variant>"))
+    items = r.select("row_no", F.posexplode(arr).alias("pos", "item"))
     return items.withColumn("route", question_route(F.col("item")))
 
 
