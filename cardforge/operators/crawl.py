@@ -62,7 +62,8 @@ def follow_chain(links: DataFrame, seeds: DataFrame, max_levels: int = 40) -> Da
     Rounds: one self-join per doubling level (jump + running minimum), then
     per-level joins on the seed table only.
     """
-    g = _cut(resolve_links(links))
+    # the link table is read twice (pages and targets): materialize it once
+    g = _cut(resolve_links(_cut(links.select("url", "next_url"))))
     n_nodes = g.count()
     # level k: j = node 2^k steps ahead (null if the walk ends first),
     #          m = smallest url among the 2^k nodes starting here
