@@ -71,9 +71,9 @@ def has_class(attrs, cls: str) -> Column:
 
 
 def tokenize(pages: DataFrame) -> DataFrame:
-    """(page_id, url, pos, kind, name, raw) - one row per token.  kind is
+    """(page_id, pos, kind, name, raw) - one row per token.  kind is
     'start', 'end' or 'text'."""
-    toks = pages.select("page_id", "url", F.posexplode(
+    toks = pages.select("page_id", F.posexplode(
         F.regexp_extract_all(_clean_html(F.col("html")), F.lit(_TOKEN_RE), 0)).alias("pos", "raw"))
     kind = (F.when(F.col("raw").rlike("^<[a-zA-Z]"), F.lit("start"))
             .when(F.col("raw").rlike("^</[a-zA-Z]"), F.lit("end"))
@@ -187,9 +187,12 @@ def dom_nodes(pages: DataFrame, num_partitions: int | None = None) -> DataFrame:
     t = t.withColumn("end_pos", end_pos.cast("int"))
     # 4. depth and parent of every token over the final intervals
     is_elem = is_start & (F.col("end_pos") > F.col("pos"))
-    cols = ["url", "kind", "name", "raw"]
+    cols = ["kind", "name", "raw"]
     nodes = enclosing(t, is_elem, F.lit(True), all_levels=False, payload=cols + ["end_pos"], keep_all=True)
-    return nodes.select(
+    # the page URL travels through no shuffle or window: it is joined back
+    # once (one row per page; the node side is already partitioned by page_id)
+    urls = pages.select("page_id", "url")
+    return nodes.join(urls, "page_id").select(
         "page_id", "url", "pos", "kind", "name",
         F.when(F.col("kind") == "start", _attrs(F.col("raw"))).alias("attrs"),
         F.when(F.col("kind") == "text", decode_entities(F.col("raw"))).alias("text"),
@@ -503,14 +506,18 @@ def next_links(nodes: DataFrame, base: str | None = None, css_class: str = "page
     """DOM-8: (page_id, url, next_url) for every page.  The first
     ``div.page-next``, its first ``a``; href resolved against the page URL
     (or a fixed ``base``).  No div, no a, or no href -> null."""
-    b = with_box(nodes, container_pred("div", css_class=css_class))
-    a = b.filter(is_element("a") & in_box())
-    first_a = a.groupBy("page_id").agg(F.min_by(attr("attrs", "href"), F.col("pos")).alias("href"))
-    urls = nodes.groupBy("page_id").agg(F.first("url").alias("url"))
-    j = urls.join(first_a, "page_id", "left")
+    is_box = container_pred("div", css_class=css_class)
+    # one aggregate per page, no window: the first box's interval and the
+    # page's links (a bounded per-page list); pick the first link inside
+    j = nodes.groupBy("page_id").agg(
+        F.first("url").alias("url"),
+        F.min_by(F.struct("pos", "end_pos"), F.when(is_box, F.col("pos"))).alias("box"),
+        F.collect_list(F.when(is_element("a"), F.struct("pos", attr("attrs", "href").alias("href")))).alias("links"))
+    inside_box = F.filter("links", lambda a: (a["pos"] > F.col("box.pos")) & (a["pos"] < F.col("box.end_pos")))
+    first_a = F.array_min(inside_box)
     base_col = F.lit(base) if base else F.col("url")
-    return j.select("page_id", "url", F.when(F.col("href").isNotNull(), resolve_url(base_col, F.col("href")))
-                    .alias("next_url"))
+    return j.select("page_id", "url", F.when(first_a["href"].isNotNull(),
+                                             resolve_url(base_col, first_a["href"])).alias("next_url"))
 
 
 def index_links(nodes: DataFrame, tag: str = "div", css_class: str | None = "grid-menu", base: str | None = None,
