@@ -53,12 +53,6 @@ def strip_fence(c, mode: str = "strict") -> Column:
     raise ValueError(f"unknown fence mode {mode!r}; expected one of {MODES}")
 
 
-def fence_is_applied(c, mode: str) -> Column:
-    """For ``guarded``: whether the cleaner changed the value (it only does
-    when the result starts with [ or {)."""
-    return ~as_col(c).eqNullSafe(strip_fence(c, mode))
-
-
 def wrap_fence(json_text) -> Column:
     """JSN-9: back to a ```json fenced block."""
     return F.concat(F.lit("```json\n"), as_col(json_text), F.lit("\n```"))

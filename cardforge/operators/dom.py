@@ -288,11 +288,7 @@ def select_container(nodes: DataFrame, tag: str = "div", attr_name: str = "id",
     ``css_class``, the first with that class) per page: (page_id, c_pos,
     c_end, c_depth).  Pages without one have no row: join inner to drop them
     (rule extractor) or left to keep them with empty input (model requests)."""
-    pred = container_pred(tag, attr_name, value, css_class)
-    best = F.min_by(F.struct("pos", "end_pos", "depth"), F.col("pos"))
-    return (nodes.filter(pred).groupBy("page_id").agg(best.alias("b"))
-            .select("page_id", F.col("b.pos").alias("c_pos"), F.col("b.end_pos").alias("c_end"),
-                    F.col("b.depth").alias("c_depth")))
+    return first_element(nodes, tag, container_pred(tag, attr_name, value, css_class))
 
 
 def container_markup(nodes: DataFrame, pred: Column | None = None) -> DataFrame:

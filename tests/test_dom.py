@@ -87,3 +87,15 @@ def test_links(spark):
     assert nl == {1: "https://site.example.net/chemistry/next.html", 2: None}
     links = [r.link for r in index_links(nodes, "nav", None, "https://site.example.net").orderBy("pos").collect()]
     assert links == ["https://site.example.net/a", "https://site.example.net/b/c"]
+
+
+def test_element_text_and_container(spark):
+    from cardforge.operators.dom import element_text, is_element, select_container
+    html = ("<html><body><div id='mainContent'><p>a <b>b&amp;c</b></p><p></p></div>"
+            "<div id='mainContent'>second</div></body></html>")
+    df = spark.createDataFrame([(1, URL, html)], "page_id long, url string, html string")
+    nodes = dom_nodes(df)
+    got = [(r.text, r.markup) for r in element_text(nodes, is_element("p"), with_markup=True).orderBy("pos").collect()]
+    assert got == [("a b&c", "<p>a <b>b&amp;c</b></p>"), ("", "<p></p>")]
+    box = select_container(nodes).collect()
+    assert len(box) == 1 and box[0].c_depth == 2

@@ -64,3 +64,13 @@ def test_stream_extract_is_idempotent_per_batch(spark):
     streams.stream_extract(spark, src, out, ck).awaitTermination()  # nothing new: no second copy
     rows = spark.read.parquet(out).collect()
     assert len(rows) == 1 and rows[0].word == "Neon" and rows[0].mnemonic == ["Knee on the gas"]
+
+
+def test_stream_dedup_by_content(spark):
+    src, ck = os.path.join(_tmp(), "pages"), os.path.join(_tmp(), "ck")
+    spark.createDataFrame([(1, "u1", "<p>same</p>"), (2, "u2", "<p>same</p>"), (3, "u3", "<p>other</p>")],
+                          "page_id long, url string, html string").write.parquet(src)
+    s = streams.content_key(streams.page_stream(spark, src), "html")
+    out = streams.run_to_table(spark, streams.stream_dedup(s, ["content_md5"]).select("content_md5"),
+                               "dedup_test", ck)
+    assert out.count() == 2

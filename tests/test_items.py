@@ -59,3 +59,10 @@ def test_validity_report_keeps_rows(spark):
     rep = {r.row_no: r.is_valid for r in validity_report(_records(spark, texts)).collect()}
     # the "" collapse breaks the empty string: reproduced
     assert rep == {0: False, 1: True, 2: False}
+
+
+def test_bare_objects_reported_when_numbering(spark):
+    from cardforge.operators.items import dropped_bare_objects
+    texts = ['```json\n{"t": 1}\n```', '```json\n[{"t": 2}]\n```', "5"]
+    got = sorted((r.row_no, r.reason) for r in dropped_bare_objects(_records(spark, texts)).collect())
+    assert got == [(0, "not_a_list"), (2, "not_a_list")]
