@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cardforge.functions._col import as_col
+from cardforge.functions._col import as_col, let
 
 # scheme, "//authority", path, "?query", "#fragment"
 _SCHEME = r"^([a-zA-Z][a-zA-Z0-9+.-]*):"
@@ -26,16 +26,23 @@ def _part(c: Column, idx: int) -> Column:
 def _remove_dots(segments: Column) -> Column:
     """Resolve '.' and '..' over an array of path segments (a '..' at the
     root is dropped); a final '.' or '..' leaves a trailing slash."""
-    stack = F.aggregate(
-        segments, F.array().cast("array<string>"),
-        lambda acc, seg: F.when(seg == "..", F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1))
-                                .otherwise(acc))
-        .when(seg == ".", acc)
-        .otherwise(F.array_append(acc, seg)))
-    last = F.try_element_at(segments, F.lit(-1))
-    stack = F.when(last.isin(".", ".."), F.array_append(stack, F.lit(""))).otherwise(stack)
-    joined = F.array_join(stack, "/")
-    return F.when(joined == "", F.lit("/")).otherwise(joined)
+    def fold(segs):
+        stack = F.aggregate(
+            segs, F.array().cast("array<string>"),
+            lambda acc, seg: F.when(seg == "..", F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1))
+                                    .otherwise(acc))
+            .when(seg == ".", acc)
+            .otherwise(F.array_append(acc, seg)))
+        trailing = F.try_element_at(segs, F.lit(-1)).isin(".", "..")
+        return let(stack, lambda st: F.array_join(F.when(trailing, F.array_append(st, F.lit(""))).otherwise(st), "/"))
+    return let(let(segments, fold), lambda j: F.when(j == "", F.lit("/")).otherwise(j))
+
+
+def _split(c: Column) -> Column:
+    """struct(scheme, auth, path, query, frag); absent parts null, path ''."""
+    return F.struct(_part(c, 1).alias("scheme"), _part(c, 2).alias("auth"),
+                    F.regexp_extract(c, _SPLIT, 3).alias("path"), _part(c, 4).alias("query"),
+                    _part(c, 5).alias("frag"))
 
 
 def resolve_url(base, href) -> Column:
@@ -47,46 +54,48 @@ def resolve_url(base, href) -> Column:
     * ``?q`` / ``#f`` / ``;p`` -> base path kept
     * ``/p`` and relative paths -> dot segments removed; in a relative merge
       empty middle segments are dropped, as urljoin does
+
+    Each URL is split once (``let``) and the parts are reused.
     """
-    b, h = as_col(base), as_col(href)
-    b_scheme, b_auth, b_path, b_query = _part(b, 1), _part(b, 2), F.regexp_extract(b, _SPLIT, 3), _part(b, 4)
-    h_scheme, h_auth, h_path = _part(h, 1), _part(h, 2), F.regexp_extract(h, _SPLIT, 3)
-    h_query, h_frag = _part(h, 4), _part(h, 5)
+    b_in, h_in = as_col(base), as_col(href)
+    return let(_split(b_in), lambda bp: let(_split(h_in), lambda hp: _join(b_in, h_in, bp, hp)))
+
 
-    absolute = h_scheme.isNotNull() & ((F.lower(h_scheme) != F.lower(F.coalesce(b_scheme, F.lit(""))))
-                                       | h_auth.isNotNull())
-    prefix = F.concat(F.coalesce(F.concat(F.lower(b_scheme), F.lit(":")), F.lit("")), F.coalesce(b_auth, F.lit("")))
+def _join(b: Column, h: Column, bp: Column, hp: Column) -> Column:
+    b_scheme, b_auth, b_path, b_query = bp["scheme"], bp["auth"], bp["path"], bp["query"]
+    h_scheme, h_auth, h_path, h_query, h_frag = hp["scheme"], hp["auth"], hp["path"], hp["query"], hp["frag"]
+    same_scheme = F.lower(h_scheme) == F.lower(F.coalesce(b_scheme, F.lit("")))
+    absolute = h_scheme.isNotNull() & (~same_scheme | h_auth.isNotNull())
+    scheme_prefix = F.coalesce(F.concat(F.lower(b_scheme), F.lit(":")), F.lit(""))
+    prefix = F.concat(scheme_prefix, F.coalesce(b_auth, F.lit("")))
 
     # urljoin drops an empty "?" and "#": only non-empty parts are re-added
     def tail(query, frag):
         return F.concat(F.coalesce(F.when(query != "?", query), F.lit("")),
                         F.coalesce(F.when(frag != "#", frag), F.lit("")))
 
-    # relative merge: base directory + href segments, empty middles dropped
-    base_dir = F.split(b_path, "/")
-    base_dir = F.when(F.try_element_at(base_dir, F.lit(-1)) != "", F.slice(base_dir, 1, F.size(base_dir) - 1)) \
-        .otherwise(base_dir)
-    base_dir = F.when(F.size(base_dir) == 0, F.array(F.lit(""))).otherwise(base_dir)
-    merged = F.concat(base_dir, F.split(h_path, "/"))
-    n = F.size(merged)
-    merged = F.when(n <= 2, merged).otherwise(F.concat(
-        F.slice(merged, 1, 1),
-        F.filter(F.slice(merged, 2, n - 2), lambda s: s != ""),
-        F.slice(merged, -1, 1)))
-    path = F.when(h_path.startswith("/"), _remove_dots(F.split(h_path, "/"))).otherwise(_remove_dots(merged))
-    path = F.when(b_auth.isNotNull() & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
-
-    only_suffix = F.concat(prefix, b_path,
-                           tail(F.coalesce(F.when(h_query != "?", h_query), b_query), h_frag))
+    def merged_path(base_dir):
+        # relative merge: base directory + href segments, empty middles dropped
+        merged = F.concat(base_dir, F.split(h_path, "/"))
+        return let(merged, lambda m: F.when(F.size(m) <= 2, m).otherwise(F.concat(
+            F.slice(m, 1, 1), F.filter(F.slice(m, 2, F.size(m) - 2), lambda x: x != ""), F.slice(m, -1, 1))))
+
+    def base_dir(segs):
+        d = F.when(F.try_element_at(segs, F.lit(-1)) != "", F.slice(segs, 1, F.size(segs) - 1)).otherwise(segs)
+        return F.when(F.size(d) == 0, F.array(F.lit(""))).otherwise(d)
+
+    path = F.when(h_path.startswith("/"), _remove_dots(F.split(h_path, "/"))) \
+        .otherwise(_remove_dots(merged_path(base_dir(F.split(b_path, "/")))))
+    path = let(path, lambda p: F.when(b_auth.isNotNull() & ~p.startswith("/"), F.concat(F.lit("/"), p)).otherwise(p))
+
+    only_suffix = F.concat(prefix, b_path, tail(F.coalesce(F.when(h_query != "?", h_query), b_query), h_frag))
     joined = F.concat(prefix, path, tail(h_query, h_frag))
     return (F.when(h.isNull(), F.lit(None).cast("string"))
             .when(b.isNull() | (b == ""), h)
             .when(h == "", b)
-            .when(absolute & (F.lower(h_scheme) == F.lower(F.coalesce(b_scheme, F.lit("")))),
-                  F.concat(F.lower(h_scheme), F.lit(":"), F.regexp_replace(h, _SCHEME, "")))
+            .when(absolute & same_scheme, F.concat(F.lower(h_scheme), F.lit(":"), F.regexp_replace(h, _SCHEME, "")))
             .when(absolute, h)
-            .when(h_auth.isNotNull(), F.concat(F.coalesce(F.concat(F.lower(b_scheme), F.lit(":")), F.lit("")),
-                                               h_auth, h_path, tail(h_query, h_frag)))
+            .when(h_auth.isNotNull(), F.concat(scheme_prefix, h_auth, h_path, tail(h_query, h_frag)))
             .when(h_path == "", only_suffix)
             .otherwise(joined))
 

@@ -838,7 +838,7 @@ def q_stream_dedup(spark, d):
     src = scratch(spark, "events")
     fx.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(src)
     ev = streams.page_stream(spark, src)
-    dd = streams.stream_dedup(ev, ["user_id", "event_type"], event_time="ts", delay="3650 days")
+    dd = streams.stream_dedup(ev, ["user_id", "event_type"], event_time="ts", delay="1 hour")
     name = f"dedup_{uuid.uuid4().hex[:8]}"
     t = streams.run_to_table(spark, dd.select("user_id", "event_type"), name, scratch(spark, "dedup-ckpt"))
     return t
