@@ -67,7 +67,7 @@ def follow_chain(links: DataFrame, seeds: DataFrame, max_levels: int = 40) -> Da
     n_nodes = g.count()
     # level k: j = node 2^k steps ahead (null if the walk ends first),
     #          m = smallest url among the 2^k nodes starting here
-    lv = _cut(g.select("url", F.col("nxt").alias("j"), F.col("url").alias("m")))
+    lv = g.select("url", F.col("nxt").alias("j"), F.col("url").alias("m"))
     jumps = [lv]
     image = lv.filter(F.col("j").isNotNull()).select("j").distinct().count()
     converged = False
@@ -161,11 +161,13 @@ def until_first_repeat(df: DataFrame, part: str, order: str, content: str) -> Da
             .drop("_h", "_cut"))
 
 
-def skip_done(seeds: DataFrame, done: DataFrame) -> DataFrame:
-    """TRV-4: drop seeds whose URL is already in the output.  The done set
-    is read once and checked on seeds only; AQE broadcasts it when its
-    measured size allows, else sort-merge."""
-    return seeds.join(done.select("url").dropna().distinct(), "url", "left_anti")
+def skip_done(seeds: DataFrame, done: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """TRV-4: drop seeds already in the output.  The done set is read once
+    and checked on seeds only; AQE broadcasts it when its measured size
+    allows, else sort-merge.  ``keys`` defaults to ``['url']``; rows that
+    share one URL (successive states of one page) need ``['url', 'content_md5']``."""
+    keys = keys or ["url"]
+    return seeds.join(done.select(*keys).dropna().distinct(), keys, "left_anti")
 
 
 def crawl_all(links: DataFrame, seeds: DataFrame, dedup: str | None = None) -> DataFrame:

@@ -51,7 +51,7 @@ def test_rewrite_and_flat_name(spark):
     df = spark.createDataFrame([(0, "u", '```json\n[{"a": ""}]\n```')], "row_no long, url string, c string")
     out = files.rewrite_records(df, os.path.join(_tmp(), "rw"), "c", lambda c: strip_fence(c, "collapse"))
     assert out.first().c == '[{"a": "}]'
-    assert files.flat_output_path("/d/elements_questions.csv") == "/d/elements_questions_converted.json"
+    assert files.flat_output_path("/d/cards.csv") == "/d/cards_converted.json"
 
 
 def test_stream_extract_is_idempotent_per_batch(spark):
