@@ -44,7 +44,9 @@ def resolve_links(links: DataFrame) -> DataFrame:
     """``(url, nxt)``: one row per fetchable page; ``nxt`` is null when the
     page has no next link or links to a page outside the snapshot."""
     pages = links.select("url").distinct()
-    first = links.groupBy("url").agg(F.first("next_url", ignorenulls=True).alias("next_url"))
+    # one next link per page (a snapshot has one row per page; min keeps
+    # duplicates deterministic)
+    first = links.groupBy("url").agg(F.min("next_url").alias("next_url"))
     target = pages.select(F.col("url").alias("next_url"), F.lit(True).alias("_ok"))
     return (first.join(target, "next_url", "left")
             .select("url", F.when(F.col("_ok"), F.col("next_url")).alias("nxt")))
@@ -67,7 +69,7 @@ def follow_chain(links: DataFrame, seeds: DataFrame, max_levels: int = 40) -> Da
     n_nodes = g.count()
     # level k: j = node 2^k steps ahead (null if the walk ends first),
     #          m = smallest url among the 2^k nodes starting here
-    lv = g.select("url", F.col("nxt").alias("j"), F.col("url").alias("m"))
+    lv = g.select("url", F.col("nxt").alias("j"), F.col("url").alias("m"), F.col("url").alias("pm"))
     jumps = [lv]
     image = lv.filter(F.col("j").isNotNull()).select("j").distinct().count()
     converged = False
@@ -75,17 +77,15 @@ def follow_chain(links: DataFrame, seeds: DataFrame, max_levels: int = 40) -> Da
         a, b = jumps[-1].alias("a"), jumps[-1].alias("b")
         nxt = a.join(b, F.col("a.j") == F.col("b.url"), "left").select(
             F.col("a.url").alias("url"), F.col("b.j").alias("j"),
-            F.least(F.col("a.m"), F.coalesce(F.col("b.m"), F.col("a.m"))).alias("m"))
+            F.least(F.col("a.m"), F.coalesce(F.col("b.m"), F.col("a.m"))).alias("m"), F.col("a.m").alias("pm"))
         nxt = _cut(nxt)
         # Stop when (1) the image of the jump stops shrinking: the jump is then
         # a permutation of its image, so every walk has ended or entered its
         # cycle within 2^k steps and the image is exactly the cycle nodes; and
         # (2) the running minimum no longer changes, so each cycle node's
         # window covers its whole cycle.  Both hold after at most log2(n) levels.
-        stats = (nxt.alias("n").join(jumps[-1].alias("p"), "url")
-                 .agg(F.count_distinct(F.col("n.j")).alias("img"),
-                      F.count_if(F.col("n.j").isNotNull() & (F.col("n.m") != F.col("p.m"))).alias("moved"))
-                 .first())
+        stats = nxt.agg(F.count_distinct("j").alias("img"),
+                        F.count_if(F.col("j").isNotNull() & (F.col("m") != F.col("pm"))).alias("moved")).first()
         jumps.append(nxt)
         if stats["img"] == image and stats["moved"] == 0:
             converged = True
