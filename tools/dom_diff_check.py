@@ -1,4 +1,10 @@
-import sys, time; sys.path.insert(0,'/root/repo'); sys.path.insert(0,'/root/repo/tests')
+"""Differential check of DOM-1 on the driver's pages: every element's name,
+end boundary, depth and parent against a stdlib html.parser stack walk.
+Usage: python tools/dom_diff_check.py [0.01|0.1]"""
+import os
+import sys, time
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT); sys.path.insert(0, os.path.join(ROOT, 'tests'))
 from cardforge.session import local_session
 from cardforge.operators.dom import dom_nodes
 from htmlwalk import walk
