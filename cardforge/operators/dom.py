@@ -360,7 +360,8 @@ def _style_has(color: str) -> Column:
                       F.lit(False))
 
 
-def block_analysis(nodes: DataFrame, pred: Column | None = None) -> tuple[DataFrame, DataFrame]:
+def block_analysis(nodes: DataFrame, pred: Column | None = None,
+                   cached: list[DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """Shared work of DOM-5 and DOM-6 inside the container.
 
     Returns ``blocks`` (page_id, pos, processed, is_mnemonic, text) for every
@@ -379,7 +380,9 @@ def block_analysis(nodes: DataFrame, pred: Column | None = None) -> tuple[DataFr
 
     One containment pass over the family {blocks, red spans} and one
     aggregate per element give every element's text, markup key, whether it
-    holds a black span and which red spans it holds.
+    holds a black span and which red spans it holds.  That per-element table
+    is read three times and is persisted; it is appended to ``cached`` (when
+    given) so the caller can unpersist it.
     """
     inner = with_box(nodes, pred if pred is not None else container_pred()).filter(in_box()) \
         .drop("c_pos", "c_end", "c_depth")
@@ -408,6 +411,8 @@ def block_analysis(nodes: DataFrame, pred: Column | None = None) -> tuple[DataFr
                      .alias("black"), F.coalesce("reds", F.array().cast("array<int>")).alias("reds"),
                      F.coalesce("text", F.lit("")).alias("text"), F.coalesce("mkey", "own_key").alias("mkey"))
              .persist(StorageLevel.MEMORY_AND_DISK))
+    if cached is not None:
+        cached.append(elems)
     blk = elems.filter("is_block").withColumn(
         "candidate", (F.size("reds") > 0) & (F.instr(F.col("text"), "NOTE") == 0))
 
@@ -470,17 +475,22 @@ def _ordered(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFram
     return agg.select("page_id", F.transform("xs", lambda x: x["v"]).alias(alias))
 
 
-def extract_lessons(pages: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+def extract_lessons(pages: DataFrame, nodes: DataFrame | None = None,
+                    cached: list[DataFrame] | None = None) -> DataFrame:
     """DOM-7: one record per page that has a ``div#mainContent``:
     page_id, url, word, definition, mnemonic[], highlighted_text[], images[]
     (empty lists, not null).
 
     The node table feeds five extractors, so it is persisted (memory and
-    disk) when built here; lost blocks are recomputed from the page scan."""
+    disk) when built here; lost blocks are recomputed from the page scan.
+    Persisted tables are appended to ``cached`` (when given) so that the
+    caller can unpersist them once the result is written."""
     if nodes is None:
         nodes = dom_nodes(pages).persist(StorageLevel.MEMORY_AND_DISK)
+        if cached is not None:
+            cached.append(nodes)
     box = select_container(nodes)
-    blocks, spans = block_analysis(nodes)
+    blocks, spans = block_analysis(nodes, cached=cached)
     mn = _ordered(mnemonic_blocks(blocks), ["pos"], "mnemonic", "mnemonic")
     hl = _ordered(highlights(blocks, spans), ["block_pos", "pos"], "highlight", "highlighted_text")
     im = _ordered(page_images(nodes), ["pos"], "image", "images")

@@ -30,11 +30,16 @@ def stream_extract(spark: SparkSession, pages_dir: str, out_dir: str, checkpoint
 
     Each micro-batch is written under ``batch_id=<n>`` with dynamic
     partition overwrite, so a batch replayed after a failure (foreachBatch is
-    at-least-once) replaces its own output instead of duplicating it."""
+    at-least-once) replaces its own output instead of duplicating it.
+    ``extractor(batch, cached=list)`` may persist intermediates; they are
+    released after the batch is written."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        out = extractor(batch).withColumn("batch_id", F.lit(batch_id))
+        cached: list[DataFrame] = []
+        out = extractor(batch, cached=cached).withColumn("batch_id", F.lit(batch_id))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(out_dir))
+        for df in cached:  # release this batch's intermediate tables
+            df.unpersist()
 
     w = page_stream(spark, pages_dir).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
