@@ -48,13 +48,13 @@ def records_to_flashcards(records: DataFrame, responses: DataFrame | None = None
                           ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """E3: ``(flashcards, rejects, counts)``.  Records are cleaned (strict
     fence), parsed and exploded; every item gets a question (rule, model
-    answer or fallback) and a subject."""
+    answer or fallback; none for items without a term) and a subject."""
     it, rejects = items.records_to_items(records)
     routed = it.withColumn("route", questions.question_route(F.col("item")))
     req = questions.question_requests(routed)
     resp = responses if responses is not None else req.sparkSession.createDataFrame(
         [], "request_id string, output_text string")
     qs = questions.item_questions(routed, req, resp)
-    cards = subjects.with_subject(items.harmonise_items(routed.join(qs, ["row_no", "pos"], "left")
-                                                        .drop("question")).join(qs, ["row_no", "pos"], "left"))
+    typed = items.harmonise_items(routed).drop("question")
+    cards = subjects.with_subject(typed.join(qs, ["row_no", "pos"], "left"))
     return cards, rejects, subjects.subject_counts(cards)
