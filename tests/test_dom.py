@@ -99,3 +99,36 @@ def test_element_text_and_container(spark):
     assert got == [("a b&c", "<p>a <b>b&amp;c</b></p>"), ("", "<p></p>")]
     box = select_container(nodes).collect()
     assert len(box) == 1 and box[0].c_depth == 2
+
+
+MISNESTED = ["<p>a<div><p>b</div><i>c</i></p>", "<b><i>x</b><u>y</u></i>",
+             "<div><span><div>x</span><em>e</em></div></div>", "<p>a<div><p>b</div><i>c</i></p><p>d<b>e</b></p>",
+             "<b><div></p><div></div><i><p></i></div></div><p></i></b></p>",
+             "</i><p><div><div></p><b></b></i>x<i><p><p></div><b>"]
+
+
+def _fuzz(n, seed=7):
+    import random
+    rnd = random.Random(seed)
+    out = []
+    for _ in range(n):
+        toks = []
+        for _ in range(rnd.randint(3, 14)):
+            r, t = rnd.random(), rnd.choice(["p", "div", "b", "i"])
+            toks.append(f"<{t}>" if r < 0.5 else (f"</{t}>" if r < 0.85 else "x"))
+        out.append("".join(toks))
+    return out
+
+
+def test_misnested_tags_match_html_parser(spark):
+    cases = MISNESTED + _fuzz(120)
+    df = spark.createDataFrame([(i, URL, h) for i, h in enumerate(cases)], "page_id long, url string, html string")
+    rows = dom_nodes(df).filter("kind = 'start'").select("page_id", "pos", "name", "end_pos", "depth").collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.page_id, []).append(r)
+    for i, h in enumerate(cases):
+        mine = sorted(by.get(i, []), key=lambda r: r.pos)
+        starts = [r.pos for r in mine]
+        got = [(r.name, sum(1 for p in starts if p <= r.end_pos), r.depth) for r in mine]
+        assert got == [(e["name"], e["end"], e["depth"]) for e in walk(h)], h
