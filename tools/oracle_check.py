@@ -17,6 +17,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "double": "DOUBLE", "smallint": "SMALLINT", "float": "FLOAT"}
+
+
 def norm(v):
     if v is None:
         return None
@@ -62,6 +66,12 @@ def main():
             continue
         a, ac = rows_of(scols, srows)
         b, bc = rows_of(ocols, orows)
+        stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                  for f in df.schema.fields}
+        otypes = {c[0]: str(c[1]) for c in res.description}
+        tdiff = {k: (stypes.get(k), otypes.get(k)) for k in stypes if stypes.get(k) != otypes.get(k)}
+        if tdiff:
+            print(f"TYPE {name}: {tdiff}")
         if ac != bc:
             print(f"FAIL {name}: columns {ac} vs {bc}")
         elif len(a) != len(b):
