@@ -132,3 +132,35 @@ def test_misnested_tags_match_html_parser(spark):
         starts = [r.pos for r in mine]
         got = [(r.name, sum(1 for p in starts if p <= r.end_pos), r.depth) for r in mine]
         assert got == [(e["name"], e["end"], e["depth"]) for e in walk(h)], h
+
+
+def _random_lesson(rnd):
+    parts = []
+    for _ in range(rnd.randint(2, 12)):
+        r = rnd.random()
+        word = rnd.choice(["alpha", "beta", "gamma"])
+        if r < 0.2:
+            parts.append(f"<img src='/i/{word}.png'>" if rnd.random() < 0.8 else "<img>")
+        elif r < 0.5:
+            parts.append(f"<p><span {R}>{word}</span> tail</p>")
+        elif r < 0.6:
+            parts.append(f"<p><span {R}>NOTE {word}</span></p>")
+        elif r < 0.7:
+            parts.append(f"<figcaption>cap <p><span {R}>{word}</span></p></figcaption>")
+        elif r < 0.8:
+            parts.append(f"<p><span {R}>{word} <span {B}>dark</span></span></p>")
+        else:
+            parts.append(f"<p>plain {word}</p>")
+    return _page("<h1>Rand – x</h1>", "".join(parts))
+
+
+def test_extract_lessons_random_pages(spark):
+    import random
+    rnd = random.Random(11)
+    pages = [_random_lesson(rnd) for _ in range(60)]
+    df = spark.createDataFrame([(i, URL, h) for i, h in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.asDict() for r in extract_lessons(df).collect()}
+    for i, h in enumerate(pages):
+        mine = dict(got[i])
+        mine.pop("page_id")
+        assert mine == ref_lesson(URL, h), (i, h)
