@@ -104,6 +104,9 @@ def follow_chain(links: DataFrame, seeds: DataFrame, max_levels: int = 40) -> Da
     else:
         raise ValueError(f"walks longer than 2^{max_levels}")
 
+    # The descent and the lifting below are chains of joins against the
+    # materialized jump tables (no self-join), so their plans grow linearly
+    # and need no cut.
     # tail length: greedy binary descent while the next position is not on a cycle
     flag = cyc.select(F.col("url").alias("to"), F.col("lam").alias("to_lam"))
     s = seeds.select("seed_id", F.col("url").alias("seed")).join(g.select(F.col("url").alias("seed")), "seed")
@@ -115,8 +118,6 @@ def follow_chain(links: DataFrame, seeds: DataFrame, max_levels: int = 40) -> Da
         move = F.col("seed_lam").isNull() & F.col("to").isNotNull() & F.col("to_lam").isNull()
         st = (st.withColumn("steps", F.when(move, F.col("steps") + (1 << k)).otherwise(F.col("steps")))
               .withColumn("cur", F.when(move, F.col("to")).otherwise(F.col("cur"))).drop("to", "to_lam"))
-        if k % 4 == 0:
-            st = _cut(st)
     # after the tail: the cycle it enters, if any
     entry = g.select(F.col("url").alias("cur"), F.col("nxt").alias("to")).join(flag, "to", "left")
     st = st.join(entry, "cur", "left")
@@ -134,8 +135,6 @@ def follow_chain(links: DataFrame, seeds: DataFrame, max_levels: int = 40) -> Da
         rows = (rows.join(jt, "cur", "left")
                 .withColumn("cur", F.when(take, F.col("to")).otherwise(F.col("cur")))
                 .withColumn("left", F.when(take, F.col("left") - (1 << k)).otherwise(F.col("left"))).drop("to"))
-        if k % 4 == 0 and k > 0:
-            rows = _cut(rows)
     return rows.select("seed_id", "depth", F.col("cur").alias("url"))
 
 
