@@ -203,7 +203,8 @@ def _implicit_closes(t: DataFrame) -> DataFrame:
     return x.filter(F.col("role") != 1).drop("_r", "role", "lvl", "_p", "_v", "_f")
 
 
-def dom_nodes(pages: DataFrame, num_partitions: int | None = None, exact: bool | int = 2) -> DataFrame:
+def dom_nodes(pages: DataFrame, num_partitions: int | None = None, exact: bool | int = 2,
+              depth: bool = True) -> DataFrame:
     """DOM-1: ``pages(page_id, url, html)`` -> node table.
 
     Columns: page_id, url, pos, kind ('start'|'end'|'text'), name, attrs
@@ -222,7 +223,9 @@ def dom_nodes(pages: DataFrame, num_partitions: int | None = None, exact: bool |
     paired again.  Each pass is another pairing over the same stream (about
     +35% each); cascades of misnesting need one pass per level.  With two
     passes 400 of 400 randomly misnested snippets equal the html.parser tree
-    (one pass: 398); ``exact=0`` skips the correction.
+    (one pass: 398); ``exact=0`` skips the correction.  ``depth=False``
+    skips the last containment pass (``depth`` and ``parent_pos`` null) for
+    consumers that only need element intervals, such as link extraction.
 
     One linear stream: a single shuffle by page_id, then windows that all
     reuse it; no joins.
@@ -235,9 +238,13 @@ def dom_nodes(pages: DataFrame, num_partitions: int | None = None, exact: bool |
     for _ in range(int(exact)):
         t = _pair(_implicit_closes(t), F.col("skip"), F.col("forced"))
     # 4. depth and parent of every token over the final intervals
-    is_elem = is_start & (F.col("end_pos") > F.col("pos"))
-    cols = ["kind", "name", "raw"]
-    nodes = enclosing(t, is_elem, F.lit(True), all_levels=False, payload=cols + ["end_pos"], keep_all=True)
+    if depth:
+        is_elem = is_start & (F.col("end_pos") > F.col("pos"))
+        cols = ["kind", "name", "raw"]
+        nodes = enclosing(t, is_elem, F.lit(True), all_levels=False, payload=cols + ["end_pos"], keep_all=True)
+    else:
+        nodes = t.select("page_id", "pos", "kind", "name", "raw", "end_pos",
+                         F.lit(None).cast("int").alias("a_start"), F.lit(None).cast("int").alias("a_level"))
     # the page URL travels through no shuffle or window: it is joined back
     # once (one row per page; the node side is already partitioned by page_id)
     urls = pages.select("page_id", "url")

@@ -438,7 +438,7 @@ FROM orders"""
 @query("next_links", _NEXT_SQL)
 def q_next_links(spark, d):
     """DOM-8: the next-page link of every page, resolved."""
-    n = dom.dom_nodes(fx.chain_pages(spark, d))
+    n = dom.dom_nodes(fx.chain_pages(spark, d), depth=False)
     return dom.next_links(n).select("page_id", "next_url")
 
 
@@ -496,7 +496,8 @@ def q_resolve_url(spark, d):
 # ================================================================ traversal (TRV-1..5)
 
 def _chain_links(spark, d):
-    n = dom.dom_nodes(fx.chain_pages(spark, d))
+    # link extraction needs element intervals only, not depth / parent
+    n = dom.dom_nodes(fx.chain_pages(spark, d), depth=False)
     return dom.next_links(n).select("url", "next_url")
 
 
