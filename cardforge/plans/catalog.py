@@ -347,7 +347,7 @@ SELECT page_id, CAST(length(a) AS INTEGER) AS n_chars, md5(a) AS container_md5
 FROM (SELECT page_id, {_ARTICLE_SQL} AS a FROM pages) WHERE a <> ''""")
 def q_select_container(spark, d):
     """DOM-2: the first container element (here ``article``) of each page."""
-    n = dom.dom_nodes(fx.table(spark, d, "pages"))
+    n = dom.dom_nodes(fx.table(spark, d, "pages"), depth=False)
     c = dom.container_markup(n, dom.is_element("article"))
     return c.select("page_id", F.length("container_html").alias("n_chars"),
                     F.md5("container_html").alias("container_md5"))
@@ -451,7 +451,7 @@ SELECT page_id, CAST(i + 1 AS BIGINT) AS ordinal, 'https://site.example.net' ||
 FROM flat""")
 def q_index_links(spark, d):
     """DOM-9: every link of the first nav block, resolved against a fixed base."""
-    n = dom.dom_nodes(fx.table(spark, d, "pages"))
+    n = dom.dom_nodes(fx.table(spark, d, "pages"), depth=False)
     links = dom.index_links(n, tag="nav", css_class=None, base="https://site.example.net/")
     return _ordinal(links, "page_id", ["pos"]).select("page_id", "ordinal", "link")
 
@@ -581,7 +581,7 @@ SELECT sha256(t.template || chr(1) || a.url || chr(1) || a.input) AS request_id,
 FROM a CROSS JOIN t""")
 def q_extraction_requests(spark, d):
     """EXT-1: one request per page and template; input = container markup."""
-    n = dom.dom_nodes(fx.table(spark, d, "pages"))
+    n = dom.dom_nodes(fx.table(spark, d, "pages"), depth=False)
     r = extraction.extraction_requests(n, extraction.template_table(spark), dom.is_element("article"))
     return r.select("request_id", "page_id", "template", F.length("input").alias("n_input"))
 
