@@ -63,7 +63,9 @@ def resolve_url(base, href) -> Column:
 
 def _join(b: Column, h: Column, bp: Column, hp: Column) -> Column:
     b_scheme, b_auth, b_path, b_query = bp["scheme"], bp["auth"], bp["path"], bp["query"]
-    h_scheme, h_auth, h_path, h_query, h_frag = hp["scheme"], hp["auth"], hp["path"], hp["query"], hp["frag"]
+    h_scheme, h_path, h_query, h_frag = hp["scheme"], hp["path"], hp["query"], hp["frag"]
+    # an empty authority ("//" then a path, query or nothing) keeps the base host
+    h_auth = F.when(hp["auth"] != "//", hp["auth"])
     same_scheme = F.lower(h_scheme) == F.lower(F.coalesce(b_scheme, F.lit("")))
     absolute = h_scheme.isNotNull() & (~same_scheme | h_auth.isNotNull())
     scheme_prefix = F.coalesce(F.concat(F.lower(b_scheme), F.lit(":")), F.lit(""))
@@ -93,7 +95,9 @@ def _join(b: Column, h: Column, bp: Column, hp: Column) -> Column:
     return (F.when(h.isNull(), F.lit(None).cast("string"))
             .when(b.isNull() | (b == ""), h)
             .when(h == "", b)
-            .when(absolute & same_scheme, F.concat(F.lower(h_scheme), F.lit(":"), F.regexp_replace(h, _SCHEME, "")))
+            # same scheme with its own host: re-serialized (empty "?" / "#" dropped)
+            .when(absolute & same_scheme, F.concat(F.lower(h_scheme), F.lit(":"), h_auth, h_path,
+                                                   tail(h_query, h_frag)))
             .when(absolute, h)
             .when(h_auth.isNotNull(), F.concat(scheme_prefix, h_auth, h_path, tail(h_query, h_frag)))
             .when(h_path == "", only_suffix)
