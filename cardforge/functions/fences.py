@@ -48,7 +48,8 @@ def strip_fence(c, mode: str = "strict") -> Column:
         s = strip_chars(strip_ws(col), "`")
         return strip_ws(F.replace(s, F.lit("json"), F.lit("")))
     if mode == "collapse":
-        s = F.regexp_replace(strip_ws(col), r"(?iU)^```json\s*|\s*```\z", "")
+        # Python's \s (str.isspace) also matches 0x1C-0x1F; Java's does not
+        s = F.regexp_replace(strip_ws(col), r"(?iU)^```json[\s\x1c-\x1f]*|[\s\x1c-\x1f]*```\z", "")
         return F.replace(s, F.lit('""'), F.lit('"'))
     raise ValueError(f"unknown fence mode {mode!r}; expected one of {MODES}")
 

@@ -104,11 +104,19 @@ def _join(b: Column, h: Column, bp: Column, hp: Column) -> Column:
             .otherwise(joined))
 
 
+# The schemes whose last path segment ``urlparse`` splits
+# ``;params`` from (urllib.parse.uses_params).
+USES_PARAMS = ("", "ftp", "hdl", "prospero", "http", "imap", "https", "shttp", "rtsp", "rtsps", "rtspu", "sip",
+               "sips", "mms", "sftp", "tel")
+
+
 def url_path(url) -> Column:
     """Path component as ``urlparse`` gives it (params of the last segment
-    split off)."""
-    path = F.regexp_extract(as_col(url), _SPLIT, 3)
-    return F.regexp_replace(path, r";[^/]*$", "")
+    split off for the schemes that have them)."""
+    u = as_col(url)
+    path = F.regexp_extract(u, _SPLIT, 3)
+    scheme = F.lower(F.regexp_extract(u, _SPLIT, 1))
+    return F.when(scheme.isin(*USES_PARAMS), F.regexp_replace(path, r";[^/]*$", "")).otherwise(path)
 
 
 def subject_of(url) -> Column:
