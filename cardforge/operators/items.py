@@ -24,11 +24,35 @@ from cardforge.functions.text import is_blank, strip_ws
 TEXT = "concept_and_mnemonic"
 
 
+def closes_early(text) -> Column:
+    """True when, outside string literals, the text closes more brackets
+    than it opened (``1]x``): wrapped in ``[...]`` it would end the wrapper
+    early, and the parser ignores what follows.  A per-character fold with a
+    scalar state (depth, in string, after backslash), linear in the text."""
+    init = F.struct(F.lit(0).alias("d"), F.lit(False).alias("bad"), F.lit(False).alias("s"),
+                    F.lit(False).alias("e"))
+
+    def step(acc, c):
+        in_str, esc, d = acc["s"], acc["e"], acc["d"]
+        opens = ~in_str & ((c == "[") | (c == "{"))
+        closes = ~in_str & ((c == "]") | (c == "}"))
+        nd = F.when(opens, d + 1).when(closes, d - 1).otherwise(d)
+        ns = (F.when(in_str & ~esc & (c == '"'), F.lit(False))
+              .when(~in_str & (c == '"'), F.lit(True)).otherwise(in_str))
+        ne = in_str & ~esc & (c == "\\")
+        return F.struct(nd.alias("d"), (acc["bad"] | (nd < 0)).alias("bad"), ns.alias("s"), ne.alias("e"))
+
+    return F.aggregate(F.split(as_col(text), ""), init, step)["bad"]
+
+
 def try_parse_value(text) -> Column:
-    """VARIANT of the JSON text, or null when it is not exactly one JSON value."""
-    arr = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), as_col(text), F.lit("]"))),
-                            "$", "array<variant>")
-    return let(arr, lambda a: F.when(F.size(a) == 1, a[0]))
+    """VARIANT of the JSON text, or null when it is not exactly one JSON value
+    (the text wrapped in ``[...]`` must parse to one element and must not
+    close the wrapper early)."""
+    def parse(t):
+        arr = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))), "$", "array<variant>")
+        return let(arr, lambda a: F.when((F.size(a) == 1) & ~closes_early(t), a[0]))
+    return let(as_col(text), parse)
 
 
 def is_json_array(v) -> Column:

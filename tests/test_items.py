@@ -66,3 +66,18 @@ def test_bare_objects_reported_when_numbering(spark):
     texts = ['```json\n{"t": 1}\n```', '```json\n[{"t": 2}]\n```', "5"]
     got = sorted((r.row_no, r.reason) for r in dropped_bare_objects(_records(spark, texts)).collect())
     assert got == [(0, "not_a_list"), (2, "not_a_list")]
+
+
+def test_parse_strictness_random(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from cardforge.operators.items import try_parse_value
+    rnd = random.Random(8)
+    parts = ['[', ']', '{', '}', '"a"', ':', ',', '1', '-0.5e3', 'true', 'null', ' ', '\n', '"x\\"y"', "'s'",
+             '"\\u00e9"', '01', '1.', '"\t"', 'tru', '[]', '{}', '"k":1', '"]"', '"\\\\"']
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 7))) for _ in range(1500)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", try_parse_value(F.col("t")).isNotNull().alias("v"))
+    assert [r.t for r in df.collect() if r.v != _py_ok(r.t)] == []
