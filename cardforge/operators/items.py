@@ -24,25 +24,26 @@ from cardforge.functions.text import is_blank, strip_ws
 TEXT = "concept_and_mnemonic"
 
 
+# a JSON string literal (escapes included), and anything that is not a bracket
+_STRING_RE = r'"(?:[^"\\]|\\.)*"'
+_NOT_BRACKET_RE = r"[^\[\]{}]"
+
+
 def closes_early(text) -> Column:
     """True when, outside string literals, the text closes more brackets
-    than it opened (``1]x``): wrapped in ``[...]`` it would end the wrapper
-    early, and the parser ignores what follows.  A per-character fold with a
-    scalar state (depth, in string, after backslash), linear in the text."""
-    init = F.struct(F.lit(0).alias("d"), F.lit(False).alias("bad"), F.lit(False).alias("s"),
-                    F.lit(False).alias("e"))
+    than it opened at some point (``1]x``): wrapped in ``[...]`` it would end
+    the wrapper early, and the parser ignores what follows.  String literals
+    are removed with a JSON-lexing regex, then a fold runs over the few
+    remaining bracket characters."""
+    brackets = F.regexp_replace(F.regexp_replace(as_col(text), _STRING_RE, ""), _NOT_BRACKET_RE, "")
+    init = F.struct(F.lit(0).alias("d"), F.lit(False).alias("bad"))
 
     def step(acc, c):
-        in_str, esc, d = acc["s"], acc["e"], acc["d"]
-        opens = ~in_str & ((c == "[") | (c == "{"))
-        closes = ~in_str & ((c == "]") | (c == "}"))
-        nd = F.when(opens, d + 1).when(closes, d - 1).otherwise(d)
-        ns = (F.when(in_str & ~esc & (c == '"'), F.lit(False))
-              .when(~in_str & (c == '"'), F.lit(True)).otherwise(in_str))
-        ne = in_str & ~esc & (c == "\\")
-        return F.struct(nd.alias("d"), (acc["bad"] | (nd < 0)).alias("bad"), ns.alias("s"), ne.alias("e"))
-
-    return F.aggregate(F.split(as_col(text), ""), init, step)["bad"]
+        nd = F.when((c == "[") | (c == "{"), acc["d"] + 1).when((c == "]") | (c == "}"), acc["d"] - 1) \
+            .otherwise(acc["d"])
+        return F.struct(nd.alias("d"), (acc["bad"] | (nd < 0)).alias("bad"))
+
+    return F.aggregate(F.split(brackets, ""), init, step)["bad"]
 
 
 def try_parse_value(text) -> Column:
