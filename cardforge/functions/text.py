@@ -64,6 +64,17 @@ NAMED_ENTITIES = {
     "zwj": "\u200d", "zwnj": "\u200c",
 }
 
+# Character references to code points 0x80-0x9F decode to the
+# Windows-1252 characters, as the HTML standard specifies (and html.unescape does).
+C1_REMAP = {
+    0x80: "\u20ac", 0x82: "\u201a", 0x83: "\u0192", 0x84: "\u201e", 0x85: "\u2026", 0x86: "\u2020",
+    0x87: "\u2021", 0x88: "\u02c6", 0x89: "\u2030", 0x8A: "\u0160", 0x8B: "\u2039", 0x8C: "\u0152",
+    0x8E: "\u017d", 0x91: "\u2018", 0x92: "\u2019", 0x93: "\u201c", 0x94: "\u201d", 0x95: "\u2022",
+    0x96: "\u2013", 0x97: "\u2014", 0x98: "\u02dc", 0x99: "\u2122", 0x9A: "\u0161", 0x9B: "\u203a",
+    0x9C: "\u0153", 0x9E: "\u017e", 0x9F: "\u0178",
+}
+
+
 def _char_of(cp: Column) -> Column:
     b = lambda v: F.lpad(F.hex(v), 2, "0")
     utf8 = (F.when(cp < 128, b(cp))
@@ -76,20 +87,30 @@ def _char_of(cp: Column) -> Column:
                                 b(F.lit(128) + F.shiftright(cp, 6).bitwiseAND(63)),
                                 b(F.lit(128) + cp.bitwiseAND(63)))))
     valid = cp.isNotNull() & (cp > 0) & (cp <= 1114111) & ~((cp >= 55296) & (cp <= 57343))
-    return F.when(valid, F.decode(F.unhex(utf8), "UTF-8")).otherwise(F.lit("�"))
+    c1 = F.create_map(*[x for k, v in C1_REMAP.items() for x in (F.lit(k), F.lit(v))])
+    # references to control characters and noncharacters decode to nothing
+    dropped = (cp.between(0x1, 0x8) | (cp == 0xB) | cp.between(0xE, 0x1F) | (cp == 0x7F)
+               | cp.between(0xFDD0, 0xFDEF) | (cp.bitwiseAND(0xFFFE) == 0xFFFE))
+    return (F.when(cp.between(0x80, 0x9F) & F.try_element_at(c1, cp).isNotNull(), F.try_element_at(c1, cp))
+            .when(~valid, F.lit("\ufffd"))
+            .when(dropped, F.lit(""))
+            .otherwise(F.decode(F.unhex(utf8), "UTF-8")))
+
 
 
 def _decode_numeric(c: Column) -> Column:
-    """Replace ``&#NNN;`` / ``&#xHH;`` by the character: a fold over the
-    distinct references present in the value (usually none)."""
-    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&#([xX]?[0-9a-fA-F]+);"), 1))
+    """Replace ``&#NNN;`` / ``&#xHH;`` (the ``;`` is optional, as for an HTML
+    parser) by the character: a fold over the distinct references present in
+    the value, longest first so that ``&#65`` cannot cut into ``&#650;``."""
+    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&#(?:[xX][0-9a-fA-F]+|[0-9]+);?"), 0))
+    refs = F.array_sort(refs, lambda a, b: F.length(b) - F.length(a))
 
     def step(acc, ref):
-        hexa = F.lower(F.substring(ref, 1, 1)) == "x"
-        cp = F.when(hexa, F.conv(F.substring(ref, 2, 16), 16, 10).cast("int")) \
-            .otherwise(F.when(ref.rlike("^[0-9]+$"), ref.cast("int")))
-        return F.replace(acc, F.concat(F.lit("&#"), ref, F.lit(";")),
-                         F.when(cp.isNull(), F.concat(F.lit("&#"), ref, F.lit(";"))).otherwise(_char_of(cp)))
+        body = F.regexp_replace(ref, r"^&#|;$", "")
+        hexa = F.lower(F.substring(body, 1, 1)) == "x"
+        cp = F.when(F.length(body) > 9, F.lit(1 << 21)).when(
+            hexa, F.conv(F.substring(body, 2, 16), 16, 10).cast("int")).otherwise(body.cast("int"))
+        return F.replace(acc, ref, _char_of(cp))
 
     return F.aggregate(refs, c, step)
 
