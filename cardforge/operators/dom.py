@@ -36,7 +36,11 @@ VOID_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "ke
 # start/end tag (a quoted attribute may hold '>'), a text run, or a stray '<'
 _TOKEN_RE = r"""</?[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*>|[^<]+|<"""
 _NAME_RE = r"^</?([a-zA-Z][^\t\n\r\f />\x00]*)"
-_ATTR_RE = r"""([^\s/>"'=][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?"""
+# Html.parser's tolerant attribute pattern (name, "=" value with
+# single, double or no quotes; an unquoted value keeps a trailing "/").
+_ATTR_RE = r"""((?<=['"\s/])[^\s/>][^\s/=>]*)(\s*=+\s*('[^']*'|"[^"]*"|(?!['"])[^>\s]*))?(?:\s|/(?!>))*"""
+# "/>" closes the tag only when the "/" is not the end of an unquoted value
+_UNQUOTED_SLASH_RE = r"""=+\s*(?:[^\s'"=>][^\s>]*)?/>$"""
 
 def _clean_html(html: Column) -> Column:
     """Drop comments, declarations and processing instructions, and empty
@@ -50,9 +54,9 @@ def _clean_html(html: Column) -> Column:
 def _attrs(tok: Column) -> Column:
     """array<struct<k,v>> of a start tag's attributes, in order; names
     lower-cased, values unquoted and entity-decoded; bare attribute -> ''."""
-    body = F.regexp_replace(F.regexp_replace(tok, r"^<[a-zA-Z][^\t\n\r\f />\x00]*", ""), r"/?>$", "")
+    body = F.regexp_replace(F.regexp_replace(tok, r"^<[a-zA-Z][^\t\n\r\f />\x00]*", ""), r">$", "")
     keys = F.regexp_extract_all(body, F.lit(_ATTR_RE), 1)
-    vals = F.regexp_extract_all(body, F.lit(_ATTR_RE), 2)
+    vals = F.regexp_extract_all(body, F.lit(_ATTR_RE), 3)
     pairs = F.arrays_zip(keys.alias("k"), vals.alias("v"))
     return F.transform(pairs, lambda p: F.struct(
         F.lower(p["k"]).alias("k"),
@@ -233,7 +237,8 @@ def dom_nodes(pages: DataFrame, num_partitions: int | None = None, exact: bool |
     parts = [num_partitions] if num_partitions else []
     t = tokenize(pages).repartition(*parts, "page_id")
     is_start = F.col("kind") == "start"
-    void = is_start & (F.col("name").isin(*VOID_ELEMENTS) | F.col("raw").rlike(r"/>$"))
+    self_closed = F.col("raw").rlike(r"/>$") & ~F.col("raw").rlike(_UNQUOTED_SLASH_RE)
+    void = is_start & (F.col("name").isin(*VOID_ELEMENTS) | self_closed)
     t = _pair(t.withColumn("void", void))
     for _ in range(int(exact)):
         t = _pair(_implicit_closes(t), F.col("skip"), F.col("forced"))

@@ -164,3 +164,41 @@ def test_extract_lessons_random_pages(spark):
         mine = dict(got[i])
         mine.pop("page_id")
         assert mine == ref_lesson(URL, h), (i, h)
+
+
+def test_attributes_and_self_closing_random(spark):
+    import random
+    from html.parser import HTMLParser
+
+    class P(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out = []
+
+        def handle_starttag(self, tag, attrs):
+            self.out.append([(k, v if v is not None else "") for k, v in attrs])
+
+        def handle_startendtag(self, tag, attrs):
+            self.handle_starttag(tag, attrs)
+
+    rnd = random.Random(13)
+    names = ["href", "HREF", "class", "data-x", "id", "style", "a-b"]
+    vals = ['"v"', "'v'", "v", '"a b"', "'x>y'", '"1&amp;2"', '""', "'it''s'", '"&#65;"', "x/y", "/", "=v"]
+    htmls = []
+    for _ in range(300):
+        attrs = [(n if rnd.random() < 0.2 else n + rnd.choice(["=", " = ", "=="]) + rnd.choice(vals))
+                 for n in (rnd.choice(names) for _ in range(rnd.randint(0, 4)))]
+        htmls.append("<div " + " ".join(attrs) + rnd.choice([">", " >", "/>", " />"]) + "t<p>u</div>")
+    df = spark.createDataFrame([(i, URL, h) for i, h in enumerate(htmls)], "page_id long, url string, html string")
+    rows = dom_nodes(df).filter("kind = 'start'").select("page_id", "pos", "name", "attrs", "end_pos", "depth")
+    by = {}
+    for r in rows.collect():
+        by.setdefault(r.page_id, []).append(r)
+    for i, h in enumerate(htmls):
+        mine = sorted(by[i], key=lambda r: r.pos)
+        p = P()
+        p.feed(h)
+        assert [(a["k"], a["v"]) for a in mine[0].attrs] == p.out[0], h
+        starts = [r.pos for r in mine]
+        got = [(r.name, sum(1 for q in starts if q <= r.end_pos), r.depth) for r in mine]
+        assert got == [(e["name"], e["end"], e["depth"]) for e in walk(h)], h
