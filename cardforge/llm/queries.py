@@ -7,26 +7,64 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardforge.llm import bpe, token_files
+from cardforge.llm import bpe, embedding_dedup, quality, token_files, url_filter
 from cardforge.llm.common import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: host, path, verdict (fixed values)
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), RANKS, digests=True)
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, TOKENIZER, end_id=2)
     return token_files.crc_of_ids(token_files.read_token_files(spark, path))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality": op4_quality,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_url_filter": op6_url_filter,
     "op7_token_files": op7_token_files,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_url_filter": """
+        WITH p AS (
+            SELECT page_id, url,
+                   translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages),
+        r(rule_host, rule_path, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+                                              ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+        best AS (
+            SELECT p.page_id, p.url, p.host, p.path, arg_max(r.rule_host || r.rule_path, length(r.rule_host || r.rule_path)) AS rule,
+                   arg_max(r.v, length(r.rule_host || r.rule_path)) AS v
+            FROM p LEFT JOIN r ON (p.host = r.rule_host OR ends_with(p.host, '.' || r.rule_host))
+                              AND starts_with(p.path, r.rule_path)
+            GROUP BY ALL)
+        SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM best
+    """,
+}
