@@ -15,6 +15,7 @@ import base64
 import functools
 import hashlib
 import heapq
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +26,45 @@ from pyspark.sql import functions as F
 from cardforge.llm.common import chunks, text_batches
 from cardforge.llm.pretokenize import boundaries
 
-#: slices kept by a worker before its cache starts anew
-CACHE_ENTRIES = 400_000
-#: cached slices are at most this long (bytes)
-CACHED_BYTES = 256
+#: slices, and their ids, that a worker keeps before its cache starts anew
+CACHE_SLICES = 600_000
+CACHE_IDS = 8_000_000
+
+
+class SliceCache:
+    """Ids of distinct slices.  ``encode`` maps a list of slices to their ids,
+    flat, and the number of ids of each."""
+
+    def __init__(self, encode):
+        self.encode = encode
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[bytes, int] = {}
+        self.ids, self.ends, self.used = np.empty(1 << 16, dtype=np.int32), np.zeros(1 << 14, dtype=np.int64), 0
+
+    def lookup(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each slice's ids begin, how many they are, and the ids."""
+        keys = pieces.to_pylist()
+        at = np.fromiter(map(self.index.get, keys, repeat(-1)), dtype=np.int64, count=len(keys))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            if len(self.index) + len(missing) > CACHE_SLICES or self.used > CACHE_IDS:
+                self.clear()
+                missing = np.arange(len(keys))
+            new = [keys[i] for i in missing]
+            ids, lengths = self.encode(new)
+            n, used = len(self.index), self.used + len(ids)
+            if used > len(self.ids):
+                self.ids = np.concatenate([self.ids[:self.used], np.empty(2 * used, dtype=np.int32)])
+            if n + len(new) + 1 > len(self.ends):
+                self.ends = np.concatenate([self.ends[:n + 1], np.empty(2 * (n + len(new)), dtype=np.int64)])
+            self.ids[self.used:used] = ids
+            self.ends[n + 1:n + 1 + len(new)] = self.used + np.cumsum(lengths)
+            self.used = used
+            self.index.update(zip(new, range(n, n + len(new))))
+            at[missing] = np.arange(n, n + len(new))
+        return self.ends[at], self.ends[at + 1] - self.ends[at], self.ids
 
 
 class Vocabulary:
@@ -44,7 +80,12 @@ class Vocabulary:
         self.pieces = pa.array(table, type=pa.large_binary())
         self.lengths = np.array([len(x) for x in table], dtype=np.int64)
         self.names = pa.array([f"{i} " for i in range(size)], type=pa.large_string())
-        self.cache: dict[bytes, list[int]] = {}
+        self.slices = SliceCache(self.merge_all)
+
+    def merge_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        lists = [self.merge(p) for p in pieces]
+        lengths = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+        return np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(lengths.sum())), lengths
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one slice: the pair of lowest rank is merged first, the
@@ -79,29 +120,14 @@ class Vocabulary:
                     heapq.heappush(heap, (r, h, parts[h] + both))
         return [ranks[p] for p in parts if p]
 
-    def ids_of(self, piece: bytes) -> list[int]:
-        ids = self.cache.get(piece)
-        if ids is None:
-            ids = self.merge(piece)
-            if len(piece) <= CACHED_BYTES:
-                if len(self.cache) >= CACHE_ENTRIES:
-                    self.cache.clear()
-                self.cache[piece] = ids
-        return ids
-
-    def ids_of_slices(self, pieces: pa.Array) -> list[list[int]]:
-        return [self.ids_of(p) for p in pieces.to_pylist()]
-
 
 @functools.lru_cache(maxsize=4)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encode_chunk(texts: pa.Array, ids_of_slices) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of a chunk of texts, flat, and the bounds of each text's ids.
-
-    ``ids_of_slices`` maps an array of distinct slices to their id lists."""
+def encode_chunk(texts: pa.Array, cache: SliceCache) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of a chunk of texts, flat, and the bounds of each text's ids."""
     texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
     if not len(texts):
         return np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
@@ -112,10 +138,7 @@ def encode_chunk(texts: pa.Array, ids_of_slices) -> tuple[np.ndarray, np.ndarray
                                    [None, pa.py_buffer(bounds), pa.py_buffer(data)])
     coded = slices.dictionary_encode()
     codes = np.asarray(coded.indices)
-    lists = ids_of_slices(coded.dictionary)
-    lengths = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-    flat = np.fromiter((i for x in lists for i in x), dtype=np.int32, count=int(lengths.sum()))
-    begins = np.cumsum(lengths) - lengths
+    begins, lengths, flat = cache.lookup(coded.dictionary)
     counts = lengths[codes]
     ends = np.concatenate(([0], np.cumsum(counts)))
     ids = flat[np.arange(ends[-1]) + np.repeat(begins[codes] - ends[:-1], counts)]
@@ -151,7 +174,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_i
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             for lo, hi in chunks(texts):
-                ids, bounds = encode_chunk(texts.slice(lo, hi - lo), vocab.ids_of_slices)
+                ids, bounds = encode_chunk(texts.slice(lo, hi - lo), vocab.slices)
                 n = pa.array(np.diff(bounds))
                 if digests:
                     cols = [[hashlib.sha256(x[:-1]).hexdigest() for x in joined(vocab.names, ids, bounds)],

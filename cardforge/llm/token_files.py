@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cardforge.llm.bpe import CACHE_ENTRIES, CACHED_BYTES, encode_chunk
+from cardforge.llm.bpe import SliceCache, encode_chunk
 from cardforge.llm.common import chunks, text_batches
 
 #: options of the Parquet writer: row groups, pages, encodings (fixed values)
@@ -40,35 +40,23 @@ FILE_OPTIONS = {
     "compression": "zstd",
 }
 
+#: up to so many files their offsets are broadcast, beyond that joined by a shuffle
+BROADCAST_FILES = 100_000
 
-class SliceEncoder:
-    """Ids of pre-token slices by the tokenizers library, cached."""
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.cache: dict[bytes, list[int]] = {}
+@functools.lru_cache(maxsize=2)
+def slice_cache(tokenizer_path: str) -> SliceCache:
+    """Ids of pre-token slices by the tokenizers library."""
+    from tokenizers import Tokenizer
 
-    def __call__(self, pieces: pa.Array) -> list[list[int]]:
-        pieces, cache = pieces.to_pylist(), self.cache
-        known = [cache.get(p) for p in pieces]
-        new = [i for i, x in enumerate(known) if x is None]
-        if new:
-            if len(cache) + len(new) > CACHE_ENTRIES:
-                cache.clear()
-            for i, e in zip(new, self.tokenizer.encode_batch([str(pieces[i], "utf-8") for i in new],
-                                                             add_special_tokens=False)):
-                known[i] = e.ids
-                if len(pieces[i]) <= CACHED_BYTES:
-                    cache[pieces[i]] = e.ids
-        return known
+    tokenizer = Tokenizer.from_file(tokenizer_path)
+    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
+    def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        done = tokenizer.encode([str(p, "utf-8") for p in pieces], is_pretokenized=True, add_special_tokens=False)
+        return np.array(done.ids, dtype=np.int32), np.bincount(done.word_ids, minlength=len(pieces))
 
-@functools.lru_cache(maxsize=2)
-def _encoder(path: str) -> SliceEncoder:
-    return SliceEncoder(path)
+    return SliceCache(encode)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id",
@@ -80,10 +68,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, part, done = _encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        cache, part, done = slice_cache(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in batches:
             for lo, hi in chunks(batch.column(1)):
-                ids, bounds = encode_chunk(batch.column(1).slice(lo, hi - lo), encoder)
+                ids, bounds = encode_chunk(batch.column(1).slice(lo, hi - lo), cache)
                 ids = np.insert(ids, bounds[1:], end_id)
                 bounds = bounds + np.arange(len(bounds))
                 yield pa.RecordBatch.from_arrays(
@@ -106,6 +94,8 @@ def read_token_files(spark: SparkSession, path: str, ids: bool = True) -> DataFr
     sums = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     # one row a file: a running sum over files
     before = sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    if len(files.inputFiles()) <= BROADCAST_FILES:  # a row of 16 bytes a file
+        before = F.broadcast(before)
     return files.join(before, "part").select("doc_id", (F.col("before") + F.col("part_start")).alias("start"), "n_tokens",
                                              *(["ids"] if ids else []))
 
