@@ -82,6 +82,22 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def unite(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels (the least member's index) after linking ``i`` with ``j``."""
+    while True:
+        a, b = label[i], label[j]
+        apart = a != b
+        if not apart.any():
+            return label
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = label[label]
+            if (up == label).all():
+                break
+            label = up
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """``(node, component)`` with the smallest node reachable over undirected
     ``edges(a, b)``; nodes without edges get no row.

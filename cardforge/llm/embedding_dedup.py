@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardforge.llm.common import connected_components, materialize
+from cardforge.llm.common import connected_components, materialize, unite
 
 BLOCKS = 8
 TILE = 4096
@@ -100,22 +100,6 @@ def route(y: np.ndarray, dims: np.ndarray, values: np.ndarray, depth: int, radiu
     return row, node - ((1 << depth) - 1), home
 
 
-def _unite(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Labels (the least member's index) after linking ``i`` with ``j``."""
-    while True:
-        a, b = label[i], label[j]
-        apart = a != b
-        if not apart.any():
-            return label
-        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
-        while True:
-            up = label[label]
-            if (up == label).all():
-                break
-            label = up
-
-
 def _compare(u, y, cnt, left, right, same, block, bounds, budget, threshold):
     """Weighted link counts of a tile's rows, and labels of its link graph."""
     n = np.zeros(len(u), dtype=np.int64)
@@ -144,7 +128,7 @@ def _compare(u, y, cnt, left, right, same, block, bounds, budget, threshold):
             p, q = p[here], q[here]
             n += np.bincount(p, weights=cnt[q], minlength=len(u)).astype(np.int64)
             n += np.bincount(q, weights=cnt[p], minlength=len(u)).astype(np.int64)
-            label = _unite(label, p, q)
+            label = unite(label, p, q)
     return n, label
 
 

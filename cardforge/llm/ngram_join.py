@@ -43,13 +43,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardforge.llm import bloom
-from cardforge.llm.common import chunks, connected_components, materialize, mix64, text_batches
+from cardforge.llm.common import chunks, connected_components, materialize, mix64, text_batches, unite
 from cardforge.llm.shingles import set_digests, shingle_sets
 
 #: a token in at most so many classes is rare
 RARE = 32
 #: a token in more classes than this is indexed in threes, else in twos
 VERY_FREQUENT = 1000
+#: a slot of a group holds about so many tokens, and so many sets, at most
+TILE_TOKENS = 500_000
+TILE_SETS = 1500
+TILE_COLUMNS = 4096
 
 
 class Rule:
@@ -323,22 +327,91 @@ def _find_links(rule: Rule, docs: DataFrame, classes: DataFrame, sets: DataFrame
     verifier = _Verifier(rule, docs, classes, sets)
     links = verifier.links(pairs)
     # entries whose members are still in different components: their other pairs
-    comp = connected_components(links)
-    inside = (members.join(comp.select(F.col("node").alias("a"), F.col("component").alias("c")), "a", "left")
-              .withColumn("c", F.coalesce("c", "a")))
-    open_ = inside.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("sig")
-    inside = materialize(inside.join(open_, "sig", "left_semi").where("a <> b").select("sig", "a", "na", "c"), "open")
-    x, y = inside.alias("x"), inside.alias("y")
+    comp = connected_components(links).select(F.col("node").alias("a"), F.col("component").alias("c"))
+    inside = members.join(comp, "a", "left").withColumn("c", F.coalesce("c", "a"))
+    open_ = (inside.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("size"))
+             .where("lo <> hi").select("sig", "size"))
+    inside = materialize(inside.join(open_, "sig"), "open")
+    # entries of rare tokens have at most RARE members: their pairs, but those with the least member
+    small = inside.where((F.col("size") <= RARE) & (F.col("a") != F.col("b"))).select("sig", "a", "na", "c")
+    x, y = small.alias("x"), small.alias("y")
     other = (x.join(y, F.col("x.sig") == F.col("y.sig"))
              .where((F.col("x.a") > F.col("y.a")) & (F.col("x.c") != F.col("y.c")))
              .select(F.col("x.a").alias("a"), F.col("x.na").alias("na"), F.col("y.a").alias("b"), F.col("y.na").alias("nb"))
              .where(near).distinct())
     other = materialize(other.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    found = [links]
     if not other.isEmpty():
-        links = links.union(verifier.links(other))
+        found.append(verifier.links(other))
+    large = inside.where(F.col("size") > RARE)
+    if not large.isEmpty():
+        found.append(_within_groups(rule, docs, classes, large.select("a", "na", "b"), comp))
+    for more in found[1:]:
+        links = links.union(more)
     return None if links.isEmpty() else links
 
 
+def _within_groups(rule: Rule, docs: DataFrame, classes: DataFrame, members: DataFrame, comp: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` that join the components of classes which share large
+    entries: ``members(a, na, b)``, ``b`` standing for the entry.
+
+    Classes that meet in such entries form groups, each class goes to one group
+    with its set, and a group is cut into slots whose pairs are compared tile by
+    tile inside tasks.  A tile returns a spanning forest: no pairs leave it."""
+    edges = members.where("a <> b").select("a", "b").distinct()
+    group = connected_components(edges).select(F.col("node").alias("cid"), F.col("component").alias("g"))
+    sizes = members.groupBy("a").agg(F.first("na").alias("n")).withColumnRenamed("a", "cid")
+    rows = materialize(sizes.join(group, "cid"), "groups")
+    slots = rows.groupBy("g").agg(F.ceil(F.greatest(F.sum("n") / TILE_TOKENS, F.count(F.lit(1)) / TILE_SETS)).cast("int").alias("slots"))
+    wanted = materialize(classes.join(rows, "cid", "left_semi").select("cid", "first", "h1", "h2"), "wanted")
+    sets = fetch(docs, wanted, rule, "all")
+    placed = (rows.join(slots, "g").withColumn("slot", F.pmod(F.xxhash64("cid"), "slots").cast("int"))
+              .join(comp.select(F.col("a").alias("cid"), "c"), "cid", "left").withColumn("c", F.coalesce("c", "cid"))
+              .join(sets, "cid"))
+    at = F.transform(F.sequence(F.lit(0), F.col("slots") - 1),
+                     lambda o: F.struct(F.least(o, "slot").alias("s"), F.greatest(o, "slot").alias("t")))
+    tiles = placed.select("g", "slot", "cid", "c", "tokens", F.explode(at).alias("at"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        slot = np.asarray(table.column("slot"))
+        cid = np.asarray(table.column("cid"))
+        lists = table.column("tokens").combine_chunks()
+        n = np.diff(np.asarray(lists.offsets)).astype(np.float32)
+        flat = np.asarray(lists.flatten())
+        row = np.repeat(np.arange(len(cid)), n.astype(np.int64))
+        left, right = (np.flatnonzero(slot == table.column("at").combine_chunks().field(x)[0].as_py()) for x in ("s", "t"))
+        common = np.zeros((len(left), len(right)), dtype=np.float32)
+        _, code, times = np.unique(flat, return_inverse=True, return_counts=True)
+        column = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[code]
+        place = [np.full(len(cid), -1) for _ in range(2)]
+        place[0][left], place[1][right] = np.arange(len(left)), np.arange(len(right))
+        order = np.argsort(column, kind="stable")
+        order = order[np.searchsorted(column[order], 0):]
+        cuts = np.searchsorted(column[order], np.arange(0, int((times > 1).sum()) + TILE_COLUMNS, TILE_COLUMNS))
+        for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
+            r, c = row[order[lo:hi]], column[order[lo:hi]] - k * TILE_COLUMNS
+            sides = []
+            for where, size in ((place[0], len(left)), (place[1], len(right))):
+                m = np.zeros((size, TILE_COLUMNS), dtype=np.float32)
+                mine = where[r] >= 0
+                m[where[r[mine]], c[mine]] = 1
+                sides.append(m)
+            common += sides[0] @ sides[1].T
+        ok = 100 * common >= rule.percent * (n[left][:, None] + n[right][None, :] - common)
+        i, j = np.nonzero(ok)
+        i, j = left[i], right[j]
+        _, label = np.unique(np.asarray(table.column("c")), return_inverse=True)
+        first = np.full(label.max() + 1, -1)
+        first[label[::-1]] = np.arange(len(label))[::-1]
+        root = unite(first[label], i, j)
+        hit = np.flatnonzero(root != first[label])
+        return pa.table({"a": cid[hit], "b": cid[root[hit]]})
+
+    return materialize(tiles.withColumn("s", F.col("at.s")).withColumn("t", F.col("at.t")).groupBy("g", "s", "t")
+                       .applyInArrow(compare, "a long, b long"), "links")
+
+
 def keep_one(documents: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``documents`` without near duplicates: of each component the
     row of its least id stays (of rows that share that id, one); rows with a
