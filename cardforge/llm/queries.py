@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardforge.llm import bpe, embedding_dedup, mixing, ngram_join, quality, token_files, url_filter
+from cardforge.llm import bpe, embedding_dedup, language_id, mixing, ngram_join, quality, token_files, url_filter
 from cardforge.llm.common import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -45,6 +45,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.crc_of_ids(token_files.read_token_files(spark, path))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_url_filter": op6_url_filter,
     "op7_token_files": op7_token_files,
+    "op9_language_id": op9_language_id,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
