@@ -29,6 +29,8 @@ from cardforge.llm.pretokenize import boundaries
 #: slices, and their ids, that a worker keeps before its cache starts anew
 CACHE_SLICES = 600_000
 CACHE_IDS = 8_000_000
+#: text that is cut and encoded at a time
+CHUNK_BYTES = 8 << 20
 
 
 class SliceCache:
@@ -173,7 +175,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_i
         vocab = vocabulary(vocabulary_path)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
-            for lo, hi in chunks(texts):
+            for lo, hi in chunks(texts, CHUNK_BYTES):
                 ids, bounds = encode_chunk(texts.slice(lo, hi - lo), vocab.slices)
                 n = pa.array(np.diff(bounds))
                 if digests:

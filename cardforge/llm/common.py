@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cardforge.session import checkpoint_dir
 
 #: rows of text handed to Python at a time (texts may be long)
-TEXT_BATCH_ROWS = 1000
+TEXT_BATCH_ROWS = 1500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

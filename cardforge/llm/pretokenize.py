@@ -163,8 +163,8 @@ def boundaries(data: bytes | memoryview, offsets: np.ndarray) -> tuple[np.ndarra
     entry), and for each document (``offsets``: its byte bounds) the index of
     its first token (with the number of tokens as last entry)."""
     raw = np.frombuffer(data, dtype=np.uint8)
-    lead = np.flatnonzero((raw & 0xC0) != 0x80)
-    cp = np.frombuffer(str(data, "utf-8").encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    lead = np.flatnonzero((raw & 0xC0) != 0x80).astype(np.int32 if len(raw) < 1 << 31 else np.int64)
+    cp = np.frombuffer(str(data, "utf-8").encode("utf-32-le"), dtype="<u4")
     lo, hi = offsets[:-1], offsets[1:]
     doc_start = np.searchsorted(lead, lo[hi > lo])
     at = np.flatnonzero(token_starts(symbols_of(cp, doc_start)))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cardforge.llm.bpe import SliceCache, encode_chunk
+from cardforge.llm.bpe import CHUNK_BYTES, SliceCache, encode_chunk
 from cardforge.llm.common import chunks, text_batches
 
 #: options of the Parquet writer: row groups, pages, encodings (fixed values)
@@ -70,7 +70,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         cache, part, done = slice_cache(tokenizer_path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for lo, hi in chunks(batch.column(1)):
+            for lo, hi in chunks(batch.column(1), CHUNK_BYTES):
                 ids, bounds = encode_chunk(batch.column(1).slice(lo, hi - lo), cache)
                 ids = np.insert(ids, bounds[1:], end_id)
                 bounds = bounds + np.arange(len(bounds))
