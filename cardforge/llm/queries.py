@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardforge.llm import bpe, embedding_dedup, language_id, mixing, ngram_join, quality, token_files, url_filter
+from cardforge.llm import (bpe, embedding_dedup, language_id, main_text, mixing, ngram_join, quality, token_files, toxicity,
+                           url_filter)
 from cardforge.llm.common import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -26,6 +27,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.crc_of_ids(token_files.read_token_files(spark, path))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -56,10 +65,12 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
+    "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_url_filter": op6_url_filter,
     "op7_token_files": op7_token_files,
+    "op8_main_text": op8_main_text,
     "op9_language_id": op9_language_id,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
