@@ -94,8 +94,7 @@ def fit_ordinal(row, col, value, width: int, grade: np.ndarray, rounds: int = RO
     """Weights and thresholds of largest penalised likelihood, by accelerated
     gradient steps.  Thresholds are a first one and positive gaps."""
     n, levels = len(grade), GRADES - 1
-    # each class counts alike in the sum: toxic documents are few
-    times = np.where(grade > 0, 0.5 / max((grade > 0).sum(), 1), 0.5 / max((grade == 0).sum(), 1))
+    times = np.full(n, 1 / n)
     w, first, gaps = np.zeros(width), 0.0, np.zeros(levels - 1)
     m, v = np.zeros(width + levels), np.zeros(width + levels)
     for step in range(1, rounds + 1):
