@@ -414,8 +414,8 @@ def _within_groups(rule: Rule, docs: DataFrame, classes: DataFrame, members: Dat
 
 def keep_one(documents: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``documents`` without near duplicates: of each component the
-    row of its least id stays (of rows that share that id, one); rows with a
-    null id stay."""
+    row of its least id stays.  Rows that share an id count as one document (one
+    of them stays, if that); rows with a null id stay."""
     comp = jaccard_components(documents, width, percent, id_col, text_col)
     drop = comp.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
     left = documents.join(drop, id_col, "left_anti").select(documents.columns)
