@@ -8,7 +8,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardforge.session import checkpoint_dir
@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns of ``df`` in one struct ``row``, so that no name of theirs
+    clashes with columns that an operator adds; ``select("row.*")`` undoes it."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias("row")
+
+
 def text_batches(spark: SparkSession) -> None:
     """Keep Arrow batches of text small (a session option, lowered only)."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -54,12 +60,24 @@ def chunks(texts: pa.Array, most_bytes: int = 4 << 20):
         start = stop
 
 
+def ascii_lowered(texts: pa.Array) -> pa.Array:
+    """Large strings with A-Z lower-cased (Arrow's own kernel misreads slices)."""
+    if not len(texts) or texts.buffers()[2] is None:
+        return texts
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]]
+    table = np.arange(256, dtype=np.uint8)
+    table[ord("A"):ord("Z") + 1] += 32
+    return pa.Array.from_buffers(pa.large_string(), len(texts),
+                                 [None, pa.py_buffer(offsets - offsets[0]), pa.py_buffer(table[data])])
+
+
 def words_of(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a chunk of texts (null: none), flat, and the offsets of
     each text's words in it."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     if lower:
-        texts = pc.ascii_lower(texts)
+        texts = ascii_lowered(texts)
     parts = pc.ascii_split_whitespace(texts)
     offsets = np.asarray(parts.offsets, dtype=np.int64)
     flat = parts.flatten()

@@ -26,8 +26,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cardforge.llm.common import chunks, mix64, text_batches
+from cardforge.llm.common import chunks, mix64, packed, text_batches
 from cardforge.llm.pretokenize import LETTER, codepoint_classes
 
 BUCKETS = 1 << 14
@@ -158,31 +159,31 @@ def infer(doc: np.ndarray, bucket: np.ndarray, n: int, probs: np.ndarray) -> tup
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text") -> DataFrame:
-    """``docs`` with struct ``_lang`` of ``lang_pred`` and ``score``."""
+    """``row`` (the columns of ``docs``), ``lang_pred`` and ``score``."""
     names, probs = model
     text_batches(docs.sparkSession)
-    at = docs.columns.index(text_col)
-    schema = docs.schema.simpleString()[len("struct<"):-1]
+    rows = docs.select(packed(docs))
+    schema = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches):
         for batch in batches:
-            for lo, hi in chunks(batch.column(at), 1 << 20):
-                part = batch.slice(lo, hi - lo)
+            texts = pc.struct_field(batch.column(0), text_col).cast(pa.large_string())
+            for lo, hi in chunks(texts, 1 << 20):
                 langs, scores = [], []
-                doc, bucket = trigrams(part.column(at))
-                cuts = np.searchsorted(doc, np.arange(0, len(part) + 256, 256))
+                doc, bucket = trigrams(texts.slice(lo, hi - lo))
+                cuts = np.searchsorted(doc, np.arange(0, hi - lo + 256, 256))
                 for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-                    size = min(256, len(part) - 256 * s)
+                    size = min(256, hi - lo - 256 * s)
                     if size <= 0:
                         break
                     best, score = infer(doc[a:b] - 256 * s, bucket[a:b], size, probs)
                     langs += [names[i] if i >= 0 else UNKNOWN for i in best]
                     scores.append(score)
-                extra = pa.StructArray.from_arrays([pa.array(langs, type=pa.string()),
-                                                    pa.array(np.concatenate([*scores, np.zeros(0)]))], ["lang_pred", "score"])
-                yield pa.RecordBatch.from_arrays([*part.columns, extra], [*part.schema.names, "_lang"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), pa.array(langs, type=pa.string()),
+                     pa.array(np.concatenate([*scores, np.zeros(0)]))], ["row", "lang_pred", "score"])
 
-    return docs.mapInArrow(run, f"{schema}, _lang struct<lang_pred:string,score:double>")
+    return rows.mapInArrow(run, schema)
 
 
 def held_out(id_col: Column) -> Column:
@@ -198,7 +199,7 @@ def identify(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     docs = docs.withColumn("held_out", held_out(F.col("doc_id")))
     model = train(docs.where(~F.col("held_out")))
     return (predict(docs.select("doc_id", "held_out", "text"), model)
-            .select("doc_id", "held_out", "_lang.lang_pred", "_lang.score"))
+            .select("row.doc_id", "row.held_out", "lang_pred", "score"))
 
 
 def keep_identified(documents: DataFrame, least_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
@@ -207,4 +208,4 @@ def keep_identified(documents: DataFrame, least_score: float = 0.5, id_col: str
     at least ``least_score``."""
     train_on = documents.where(~held_out(F.col(id_col)))
     return (predict(documents, train(train_on, text_col, lang_col), text_col)
-            .where((F.col("_lang.lang_pred") != UNKNOWN) & (F.col("_lang.score") >= least_score)).select(documents.columns))
+            .where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("row.*"))

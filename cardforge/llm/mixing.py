@@ -30,9 +30,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardforge.llm.common import materialize, text_batches
+from cardforge.llm.common import materialize, packed, text_batches
 
-CHUNK_ROWS = 20_000
+CHUNK_ROWS = 4096
 FAN = 16
 SEED = 2
 
@@ -203,5 +203,5 @@ def mixed_documents(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3),
     made = materialize(decisions(rows, weights, cap).where("copies > 0"), "decisions")
     d = made.select(F.struct("doc_id", "source", "h").alias("_k"), F.col("copies").alias("_copies"))
     key = F.struct(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(text_col).alias("h"))
-    return (documents.withColumn("_key", key).join(d, F.col("_key").eqNullSafe(F.col("_k")))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(documents.columns))
+    return (documents.select(packed(documents), key.alias("_key")).join(d, F.col("_key").eqNullSafe(F.col("_k")))
+            .select("row", F.explode(F.sequence(F.lit(1), "_copies"))).select("row.*"))

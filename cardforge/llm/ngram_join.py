@@ -91,12 +91,14 @@ def _select(sets: np.ndarray, bounds: np.ndarray, keep: np.ndarray) -> tuple[np.
     return sets[keep], np.concatenate(([0], np.cumsum(keep)))[bounds]
 
 
-def _shingled(docs: DataFrame, rule: Rule, part: str) -> DataFrame:
-    """``(doc_id, n, h1, h2, tokens)`` of ``docs(doc_id, text)``: the tokens of
-    the slice, of the rest, or all."""
+def _shingled(docs: DataFrame, rule: Rule, part: str, ids: bloom.Bloom | None = None) -> DataFrame:
+    """``(doc_id, n, h1, h2, tokens)`` of ``docs(doc_id, text)``, or of those whose
+    id may be in ``ids``: the tokens of the slice, of the rest, or all."""
 
     def run(batches):
         for batch in batches:
+            if ids is not None:
+                batch = batch.filter(pa.array(ids.hits(np.asarray(batch.column(0), dtype=np.int64))))
             for lo, hi in chunks(batch.column(1)):
                 sets, bounds = shingle_sets(batch.column(1).slice(lo, hi - lo), rule.width)
                 h1, h2 = set_digests(sets, bounds)
@@ -141,32 +143,18 @@ def _split(tokens: np.ndarray, shared: np.ndarray, df: np.ndarray):
     return len(tokens) - len(shared), shared[rare], shared[~rare], df[~rare]
 
 
-def _light(rule: Rule):
-    """Signatures of classes whose slice fills the prefix with rare tokens."""
-
-    def run(batches):
-        for batch in batches:
-            sig, cid, size = [], [], []
-            heavy = []
-            for c, n, tokens, shared in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                pairs = np.array([(x["token"], x["df"]) for x in shared or ()], dtype=np.int64).reshape(-1, 2)
-                own, rare, _, _ = _split(np.array(tokens, dtype=np.int64), pairs[:, 0], pairs[:, 1])
-                need = rule.misses(n) + 1
-                if own + len(rare) < need:
-                    heavy.append((c, n))
-                    continue
-                take = rare[:max(0, need - own)]
-                sig.append(take)
-                cid += [c] * len(take)
-                size += [n] * len(take)
-            sig = np.concatenate([*sig, np.zeros(0, dtype=np.int64)])
-            for kind, s, c, n in ((False, sig, cid, size), (True, np.zeros(len(heavy), dtype=np.int64), [h[0] for h in heavy],
-                                                            [h[1] for h in heavy])):
-                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(c), type=pa.bool_()), pa.array(s),
-                                                  pa.array(c, type=pa.int64()), pa.array(n, type=pa.int64())],
-                                                 ["heavy", "sig", "cid", "n"])
-
-    return run
+def _light(rule: Rule, sets: DataFrame, shared: DataFrame) -> DataFrame:
+    """``(cid, n, heavy, sigs)`` of the classes whose own tokens of the slice do
+    not fill the prefix: the rare tokens that do, or ``heavy`` if they cannot."""
+    need = F.floor(F.col("n") * (100 - rule.percent) / 100) + 1
+    rows = (sets.select("cid", "n", F.size("tokens").alias("size")).join(shared, "cid", "left")
+            .withColumn("missing", need - F.col("size") + F.coalesce(F.size("shared"), F.lit(0))).where("missing > 0"))
+    rare = F.sort_array(F.transform(F.filter(F.coalesce("shared", F.array().cast("array<struct<token:bigint,df:bigint>>")),
+                                             lambda x: x["df"] <= RARE), lambda x: F.struct(x["df"], x["token"])))
+    rows = rows.select("cid", "n", "missing", rare.alias("rare"))
+    heavy = F.size("rare") < F.col("missing")
+    return rows.select("cid", "n", heavy.alias("heavy"),
+                       F.when(~heavy, F.slice("rare", F.lit(1), F.greatest(F.col("missing"), F.lit(1)).cast("int"))["token"]).alias("sigs"))
 
 
 def signatures(rule: Rule, n: int, own: int, first: np.ndarray, second: np.ndarray, frequent: np.ndarray,
@@ -258,7 +246,7 @@ def fetch(docs: DataFrame, wanted: DataFrame, rule: Rule, part: str) -> DataFram
     """``(cid, tokens)`` of the classes ``wanted(cid, first, h1, h2)``, from the
     texts of their first documents."""
     keys = bloom.build(wanted.select("first"), wanted.count())
-    rows = _shingled(bloom.maybe_in(docs, "doc_id", keys), rule, part)
+    rows = _shingled(docs, rule, part, keys)
     w = wanted.withColumnRenamed("first", "doc_id")
     return rows.join(w, ["doc_id", "h1", "h2"]).groupBy("cid").agg(F.first("tokens").alias("tokens"))
 
@@ -302,10 +290,9 @@ def jaccard_components(documents: DataFrame, width: int = 3, percent: int = 90,
 def _find_links(rule: Rule, docs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame | None:
     counts, keys = _token_counts(sets, "tokens")
     shared = _shared(sets, counts, keys)
-    light = materialize(sets.join(shared, "cid", "left").select("cid", "n", "tokens", "shared")
-                        .mapInArrow(_light(rule), "heavy boolean, sig long, cid long, n long"), "light")
-    heavy = materialize(light.where("heavy").select("cid", "n"), "heavy")
-    entries = light.where("not heavy").select("sig", "cid", "n")
+    light = materialize(_light(rule, sets, shared), "light")
+    heavy = light.where("heavy").select("cid", "n")
+    entries = light.where("not heavy").select(F.explode("sigs").alias("sig"), "cid", "n")
     if not heavy.isEmpty():
         wanted = classes.join(heavy, "cid", "left_semi").select("cid", "first", "h1", "h2")
         rest = materialize(fetch(docs, materialize(wanted, "wanted"), rule, "rest"), "rest")

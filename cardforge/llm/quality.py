@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardforge.functions._col import let
-from cardforge.llm.common import materialize
+from cardforge.llm.common import materialize, packed
 
 SUPPORT = 0.75
 MIN_GROUP = 200
@@ -192,7 +192,6 @@ def fit(rows: DataFrame, min_group: int = MIN_GROUP, steps: int = STEPS, support
     """Estimates from ``(key, lang, failed, x0..)``: a row a key with centre,
     scales, whitening factors and ``unit`` (the consistency factor of the squared
     distance: its median over the chi-square median)."""
-    spark = rows.sparkSession
     pools = materialize(_pools(rows, min_group), "quality")
     used = rows.where(~F.col("failed")).join(pools.where(F.col("pool").isNotNull()), "key")
     xs = [F.col(f"x{j}") for j in range(P)]
@@ -219,16 +218,18 @@ def fit(rows: DataFrame, min_group: int = MIN_GROUP, steps: int = STEPS, support
     # where the least scales hold, distances are small by construction: never inflate them
     unit = mid.select("pool", F.greatest(F.exp((F.col("mid") + 0.5) / 50) / chi2_quantile(0.5), F.lit(1.0)).alias("unit"))
     out = pools.join(est.join(unit, "pool"), "pool", "left").drop("pool")
-    return materialize(out, "quality") if spark else out
+    return materialize(out, "quality")
 
 
 def measured(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``docs`` with struct ``_q``: counts, failed, key, lang and statistics."""
-    d = docs.withColumn("_q", text_counts(F.col(text_col)))
+    """``row`` (the columns of ``docs``) and struct ``_q``: counts, failed, key,
+    lang and statistics."""
     lang, source = F.col(lang_col).cast("string"), F.col(source_col).cast("string")
-    return d.withColumn("_q", F.struct(F.col("_q").alias("counts"), base_failed(F.col("_q")).alias("failed"),
-                                       _key(lang, source).alias("key"), lang.alias("lang"),
-                                       *[s.alias(f"x{j}") for j, s in enumerate(statistics(F.col("_q")))]))
+    d = docs.select(packed(docs), text_counts(F.col(text_col)).alias("_c"), lang.alias("_lang"), source.alias("_source"))
+    c = F.col("_c")
+    return d.select("row", F.struct(c.alias("counts"), base_failed(c).alias("failed"),
+                                    _key(F.col("_lang"), F.col("_source")).alias("key"), F.col("_lang").alias("lang"),
+                                    *[s.alias(f"x{j}") for j, s in enumerate(statistics(c))]).alias("_q"))
 
 
 def fit_rows(measured_docs: DataFrame) -> DataFrame:
@@ -236,8 +237,7 @@ def fit_rows(measured_docs: DataFrame) -> DataFrame:
 
 
 def rate(measured_docs: DataFrame, estimates: DataFrame, tail: float = TAIL) -> DataFrame:
-    """Struct ``_v`` beside ``_q``: squared distance (null: no estimate) and
-    ``kept``; ``_q`` and ``_v`` are the only columns added."""
+    """Adds struct ``_v``: squared distance (null: no estimate) and ``kept``."""
     e = estimates.select(F.col("key").alias("_key"), F.struct(*[c for c in estimates.columns if c != "key"]).alias("_e"))
     d = measured_docs.join(e, F.col("_q.key") == F.col("_key"), "left").drop("_key")
     v = [(F.col(f"_q.x{j}") - F.col(f"_e.m{j}")) / F.col(f"_e.s{j}") - F.col(f"_e.c{j}") for j in range(P)]
@@ -255,7 +255,7 @@ def rate(measured_docs: DataFrame, estimates: DataFrame, tail: float = TAIL) ->
 def quality_rules(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, distance2, kept)``: one row a document, texts read once."""
-    m = materialize(measured(docs).select(F.col(id_col).alias("doc_id"), "_q"), "quality")
+    m = materialize(measured(docs).select(F.col("row")[id_col].alias("doc_id"), "_q"), "quality")
     rated = rate(m, fit(fit_rows(m)))
     return rated.select("doc_id", *[f"_q.counts.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines",
                                                                "n_repeat_words")],
@@ -266,4 +266,4 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, columns unchanged."""
     m = measured(docs)
     rows = materialize(fit_rows(m), "quality")
-    return rate(m, fit(rows)).where("_v.kept").select(*docs.columns)
+    return rate(m, fit(rows)).where("_v.kept").select("row.*")
