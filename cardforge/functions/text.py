@@ -1,12 +1,16 @@
 """String column functions shared by every stage.
 
-All of them are built-in Spark expressions (JVM side, no Python per row).
+All but ``decode_entities`` are built-in Spark expressions (JVM side).
 """
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from cardforge.functions._col import as_col
 
@@ -39,98 +43,13 @@ def strip_chars(c, chars: str) -> Column:
     return F.regexp_replace(as_col(c), rf"^[{cls}]+|[{cls}]+\z", "")
 
 
-# Named character references decoded in element text.  The
-# pages carry &amp; &copy; &middot; and the heading rule needs &nbsp;; the
-# rest are the common ones of HTML 4 Latin-1 / symbols.  &amp; is decoded
-# last so that "&amp;lt;" stays "&lt;".
-NAMED_ENTITIES = {
-    "nbsp": "\u00a0", "lt": "<", "gt": ">", "quot": '"', "apos": "'",
-    "copy": "©", "reg": "®", "trade": "™", "middot": "·",
-    "ndash": "–", "mdash": "—", "hellip": "…", "bull": "•",
-    "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
-    "laquo": "«", "raquo": "»", "deg": "°", "times": "×",
-    "divide": "÷", "euro": "€", "pound": "£", "cent": "¢",
-    "yen": "¥", "sect": "§", "para": "¶", "plusmn": "±",
-    "frac12": "½", "frac14": "¼", "frac34": "¾", "sup2": "²",
-    "sup3": "³", "micro": "µ", "iexcl": "¡", "iquest": "¿",
-    "eacute": "é", "egrave": "è", "ecirc": "ê", "euml": "ë",
-    "aacute": "á", "agrave": "à", "acirc": "â", "auml": "ä",
-    "aring": "å", "ccedil": "ç", "iacute": "í", "icirc": "î",
-    "iuml": "ï", "ntilde": "ñ", "oacute": "ó", "ocirc": "ô",
-    "ouml": "ö", "uacute": "ú", "ucirc": "û", "uuml": "ü",
-    "szlig": "ß", "Eacute": "É", "Agrave": "À", "Ccedil": "Ç",
-    "Ouml": "Ö", "Uuml": "Ü", "Auml": "Ä", "Ntilde": "Ñ",
-    "shy": "\u00ad", "ensp": "\u2002", "emsp": "\u2003", "thinsp": "\u2009",
-    "zwj": "\u200d", "zwnj": "\u200c",
-}
-
-# Character references to code points 0x80-0x9F decode to the
-# Windows-1252 characters, as the HTML standard specifies (and html.unescape does).
-C1_REMAP = {
-    0x80: "\u20ac", 0x82: "\u201a", 0x83: "\u0192", 0x84: "\u201e", 0x85: "\u2026", 0x86: "\u2020",
-    0x87: "\u2021", 0x88: "\u02c6", 0x89: "\u2030", 0x8A: "\u0160", 0x8B: "\u2039", 0x8C: "\u0152",
-    0x8E: "\u017d", 0x91: "\u2018", 0x92: "\u2019", 0x93: "\u201c", 0x94: "\u201d", 0x95: "\u2022",
-    0x96: "\u2013", 0x97: "\u2014", 0x98: "\u02dc", 0x99: "\u2122", 0x9A: "\u0161", 0x9B: "\u203a",
-    0x9C: "\u0153", 0x9E: "\u017e", 0x9F: "\u0178",
-}
-
-
-def _char_of(cp: Column) -> Column:
-    b = lambda v: F.lpad(F.hex(v), 2, "0")
-    utf8 = (F.when(cp < 128, b(cp))
-            .when(cp < 2048, F.concat(b(F.lit(192) + F.shiftright(cp, 6)), b(F.lit(128) + (cp.bitwiseAND(63)))))
-            .when(cp < 65536, F.concat(b(F.lit(224) + F.shiftright(cp, 12)),
-                                       b(F.lit(128) + F.shiftright(cp, 6).bitwiseAND(63)),
-                                       b(F.lit(128) + cp.bitwiseAND(63))))
-            .otherwise(F.concat(b(F.lit(240) + F.shiftright(cp, 18)),
-                                b(F.lit(128) + F.shiftright(cp, 12).bitwiseAND(63)),
-                                b(F.lit(128) + F.shiftright(cp, 6).bitwiseAND(63)),
-                                b(F.lit(128) + cp.bitwiseAND(63)))))
-    valid = cp.isNotNull() & (cp > 0) & (cp <= 1114111) & ~((cp >= 55296) & (cp <= 57343))
-    c1 = F.create_map(*[x for k, v in C1_REMAP.items() for x in (F.lit(k), F.lit(v))])
-    # references to control characters and noncharacters decode to nothing
-    dropped = (cp.between(0x1, 0x8) | (cp == 0xB) | cp.between(0xE, 0x1F) | (cp == 0x7F)
-               | cp.between(0xFDD0, 0xFDEF) | (cp.bitwiseAND(0xFFFE) == 0xFFFE))
-    return (F.when(cp.between(0x80, 0x9F) & F.try_element_at(c1, cp).isNotNull(), F.try_element_at(c1, cp))
-            .when(~valid, F.lit("\ufffd"))
-            .when(dropped, F.lit(""))
-            .otherwise(F.decode(F.unhex(utf8), "UTF-8")))
-
-
-
-def _decode_numeric(c: Column) -> Column:
-    """Replace ``&#NNN;`` / ``&#xHH;`` (the ``;`` is optional, as for an HTML
-    parser) by the character: a fold over the distinct references present in
-    the value, longest first so that ``&#65`` cannot cut into ``&#650;``."""
-    refs = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&#(?:[xX][0-9a-fA-F]+|[0-9]+);?"), 0))
-    refs = F.array_sort(refs, lambda a, b: F.length(b) - F.length(a))
-
-    def step(acc, ref):
-        body = F.regexp_replace(ref, r"^&#|;$", "")
-        hexa = F.lower(F.substring(body, 1, 1)) == "x"
-        cp = F.when(F.length(body) > 9, F.lit(1 << 21)).when(
-            hexa, F.conv(F.substring(body, 2, 16), 16, 10).cast("int")).otherwise(body.cast("int"))
-        return F.replace(acc, ref, _char_of(cp))
-
-    return F.aggregate(refs, c, step)
-
-
-def _decode_named(c: Column) -> Column:
-    table = F.create_map(*[x for k, v in NAMED_ENTITIES.items() for x in (F.lit(k), F.lit(v))])
-    refs = F.filter(F.array_distinct(F.regexp_extract_all(c, F.lit(r"&([a-zA-Z][a-zA-Z0-9]*);"), 1)),
-                    lambda r: r != "amp")
-
-    def step(acc, ref):
-        ent = F.concat(F.lit("&"), ref, F.lit(";"))
-        return F.replace(acc, ent, F.coalesce(F.try_element_at(table, ref), ent))
-
-    return F.aggregate(refs, c, step)
+def decode_entities(c) -> Column:
+    """Decode character references as the HTML standard does: the full table,
+    ``;`` optional where the standard says so, numeric ones of any length, in one
+    pass ("&amp;lt;" gives "&lt;").  Arrow-batched; null stays null."""
+    return _unescape(as_col(c))
 
 
-def decode_entities(c) -> Column:
-    """Decode character references the way an HTML parser does for text:
-    numeric ones, the fixed named table, and ``&amp;`` last."""
-    col = as_col(c)
-    out = F.when(F.instr(col, "&#") > 0, _decode_numeric(col)).otherwise(col)
-    out = F.when(F.instr(out, "&") > 0, _decode_named(out)).otherwise(out)
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+@F.pandas_udf(StringType())
+def _unescape(values: pd.Series) -> pd.Series:
+    return values.map(html.unescape, na_action="ignore")

@@ -1,66 +1,237 @@
-"""Page structure as a relational node table, and the rule extractors over it
-(DOM-1 .. DOM-9).
-
-``dom_nodes`` turns every page into one row per token (start tag, end tag,
-text) with the element interval ``[pos, end_pos]``, nesting ``depth`` and
-``parent_pos``.  Everything else is a query over that table.
-
-Scale notes
------------
-* The node table is hash-partitioned by ``page_id`` once; every window,
-  aggregate and join below is keyed by ``page_id`` (plus other columns), so
-  Spark reuses that partitioning instead of shuffling per operator.
-* Containment ("which elements enclose this token") is never computed by
-  joining a page's nodes with each other, which would emit all pairs within a
-  page.  ``enclosing`` uses a running depth over interval start/end events
-  and an as-of lookup (``last`` over a window keyed by ``(page_id, level)``),
-  so its cost is nodes x nesting depth.
-* A page is one parquet cell, so the largest group any window sees is one
-  page's tokens.
+"""Page structure and the rule extractors over it (DOM-1 .. DOM-9).
+
+A page is one row, and its structure is found inside that row: one pass over
+its tokens with a stack of open elements (an Arrow-batched function), exact for
+any nesting.  There are two forms of it:
+
+* ``dom_nodes``: one output row a token (start tag, end tag, text);
+* ``page_trees``: one output row a page, the elements as an array with their
+  place in the page's text and markup.
+
+Every operator after that is a projection over ``page_trees``: no shuffle, no
+window, no join.  The text of an element is a substring of the page's text, its
+markup a substring of the page's html.
+
+Pairing follows a lenient HTML tree builder: an end tag closes the most recent
+open element of its name and all that was opened inside it; an end tag without
+an open element of its name is ignored; void and self-closed elements hold
+nothing; what is open at the end ends with the page.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+import html as html_lib
+import re
+from collections import Counter
+from collections.abc import Callable
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cardforge.functions.text import decode_entities, nbsp_to_space, strip_ws
+from cardforge.functions._col import let
+from cardforge.functions.text import nbsp_to_space, strip_ws
 from cardforge.functions.urls import resolve_url
 
 # Elements that never have content (closed as soon as opened).
 VOID_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link", "menuitem",
                  "meta", "param", "source", "track", "wbr", "basefont", "bgsound", "command", "frame", "image",
                  "isindex", "nextid", "spacer")
+_VOID = frozenset(VOID_ELEMENTS)
 
-# start/end tag (a quoted attribute may hold '>'), a text run, or a stray '<'
-_TOKEN_RE = r"""</?[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*>|[^<]+|<"""
-_NAME_RE = r"^</?([a-zA-Z][^\t\n\r\f />\x00]*)"
+# comment, declaration or instruction, tag (a quoted attribute may hold '>'),
+# text run, stray '<'; possessive loops: linear on any input
+_TOKEN = re.compile(r"""(?s:<!--.*?-->)|<[!?][^>]*+>|</?[a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^<]++|<""")
+_NAME = re.compile(r"</?([a-zA-Z][^\t\n\r\f />\x00]*)")
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style")}
 # Html.parser's tolerant attribute pattern (name, "=" value with
 # single, double or no quotes; an unquoted value keeps a trailing "/").
-_ATTR_RE = r"""((?<=['"\s/])[^\s/>][^\s/=>]*)(\s*=+\s*('[^']*'|"[^"]*"|(?!['"])[^>\s]*))?(?:\s|/(?!>))*"""
+_ATTR = re.compile(r"""((?<=['"\s/])[^\s/>][^\s/=>]*)(\s*=+\s*('[^']*'|"[^"]*"|(?!['"])[^>\s]*))?(?:\s|/(?!>))*""")
 # "/>" closes the tag only when the "/" is not the end of an unquoted value
-_UNQUOTED_SLASH_RE = r"""=+\s*(?:[^\s'"=>][^\s>]*)?/>$"""
-
-def _clean_html(html: Column) -> Column:
-    """Drop comments, declarations and processing instructions, and empty
-    script/style bodies (their text is not page text, and may hold tags)."""
-    h = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    h = F.regexp_replace(h, r"<![^>]*>|<\?[^>]*>", "")
-    h = F.regexp_replace(h, r"(?is)(<script\b[^>]*>).*?(</script\s*>)", "$1$2")
-    return F.regexp_replace(h, r"(?is)(<style\b[^>]*>).*?(</style\s*>)", "$1$2")
-
-
-def _attrs(tok: Column) -> Column:
-    """array<struct<k,v>> of a start tag's attributes, in order; names
-    lower-cased, values unquoted and entity-decoded; bare attribute -> ''."""
-    body = F.regexp_replace(F.regexp_replace(tok, r"^<[a-zA-Z][^\t\n\r\f />\x00]*", ""), r">$", "")
-    keys = F.regexp_extract_all(body, F.lit(_ATTR_RE), 1)
-    vals = F.regexp_extract_all(body, F.lit(_ATTR_RE), 3)
-    pairs = F.arrays_zip(keys.alias("k"), vals.alias("v"))
-    return F.transform(pairs, lambda p: F.struct(
-        F.lower(p["k"]).alias("k"),
-        decode_entities(F.regexp_replace(p["v"], r"""^"(.*)"$|^'(.*)'$""", "$1$2")).alias("v")))
+_UNQUOTED_SLASH = re.compile(r"""=+\s*(?:[^\s'"=>][^\s>]*)?/>$""")
+
+#: tokens of several pages that leave a task together
+EMIT_TOKENS = 20_000
+
+PAIRS = T.ArrayType(T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.StringType())]))
+ELEMENT = T.StructType([T.StructField(n, t) for n, t in (
+    ("pos", T.IntegerType()), ("end_pos", T.IntegerType()), ("name", T.StringType()), ("attrs", PAIRS),
+    ("depth", T.IntegerType()), ("parent", T.IntegerType()),
+    # text [t0, t1) in the page's text; markup [m0, m1) in its html; contents up to m_end
+    ("t0", T.IntegerType()), ("t1", T.IntegerType()), ("m0", T.IntegerType()), ("m_end", T.IntegerType()),
+    ("m1", T.IntegerType()))])
+
+
+class Token:
+    """One token, and for a start tag the element that it opens."""
+
+    __slots__ = ("kind", "name", "raw", "pos", "end_pos", "depth", "parent", "text", "t0", "t1", "m0", "m_end", "m1")
+
+    def __init__(self, kind, name, raw, pos, depth, parent, at):
+        self.kind, self.name, self.raw, self.pos, self.end_pos = kind, name, raw, pos, pos
+        self.depth, self.parent, self.text = depth, parent, None
+        self.t0 = self.t1 = 0
+        self.m0, self.m_end, self.m1 = at, at + len(raw), at + len(raw)
+
+
+def read_tokens(html: str) -> list[Token]:
+    """The tokens of a page in order.  Comments, declarations and the contents
+    of scripts and styles are no tokens (text on both sides of a comment is one
+    token), but they stay in the markup ranges."""
+    out: list[Token] = []
+    stack: list[Token] = []
+    open_names: Counter[str] = Counter()
+    at, length, done = 0, 0, len(html)
+
+    def close(element: Token, pos: int, end: int) -> None:
+        element.end_pos, element.t1, element.m_end, element.m1 = pos, length, end, end
+        open_names[element.name] -= 1
+
+    def settle(token: Token) -> int:
+        token.text = html_lib.unescape(token.raw)
+        return len(token.text)
+
+    run: Token | None = None  # a text run that a comment may have interrupted
+    while at < done:
+        m = _TOKEN.match(html, at)
+        raw, start, at = m.group(), at, m.end()
+        if raw.startswith(("<!", "<?")):
+            continue
+        tag = _NAME.match(raw) if len(raw) > 1 and raw[0] == "<" else None
+        if tag is None:
+            if run is not None and raw != "<":
+                run.raw += raw
+                continue
+            if run is not None:
+                length += settle(run)
+            token = Token("text", None, raw, len(out), len(stack), stack[-1].pos if stack else None, start)
+            out.append(token)
+            if raw == "<":
+                run = None
+                length += settle(token)
+            else:
+                run = token
+            continue
+        if run is not None:
+            length += settle(run)
+            run = None
+        name = tag.group(1).lower()
+        if raw[1] == "/":
+            pos = len(out)
+            if open_names[name]:
+                while stack[-1].name != name:
+                    close(stack.pop(), pos, start)
+                element = stack.pop()
+                close(element, pos, start)
+                element.m1 = at
+            out.append(Token("end", name, raw, pos, len(stack), stack[-1].pos if stack else None, start))
+            continue
+        token = Token("start", name, raw, len(out), len(stack), stack[-1].pos if stack else None, start)
+        out.append(token)
+        token.t0 = token.t1 = length
+        if name in _VOID or (raw.endswith("/>") and not _UNQUOTED_SLASH.search(raw)):
+            continue
+        stack.append(token)
+        open_names[name] += 1
+        if name in _RAW_END:
+            end = _RAW_END[name].search(html, at)
+            if end:
+                at = end.start()
+    if run is not None:
+        length += settle(run)
+    while stack:
+        close(stack.pop(), len(out), done)
+    return out
+
+
+def read_attributes(raw: str) -> list[dict[str, str]]:
+    """Attributes of a start tag in order: names lower-cased, values unquoted and
+    decoded, '' without a value."""
+    body = raw[_NAME.match(raw).end():-1]
+    found = []
+    for m in _ATTR.finditer(body):
+        value = m.group(3) or ""
+        if len(value) > 1 and value[0] == value[-1] and value[0] in "'\"":
+            value = value[1:-1]
+        found.append({"k": m.group(1).lower(), "v": html_lib.unescape(value)})
+    return found
+
+
+def dom_nodes(pages: DataFrame) -> DataFrame:
+    """DOM-1: ``pages(page_id, url, html)`` -> one row a token: page_id, url, pos,
+    kind ('start'|'end'|'text'), name, attrs (array<struct<k,v>>), text (decoded,
+    text tokens only), raw, end_pos (where the element's own end tag is, or the
+    token that closed it, or past the last token; = pos for void elements and
+    other tokens), depth (number of open elements), parent_pos.
+
+    One pass a page, no shuffle.  A null html has no tokens."""
+    key = pages.schema["page_id"].dataType
+    schema = T.StructType([T.StructField(n, t) for n, t in (
+        ("page_id", key), ("url", T.StringType()), ("pos", T.IntegerType()), ("kind", T.StringType()), ("name", T.StringType()),
+        ("attrs", PAIRS), ("text", T.StringType()), ("raw", T.StringType()), ("end_pos", T.IntegerType()),
+        ("depth", T.IntegerType()), ("parent_pos", T.IntegerType()))])
+    pairs = pa.list_(pa.struct([("k", pa.string()), ("v", pa.string())]))
+
+    def emit(batch, rows, tokens):
+        at = pa.array(rows, pa.int64())
+        cols = [batch.column(0).take(at), batch.column(1).take(at),
+                pa.array([t.pos for t in tokens], pa.int32()), pa.array([t.kind for t in tokens], pa.string()),
+                pa.array([t.name for t in tokens], pa.string()),
+                pa.array([read_attributes(t.raw) if t.kind == "start" else None for t in tokens], pairs),
+                pa.array([t.text for t in tokens], pa.string()), pa.array([t.raw for t in tokens], pa.string()),
+                pa.array([t.end_pos for t in tokens], pa.int32()), pa.array([t.depth for t in tokens], pa.int32()),
+                pa.array([t.parent for t in tokens], pa.int32())]
+        return pa.RecordBatch.from_arrays(cols, schema.names)
+
+    def run(batches):
+        for batch in batches:
+            rows, tokens = [], []
+            for row, page in enumerate(batch.column(2).to_pylist()):
+                found = read_tokens(page) if page else []
+                rows += [row] * len(found)
+                tokens += found
+                if len(tokens) >= EMIT_TOKENS:
+                    yield emit(batch, rows, tokens)
+                    rows, tokens = [], []
+            if tokens:
+                yield emit(batch, rows, tokens)
+
+    return pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")) \
+        .mapInArrow(run, schema)
+
+
+def page_trees(pages: DataFrame) -> DataFrame:
+    """``(page_id, url, html, text, els)``, one row a page: the whole text, and
+    the elements in document order (see ``ELEMENT``).  A null html is ''."""
+    key = pages.schema["page_id"].dataType
+    schema = T.StructType([T.StructField("page_id", key), T.StructField("url", T.StringType()), T.StructField("html", T.StringType()),
+                           T.StructField("text", T.StringType()), T.StructField("els", T.ArrayType(ELEMENT))])
+    pairs = pa.list_(pa.struct([("k", pa.string()), ("v", pa.string())]))
+    ints = ("depth", "parent", "t0", "t1", "m0", "m_end", "m1")
+
+    def run(batches):
+        for batch in batches:
+            texts, ends, starts = [], [0], []
+            for page in batch.column(2).to_pylist():
+                tokens = read_tokens(page or "")
+                texts.append("".join(t.text for t in tokens if t.kind == "text"))
+                starts += [t for t in tokens if t.kind == "start"]
+                ends.append(len(starts))
+            fields = [pa.array([t.pos for t in starts], pa.int32()), pa.array([t.end_pos for t in starts], pa.int32()),
+                      pa.array([t.name for t in starts], pa.string()), pa.array([read_attributes(t.raw) for t in starts], pairs),
+                      *(pa.array([getattr(t, c) for t in starts], pa.int32()) for c in ints)]
+            els = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ELEMENT.names))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(texts, pa.string()), els],
+                                             schema.names)
+
+    return pages.select("page_id", F.col("url").cast("string").alias("url"),
+                        F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).mapInArrow(run, schema)
+
+
+# ---------------------------------------------------------------- elements
+
+Predicate = Callable[[Column], Column]
 
 
 def attr(attrs, name: str) -> Column:
@@ -74,296 +245,85 @@ def has_class(attrs, cls: str) -> Column:
     return F.coalesce(F.array_contains(F.split(strip_ws(attr(attrs, "class")), r"\s+"), F.lit(cls)), F.lit(False))
 
 
-def tokenize(pages: DataFrame) -> DataFrame:
-    """(page_id, pos, kind, name, raw) - one row per token.  kind is
-    'start', 'end' or 'text'."""
-    toks = pages.select("page_id", F.posexplode(
-        F.regexp_extract_all(_clean_html(F.col("html")), F.lit(_TOKEN_RE), 0)).alias("pos", "raw"))
-    kind = (F.when(F.col("raw").rlike("^<[a-zA-Z]"), F.lit("start"))
-            .when(F.col("raw").rlike("^</[a-zA-Z]"), F.lit("end"))
-            .otherwise(F.lit("text")))
-    return (toks.withColumn("kind", kind)
-            .withColumn("name", F.when(F.col("kind") != "text", F.lower(F.regexp_extract("raw", _NAME_RE, 1))))
-            .withColumn("pos", F.col("pos").cast("int")))
-
-
-def enclosing(df: DataFrame, is_interval: Column, is_probe: Column, all_levels: bool = True,
-              payload: list[str] | None = None, keep_all: bool = False,
-              ipayload: dict[str, Column] | None = None) -> DataFrame:
-    """Intervals containing probes, computed on one stream of rows.
-
-    ``df`` has ``page_id, pos, end_pos``; rows where ``is_interval`` holds are
-    intervals ``[pos, end_pos]`` (they must nest), rows where ``is_probe``
-    holds are probes.  For each probe returns ``(page_id, pos, a_start, a_end,
-    a_level, *payload)`` for every interval strictly containing it
-    (``a_start < pos < a_end``), or only the tightest one.  With
-    ``keep_all`` a probe inside no interval is returned once with nulls and
-    level 0.  ``ipayload`` (name -> column) is carried from each interval's
-    own row to the probes it contains.
-
-    Each row becomes up to three events (start +1, end -1, probe 0) through a
-    generator; a running sum gives each probe's depth D and an as-of
-    ``last`` over the window ``(page_id, level)`` finds the interval open at
-    each level 1..D.  No join, no pairs: cost is rows x nesting depth.
-    """
-    payload = payload or []
-    ipayload = ipayload or {}
-    pl = F.struct(*[F.col(c) for c in payload]) if payload else F.lit(None)
-    ipl_struct = F.struct(*[c.alias(k) for k, c in ipayload.items()]) if ipayload else F.lit(None).cast("int")
-    ev_t = lambda p, o, d, a_s, a_e, prb, ipl: F.struct(
-        p.cast("int").alias("p"), F.lit(o).alias("o"), F.lit(d).alias("d"), a_s.cast("int").alias("a_s"),
-        a_e.cast("int").alias("a_e"), prb.alias("prb"), ipl.alias("ipl"))
-    none = F.lit(None).cast("int")
-    no_ipl = F.when(F.lit(False), ipl_struct)  # null of the interval payload's type
-    evs = F.array(
-        F.when(is_interval, ev_t(F.col("pos"), 2, 1, F.col("pos"), F.col("end_pos"), F.lit(False), ipl_struct)),
-        F.when(is_interval, ev_t(F.col("end_pos"), 0, -1, none, none, F.lit(False), no_ipl)),
-        F.when(is_probe, ev_t(F.col("pos"), 1, 0, none, none, F.lit(True), no_ipl)))
-    ev = df.filter(is_interval | is_probe).select("page_id", pl.alias("pl"), F.explode(
-        F.filter(evs, lambda e: e.isNotNull())).alias("e")).select("page_id", "pl", "e.*")
-    w = Window.partitionBy("page_id").orderBy("p", "o").rowsBetween(Window.unboundedPreceding, 0)
-    ev = ev.withColumn("lvl", F.sum("d").over(w))
-    # keep starts and probes; a probe asks every level 1..D (or only D)
-    keep = F.col("a_s").isNotNull() | (F.col("prb") & ((F.col("lvl") > 0) | F.lit(keep_all)))
-    ev = ev.filter(keep)
-    if all_levels:
-        levels = F.when(F.col("prb") & (F.col("lvl") > 0), F.sequence(F.lit(1), F.col("lvl"))) \
-            .otherwise(F.array("lvl"))
-        ev = ev.withColumn("lvl", F.explode(levels))
-    w2 = Window.partitionBy("page_id", "lvl").orderBy("p", "o").rowsBetween(Window.unboundedPreceding, 0)
-    found = (ev.withColumn("s", F.last("a_s", ignorenulls=True).over(w2))
-             .withColumn("e", F.last("a_e", ignorenulls=True).over(w2))
-             .withColumn("ip", F.last("ipl", ignorenulls=True).over(w2))
-             .filter(F.col("prb") & (F.col("s").isNotNull() | F.lit(keep_all))))
-    return found.select("page_id", F.col("p").alias("pos"), F.col("s").alias("a_start"), F.col("e").alias("a_end"),
-                        F.col("lvl").alias("a_level"), *[F.col("pl")[c].alias(c) for c in payload],
-                        *[F.col("ip")[k].alias(k) for k in ipayload])
-
-
-def _pair(t: DataFrame, skip: Column | None = None, forced: Column | None = None) -> DataFrame:
-    """Per-name tag pairing on the page-partitioned token stream.
-
-    Adds ``mate`` (position of the end tag closing a start tag), ``md``
-    (running depth among matched elements) and ``end_pos``.  Starts flagged
-    by ``skip`` take no part in the pairing and end at ``forced``."""
-    is_start, is_end = F.col("kind") == "start", F.col("kind") == "end"
-    pairable = is_end | (is_start & ~F.col("void"))
-    if skip is not None:
-        pairable = pairable & ~F.coalesce(skip, F.lit(False))
-    # 1. per-name level; an end tag's key is the level it closes
-    delta = F.when(~pairable, 0).when(is_start, 1).otherwise(-1)
-    w_name = Window.partitionBy("page_id", "name").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    t = t.withColumn("nl", F.sum(delta).over(w_name))
-    t = t.withColumn("key", F.when(~pairable, F.lit(None)).when(is_end, F.col("nl") + 1).otherwise(F.col("nl")))
-    # 2. mate: a start followed (same name and key) by an end
-    w_key = Window.partitionBy("page_id", "name", "key").orderBy("pos")
-    t = (t.withColumn("mate", F.when(pairable & is_start & (F.lead("kind").over(w_key) == "end"),
-                                     F.lead("pos").over(w_key)))
-         .withColumn("mated_end", pairable & is_end & (F.lag("kind").over(w_key) == "start")))
-    # 3. depth among matched elements; an unmatched start ends where the
-    #    matched element open at its depth ends
-    w_doc = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    md = F.when(F.col("mate").isNotNull(), 1).when(F.col("mated_end"), -1).otherwise(0)
-    t = t.withColumn("md", F.sum(md).over(w_doc)).withColumn("last_pos", F.max("pos").over(Window.partitionBy("page_id")))
-    unmatched = pairable & is_start & F.col("mate").isNull()
-    lvl = F.when((F.col("mate").isNotNull() | unmatched) & (F.col("md") > 0), F.col("md"))
-    w_lvl = Window.partitionBy("page_id", "mlvl").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    t = t.withColumn("mlvl", lvl).withColumn(
-        "u_end", F.when(unmatched & F.col("mlvl").isNotNull(), F.last("mate", ignorenulls=True).over(w_lvl)))
-    end_pos = F.when(F.col("mate").isNotNull(), F.col("mate"))
-    if skip is not None:
-        end_pos = end_pos.when(F.coalesce(skip, F.lit(False)), forced)
-    end_pos = end_pos.when(unmatched, F.coalesce("u_end", F.col("last_pos") + 1)).otherwise(F.col("pos"))
-    return t.withColumn("end_pos", end_pos.cast("int"))
-
-
-def _implicit_closes(t: DataFrame) -> DataFrame:
-    """Flag matched starts whose enclosing matched element closes before
-    their own end tag (``<p>a<div><p>b</div></p>``: the inner p is closed by
-    ``</div>``).  Adds ``skip`` and ``forced`` (that enclosing element's end).
-
-    In-stream: a matched start also emits a probe one level up; an as-of
-    window over ``(page_id, level)`` finds the enclosing element's end, and
-    a window over ``(page_id, pos)`` folds the flag back onto the token."""
-    matched = F.col("mate").isNotNull()
-    role = lambda r, lvl: F.struct(F.lit(r).alias("role"), lvl.alias("lvl"))
-    roles = F.array(F.when(matched, role(0, F.col("md"))).otherwise(role(2, F.lit(None).cast("long"))),
-                    F.when(matched & (F.col("md") > 1), role(1, F.col("md") - 1)))
-    x = t.withColumn("_r", F.explode(F.filter(roles, lambda r: r.isNotNull()))).select("*", "_r.role", "_r.lvl")
-    w = Window.partitionBy("page_id", "lvl").orderBy("pos", "role").rowsBetween(Window.unboundedPreceding, -1)
-    enclosing_end = F.last(F.when(F.col("role") == 0, F.col("mate")), ignorenulls=True).over(w)
-    x = x.withColumn("_p", F.when(F.col("role") == 1, enclosing_end))
-    # the element found must still be open at the probe (crossing pairs skew
-    # the levels) and must close before the probe's own end tag
-    viol = ((F.col("role") == 1) & F.col("_p").isNotNull() & (F.col("_p") > F.col("pos"))
-            & (F.col("_p") < F.col("mate")))
-    w_tok = Window.partitionBy("page_id", "pos")
-    prev_skip = F.coalesce(F.col("skip"), F.lit(False)) if "skip" in t.columns else F.lit(False)
-    prev_forced = F.col("forced") if "forced" in t.columns else F.lit(None).cast("int")
-    x = (x.withColumn("_v", F.max(viol).over(w_tok))
-         .withColumn("_f", F.max(F.when(viol, F.col("_p"))).over(w_tok))
-         .withColumn("forced", F.when(prev_skip, prev_forced).otherwise(F.col("_f")))
-         .withColumn("skip", prev_skip | F.coalesce(F.col("_v"), F.lit(False))))
-    return x.filter(F.col("role") != 1).drop("_r", "role", "lvl", "_p", "_v", "_f")
-
-
-def dom_nodes(pages: DataFrame, num_partitions: int | None = None, exact: bool | int = 2,
-              depth: bool = True) -> DataFrame:
-    """DOM-1: ``pages(page_id, url, html)`` -> node table.
-
-    Columns: page_id, url, pos, kind ('start'|'end'|'text'), name, attrs
-    (array<struct<k,v>>), text (decoded, text tokens only), raw, end_pos
-    (element end: its end tag, or where its tightest closed ancestor ends,
-    or past the last token; = pos for void / self-closed elements and for
-    other tokens), depth (number of enclosing elements), parent_pos.
-
-    Pairing follows the html.parser tree builder: an end tag closes the most
-    recent open element of that name and everything opened inside it; an end
-    tag with no open element of its name is ignored.  Pairing is computed per
-    tag name, which equals that rule unless an end tag's mate was already
-    implicitly closed by another name's end tag (``<p>a<div><p>b</div></p>``,
-    ``<b><i>x</b>y</i>``).  ``exact`` passes (default 2) correct that case:
-    the implicitly closed element ends with its ancestor and its end tag is
-    paired again.  Each pass is another pairing over the same stream (about
-    +35% each); cascades of misnesting need one pass per level.  With two
-    passes 400 of 400 randomly misnested snippets equal the html.parser tree
-    (one pass: 398); ``exact=0`` skips the correction.  ``depth=False``
-    skips the last containment pass (``depth`` and ``parent_pos`` null) for
-    consumers that only need element intervals, such as link extraction.
-
-    One linear stream: a single shuffle by page_id, then windows that all
-    reuse it; no joins.
-    """
-    parts = [num_partitions] if num_partitions else []
-    t = tokenize(pages).repartition(*parts, "page_id")
-    is_start = F.col("kind") == "start"
-    self_closed = F.col("raw").rlike(r"/>$") & ~F.col("raw").rlike(_UNQUOTED_SLASH_RE)
-    void = is_start & (F.col("name").isin(*VOID_ELEMENTS) | self_closed)
-    t = _pair(t.withColumn("void", void))
-    for _ in range(int(exact)):
-        t = _pair(_implicit_closes(t), F.col("skip"), F.col("forced"))
-    # 4. depth and parent of every token over the final intervals
-    if depth:
-        is_elem = is_start & (F.col("end_pos") > F.col("pos"))
-        cols = ["kind", "name", "raw"]
-        nodes = enclosing(t, is_elem, F.lit(True), all_levels=False, payload=cols + ["end_pos"], keep_all=True)
-    else:
-        nodes = t.select("page_id", "pos", "kind", "name", "raw", "end_pos",
-                         F.lit(None).cast("int").alias("a_start"), F.lit(None).cast("int").alias("a_level"))
-    # the page URL travels through no shuffle or window: it is joined back
-    # once (one row per page; the node side is already partitioned by page_id)
-    urls = pages.select("page_id", "url")
-    return nodes.join(urls, "page_id").select(
-        "page_id", "url", "pos", "kind", "name",
-        F.when(F.col("kind") == "start", _attrs(F.col("raw"))).alias("attrs"),
-        F.when(F.col("kind") == "text", decode_entities(F.col("raw"))).alias("text"),
-        "raw", "end_pos", F.col("a_level").alias("depth"), F.col("a_start").alias("parent_pos"))
-
-
-def elements(nodes: DataFrame, name: str | None = None) -> DataFrame:
-    e = nodes.filter(F.col("kind") == "start")
-    return e.filter(F.col("name") == name) if name else e
-
-
-def is_element(name: str | None = None, pred: Column | None = None) -> Column:
-    c = F.col("kind") == "start"
-    if name:
-        c = c & (F.col("name") == name)
-    return c & pred if pred is not None else c
-
-
-def with_box(nodes: DataFrame, pred: Column, prefix: str = "c") -> DataFrame:
-    """Add ``{prefix}_pos, {prefix}_end, {prefix}_depth`` of the first node
-    (document order) of its page matching ``pred``; null when none.  An
-    unordered page window, so the stream is neither joined nor re-shuffled."""
-    wp = Window.partitionBy("page_id")
-    cpos = f"{prefix}_pos"
-    return (nodes.withColumn(cpos, F.min(F.when(pred, F.col("pos"))).over(wp))
-            .withColumn(f"{prefix}_end", F.max(F.when(F.col("pos") == F.col(cpos), F.col("end_pos"))).over(wp))
-            .withColumn(f"{prefix}_depth", F.max(F.when(F.col("pos") == F.col(cpos), F.col("depth"))).over(wp)))
-
-
-def in_box(prefix: str = "c") -> Column:
-    return (F.col("pos") > F.col(f"{prefix}_pos")) & (F.col("pos") < F.col(f"{prefix}_end"))
-
-
-def first_element(nodes: DataFrame, name: str, pred: Column | None = None) -> DataFrame:
-    """First element (document order) per page matching name and predicate:
-    (page_id, c_pos, c_end, c_depth) - one row per page that has one."""
-    best = F.min_by(F.struct("pos", "end_pos", "depth"), F.col("pos"))
-    return (nodes.filter(is_element(name, pred)).groupBy("page_id").agg(best.alias("b"))
-            .select("page_id", F.col("b.pos").alias("c_pos"), F.col("b.end_pos").alias("c_end"),
-                    F.col("b.depth").alias("c_depth")))
-
-
-def _field(k: str):
-    return lambda x: x[k]
-
-
-def _concat_in_order(df: DataFrame, keys: list[str], pieces: dict[str, Column]) -> DataFrame:
-    """Group and concatenate string pieces in ``pos`` order."""
-    st = F.struct(F.col("pos"), *[c.alias(k) for k, c in pieces.items()])
-    agg = df.groupBy(*keys).agg(F.array_sort(F.collect_list(st)).alias("ps"))
-    return agg.select(*keys, *[F.array_join(F.transform("ps", _field(k)), "").alias(k) for k in pieces])
-
-
-def element_text(nodes: DataFrame, is_elem: Column, with_markup: bool = False) -> DataFrame:
-    """Text content of the elements where ``is_elem`` holds (they must nest):
-    (page_id, pos, end_pos, text[, markup]).  Text = decoded text tokens
-    inside, in order; markup = every raw token from the start tag to its own
-    end tag (the key used to tell identical blocks apart)."""
-    kinds = ["text", "start", "end"] if with_markup else ["text"]
-    probe = F.col("kind").isin(*kinds)
-    enc = enclosing(nodes, is_elem, probe, all_levels=True, payload=["kind", "text", "raw"])
-    pieces = {"text": F.when(F.col("kind") == "text", F.col("text"))}
-    if with_markup:
-        pieces["inner"] = F.col("raw")
-    grouped = enc.select("page_id", F.col("a_start").alias("elem"), "pos", "kind", "text", "raw")
-    st = F.struct("pos", *[c.alias(k) for k, c in pieces.items()])
-    agg = grouped.groupBy("page_id", F.col("elem").alias("pos")).agg(F.array_sort(F.collect_list(st)).alias("ps"))
-    agg = agg.select("page_id", "pos", *[F.array_join(F.transform("ps", _field(k)), "").alias(k)
-                                         for k in pieces])
-    el = nodes.filter(is_elem).select("page_id", "pos", "end_pos", "name", "raw")
-    res = el.join(agg, ["page_id", "pos"], "left").withColumn("text", F.coalesce("text", F.lit("")))
-    if with_markup:
-        close = nodes.filter(F.col("kind") == "end").select(
-            "page_id", F.col("pos").alias("end_pos"), "name", F.col("raw").alias("close_raw"))
-        res = res.join(close, ["page_id", "end_pos", "name"], "left").withColumn(
-            "markup", F.concat(F.col("raw"), F.coalesce("inner", F.lit("")), F.coalesce("close_raw", F.lit(""))))
-        res = res.drop("inner", "close_raw")
-    return res.drop("raw", "name")
+def element(name: str | None = None, attr_name: str | None = None, value: str | None = None,
+            css_class: str | None = None) -> Predicate:
+    """Predicate of elements by tag, by an attribute's value, by class."""
+    def pred(e: Column) -> Column:
+        c = F.lit(True) if name is None else e["name"] == name
+        if attr_name:
+            c = c & F.coalesce(attr(e["attrs"], attr_name) == value, F.lit(False))
+        return c & has_class(e["attrs"], css_class) if css_class else c
+    return pred
 
 
-# ---------------------------------------------------------------- DOM-2
+MAIN = element("div", "id", "mainContent")
+
+
+def first(pred: Predicate) -> Column:
+    """The first element of the page (struct) for which ``pred`` holds, or null."""
+    return F.get(F.filter("els", pred), 0)
 
 
-def container_pred(tag: str = "div", attr_name: str = "id", value: str = "mainContent",
-                   css_class: str | None = None) -> Column:
-    cond = has_class("attrs", css_class) if css_class else (attr("attrs", attr_name) == value)
-    return is_element(tag, F.coalesce(cond, F.lit(False)))
+def inside(e: Column, box: Column) -> Column:
+    return (e["pos"] > box["pos"]) & (e["pos"] < box["end_pos"])
 
 
-def select_container(nodes: DataFrame, tag: str = "div", attr_name: str = "id", value: str = "mainContent",
-                     css_class: str | None = None) -> DataFrame:
-    """DOM-2: the first ``tag`` with ``attr_name == value`` (or, with
-    ``css_class``, the first with that class) per page: (page_id, c_pos,
-    c_end, c_depth).  Pages without one have no row: join inner to drop them
-    (rule extractor) or left to keep them with empty input (model requests)."""
-    return first_element(nodes, tag, container_pred(tag, attr_name, value, css_class))
+def text_of(e: Column) -> Column:
+    return F.substr(F.col("text"), e["t0"] + 1, e["t1"] - e["t0"])
 
 
-def container_markup(nodes: DataFrame, pred: Column | None = None) -> DataFrame:
-    """``str(container)`` per page that has one: (page_id, container_html),
-    the raw tokens from the container's start tag to its end."""
-    b = with_box(nodes, pred if pred is not None else container_pred())
-    inside_incl = (F.col("pos") >= F.col("c_pos")) & (F.col("pos") <= F.col("c_end"))
-    return _concat_in_order(b.filter(inside_incl), ["page_id"], {"container_html": F.col("raw")})
+def markup_of(e: Column) -> Column:
+    return F.substr(F.col("html"), e["m0"] + 1, e["m1"] - e["m0"])
+
+
+# ---------------------------------------------------------------- DOM-2
+
+
+def select_container(trees: DataFrame, pred: Predicate = MAIN, on_missing: str = "drop") -> DataFrame:
+    """DOM-2: ``trees`` with ``box``, the first element of each page for which
+    ``pred`` holds.  Pages without one are dropped (rule extractor) or, with
+    ``on_missing='empty'``, kept with a null box (model requests)."""
+    if on_missing not in ("drop", "empty"):
+        raise ValueError("on_missing: 'drop' or 'empty'")
+    t = trees.withColumn("box", first(pred))
+    return t.where("box is not null") if on_missing == "drop" else t
+
+
+def container_markup(trees: DataFrame, pred: Predicate = MAIN, on_missing: str = "drop") -> DataFrame:
+    """``(page_id, url, container_html)``: the container's markup as it stands in
+    the page (comments and scripts included), '' where it is missing and kept."""
+    t = select_container(trees, pred, on_missing)
+    return t.select("page_id", "url", F.coalesce(markup_of(F.col("box")), F.lit("")).alias("container_html"))
 
 
 # ---------------------------------------------------------------- DOM-3
 
 
-def split_heading(nodes: DataFrame) -> DataFrame:
+def heading_parts() -> tuple[Column, Column]:
+    """Columns word and definition of a row of ``page_trees`` (with ``h1`` and
+    ``sib``, see :func:`split_heading`)."""
+    h1 = F.when(F.col("h1").isNotNull(), text_of(F.col("h1")))
+    sib = F.when(F.col("sib").isNotNull(), strip_ws(text_of(F.col("sib"))))
+
+    def split(which: int) -> Column:
+        def of(t):
+            plain = nbsp_to_space(strip_ws(t))
+            return (F.when(F.instr(plain, " – ") > 0, F.get(F.split(plain, " – ", 2), which))
+                    .when(F.instr(plain, " - ") > 0, F.get(F.split(plain, " - ", 2), which))
+                    .otherwise(sib if which else strip_ws(t)))
+        return F.when(h1.isNotNull(), let(h1, of))
+    return split(0), split(1)
+
+
+def _with_heading(trees: DataFrame) -> DataFrame:
+    h1 = first(element("h1"))
+    t = trees.withColumn("h1", h1)
+    h = F.col("h1")
+    return t.withColumn("sib", F.when(h.isNotNull(), first(
+        lambda e: (e["pos"] > h["pos"]) & e["parent"].eqNullSafe(h["parent"]))))
+
+
+def split_heading(trees: DataFrame) -> DataFrame:
     """DOM-3: word and definition from the first h1 of each page.
 
     t = stripped h1 text with NBSP -> space.  If it contains ' – ' it is
@@ -373,229 +333,173 @@ def split_heading(nodes: DataFrame) -> DataFrame:
     the spaced form is treated as no separator.  Pages without h1: nulls.
     Returns (page_id, word, definition) for every page.
     """
-    b = with_box(nodes, is_element("h1"), "h")
-    # next sibling: the first element after the h1 ends, if it has the h1's depth
-    after = is_element() & (F.col("pos") > F.col("h_end"))
-    b = with_box(b, after, "n")
-    sib_ok = F.col("n_depth") == F.col("h_depth")
-    texty = F.col("kind") == "text"
-    in_h1 = texty & in_box("h")
-    in_sib = texty & in_box("n") & sib_ok
-    # one aggregate over every node of the page (pages without h1 keep a row)
-    st = F.when(in_h1 | in_sib, F.struct("pos", F.when(in_h1, F.col("text")).alias("h"),
-                                          F.when(in_sib, F.col("text")).alias("n")))
-    agg = (b.groupBy("page_id").agg(F.array_sort(F.collect_list(st)).alias("ps"), F.max("h_pos").alias("h_pos"),
-                                    F.max(F.coalesce(sib_ok, F.lit(False))).alias("has_sib")))
-    h1 = F.when(F.col("h_pos").isNotNull(), F.array_join(F.transform("ps", lambda x: x["h"]), ""))
-    sib = F.when(F.col("has_sib"), F.array_join(F.transform("ps", lambda x: x["n"]), ""))
-    j = agg.select("page_id", h1.alias("h1"), sib.alias("sib"))
-    t = nbsp_to_space(strip_ws(F.col("h1")))
-    en, hy = F.split(t, " – ", 2), F.split(t, " - ", 2)
-    word = (F.when(F.col("h1").isNull(), F.lit(None))
-            .when(F.instr(t, " – ") > 0, en[0])
-            .when(F.instr(t, " - ") > 0, hy[0])
-            .otherwise(strip_ws(F.col("h1"))))
-    definition = (F.when(F.col("h1").isNull(), F.lit(None))
-                  .when(F.instr(t, " – ") > 0, en[1])
-                  .when(F.instr(t, " - ") > 0, hy[1])
-                  .otherwise(strip_ws(F.col("sib"))))
-    return j.select("page_id", word.cast("string").alias("word"), definition.cast("string").alias("definition"))
+    word, definition = heading_parts()
+    return _with_heading(trees).select("page_id", word.alias("word"), definition.alias("definition"))
 
 
 # ---------------------------------------------------------------- DOM-4
 
 
-def page_images(nodes: DataFrame, pred: Column | None = None) -> DataFrame:
-    """DOM-4: every img with a non-empty src inside the container, resolved
-    against the page URL, in order, duplicates kept: (page_id, pos, image)."""
-    b = with_box(nodes, pred if pred is not None else container_pred())
-    src = attr("attrs", "src")
-    imgs = b.filter(is_element("img") & in_box() & src.isNotNull() & (src != ""))
-    return imgs.select("page_id", "pos", resolve_url(F.col("url"), src).alias("image"))
+def image_array() -> Column:
+    """``array<struct<pos, image>>`` of the container ``box``: every img with a
+    non-empty src, resolved against the page URL, in order."""
+    box = F.col("box")
+    imgs = F.filter("els", lambda e: (e["name"] == "img") & inside(e, box) & (F.coalesce(attr(e["attrs"], "src"), F.lit("")) != ""))
+    return F.transform(imgs, lambda e: F.struct(e["pos"].alias("pos"), resolve_url(F.col("url"), attr(e["attrs"], "src")).alias("image")))
+
+
+def page_images(trees: DataFrame, pred: Predicate = MAIN) -> DataFrame:
+    """DOM-4: (page_id, pos, image), duplicates kept."""
+    t = select_container(trees, pred)
+    return t.select("page_id", F.explode(image_array()).alias("i")).select("page_id", "i.pos", "i.image")
 
 
 # ---------------------------------------------------------------- DOM-5/6
 
-def _style_has(color: str) -> Column:
-    return F.coalesce(F.instr(F.lower(F.replace(attr("attrs", "style"), F.lit(" "), F.lit(""))), color) > 0,
-                      F.lit(False))
-
-
-def block_analysis(nodes: DataFrame, pred: Column | None = None,
-                   cached: list[DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Shared work of DOM-5 and DOM-6 inside the container.
-
-    Returns ``blocks`` (page_id, pos, processed, is_mnemonic, text) for every
-    p/figcaption and ``spans`` (page_id, block_pos, pos, text, black) for each
-    red span under each block.
-
-    Walk (document order over the container's elements): an img starts a new
-    segment (with or without src).  Before the first img every block is
-    processed; after it, blocks are processed until the first one that
-    becomes a mnemonic.  A processed block becomes a mnemonic when it holds a
-    red span, its text has no 'NOTE', and no earlier mnemonic is the same
-    element (same start tag and content).  Whether a block is a duplicate
-    depends on which earlier blocks were accepted, so the walk is a per-page
-    fold (``aggregate``) over the page's images and blocks - a handful of
-    rows, evaluated in the JVM.
-
-    One containment pass over the family {blocks, red spans} and one
-    aggregate per element give every element's text, markup key, whether it
-    holds a black span and which red spans it holds.  That per-element table
-    is read three times and is persisted; it is appended to ``cached`` (when
-    given) so the caller can unpersist it.
+_BLOCK_TYPE = T.ArrayType(T.StructType([
+    T.StructField("pos", T.IntegerType()), T.StructField("processed", T.BooleanType()),
+    T.StructField("is_mnemonic", T.BooleanType()), T.StructField("text", T.StringType()),
+    T.StructField("spans", T.ArrayType(T.StructType([
+        T.StructField("pos", T.IntegerType()), T.StructField("text", T.StringType()), T.StructField("black", T.BooleanType())])))]))
+
+
+def _colours(attrs: list[dict[str, str]] | None) -> str:
+    return next((p["v"].replace(" ", "").lower() for p in reversed(attrs or ()) if p["k"] == "style"), "")
+
+
+def walk_blocks(html: str, text: str, els: list[dict], box: dict) -> list[dict]:
+    """The p and figcaption blocks of a container, each with the red spans in it.
+
+    An img starts a new segment.  In the segment before the first img every
+    block is processed; in a later one the blocks up to and including its first
+    mnemonic.  A processed block is a mnemonic when it holds a red span, its
+    text has no NOTE, and no earlier mnemonic has the same markup.
+
+    Two sweeps over the elements: one gives each red span to the blocks open
+    around it, and each black span to the red spans open around it; one decides.
     """
-    inner = with_box(nodes, pred if pred is not None else container_pred()).filter(in_box()) \
-        .drop("c_pos", "c_end", "c_depth")
-    is_block = is_element() & F.col("name").isin("p", "figcaption")
-    is_red = is_element("span") & _style_has("#ff0000")
-    is_black = is_element("span") & _style_has("#000000")
-    probes = inner.withColumn("p_red", is_red).withColumn("p_black", is_black)
-    enc = enclosing(probes, is_block | is_red, F.col("kind").isin("start", "end", "text"), all_levels=True,
-                    payload=["kind", "text", "raw", "p_red", "p_black"],
-                    ipayload={"i_block": is_block, "i_raw": F.col("raw"), "i_name": F.col("name")})
-    piece = F.struct("pos", F.when(F.col("kind") == "text", F.col("text")).alias("t"), F.col("raw").alias("r"))
-    per = (enc.groupBy("page_id", F.col("a_start").alias("pos"))
-           .agg(F.first("i_block").alias("is_block"), F.first("i_raw").alias("i_raw"),
-                F.first("i_name").alias("i_name"), F.array_sort(F.collect_list(piece)).alias("ps"),
-                F.max("p_black").alias("black"), F.collect_list(F.when(F.col("p_red"), F.col("pos"))).alias("reds")))
-    per = per.select("page_id", "pos", "is_block", "black", "reds",
-                     F.array_join(F.transform("ps", lambda x: x["t"]), "").alias("text"),
-                     F.xxhash64(F.concat(F.col("i_raw"), F.array_join(F.transform("ps", lambda x: x["r"]), ""),
-                                         F.lit("</"), F.col("i_name"), F.lit(">"))).alias("mkey"))
-    # elements with no token inside have no row: add them with empty text
-    own = inner.filter(is_block | is_red).select(
-        "page_id", "pos", is_block.alias("own_block"),
-        F.xxhash64(F.concat(F.col("raw"), F.lit("</"), F.col("name"), F.lit(">"))).alias("own_key"))
-    elems = (own.join(per.drop("is_block"), ["page_id", "pos"], "left")
-             .select("page_id", "pos", F.col("own_block").alias("is_block"), F.coalesce("black", F.lit(False))
-                     .alias("black"), F.coalesce("reds", F.array().cast("array<int>")).alias("reds"),
-                     F.coalesce("text", F.lit("")).alias("text"), F.coalesce("mkey", "own_key").alias("mkey"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    if cached is not None:
-        cached.append(elems)
-    blk = elems.filter("is_block").withColumn(
-        "candidate", (F.size("reds") > 0) & (F.instr(F.col("text"), "NOTE") == 0))
-
-    # the walk: images and blocks in order, one fold per page
-    imgs = inner.filter(is_element("img")).select("page_id", "pos", F.lit(True).alias("is_img"),
-                                                  F.lit(False).alias("candidate"),
-                                                  F.lit(None).cast("long").alias("mkey"))
-    seq = blk.select("page_id", "pos", F.lit(False).alias("is_img"), "candidate", "mkey").unionByName(imgs)
-    seq = seq.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("pos", "is_img", "candidate", "mkey")))
-                                     .alias("seq"))
-    init = F.struct(F.lit(False).alias("after_img"), F.lit(False).alias("found"),
-                    F.array().cast("array<bigint>").alias("seen"),
-                    F.array().cast("array<int>").alias("processed"),
-                    F.array().cast("array<int>").alias("mnemonic"))
-
-    def step(acc, x):
-        processed = ~x["is_img"] & ~acc["found"]
-        is_mn = processed & x["candidate"] & ~F.coalesce(F.array_contains(acc["seen"], x["mkey"]), F.lit(False))
-        return F.struct(
-            (acc["after_img"] | x["is_img"]).alias("after_img"),
-            F.when(x["is_img"], F.lit(False)).otherwise(acc["found"] | (is_mn & acc["after_img"])).alias("found"),
-            F.when(is_mn, F.array_append(acc["seen"], x["mkey"])).otherwise(acc["seen"]).alias("seen"),
-            F.when(processed, F.array_append(acc["processed"], x["pos"])).otherwise(acc["processed"])
-            .alias("processed"),
-            F.when(is_mn, F.array_append(acc["mnemonic"], x["pos"])).otherwise(acc["mnemonic"]).alias("mnemonic"))
-
-    walked = seq.select("page_id", F.aggregate("seq", init, step).alias("w"))
-    flags = walked.select("page_id", F.explode("w.processed").alias("pos"), F.col("w.mnemonic").alias("mn")) \
-        .select("page_id", "pos", F.lit(True).alias("processed"), F.array_contains("mn", F.col("pos")).alias("is_mn"))
-    blocks_out = blk.join(flags, ["page_id", "pos"], "left").select(
-        "page_id", "pos", F.coalesce("processed", F.lit(False)).alias("processed"),
-        F.coalesce("is_mn", F.lit(False)).alias("is_mnemonic"), "text", "reds")
-    reds = elems.filter(~F.col("is_block")).select("page_id", F.col("pos").alias("span_pos"), "text", "black")
-    span_rows = (blocks_out.select("page_id", F.col("pos").alias("block_pos"), F.explode("reds").alias("span_pos"))
-                 .join(reds, ["page_id", "span_pos"])
-                 .select("page_id", "block_pos", F.col("span_pos").alias("pos"), "text", "black"))
-    return blocks_out.drop("reds"), span_rows
-
-
-def highlights(blocks: DataFrame, spans: DataFrame) -> DataFrame:
+    blocks: dict[int, dict] = {}
+    reds: dict[int, dict] = {}
+    sequence: list[dict | None] = []  # blocks, and None for an img
+    around: list[tuple[int, dict, bool]] = []  # end, block or span, is a block
+    for e in els:
+        if not box["pos"] < e["pos"] < box["end_pos"]:
+            continue
+        while around and around[-1][0] <= e["pos"]:
+            around.pop()
+        if e["name"] == "img":
+            sequence.append(None)
+        elif e["name"] in ("p", "figcaption"):
+            block = {"pos": e["pos"], "processed": False, "is_mnemonic": False, "text": text[e["t0"]:e["t1"]],
+                     "markup": html[e["m0"]:e["m_end"]], "spans": []}
+            blocks[e["pos"]] = block
+            sequence.append(block)
+            around.append((e["end_pos"], block, True))
+        elif e["name"] == "span":
+            colours = _colours(e["attrs"])
+            if "#000000" in colours:
+                for _, span, is_block in around:
+                    if not is_block:
+                        span["black"] = True
+            if "#ff0000" in colours:
+                span = {"pos": e["pos"], "text": text[e["t0"]:e["t1"]], "black": False}
+                reds[e["pos"]] = span
+                for _, block, is_block in around:
+                    if is_block:
+                        block["spans"].append(span)
+                around.append((e["end_pos"], span, False))
+    seen: set[str] = set()
+    images, settled = 0, False
+    for block in sequence:
+        if block is None:
+            images, settled = images + 1, False
+        elif not settled:
+            block["processed"] = True
+            if block["spans"] and "NOTE" not in block["text"] and block["markup"] not in seen:
+                seen.add(block["markup"])
+                block["is_mnemonic"], settled = True, images > 0
+    return [b for b in sequence if b is not None]
+
+
+def with_blocks(boxed: DataFrame) -> DataFrame:
+    """Adds ``blocks`` to the output of :func:`select_container`."""
+    schema = T.StructType([*boxed.schema.fields, T.StructField("blocks", _BLOCK_TYPE)])
+    arrow = pa.list_(pa.struct([("pos", pa.int32()), ("processed", pa.bool_()), ("is_mnemonic", pa.bool_()), ("text", pa.string()),
+                                ("spans", pa.list_(pa.struct([("pos", pa.int32()), ("text", pa.string()), ("black", pa.bool_())])))]))
+    wanted = ("img", "p", "figcaption", "span")
+
+    def run(batches):
+        for batch in batches:
+            names = batch.schema.names
+            html, text, els, box = (batch.column(names.index(c)).to_pylist() for c in ("html", "text", "els", "box"))
+            rows = [walk_blocks(h, t, [e for e in x if e["name"] in wanted], b) if b else [] for h, t, x, b in zip(html, text, els, box)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, arrow)], [*names, "blocks"])
+
+    return boxed.mapInArrow(run, schema)
+
+
+def _mnemonic_array() -> Column:
+    return F.transform(F.filter("blocks", lambda b: b["is_mnemonic"]),
+                       lambda b: F.struct(b["pos"].alias("pos"), strip_ws(b["text"]).alias("mnemonic")))
+
+
+def _highlight_array() -> Column:
+    spans = F.flatten(F.transform(F.filter("blocks", lambda b: b["processed"]), lambda b: F.transform(
+        F.filter(b["spans"], lambda s: ~s["black"]),
+        lambda s: F.struct(b["pos"].alias("block_pos"), s["pos"].alias("pos"), strip_ws(s["text"]).alias("highlight")))))
+    return F.filter(spans, lambda s: F.instr(s["highlight"], "NOTE") == 0)
+
+
+def highlights(trees: DataFrame, pred: Predicate = MAIN) -> DataFrame:
     """DOM-5: (page_id, block_pos, pos, highlight) - for each processed block,
     each red span under it without a black span inside and without 'NOTE' in
     its stripped text; text stripped (empty strings kept)."""
-    proc = blocks.filter("processed").select("page_id", F.col("pos").alias("block_pos"))
-    s = spans.join(proc, ["page_id", "block_pos"]).filter(~F.col("black"))
-    s = s.withColumn("highlight", strip_ws(F.col("text"))).filter(F.instr("highlight", "NOTE") == 0)
-    return s.select("page_id", "block_pos", "pos", "highlight")
+    t = with_blocks(select_container(trees, pred))
+    return t.select("page_id", F.explode(_highlight_array()).alias("h")).select("page_id", "h.*")
 
 
-def mnemonic_blocks(blocks: DataFrame) -> DataFrame:
+def mnemonic_blocks(trees: DataFrame, pred: Predicate = MAIN) -> DataFrame:
     """DOM-6: (page_id, pos, mnemonic) - stripped block text."""
-    return blocks.filter("is_mnemonic").select("page_id", "pos", strip_ws(F.col("text")).alias("mnemonic"))
+    t = with_blocks(select_container(trees, pred))
+    return t.select("page_id", F.explode(_mnemonic_array()).alias("m")).select("page_id", "m.*")
 
 
 # ---------------------------------------------------------------- DOM-7
 
 
-def _ordered(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
-    agg = df.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct(*keys, F.col(value).alias("v")))).alias("xs"))
-    return agg.select("page_id", F.transform("xs", lambda x: x["v"]).alias(alias))
-
-
-def extract_lessons(pages: DataFrame, nodes: DataFrame | None = None,
-                    cached: list[DataFrame] | None = None) -> DataFrame:
-    """DOM-7: one record per page that has a ``div#mainContent``:
-    page_id, url, word, definition, mnemonic[], highlighted_text[], images[]
-    (empty lists, not null).
-
-    The node table feeds five extractors, so it is persisted (memory and
-    disk) when built here; lost blocks are recomputed from the page scan.
-    Persisted tables are appended to ``cached`` (when given) so that the
-    caller can unpersist them once the result is written."""
-    if nodes is None:
-        nodes = dom_nodes(pages).persist(StorageLevel.MEMORY_AND_DISK)
-        if cached is not None:
-            cached.append(nodes)
-    box = select_container(nodes)
-    blocks, spans = block_analysis(nodes, cached=cached)
-    mn = _ordered(mnemonic_blocks(blocks), ["pos"], "mnemonic", "mnemonic")
-    hl = _ordered(highlights(blocks, spans), ["block_pos", "pos"], "highlight", "highlighted_text")
-    im = _ordered(page_images(nodes), ["pos"], "image", "images")
-    head = split_heading(nodes)
-    urls = nodes.groupBy("page_id").agg(F.first("url").alias("url"))
-    empty = F.array().cast("array<string>")
-    return (box.select("page_id").join(urls, "page_id").join(head, "page_id", "left")
-            .join(mn, "page_id", "left").join(hl, "page_id", "left").join(im, "page_id", "left")
-            .select("page_id", "url", "word", "definition",
-                    F.coalesce("mnemonic", empty).alias("mnemonic"),
-                    F.coalesce("highlighted_text", empty).alias("highlighted_text"),
-                    F.coalesce("images", empty).alias("images")))
+def extract_lessons(pages: DataFrame, pred: Predicate = MAIN) -> DataFrame:
+    """DOM-7: one record per page that has a container: page_id, url, word,
+    definition, mnemonic[], highlighted_text[], images[] (empty lists, not null).
+    A projection of each page's row: nothing is shuffled or kept."""
+    t = with_blocks(select_container(_with_heading(page_trees(pages)), pred))
+    word, definition = heading_parts()
+    return t.select("page_id", "url", word.alias("word"), definition.alias("definition"),
+                    _mnemonic_array()["mnemonic"].alias("mnemonic"), _highlight_array()["highlight"].alias("highlighted_text"),
+                    image_array()["image"].alias("images"))
 
 
 # ---------------------------------------------------------------- DOM-8/9
 
 
-def next_links(nodes: DataFrame, base: str | None = None, css_class: str = "page-next") -> DataFrame:
+def next_links(trees: DataFrame, base: str | None = None, css_class: str = "page-next") -> DataFrame:
     """DOM-8: (page_id, url, next_url) for every page.  The first
     ``div.page-next``, its first ``a``; href resolved against the page URL
     (or a fixed ``base``).  No div, no a, or no href -> null."""
-    is_box = container_pred("div", css_class=css_class)
-    # one aggregate per page, no window: the first box's interval and the
-    # page's links (a bounded per-page list); pick the first link inside
-    j = nodes.groupBy("page_id").agg(
-        F.first("url").alias("url"),
-        F.min_by(F.struct("pos", "end_pos"), F.when(is_box, F.col("pos"))).alias("box"),
-        F.collect_list(F.when(is_element("a"), F.struct("pos", attr("attrs", "href").alias("href")))).alias("links"))
-    inside_box = F.filter("links", lambda a: (a["pos"] > F.col("box.pos")) & (a["pos"] < F.col("box.end_pos")))
-    first_a = F.array_min(inside_box)
+    t = trees.withColumn("box", first(element("div", css_class=css_class)))
+    box = F.col("box")
+    t = t.withColumn("href", F.when(box.isNotNull(), attr(first(lambda e: (e["name"] == "a") & inside(e, box))["attrs"], "href")))
     base_col = F.lit(base) if base else F.col("url")
-    return j.select("page_id", "url", F.when(first_a["href"].isNotNull(),
-                                             resolve_url(base_col, first_a["href"])).alias("next_url"))
+    return t.select("page_id", "url", F.when(F.col("href").isNotNull(), resolve_url(base_col, F.col("href"))).alias("next_url"))
 
 
-def index_links(nodes: DataFrame, tag: str = "div", css_class: str | None = "grid-menu", base: str | None = None,
+def index_links(trees: DataFrame, pred: Predicate = element(css_class="grid-menu"), base: str | None = None,
                 link_tag: str = "a") -> DataFrame:
-    """DOM-9: every ``a[href]`` inside the first ``tag.css_class`` of each page
-    (or inside the first ``tag`` when ``css_class`` is None), in order,
-    duplicates kept, resolved against ``base`` (or the page URL):
-    (page_id, pos, link)."""
-    pred = container_pred(tag, css_class=css_class) if css_class else is_element(tag)
-    b = with_box(nodes, pred)
-    href = attr("attrs", "href")
-    a = b.filter(is_element(link_tag) & in_box() & href.isNotNull())
+    """DOM-9: (page_id, pos, link) - every ``a[href]`` under an element for which
+    ``pred`` holds (all of them, of any tag), each link once, in order, resolved
+    against ``base`` (or the page URL)."""
+    t = trees.withColumn("boxes", F.filter("els", pred))
+    links = F.filter("els", lambda e: (e["name"] == link_tag) & attr(e["attrs"], "href").isNotNull()
+                     & F.exists("boxes", lambda b: inside(e, b)))
+    a = t.select("page_id", "url", F.explode(links).alias("e"))
     base_col = F.lit(base) if base else F.col("url")
-    return a.select("page_id", "pos", resolve_url(base_col, href).alias("link"))
+    return a.select("page_id", "e.pos", resolve_url(base_col, attr(F.col("e.attrs"), "href")).alias("link"))

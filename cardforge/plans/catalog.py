@@ -339,7 +339,7 @@ def q_dom_nodes(spark, d):
                                                      F.col("depth").cast("int").alias("depth"))
 
 
-_ARTICLE_SQL = f"regexp_extract({fx.CLEAN_HTML_SQL}, '(?s)<article\\b[^>]*>.*?</article\\s*>', 0)"
+_ARTICLE_SQL = "regexp_extract(html, '(?s)<article\\b[^>]*>.*?</article\\s*>', 0)"
 
 
 @query("select_container", f"""
@@ -347,8 +347,8 @@ SELECT page_id, CAST(length(a) AS INTEGER) AS n_chars, md5(a) AS container_md5
 FROM (SELECT page_id, {_ARTICLE_SQL} AS a FROM pages) WHERE a <> ''""")
 def q_select_container(spark, d):
     """DOM-2: the first container element (here ``article``) of each page."""
-    n = dom.dom_nodes(fx.table(spark, d, "pages"), depth=False)
-    c = dom.container_markup(n, dom.is_element("article"))
+    t = dom.page_trees(fx.table(spark, d, "pages"))
+    c = dom.container_markup(t, dom.element("article"))
     return c.select("page_id", F.length("container_html").alias("n_chars"),
                     F.md5("container_html").alias("container_md5"))
 
@@ -362,12 +362,11 @@ SELECT p_partkey AS page_id,
 FROM part""")
 def q_split_heading(spark, d):
     """DOM-3: word / definition from the first h1 (dash rules, next sibling)."""
-    n = dom.dom_nodes(fx.heading_pages(spark, d))
-    return dom.split_heading(n)
+    return dom.split_heading(dom.page_trees(fx.heading_pages(spark, d)))
 
 
-def _block_nodes(spark, d):
-    return dom.dom_nodes(fx.block_pages(spark, d))
+def _block_trees(spark, d):
+    return dom.page_trees(fx.block_pages(spark, d))
 
 
 @query("page_images", """
@@ -377,7 +376,7 @@ SELECT p_partkey // 50 AS page_id,
 FROM part WHERE (p_partkey + 2) % 5 = 0""")
 def q_page_images(spark, d):
     """DOM-4: container images, resolved, in order."""
-    im = dom.page_images(_block_nodes(spark, d))
+    im = dom.page_images(_block_trees(spark, d))
     return _ordinal(im, "page_id", ["pos"]).select("page_id", "ordinal", "image")
 
 
@@ -387,8 +386,7 @@ SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) AS BIGI
 FROM bmn""")
 def q_highlights(spark, d):
     """DOM-5: red-span highlights of the processed blocks."""
-    b, s = dom.block_analysis(_block_nodes(spark, d))
-    h = dom.highlights(b, s)
+    h = dom.highlights(_block_trees(spark, d))
     return _ordinal(h, "page_id", ["block_pos", "pos"]).select("page_id", "ordinal", "highlight")
 
 
@@ -398,8 +396,7 @@ SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) AS BIGI
 FROM bmn""")
 def q_mnemonic_blocks(spark, d):
     """DOM-6: first qualifying block per image segment (all before the first image)."""
-    b, _ = dom.block_analysis(_block_nodes(spark, d))
-    m = dom.mnemonic_blocks(b)
+    m = dom.mnemonic_blocks(_block_trees(spark, d))
     return _ordinal(m, "page_id", ["pos"]).select("page_id", "ordinal", "mnemonic")
 
 
@@ -438,8 +435,8 @@ FROM orders"""
 @query("next_links", _NEXT_SQL)
 def q_next_links(spark, d):
     """DOM-8: the next-page link of every page, resolved."""
-    n = dom.dom_nodes(fx.chain_pages(spark, d), depth=False)
-    return dom.next_links(n).select("page_id", "next_url")
+    t = dom.page_trees(fx.chain_pages(spark, d))
+    return dom.next_links(t).select("page_id", "next_url")
 
 
 @query("index_links", f"""
@@ -451,8 +448,8 @@ SELECT page_id, CAST(i + 1 AS BIGINT) AS ordinal, 'https://site.example.net' ||
 FROM flat""")
 def q_index_links(spark, d):
     """DOM-9: every link of the first nav block, resolved against a fixed base."""
-    n = dom.dom_nodes(fx.table(spark, d, "pages"), depth=False)
-    links = dom.index_links(n, tag="nav", css_class=None, base="https://site.example.net/")
+    t = dom.page_trees(fx.table(spark, d, "pages"))
+    links = dom.index_links(t, dom.element("nav"), base="https://site.example.net/")
     return _ordinal(links, "page_id", ["pos"]).select("page_id", "ordinal", "link")
 
 
@@ -496,9 +493,7 @@ def q_resolve_url(spark, d):
 # ================================================================ traversal (TRV-1..5)
 
 def _chain_links(spark, d):
-    # link extraction needs element intervals only, not depth / parent
-    n = dom.dom_nodes(fx.chain_pages(spark, d), depth=False)
-    return dom.next_links(n).select("url", "next_url")
+    return dom.next_links(dom.page_trees(fx.chain_pages(spark, d))).select("url", "next_url")
 
 
 def _urgent_seeds(spark, d):
@@ -570,20 +565,21 @@ def q_crawl_all(spark, d):
 
 # ================================================================ model requests (EXT-1, EXT-2)
 
-_TEMPLATES_SQL = " UNION ALL ".join(f"SELECT '{t}' AS template" for t in extraction.TEMPLATES)
+# Which template the pages of a seed list (here a language folder) are asked with
+ROUTES = [("/de/", "vocab"), ("/fr/", "names"), ("/es/", "multiple")]
+_ROUTE_SQL = "CASE " + " ".join(f"WHEN contains(url, '{p}') THEN '{t}'" for p, t in ROUTES) + " ELSE 'general' END"
 
 
 @query("extraction_requests", f"""
-WITH a AS (SELECT page_id, url, {_ARTICLE_SQL} AS input FROM pages),
-t AS ({_TEMPLATES_SQL})
-SELECT sha256(t.template || chr(1) || a.url || chr(1) || a.input) AS request_id, a.page_id, t.template,
-       CAST(length(a.input) AS INTEGER) AS n_input
-FROM a CROSS JOIN t""")
+WITH a AS (SELECT page_id, url, {_ROUTE_SQL} AS template, {_ARTICLE_SQL} AS input FROM pages)
+SELECT sha256(template || chr(1) || url || chr(1) || input) AS request_id, page_id, template,
+       CAST(length(input) AS INTEGER) AS n_input, md5(input) AS input_md5
+FROM a""")
 def q_extraction_requests(spark, d):
-    """EXT-1: one request per page and template; input = container markup."""
-    n = dom.dom_nodes(fx.table(spark, d, "pages"), depth=False)
-    r = extraction.extraction_requests(n, extraction.template_table(spark), dom.is_element("article"))
-    return r.select("request_id", "page_id", "template", F.length("input").alias("n_input"))
+    """EXT-1: one request per page by its seed list's template; input = container markup."""
+    t = dom.page_trees(fx.table(spark, d, "pages"))
+    r = extraction.extraction_requests(t, ROUTES, pred=dom.element("article"))
+    return r.select("request_id", "page_id", "template", F.length("input").alias("n_input"), F.md5("input").alias("input_md5"))
 
 
 def _conversation_tables(spark, d):

@@ -9,7 +9,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +23,7 @@ def heading_subject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     definition from their first h1, and a total row (``level`` 1)."""
     apply_conf(spark)
     pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
-    head = dom.split_heading(dom.dom_nodes(pages))
+    head = dom.split_heading(dom.page_trees(pages))
     j = pages.select("page_id", subject_of("url").alias("subject")).join(head, "page_id", "left")
     return (j.rollup("subject")
             .agg(F.count(F.lit(1)).alias("n_pages"), F.count("word").alias("n_with_word"),
@@ -35,12 +34,10 @@ def rule_scrape(pages: DataFrame, seeds: DataFrame) -> DataFrame:
     """E1: lessons of every page reached from the seeds (each seed walks its
     own chain; pages reached from several seeds are extracted once and
     reported once per seed)."""
-    nodes = dom.dom_nodes(pages).persist(StorageLevel.MEMORY_AND_DISK)
-    links = dom.next_links(nodes).select("url", "next_url")
+    links = dom.next_links(dom.page_trees(pages)).select("url", "next_url")
     walks = crawl.follow_chain(links, seeds)
     reached = walks.select("url").distinct()
-    scope = nodes.join(reached, "url", "left_semi")
-    lessons = dom.extract_lessons(pages, scope)
+    lessons = dom.extract_lessons(pages.join(reached, "url", "left_semi"))
     return walks.join(lessons, "url")
 
 

@@ -51,105 +51,3 @@ def walk(html):
     w = Walker()
     w.feed(html)
     return w.finish()
-
-
-class Node:
-    def __init__(self, name, attrs, parent):
-        self.name, self.attrs, self.parent, self.children = name, dict(attrs), parent, []
-
-    def descendants(self):
-        for c in self.children:
-            if isinstance(c, Node):
-                yield c
-                yield from c.descendants()
-
-    @property
-    def text(self):
-        return "".join(c if isinstance(c, str) else c.text for c in self.children)
-
-    def key(self):
-        return (self.name, tuple(sorted(self.attrs.items())),
-                tuple(c if isinstance(c, str) else c.key() for c in self.children))
-
-
-class TreeBuilder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = Node("[document]", [], None)
-        self.stack = [self.root]
-
-    def handle_starttag(self, tag, attrs):
-        n = Node(tag, [(k, v if v is not None else "") for k, v in attrs], self.stack[-1])
-        self.stack[-1].children.append(n)
-        if tag not in VOID:
-            self.stack.append(n)
-
-    def handle_startendtag(self, tag, attrs):
-        n = Node(tag, [(k, v if v is not None else "") for k, v in attrs], self.stack[-1])
-        self.stack[-1].children.append(n)
-
-    def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].name == tag:
-                del self.stack[i:]
-                return
-
-    def handle_data(self, data):
-        if self.stack[-1].name in ("script", "style"):
-            return
-        self.stack[-1].children.append(data)
-
-
-def tree(html):
-    b = TreeBuilder()
-    b.feed(html)
-    b.close()
-    return b.root
-
-
-def ref_lesson(url, html):
-    """Brute-force rule extractor over the tree (same rules as the operator)."""
-    from urllib.parse import urljoin
-    root = tree(html)
-    word = definition = None
-    h1 = next((n for n in root.descendants() if n.name == "h1"), None)
-    if h1 is not None:
-        t = h1.text.strip().replace("\xa0", " ")
-        if " – " in t:
-            word, definition = t.split(" – ", 1)
-        elif " - " in t:
-            word, definition = t.split(" - ", 1)
-        else:
-            word = h1.text.strip()
-            sibs = h1.parent.children
-            i = sibs.index(h1)
-            nxt = next((c for c in sibs[i + 1:] if isinstance(c, Node)), None)
-            if nxt is not None:
-                definition = nxt.text.strip()
-    main = next((n for n in root.descendants() if n.name == "div" and n.attrs.get("id") == "mainContent"), None)
-    if main is None:
-        return None
-    last_img, found = None, False
-    mnemonics, highlighted, seen, images = [], [], set(), []
-
-    def red(el, color):
-        return el.name == "span" and "style" in el.attrs and color in el.attrs["style"].replace(" ", "").lower()
-
-    for tag in main.descendants():
-        if tag.name == "img":
-            if tag.attrs.get("src"):
-                images.append(urljoin(url, tag.attrs["src"]))
-            last_img, found = tag, False
-        elif tag.name in ("p", "figcaption") and not found:
-            reds = [e for e in tag.descendants() if red(e, "#ff0000")]
-            for e in reds:
-                if not any(red(x, "#000000") for x in e.descendants()):
-                    if "NOTE" not in e.text.strip():
-                        highlighted.append(e.text.strip())
-            if reds and tag.key() not in seen and "NOTE" not in tag.text.strip():
-                seen.add(tag.key())
-                mnemonics.append(tag.text.strip())
-                if last_img is not None:
-                    found = True
-    return {"url": url, "word": word, "definition": definition, "mnemonic": mnemonics,
-            "highlighted_text": highlighted, "images": images}

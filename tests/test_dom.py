@@ -1,8 +1,11 @@
 """DOM operators against a brute-force tree walk of the same rules."""
 
-from htmlwalk import ref_lesson, walk
+from htmlwalk import walk
 
-from cardforge.operators.dom import dom_nodes, extract_lessons, index_links, next_links
+from pyspark.sql import functions as F
+
+from cardforge.operators.dom import (container_markup, dom_nodes, element, extract_lessons, index_links, next_links, page_trees,
+                                     select_container)
 
 R = 'style="color:#ff0000"'
 B = 'style="color: #000000"'
@@ -64,17 +67,43 @@ def test_dom_nodes_match_stack_walk(spark):
         assert got == [(e["name"], e["end"], e["depth"]) for e in ref], i
 
 
-def test_extract_lessons_matches_tree_walk(spark):
+# word, definition, mnemonic, highlighted_text, images of each page above (None: no container, no record)
+SITE = "https://site.example.net/chemistry/topic/"
+LESSONS = [
+    ("Apple", "a fruit", [], [], []),
+    ("Pear", "green fruit", [], [], []),
+    ("A", "B – C", [], [], []),
+    ("co-op", "shared shop", [], [], []),
+    ("A–B", "", [], [], []),
+    ("x", "y - z", [], [], []),
+    ("Lonely", "", [], [], []),
+    ("Word with nbsp", "def", [], [], []),
+    ("Nested bold head", "next sib", [], [], []),
+    ("First", "Second – x", [], [], []),
+    (None, None, ["no h1"], ["no h1"], []),
+    ("b", "onetwo", ["one", "two"], ["one", "two"], []),
+    ("b", "onetwo", ["one"], ["one"], [SITE + "a.png"]),
+    ("b", "nosrcskip", ["nosrc"], ["nosrc"], []),
+    ("b", "NOTE this morekept", ["kept"], ["kept"], ["https://site.example.net/i/x y.jpg"]),
+    ("b", "samesame", ["same"], ["same", "same"], []),
+    ("b", "cap inner", ["cap inner", "inner"], ["inner", "inner"], []),
+    ("b", "cap inner", ["cap inner"], ["inner"], [SITE + "a.png"]),
+    ("b", "red black tail", ["red black tail"], [], []),
+    ("b", "outer inner", ["outer inner"], ["outer inner", "inner"], []),
+    ("b", "capsbg", ["caps", "bg", ""], ["caps", "bg", ""], []),
+    ("b", "plain", [], [], [SITE + "d.png", SITE + "d.png"]),
+    ("b", "ABB", ["A", "B"], ["A", "B"], [SITE + "a.png", SITE + "b.png"]),
+    ("b", "dupdupafter", ["dup", "after"], ["dup", "dup", "after"], [SITE + "c.png"]),
+    ("b", "unclosed redsecond r2", ["unclosed redsecond r2", "second r2"], ["red", "r2", "r2"], []),
+    None,
+    ("b", "inner container", ["inner container"], ["inner container"], []),
+]
+
+
+def test_extract_lessons(spark):
     df = spark.createDataFrame([(i, URL, h) for i, h in enumerate(PAGES)], "page_id long, url string, html string")
-    got = {r.page_id: r.asDict() for r in extract_lessons(df).collect()}
-    for i, h in enumerate(PAGES):
-        ref = ref_lesson(URL, h)
-        if ref is None:
-            assert i not in got, i
-            continue
-        mine = dict(got[i])
-        mine.pop("page_id")
-        assert mine == ref, (i, mine, ref)
+    got = {r.page_id: tuple(r)[2:] for r in extract_lessons(df).collect()}
+    assert got == {i: x for i, x in enumerate(LESSONS) if x}
 
 
 def test_links(spark):
@@ -82,23 +111,40 @@ def test_links(spark):
             "</ul></nav><div class='x page-next'><span><a href='../next.html'>n</a></span><a href='z'>z</a></div>"
             "</body></html>")
     df = spark.createDataFrame([(1, URL, html), (2, URL, "<p>none</p>")], "page_id long, url string, html string")
-    nodes = dom_nodes(df)
-    nl = {r.page_id: r.next_url for r in next_links(nodes).collect()}
+    trees = page_trees(df)
+    nl = {r.page_id: r.next_url for r in next_links(trees).collect()}
     assert nl == {1: "https://site.example.net/chemistry/next.html", 2: None}
-    links = [r.link for r in index_links(nodes, "nav", None, "https://site.example.net").orderBy("pos").collect()]
+    links = [r.link for r in index_links(trees, element("nav"), "https://site.example.net").orderBy("pos").collect()]
     assert links == ["https://site.example.net/a", "https://site.example.net/b/c"]
 
 
-def test_element_text_and_container(spark):
-    from cardforge.operators.dom import element_text, is_element, select_container
-    html = ("<html><body><div id='mainContent'><p>a <b>b&amp;c</b></p><p></p></div>"
+def test_containers_and_markup(spark):
+    html = ("<html><body><div id='mainContent'><p>a <b>b&amp;c</b></p><!-- kept --><script>if (a<b) x='</div>'</script></div>"
             "<div id='mainContent'>second</div></body></html>")
-    df = spark.createDataFrame([(1, URL, html)], "page_id long, url string, html string")
-    nodes = dom_nodes(df)
-    got = [(r.text, r.markup) for r in element_text(nodes, is_element("p"), with_markup=True).orderBy("pos").collect()]
-    assert got == [("a b&c", "<p>a <b>b&amp;c</b></p>"), ("", "<p></p>")]
-    box = select_container(nodes).collect()
-    assert len(box) == 1 and box[0].c_depth == 2
+    pages = [(1, URL, html), (2, URL, "<p>none</p>"), (3, URL, None), (4, URL, "<!-- only -->"), (5, URL, "<p>a<div id='mainContent'>x</p>")]
+    trees = page_trees(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    inner = "<p>a <b>b&amp;c</b></p><!-- kept --><script>if (a<b) x='</div>'</script>"
+    got = {r.page_id: r.container_html for r in container_markup(trees).collect()}
+    assert got == {1: f"<div id='mainContent'>{inner}</div>", 5: "<div id='mainContent'>x"}
+    got = {r.page_id: r.container_html for r in container_markup(trees, on_missing="empty").collect()}
+    assert got == {1: f"<div id='mainContent'>{inner}</div>", 2: "", 3: "", 4: "", 5: "<div id='mainContent'>x"}
+    assert select_container(trees, on_missing="empty").count() == 5
+
+
+def test_index_links_of_every_container(spark):
+    html = ("<div class='grid-menu'><a href='1'>x</a></div><a href='no'>x</a><ul class='a grid-menu'><li><a href='2'>x</a><a>y</a></ul>"
+            "<div class='grid-menu'><div class='grid-menu'><a href='3'>x</a></div><a href='3'>again</a></div>")
+    trees = page_trees(spark.createDataFrame([(1, "https://h/x/", html)], "page_id long, url string, html string"))
+    assert [r.link for r in index_links(trees).orderBy("pos").collect()] == ["https://h/x/1", "https://h/x/2", "https://h/x/3", "https://h/x/3"]
+
+
+def test_long_input(spark):
+    pages = ["<p title=" + "x" * 300_000 + ">a</p>", "<a " * 2000 + "text", "<p>" * 5000 + "deep", "&amp;" * 100_000, "<!--" + "x" * 300_000,
+             "<b " + "c='d' " * 50_000 + ">t</b>"]
+    df = spark.createDataFrame([(i, URL, h) for i, h in enumerate(pages)], "page_id long, url string, html string")
+    n = {r.page_id: r.n for r in dom_nodes(df).groupBy("page_id").agg(F.count("*").alias("n")).collect()}
+    assert n[0] == 3 and n[2] == 5001 and n[3] == 1 and n[5] == 3
+    assert page_trees(df).where("page_id = 3").first().text == "&" * 100_000
 
 
 MISNESTED = ["<p>a<div><p>b</div><i>c</i></p>", "<b><i>x</b><u>y</u></i>",
@@ -107,13 +153,13 @@ MISNESTED = ["<p>a<div><p>b</div><i>c</i></p>", "<b><i>x</b><u>y</u></i>",
              "</i><p><div><div></p><b></b></i>x<i><p><p></div><b>"]
 
 
-def _fuzz(n, seed=7):
+def _fuzz(n, seed=7, lo=3, hi=14):
     import random
     rnd = random.Random(seed)
     out = []
     for _ in range(n):
         toks = []
-        for _ in range(rnd.randint(3, 14)):
+        for _ in range(rnd.randint(lo, hi)):
             r, t = rnd.random(), rnd.choice(["p", "div", "b", "i"])
             toks.append(f"<{t}>" if r < 0.5 else (f"</{t}>" if r < 0.85 else "x"))
         out.append("".join(toks))
@@ -121,7 +167,7 @@ def _fuzz(n, seed=7):
 
 
 def test_misnested_tags_match_html_parser(spark):
-    cases = MISNESTED + _fuzz(120)
+    cases = MISNESTED + _fuzz(300) + _fuzz(2000, 8, 30, 80)
     df = spark.createDataFrame([(i, URL, h) for i, h in enumerate(cases)], "page_id long, url string, html string")
     rows = dom_nodes(df).filter("kind = 'start'").select("page_id", "pos", "name", "end_pos", "depth").collect()
     by = {}
@@ -135,35 +181,39 @@ def test_misnested_tags_match_html_parser(spark):
 
 
 def _random_lesson(rnd):
-    parts = []
-    for _ in range(rnd.randint(2, 12)):
-        r = rnd.random()
+    """A page of image, red, NOTE, dark and plain parts, and what its rules give:
+    before the first image each new red block counts, after it one an image."""
+    parts, mnemonics, marks, images, seen = [], [], [], [], set()
+    behind_image = counted = False
+    for _ in range(rnd.randint(2, 14)):
         word = rnd.choice(["alpha", "beta", "gamma"])
-        if r < 0.2:
-            parts.append(f"<img src='/i/{word}.png'>" if rnd.random() < 0.8 else "<img>")
-        elif r < 0.5:
-            parts.append(f"<p><span {R}>{word}</span> tail</p>")
-        elif r < 0.6:
-            parts.append(f"<p><span {R}>NOTE {word}</span></p>")
-        elif r < 0.7:
-            parts.append(f"<figcaption>cap <p><span {R}>{word}</span></p></figcaption>")
-        elif r < 0.8:
-            parts.append(f"<p><span {R}>{word} <span {B}>dark</span></span></p>")
-        else:
-            parts.append(f"<p>plain {word}</p>")
-    return _page("<h1>Rand – x</h1>", "".join(parts))
+        kind = rnd.choice(["image", "red", "red", "note", "dark", "plain"])
+        if kind == "image":
+            parts.append(f"<img src='/i/{word}.png'>")
+            images.append(f"https://site.example.net/i/{word}.png")
+            behind_image, counted = True, False
+            continue
+        text = {"red": f"<span {R}>{word}</span> tail", "note": f"<span {R}>NOTE {word}</span>",
+                "dark": f"<span {R}>{word} <span {B}>dark</span></span>", "plain": f"plain {word}"}[kind]
+        parts.append(f"<p>{text}</p>")
+        if counted:
+            continue
+        if kind == "red":
+            marks.append(word)
+        if kind in ("red", "dark") and text not in seen:
+            seen.add(text)
+            mnemonics.append(f"{word} tail" if kind == "red" else f"{word} dark")
+            counted = behind_image
+    return _page("<h1>Rand – x</h1>", "".join(parts)), ("Rand", "x", mnemonics, marks, images)
 
 
 def test_extract_lessons_random_pages(spark):
     import random
     rnd = random.Random(11)
-    pages = [_random_lesson(rnd) for _ in range(60)]
-    df = spark.createDataFrame([(i, URL, h) for i, h in enumerate(pages)], "page_id long, url string, html string")
-    got = {r.page_id: r.asDict() for r in extract_lessons(df).collect()}
-    for i, h in enumerate(pages):
-        mine = dict(got[i])
-        mine.pop("page_id")
-        assert mine == ref_lesson(URL, h), (i, h)
+    pages = [_random_lesson(rnd) for _ in range(200)]
+    df = spark.createDataFrame([(i, URL, h) for i, (h, _) in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: tuple(r)[2:] for r in extract_lessons(df).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(pages)}
 
 
 def test_attributes_and_self_closing_random(spark):

@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from cardforge.functions.urls import subject_of
-from cardforge.operators.dom import dom_nodes
+from cardforge.operators.dom import dom_nodes, extract_lessons, next_links, page_trees
 from cardforge.operators.items import number_items
 
 PAGES = "/root/testdata/sf0.001/pages.parquet"
@@ -15,11 +15,11 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_dom_nodes_shuffles_pages_once(spark):
-    plan = _plan(dom_nodes(spark.read.parquet(PAGES)))
-    hash_exchanges = re.findall(r"Exchange hashpartitioning\(page_id", plan)
-    assert len(hash_exchanges) == 1, plan
-    assert "SinglePartition" not in plan
+def test_page_structure_is_found_without_a_shuffle(spark):
+    pages = spark.read.parquet(PAGES)
+    for df in (dom_nodes(pages), extract_lessons(pages), next_links(page_trees(pages))):
+        plan = _plan(df)
+        assert "Exchange" not in plan and "Window" not in plan and "Join" not in plan, plan
 
 
 def test_projection_prunes_html(spark):

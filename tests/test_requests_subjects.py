@@ -2,28 +2,31 @@
 
 from pyspark.sql import functions as F
 
-from cardforge.operators.dom import dom_nodes, has_class, attr
-from cardforge.operators.extraction import TEMPLATES, attach_responses, extraction_requests, template_table
+from cardforge.operators.dom import attr, dom_nodes, has_class, page_trees
+from cardforge.operators.extraction import TEMPLATES, attach_responses, extraction_requests
 from cardforge.operators.items import records_to_items
 from cardforge.operators.subjects import group_by_subject, subject_counts
 
 
 def test_requests_keep_pages_without_container(spark):
-    html = "<html><body><div id='mainContent'><p>x</p></div></body></html>"
-    pages = spark.createDataFrame([(1, "https://a.example/c/1", html), (2, "https://a.example/c/2", "<p>none</p>")],
-                                  "page_id long, url string, html string")
-    req = extraction_requests(dom_nodes(pages), template_table(spark))
-    rows = req.collect()
-    assert len(rows) == 2 * len(TEMPLATES)
-    inputs = {(r.page_id, r.template): r.input for r in rows}
-    assert inputs[(1, "general")] == "<div id='mainContent'><p>x</p></div>"
-    assert inputs[(2, "names")] == ""
-    assert len({r.request_id for r in rows}) == len(rows)
-    resp = spark.createDataFrame([(rows[0].request_id, '```json\n[{"term": "x"}]\n```')],
+    html = "<html><body><div id='mainContent'><p>x</p><!-- c --></div></body></html>"
+    pages = spark.createDataFrame([(1, "https://a.example/c/1", html), (2, "https://a.example/names/2", "<p>none</p>"),
+                                   (3, "https://a.example/c/3", None)], "page_id long, url string, html string")
+    req = extraction_requests(page_trees(pages), [("/names/", "names")])
+    rows = {r.page_id: r for r in req.collect()}
+    assert {i: (r.template, r.input) for i, r in rows.items()} == {
+        1: ("general", "<div id='mainContent'><p>x</p><!-- c --></div>"), 2: ("names", ""), 3: ("general", "")}
+    assert all(r.instructions == TEMPLATES[r.template] for r in rows.values())
+    assert len({r.request_id for r in rows.values()}) == 3
+    only = extraction_requests(page_trees(pages), [("/names/", "names")], default=None).collect()
+    assert [r.page_id for r in only] == [2]
+    resp = spark.createDataFrame([(rows[i].request_id, '```json\n[{"term": "x"}]\n```') for i in (1, 3)],
                                  "request_id string, output_text string")
     answered, unanswered = attach_responses(req, resp)
-    assert answered.count() == 1 and unanswered.count() == len(rows) - 1
+    assert sorted(r.page_id for r in answered.collect()) == [1, 3] and [r.page_id for r in unanswered.collect()] == [2]
     assert answered.first().concept_and_mnemonic.startswith("```json")
+    answered, unanswered = attach_responses(req, resp, on_missing="stop")
+    assert [r.page_id for r in answered.collect()] == [1] and sorted(r.page_id for r in unanswered.collect()) == [2, 3]
 
 
 def test_subject_ordinals_and_counts(spark):
