@@ -20,12 +20,14 @@ from pyspark.sql import functions as F
 from cardforge.functions._col import as_col, let
 from cardforge.functions.fences import strip_fence, wrap_fence
 from cardforge.functions.text import is_blank, strip_ws
+from cardforge.session import materialize
 
 TEXT = "concept_and_mnemonic"
 
 
-# a JSON string literal (escapes included), and anything that is not a bracket
-_STRING_RE = r'"(?:[^"\\]|\\.)*"'
+# a JSON string literal (escapes included), and anything that is not a bracket;
+# possessive: Java's engine would recurse once a repetition and overflow on long strings
+_STRING_RE = r'"(?:[^"\\]++|\\.)*+"'
 _NOT_BRACKET_RE = r"[^\[\]{}]"
 
 
@@ -84,8 +86,8 @@ def parse_items(records: DataFrame, mode: str = "strict", text_col: str = TEXT)
     """JSN-5: clean the fence (``mode``) and parse.  Returns
     ``(parsed, rejects)``: parsed rows gain ``value`` (VARIANT); rejects are
     ``(row_no, url, raw, reason='invalid_json')``.  A reject does not stop the
-    batch."""
-    withv = records.withColumn("value", try_parse_value(strip_fence(F.col(text_col), mode)))
+    batch.  The parsed table is written once and both results read it."""
+    withv = materialize(records.withColumn("value", try_parse_value(strip_fence(F.col(text_col), mode))), "parsed")
     rejects = withv.filter(F.col("value").isNull()).select(
         "row_no", "url", F.col(text_col).alias("raw"), F.lit("invalid_json").alias("reason"))
     return withv.filter(F.col("value").isNotNull()), rejects
@@ -99,7 +101,8 @@ def explode_items(parsed: DataFrame, keep: list[str] | None = None) -> DataFrame
 
 
 def records_to_items(records: DataFrame, mode: str = "strict", text_col: str = TEXT) -> tuple[DataFrame, DataFrame]:
-    """JSN-7 -> JSN-5 -> JSN-6/8 as one call: ``(items, rejects)``."""
+    """JSN-7 -> JSN-5 -> JSN-6/8 as one call: ``(items, rejects)``.  Each record
+    is cleaned and parsed once."""
     kept, missing = drop_incomplete(records, text_col=text_col)
     parsed, bad = parse_items(kept, mode, text_col)
     return explode_items(parsed), missing.unionByName(bad)
@@ -150,28 +153,43 @@ def validity_report(records: DataFrame, text_col: str = TEXT) -> DataFrame:
 
 # ---------------------------------------------------------------- NUM-1
 
-BUCKET_BITS = 16
-
-
-def prefix_offsets(df: DataFrame, order_col: str, n_col: str, keys: list[str] | None = None) -> DataFrame:
-    """Exclusive running sum of ``n_col`` in ``order_col`` order (within
-    ``keys``), without a single-partition window over the rows.
-
-    Rows are cut into buckets of 2^16 consecutive ``order_col`` values.  Per
-    bucket totals (a table 65,536x smaller than the input) get their running
-    sum in one small window; each row adds its bucket's offset to a running
-    sum inside its bucket, a group of at most 2^16 rows.  ``order_col`` must be
-    unique within ``keys``.  Adds ``offset``.
-    """
-    keys = keys or []
-    b = df.withColumn("_bucket", F.shiftright(F.col(order_col), BUCKET_BITS))
-    totals = b.groupBy(*keys, "_bucket").agg(F.sum(n_col).alias("_bt"))
-    wb = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("_boff", F.coalesce(F.sum("_bt").over(wb), F.lit(0))).drop("_bt")
-    wr = Window.partitionBy(*keys, "_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    b = b.withColumn("_roff", F.coalesce(F.sum(n_col).over(wr), F.lit(0)))
-    return (b.join(totals, [*keys, "_bucket"]).withColumn("offset", (F.col("_boff") + F.col("_roff")).cast("long"))
-            .drop("_bucket", "_boff", "_roff"))
+_LOW = (1 << 33) - 1
+
+
+def _placed(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` sorted over range partitions and written once, with ``_part`` (the
+    partition's place) and ``_at`` (the row's place in it).  Bounds follow the data: any spacing of keys gives even parts, and
+    a key that holds most rows spreads over many."""
+    p = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    p = materialize(p, "ordered")
+    return p.withColumn("_part", F.shiftright("_id", 33)).withColumn("_at", F.col("_id").bitwiseAND(F.lit(_LOW))).drop("_id")
+
+
+def ordinals(df: DataFrame, keys: list[str], order: list[str], name: str = "ordinal") -> DataFrame:
+    """``df`` with its 1-based place by ``order`` within ``keys``.  One range
+    shuffle; windows run over one row a partition, and over nothing else."""
+    p = _placed(df, [*keys, *order])
+    sizes = p.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_before"))
+    ranked = p.join(before, "_part").withColumn("_rank", F.col("_before") + F.col("_at"))
+    if keys:
+        start = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+        base = ranked.groupBy(*start).agg(F.min("_rank").alias("_base"))
+        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+        ranked = ranked.join(base, same).withColumn("_rank", F.col("_rank") - F.col("_base")).drop("_base", *[f"_k{i}" for i in range(len(keys))])
+    return ranked.withColumn(name, F.col("_rank") + 1).drop("_rank", "_before", "_part", "_at")
+
+
+def prefix_offsets(df: DataFrame, order_col: str, n_col: str) -> DataFrame:
+    """``(order_col, offset)``: the exclusive running sum of ``n_col`` in order of
+    the unique ``order_col``.  Running sums are taken inside range partitions, and
+    over the totals of the partitions."""
+    p = _placed(df.select(order_col, n_col), [order_col])
+    inside = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    totals = p.groupBy("_part").agg(F.sum(n_col).alias("n"))
+    before = totals.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_before"))
+    p = p.withColumn("_inside", F.coalesce(F.sum(n_col).over(inside), F.lit(0))).join(before, "_part")
+    return p.select(order_col, (F.col("_before") + F.col("_inside")).cast("long").alias("offset"))
 
 
 def number_items(records: DataFrame, mode: str = "symmetric", text_col: str = TEXT) -> tuple[DataFrame, DataFrame]:
@@ -185,27 +203,29 @@ def number_items(records: DataFrame, mode: str = "symmetric", text_col: str = TE
     * unparseable rows: kept untouched, no numbers
 
     Returns ``(rows, items)``: rows ``(row_no, url, concept_and_mnemonic)``
-    and items ``(row_no, pos, count)`` for the numbered items.
+    and items ``(row_no, pos, count)`` for the numbered items.  Each record is
+    parsed once (the parsed table is written).
     """
     v = try_parse_value(strip_fence(F.col(text_col), mode))
-    r = records.withColumn("value", v)
+    r = records.select("row_no", "url", F.col(text_col).alias("text"), v.alias("value"))
     is_list = is_json_array(F.col("value"))
-    arr = F.try_variant_get(F.col("value"), "$", "array<variant>")
-    objflags = F.transform(arr, lambda x: is_json_object(x))
-    r = (r.withColumn("objflags", F.when(is_list, objflags))
-         .withColumn("n", F.when(is_list, F.size(F.filter("objflags", lambda f: f))).otherwise(F.lit(0))))
-    kept = r.filter(F.col("value").isNull() | is_list)
-    numbered = prefix_offsets(kept, "row_no", "n")
-    # k-th object of the row gets offset + k
-    rank_in_row = F.transform(F.col("objflags"), lambda f, i: F.when(
-        f, F.size(F.filter(F.slice(F.col("objflags"), 1, i + 1), lambda g: g))))
-    numbered = numbered.withColumn("ranks", rank_in_row)
-    counted = F.transform(F.arrays_zip(arr.alias("v"), F.col("ranks").alias("k")), lambda z: F.when(
-        z["k"].isNull(), z["v"]).otherwise(_with_key(z["v"], "count", F.col("offset") + z["k"])))
-    new_text = F.when(is_list, rewrap(F.to_json(counted))).otherwise(F.col(text_col))
+    arr = F.when(is_list, F.try_variant_get(F.col("value"), "$", "array<variant>"))
+    # places of the elements that are no objects: few or none
+    other = F.filter(F.transform(F.col("arr"), lambda x, i: F.when(~is_json_object(x), i)), lambda i: i.isNotNull())
+    r = r.select("row_no", "url", "text", is_list.alias("is_list"), F.col("value").isNull().alias("bad"), arr.alias("arr"))
+    r = materialize(r.withColumn("other", other), "parsed").where("bad or is_list")
+    n = r.select("row_no", F.when(F.col("is_list"), F.size("arr") - F.size("other")).otherwise(0).alias("n"))
+    numbered = r.join(prefix_offsets(n, "row_no", "n"), "row_no")
+
+    def number(i):
+        return F.when(~F.array_contains("other", i), F.col("offset") + i + 1 - F.size(F.filter("other", lambda o: o < i)))
+
+    counted = F.transform(F.col("arr"), lambda x, i: F.when(is_json_object(x), _with_key(x, "count", number(i))).otherwise(x))
+    new_text = F.when(F.col("is_list"), rewrap(F.to_json(counted))).otherwise(F.col("text"))
     rows = numbered.select("row_no", "url", new_text.alias(text_col))
-    items = numbered.filter(is_list).select("row_no", F.posexplode("ranks").alias("pos", "k"), "offset") \
-        .filter(F.col("k").isNotNull()).select("row_no", "pos", (F.col("offset") + F.col("k")).alias("count"))
+    counts = F.transform(F.sequence(F.lit(0), F.size("arr") - 1), lambda i: F.struct(i.alias("pos"), number(i).alias("count")))
+    items = (numbered.where("is_list and size(arr) > 0").select("row_no", F.explode(counts).alias("c"))
+             .where("c.count is not null").select("row_no", "c.pos", "c.count"))
     return rows, items
 
 

@@ -15,6 +15,7 @@ from cardforge.functions.fences import strip_fence, wrap_fence
 from cardforge.functions.questions import clean_answer, fallback_question, rule_question
 from cardforge.functions.text import is_blank
 from cardforge.operators.items import TEXT, is_json_array, is_json_object, item_field, try_parse_value, with_key
+from cardforge.session import materialize
 
 # Our own instruction wording for the question requests.
 QUESTION_INSTRUCTIONS = (
@@ -44,7 +45,8 @@ def parse_record_items(records: DataFrame, text_col: str = TEXT) -> DataFrame:
     # down (pushing it would copy the cleaning and parsing into the filter)
     arr = F.when(is_json_array(F.col("value")), F.try_variant_get(F.col("value"), "$", "array<variant>"))
     items = r.select("row_no", F.posexplode(arr).alias("pos", "item"))
-    return items.withColumn("route", question_route(F.col("item")))
+    # written once: requests, questions and the rewrite all read the parsed items
+    return materialize(items.withColumn("route", question_route(F.col("item"))), "question-items")
 
 
 def question_requests(items: DataFrame) -> DataFrame:
@@ -65,7 +67,7 @@ def question_requests(items: DataFrame) -> DataFrame:
 def item_questions(items: DataFrame, requests: DataFrame, responses: DataFrame) -> DataFrame:
     """QST-2/4/5: the question of every non-skipped item
     ``(row_no, pos, question)``: rule question for 'rule' items, cleaned
-    answer for 'ask' items, fallback when no (or a blank) answer came back."""
+    answer for 'ask' items (a blank one stays blank), fallback when none came back."""
     ans = requests.select("request_id", "row_no", "pos").join(
         responses.select("request_id", F.col("output_text").alias("answer")), "request_id")
     j = items.filter(F.col("route") != "skip").join(ans.drop("request_id"), ["row_no", "pos"], "left")
@@ -77,11 +79,12 @@ def item_questions(items: DataFrame, requests: DataFrame, responses: DataFrame)
 
 
 def apply_questions(records: DataFrame, requests: DataFrame, responses: DataFrame,
-                    text_col: str = TEXT) -> DataFrame:
+                    text_col: str = TEXT, items: DataFrame | None = None) -> DataFrame:
     """QST-6: set ``question`` in every eligible item (other keys kept) and
     re-fence the record; records that cannot be processed are unchanged.
-    Items are re-collected per record (a record's own items: bounded)."""
-    items = parse_record_items(records, text_col)
+    Items are re-collected per record (a record's own items: bounded).
+    ``items``: the records' parsed items, if the caller has them already."""
+    items = parse_record_items(records, text_col) if items is None else items
     qs = item_questions(items, requests, responses)
     merged = items.join(qs, ["row_no", "pos"], "left")
     new_item = F.when(F.col("question").isNotNull(), with_key(F.col("item"), "question", F.col("question"))) \

@@ -5,11 +5,11 @@ Writers (CAT-4 .. CAT-6) are in ``cardforge.sinks.files``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardforge.functions.urls import subject_of
-from cardforge.operators.items import prefix_offsets
+from cardforge.operators.items import ordinals
 
 
 def with_subject(items: DataFrame, url_col: str = "url") -> DataFrame:
@@ -23,16 +23,10 @@ def group_by_subject(items: DataFrame) -> DataFrame:
     of the item in its subject's list.
 
     A subject may hold a third of all items, so the list is never collected
-    into one row or one task.  Rows (records) are numbered by bucketed prefix
-    sums of their item counts within the subject (per-subject bucket totals,
-    then a running sum inside each bucket of at most 2^16 rows); an item adds
-    its rank inside its own row, a bounded group."""
+    into one row or one task: items are sorted once over range partitions of
+    (subject, row_no, pos), and numbered from the partitions' sizes."""
     df = with_subject(items) if "subject" not in items.columns else items
-    per_row = df.groupBy("subject", "row_no").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = prefix_offsets(per_row, "row_no", "_n", keys=["subject"]).select("subject", "row_no", "offset")
-    in_row = F.row_number().over(Window.partitionBy("subject", "row_no").orderBy("pos"))
-    return (df.withColumn("_k", in_row).join(offsets, ["subject", "row_no"])
-            .withColumn("ordinal", F.col("offset") + F.col("_k")).drop("_k", "offset"))
+    return ordinals(df, ["subject"], ["row_no", "pos"])
 
 
 def subject_counts(items: DataFrame) -> DataFrame:

@@ -670,7 +670,7 @@ def _applied(spark, d):
     rec = fx.records(spark, d)
     it = questions.parse_record_items(rec)
     req = questions.question_requests(it)
-    return rec, questions.apply_questions(rec, req, _question_responses(spark, d, it, req))
+    return rec, questions.apply_questions(rec, req, _question_responses(spark, d, it, req), items=it)
 
 
 @query("apply_questions", f"""

@@ -9,9 +9,11 @@ command-line plans, and for the one place that needs a shared folder
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are written against.  AQE re-plans joins and
 # coalesces small shuffle partitions at runtime; duplicate JSON keys resolve
@@ -34,7 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(f"local[{cores}]")
                .appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "16g")
+               .config("spark.driver.memory", "8g")
                .config("spark.ui.showConsoleProgress", "false"))
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
@@ -54,9 +56,9 @@ def apply_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local tests) a scratch folder is created and registered; on a cluster the
-    setting must point at shared storage.
+    ``spark.checkpoint.dir`` is read from the session.  Only a local session
+    without it gets a scratch folder; any other master must name shared storage,
+    as executors cannot see each other's disks.
     """
     sc = spark.sparkContext
     existing = sc.getCheckpointDir()
@@ -64,7 +66,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return existing
     current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        # unset: only local runs get here
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to shared storage (master {sc.master})")
         current = tempfile.mkdtemp(prefix="cardforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write ``df`` as a table in the shared checkpoint folder and read it back:
+    a lineage cut that survives lost executors, and one evaluation for several
+    readers."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cardforge-{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -52,31 +52,19 @@ def rewrite_records(df: DataFrame, path: str, column: str, fn, fmt: str = "csv")
 
 
 def write_by_subject(items: DataFrame, path: str, fmt: str = "json") -> None:
-    """CAT-4: one output directory per subject.  Dynamic partition overwrite:
-    subjects present in this run are replaced, older subjects stay."""
-    data = items
-    if "item" in items.columns and fmt == "json":
-        data = items.withColumn("item", F.to_json("item"))
-    (data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """CAT-4: one output directory per subject, items as JSON objects.  Dynamic
+    partition overwrite: subjects present in this run are replaced, older
+    subjects stay."""
+    (items.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("subject").format(fmt).save(path))
 
 
-def write_all_subjects(grouped: DataFrame, path: str, max_items: int | None = None) -> None:
-    """CAT-5: all subjects in one output.  At scale this is the subject-
-    partitioned JSON-lines directory with the in-subject ``ordinal`` (from
-    ``group_by_subject``); a single ``{subject: [items]}`` document is built
-    only when the caller bounds it with ``max_items`` and the data fits."""
-    if max_items is None:
-        write_by_subject(grouped, path)
-        return
-    n = grouped.limit(max_items + 1).count()
-    if n > max_items:
-        raise ValueError(f"more than {max_items} items: write the partitioned form instead")
-    per = (grouped.groupBy("subject")
-           .agg(F.array_sort(F.collect_list(F.struct("ordinal", F.to_json("item").alias("j")))).alias("xs")))
-    doc = per.agg(F.map_from_entries(F.collect_list(F.struct(
-        "subject", F.transform("xs", lambda x: F.parse_json(x["j"]))))).alias("doc"))
-    doc.select(F.to_json("doc").alias("value")).coalesce(1).write.mode("overwrite").text(path)
+def write_all_subjects(grouped: DataFrame, path: str) -> None:
+    """CAT-5: all subjects in one output, which replaces the previous one whole:
+    a directory a subject of JSON lines with the in-subject ``ordinal`` (from
+    ``group_by_subject``) that orders the subject's list."""
+    (grouped.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("subject").json(path))
 
 
 def flat_output_path(base: str) -> str:
@@ -85,12 +73,7 @@ def flat_output_path(base: str) -> str:
     return f"{stem}_converted.json"
 
 
-def write_flat(items: DataFrame, path: str, single_file: bool = False) -> None:
-    """CAT-6: all items in file order (row_no, pos) as JSON lines; a global
-    sort is a range-partitioned shuffle.  ``single_file`` coalesces to one
-    file (bounded outputs only)."""
-    data = items.withColumn("item", F.to_json("item")) if "item" in items.columns else items
-    data = data.orderBy("row_no", "pos")
-    if single_file:
-        data = data.coalesce(1)
-    data.write.mode("overwrite").json(path)
+def write_flat(items: DataFrame, path: str) -> None:
+    """CAT-6: all items in file order (row_no, pos) as JSON lines, items as
+    objects; a global sort is a range-partitioned shuffle, files are in order."""
+    items.orderBy("row_no", "pos").write.mode("overwrite").json(path)
