@@ -54,6 +54,8 @@ VERY_FREQUENT = 1000
 TILE_TOKENS = 500_000
 TILE_SETS = 1500
 TILE_COLUMNS = 4096
+#: text that is shingled at a time
+CHUNK_BYTES = 2 << 20
 
 
 class Rule:
@@ -99,7 +101,7 @@ def _shingled(docs: DataFrame, rule: Rule, part: str, ids: bloom.Bloom | None =
         for batch in batches:
             if ids is not None:
                 batch = batch.filter(pa.array(ids.hits(np.asarray(batch.column(0), dtype=np.int64))))
-            for lo, hi in chunks(batch.column(1)):
+            for lo, hi in chunks(batch.column(1), CHUNK_BYTES):
                 sets, bounds = shingle_sets(batch.column(1).slice(lo, hi - lo), rule.width)
                 h1, h2 = set_digests(sets, bounds)
                 n = np.diff(bounds)
@@ -271,6 +273,7 @@ def jaccard_components(documents: DataFrame, width: int = 3, percent: int = 90,
     sets = (bloom.maybe_in(big, "h1", keys, negate=True)
             .union(bloom.maybe_in(big, "h1", keys).join(classes.select("cid"), "cid", "left_semi").select(big.columns))
             .select("cid", "n", "tokens"))
+    sets = materialize(sets, "sets")
     links = _find_links(rule, docs, classes, sets)
     if links is None:
         found = classes.select("h1", "h2", "first")
