@@ -5,39 +5,21 @@ a walk from a seed is a path that ends at a page without a next link, at a
 link to a page that is not in the snapshot (unfetchable: not emitted), or at
 the first page it already visited (a cycle).
 
-``follow_chain`` does not iterate once per step.  It builds jump tables by
-pointer doubling (node -> node 2^k steps ahead, one self-join per level, so
-log2(longest walk) joins), finds the nodes that lie on cycles and each
-cycle's length, measures every seed's walk as tail + cycle, and resolves the
-node at each depth by binary lifting.  Each level is checkpointed to the
-cluster's checkpoint folder (``spark.checkpoint.dir``) so lineage stays flat and a lost executor only
-recomputes one level.
+Nothing iterates once per step.  ``JumpTables`` holds, for each power of two,
+where that many steps lead (one self-join a level, log2(longest walk) levels).
+Levels are written to the cluster's checkpoint folder (``spark.checkpoint.dir``),
+so lineage stays flat and a lost executor recomputes one level at most.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardforge.functions.text import is_blank
-from cardforge.session import checkpoint_dir
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    """Cut lineage: write the level as a table in the cluster's checkpoint
-    folder and read it back, so the next level starts from a flat plan (a
-    self-join over a ``checkpoint()`` result still drags the original plan
-    along, doubling it per level)."""
-    return materialize(df)
+from cardforge.session import materialize
 
-
-def materialize(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/cardforge-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+#: cut-offs of so many parts (a key and a position each) are broadcast
+BROADCAST_PARTS = 100_000
 
 
 def resolve_links(links: DataFrame) -> DataFrame:
@@ -52,7 +34,49 @@ def resolve_links(links: DataFrame) -> DataFrame:
             .select("url", F.when(F.col("_ok"), F.col("next_url")).alias("nxt")))
 
 
-def follow_chain(links: DataFrame, seeds: DataFrame, max_levels: int = 40) -> DataFrame:
+class JumpTables:
+    """Level k: ``(url, j)``, the page 2^k steps ahead, for pages whose walk is
+    that long.  Rows of walks that end earlier leave the tables, so no join meets
+    their null keys."""
+
+    def __init__(self, graph: DataFrame, n_nodes: int):
+        # m: smallest url among the 2^k pages from here on (names a cycle)
+        now = materialize(graph.where("nxt is not null").select("url", F.col("nxt").alias("j"), F.col("url").alias("m")), "jump")
+        self.levels = [now]
+        ends = materialize(graph.where("nxt is null").select("url", F.col("url").alias("m")), "jump")
+        image = now.select("j").distinct().count()
+        while image:
+            # ``m`` of all pages is needed at the far end of a jump, ended walks included
+            far = now.select(F.col("url").alias("j"), F.col("j").alias("jj"), F.col("m").alias("mm")) \
+                .union(ends.select(F.col("url").alias("j"), F.lit(None).cast("string").alias("jj"), F.col("m").alias("mm")))
+            both = now.withColumnRenamed("m", "pm").join(far, "j").select(
+                "url", F.col("jj").alias("j"), F.least("pm", "mm").alias("m"), "pm")
+            both = materialize(both, "jump")
+            nxt = both.where("j is not null")
+            # Done when the image of the jump no longer shrinks (the jump permutes it: the
+            # image is the cycle pages) and no minimum on the way changed (windows of
+            # cycle pages hold their whole cycle).  After log2(n) levels at most.
+            stats = nxt.agg(F.count_distinct("j").alias("img"), F.count_if(F.col("m") != F.col("pm")).alias("moved")).first()
+            ends = materialize(ends.union(both.where("j is null").select("url", "m")), "jump")
+            now = nxt.select("url", "j", "m")
+            self.levels.append(now)
+            if stats["img"] == image and stats["moved"] == 0 or (1 << len(self.levels)) >= 4 * max(n_nodes, 1):
+                break
+            image = stats["img"]
+
+    def cycles(self) -> DataFrame:
+        """``(url, lam)``: the pages on cycles, and their cycle's length."""
+        top = self.levels[-1]
+        nodes = top.select(F.col("j").alias("url")).distinct().join(top.select("url", "m"), "url")
+        return materialize(nodes.join(nodes.groupBy("m").agg(F.count(F.lit(1)).alias("lam")), "m").select("url", "lam"), "cycles")
+
+
+def _graph(links: DataFrame) -> DataFrame:
+    # the link table is read twice (pages and targets): written once
+    return materialize(resolve_links(materialize(links.select("url", "next_url"), "links")), "graph")
+
+
+def follow_chain(links: DataFrame, seeds: DataFrame) -> DataFrame:
     """TRV-1: ``(seed_id, depth, url)`` for every page each seed's walk visits.
 
     ``links(url, next_url)`` is the snapshot (every row is a fetchable page);
@@ -61,81 +85,57 @@ def follow_chain(links: DataFrame, seeds: DataFrame, max_levels: int = 40) -> Da
     next page was already visited by this walk.  Seeds outside the snapshot
     give no rows; every seed walks on its own (shared tails repeat).
 
-    Rounds: one self-join per doubling level (jump + running minimum), then
-    per-level joins on the seed table only.
+    A walk's length is its tail, found by descending the jump tables on the page
+    table, and its cycle's length.  The rows are built by doubling: rows of depth
+    below 2^k joined to level k give those up to 2^(k+1), so an output row is
+    shuffled about twice, whatever its depth.
     """
-    # the link table is read twice (pages and targets): materialize it once
-    g = _cut(resolve_links(_cut(links.select("url", "next_url"))))
-    n_nodes = g.count()
-    # level k: j = node 2^k steps ahead (null if the walk ends first),
-    #          m = smallest url among the 2^k nodes starting here
-    lv = g.select("url", F.col("nxt").alias("j"), F.col("url").alias("m"), F.col("url").alias("pm"))
-    jumps = [lv]
-    image = lv.filter(F.col("j").isNotNull()).select("j").distinct().count()
-    converged = False
-    while len(jumps) < max_levels:
-        a, b = jumps[-1].alias("a"), jumps[-1].alias("b")
-        nxt = a.join(b, F.col("a.j") == F.col("b.url"), "left").select(
-            F.col("a.url").alias("url"), F.col("b.j").alias("j"),
-            F.least(F.col("a.m"), F.coalesce(F.col("b.m"), F.col("a.m"))).alias("m"), F.col("a.m").alias("pm"))
-        nxt = _cut(nxt)
-        # Stop when (1) the image of the jump stops shrinking: the jump is then
-        # a permutation of its image, so every walk has ended or entered its
-        # cycle within 2^k steps and the image is exactly the cycle nodes; and
-        # (2) the running minimum no longer changes, so each cycle node's
-        # window covers its whole cycle.  Both hold after at most log2(n) levels.
-        stats = nxt.agg(F.count_distinct("j").alias("img"),
-                        F.count_if(F.col("j").isNotNull() & (F.col("m") != F.col("pm"))).alias("moved")).first()
-        jumps.append(nxt)
-        if stats["img"] == image and stats["moved"] == 0:
-            converged = True
-            break
-        image = stats["img"]
-        if (1 << (len(jumps) - 1)) >= 2 * max(n_nodes, 1):
-            converged = True
-            break
-    top = jumps[-1]
-    if converged:
-        # the image of the last jump is the set of cycle nodes; their window
-        # minimum identifies the cycle
-        cyc_nodes = top.filter(F.col("j").isNotNull()).select(F.col("j").alias("url")).distinct()
-        cyc = cyc_nodes.join(top.select("url", "m"), "url")
-        cyc = _cut(cyc.join(cyc.groupBy("m").agg(F.count(F.lit(1)).alias("lam")), "m").select("url", "lam"))
-    else:
-        raise ValueError(f"walks longer than 2^{max_levels}")
-
-    # The descent and the lifting below are chains of joins against the
-    # materialized jump tables (no self-join), so their plans grow linearly
-    # and need no cut.
-    # tail length: greedy binary descent while the next position is not on a cycle
-    flag = cyc.select(F.col("url").alias("to"), F.col("lam").alias("to_lam"))
-    s = seeds.select("seed_id", F.col("url").alias("seed")).join(g.select(F.col("url").alias("seed")), "seed")
-    s = s.join(cyc.select(F.col("url").alias("seed"), F.col("lam").alias("seed_lam")), "seed", "left")
-    st = s.withColumn("cur", F.col("seed")).withColumn("steps", F.lit(0).cast("long"))
-    for k in range(len(jumps) - 1, -1, -1):
-        jt = jumps[k].select(F.col("url").alias("cur"), F.col("j").alias("to"))
-        st = st.join(jt, "cur", "left").join(flag, "to", "left")
-        move = F.col("seed_lam").isNull() & F.col("to").isNotNull() & F.col("to_lam").isNull()
+    g = _graph(links)
+    jumps = JumpTables(g, g.count())
+    cyc = jumps.cycles()
+    # steps each distinct seed page takes before its walk ends or is on a cycle
+    pages = seeds.select("url").distinct().join(g.select("url"), "url").join(cyc, "url", "left")
+    st = pages.withColumn("cur", F.col("url")).withColumn("steps", F.lit(0).cast("long"))
+    on_cycle = cyc.select(F.col("url").alias("to"), F.lit(True).alias("_c"))
+    for k in range(len(jumps.levels) - 1, -1, -1):
+        # jumps that do not reach a cycle; pages of longer reach move there
+        off = jumps.levels[k].select(F.col("url").alias("cur"), F.col("j").alias("to")).join(on_cycle, "to", "left_anti")
+        st = st.join(off, "cur", "left")
+        move = F.col("lam").isNull() & F.col("to").isNotNull()
         st = (st.withColumn("steps", F.when(move, F.col("steps") + (1 << k)).otherwise(F.col("steps")))
-              .withColumn("cur", F.when(move, F.col("to")).otherwise(F.col("cur"))).drop("to", "to_lam"))
-    # after the tail: the cycle it enters, if any
-    entry = g.select(F.col("url").alias("cur"), F.col("nxt").alias("to")).join(flag, "to", "left")
+              .withColumn("cur", F.when(move, F.col("to")).otherwise(F.col("cur"))).drop("to"))
+    entry = g.where("nxt is not null").select(F.col("url").alias("cur"), F.col("nxt").alias("to")).join(
+        cyc.select(F.col("url").alias("to"), F.col("lam").alias("to_lam")), "to").drop("to")
     st = st.join(entry, "cur", "left")
-    length = (F.when(F.col("seed_lam").isNotNull(), F.col("seed_lam"))
-              .otherwise(F.col("steps") + 1 + F.coalesce(F.col("to_lam"), F.lit(0))))
-    walks = st.select("seed_id", "seed", length.alias("n"))
-
-    # node at each depth by binary lifting over the jump tables
-    rows = walks.select("seed_id", F.col("seed").alias("cur"),
-                        F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("depth"))
-    rows = rows.withColumn("left", F.col("depth"))
-    for k in range(len(jumps) - 1, -1, -1):
-        jt = jumps[k].select(F.col("url").alias("cur"), F.col("j").alias("to"))
-        take = F.shiftright(F.col("left"), k).bitwiseAND(1) == 1
-        rows = (rows.join(jt, "cur", "left")
-                .withColumn("cur", F.when(take, F.col("to")).otherwise(F.col("cur")))
-                .withColumn("left", F.when(take, F.col("left") - (1 << k)).otherwise(F.col("left"))).drop("to"))
-    return rows.select("seed_id", "depth", F.col("cur").alias("url"))
+    length = F.coalesce("lam", F.col("steps") + 1 + F.coalesce("to_lam", F.lit(0)))
+    walks = materialize(st.select("url", length.alias("n")), "walks")
+    rows = seeds.select("seed_id", "url").join(walks, "url").select("seed_id", F.lit(0).cast("long").alias("depth"), "url", "n")
+    longest = walks.agg(F.max("n")).first()[0] or 0
+    for k in range(len(jumps.levels)):
+        if longest <= 1 << k:
+            break
+        rows = materialize(rows, "walks")
+        ahead = jumps.levels[k].select("url", F.col("j").alias("to"))
+        more = (rows.where(F.col("depth") + (1 << k) < F.col("n")).join(ahead, "url")
+                .select("seed_id", (F.col("depth") + (1 << k)).alias("depth"), F.col("to").alias("url"), "n"))
+        rows = rows.union(more)
+    return rows.select("seed_id", "depth", "url")
+
+
+def first_visits(links: DataFrame, seeds: DataFrame) -> DataFrame:
+    """``(url, seed_id, depth)``: each page that some walk visits, with the least
+    (seed_id, depth) it is visited at.  Least visits travel along the jump
+    tables, so no walk is expanded: a row a page and level."""
+    g = _graph(links)
+    jumps = JumpTables(g, g.count())
+    best = seeds.join(g.select("url"), "url").groupBy("url").agg(
+        F.min(F.struct("seed_id", F.lit(0).cast("long").alias("depth"))).alias("b"))
+    for k, level in enumerate(jumps.levels):
+        best = materialize(best, "visits")
+        moved = best.join(level.select("url", "j"), "url").select(
+            F.col("j").alias("url"), F.struct(F.col("b.seed_id").alias("seed_id"), (F.col("b.depth") + (1 << k)).alias("depth")).alias("b"))
+        best = best.union(moved).groupBy("url").agg(F.min("b").alias("b"))
+    return best.select("url", "b.seed_id", "b.depth")
 
 
 def visit_single(pages: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -150,14 +150,18 @@ def until_first_repeat(df: DataFrame, part: str, order: str, content: str) -> Da
     the first whose md5(content) appeared earlier in that part; everything
     after it is dropped too.
 
-    Skew-safe: first occurrences and the cut-off per part are aggregates
-    (partial, map-side), not ordered windows over a whole part."""
-    h = df.withColumn("_h", F.md5(F.col(content)))
-    first = h.groupBy(part, "_h").agg(F.min(order).alias("_first"))
-    rep = h.join(first, [part, "_h"]).filter(F.col(order) > F.col("_first"))
-    cut = rep.groupBy(part).agg(F.min(order).alias("_cut"))
-    return (h.join(cut, part, "left").filter(F.col("_cut").isNull() | (F.col(order) < F.col("_cut")))
-            .drop("_h", "_cut"))
+    Hashes are taken once, over a narrow table.  First occurrences and the
+    cut-off per part are aggregates; the caller's rows are then filtered by a
+    cut-off a part, broadcast when there are at most ``BROADCAST_PARTS``."""
+    h = materialize(df.select(F.col(part).alias("p"), F.col(order).alias("o"), F.md5(F.col(content)).alias("h")), "hashes")
+    first = h.groupBy("p", "h").agg(F.min("o").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    rep = h.alias("a").join(first.alias("f"), F.col("a.p").eqNullSafe(F.col("f.p")) & F.col("a.h").eqNullSafe(F.col("f.h")))
+    cut = rep.where("o > first").groupBy(F.col("a.p").alias("_part")).agg(F.min("o").alias("_cut"))
+    cut = materialize(cut, "cuts")
+    if cut.count() <= BROADCAST_PARTS:
+        cut = F.broadcast(cut)
+    return (df.join(cut, F.col(part).eqNullSafe(F.col("_part")), "left")
+            .filter(F.col("_cut").isNull() | (F.col(order) < F.col("_cut"))).drop("_part", "_cut"))
 
 
 def skip_done(seeds: DataFrame, done: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -170,17 +174,9 @@ def skip_done(seeds: DataFrame, done: DataFrame, keys: list[str] | None = None)
 
 
 def crawl_all(links: DataFrame, seeds: DataFrame, dedup: str | None = None) -> DataFrame:
-    """TRV-5: union of every seed's walk.  ``dedup='global'`` (our
-    addition) keeps each page once, at its first (seed_id, depth)."""
-    walks = follow_chain(links, seeds)
+    """TRV-5: union of every seed's walk ``(seed_id, depth, url)``, shared pages
+    repeated.  ``dedup='global'`` (our addition) keeps each page once, at its
+    first (seed_id, depth)."""
     if dedup == "global":
-        best = F.min_by(F.struct("seed_id", "depth"), F.struct("seed_id", "depth"))
-        walks = walks.groupBy("url").agg(best.alias("b")).select("b.seed_id", "b.depth", "url")
-    return walks
-
-
-def read_done_urls(done: DataFrame | None) -> DataFrame | None:
-    """SRC-5 on a DataFrame: distinct non-blank ``url`` values."""
-    if done is None:
-        return None
-    return done.select("url").filter(~is_blank(F.col("url"))).distinct()
+        return first_visits(links, seeds).select("seed_id", "depth", "url")
+    return follow_chain(links, seeds)

@@ -496,9 +496,8 @@ def _chain_links(spark, d):
     return dom.next_links(dom.page_trees(fx.chain_pages(spark, d))).select("url", "next_url")
 
 
-def _urgent_seeds(spark, d):
-    o = fx.table(spark, d, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
-    return o.select(F.col("o_orderkey").alias("seed_id"), fx.order_url("o_orderkey").alias("url"))
+def _seeds(spark, d):
+    return fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("seed_id"), fx.order_url("o_orderkey").alias("url"))
 
 
 @query("follow_chain", f"""
@@ -506,21 +505,18 @@ WITH {fx.CHAIN_SQL}
 SELECT seed_id, depth, url FROM cvisit""")
 def q_follow_chain(spark, d):
     """TRV-1: every page each seed's next-link walk visits, with depth."""
-    return crawl.follow_chain(_chain_links(spark, d), _urgent_seeds(spark, d))
+    return crawl.follow_chain(_chain_links(spark, d), _seeds(spark, d))
 
 
 @query("visit_single", """
 SELECT o_orderkey AS seed_id, CAST(0 AS BIGINT) AS depth,
        'https://shop.example.net/o/' || CAST(o_orderkey AS VARCHAR) || '.html' AS url
-FROM orders WHERE o_orderpriority = '1-URGENT'""")
+FROM orders""")
 def q_visit_single(spark, d):
-    """TRV-2: one visit per seed present in the snapshot."""
-    o = fx.table(spark, d, "orders")
-    missing = o.filter(F.col("o_orderpriority") == "5-LOW").select(
-        F.col("o_orderkey").alias("seed_id"),
-        F.concat(F.lit("https://shop.example.net/gone/"), F.col("o_orderkey").cast("string")).alias("url"))
-    seeds = _urgent_seeds(spark, d).unionByName(missing)
-    return crawl.visit_single(fx.chain_pages(spark, d), seeds)
+    """TRV-2: one visit per seed present in the snapshot (as many seeds are not)."""
+    seeds = _seeds(spark, d)
+    missing = seeds.select("seed_id", F.replace("url", F.lit("/o/"), F.lit("/gone/")).alias("url"))
+    return crawl.visit_single(fx.chain_pages(spark, d), seeds.unionByName(missing))
 
 
 @query("until_first_repeat", """
@@ -553,13 +549,23 @@ def q_skip_done(spark, d):
     return crawl.skip_done(cu.select("seed_id", "url"), readers.done_urls(prior))
 
 
+@query("crawl_all_repeats", f"""
+WITH {fx.CHAIN_SQL}
+SELECT url, count(*) AS visits, min(depth) AS first_depth, max(depth) AS last_depth FROM cvisit GROUP BY url""")
+def q_crawl_all_repeats(spark, d):
+    """TRV-5, default: pages that several walks share are visited by each."""
+    w = crawl.crawl_all(_chain_links(spark, d), _seeds(spark, d))
+    return w.groupBy("url").agg(F.count(F.lit(1)).alias("visits"), F.min("depth").alias("first_depth"),
+                                F.max("depth").alias("last_depth"))
+
+
 @query("crawl_all", f"""
 WITH {fx.CHAIN_SQL},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seed_id, depth) AS rn FROM cvisit)
 SELECT url, seed_id, depth FROM ranked WHERE rn = 1""")
 def q_crawl_all(spark, d):
     """TRV-5: union of all walks, each page once (dedup='global')."""
-    w = crawl.crawl_all(_chain_links(spark, d), _urgent_seeds(spark, d), dedup="global")
+    w = crawl.crawl_all(_chain_links(spark, d), _seeds(spark, d), dedup="global")
     return w.select("url", "seed_id", "depth")
 
 

@@ -212,24 +212,27 @@ def order_url(col) -> F.Column:
     return F.concat(F.lit("https://shop.example.net/o/"), _s(col), F.lit(".html"))
 
 
-CHAIN_SQL = """
+def chain_sql(seeds: str = "true") -> str:
+    """DuckDB twin: ``cvisit(seed_id, depth, url)`` of the walks from the orders
+    that satisfy ``seeds`` (on ``k``, ``b``)."""
+    return f"""
 cnodes AS (
   SELECT o_orderkey AS k, o_orderkey // 150 AS b, (o_orderkey // 150) * 150 AS lo,
-         (o_orderkey // 150) * 150 + 149 AS hi, o_orderpriority FROM orders),
-cseeds AS (SELECT k AS s, b, lo, hi FROM cnodes WHERE o_orderpriority = '1-URGENT'),
-cwalk AS (
-  SELECT s.s, n.k,
-         (SELECT min(m.k) FROM cnodes m WHERE m.b = s.b AND m.k >= s.s AND m.k % 1000 = 500) AS m1,
-         (SELECT min(m.k) FROM cnodes m WHERE m.b = s.b AND m.k < s.s AND m.k % 1000 = 500) AS m2,
-         s.b, s.lo, s.hi
-  FROM cseeds s JOIN cnodes n ON n.b = s.b),
+         (o_orderkey // 150) * 150 + 149 AS hi FROM orders),
+cstops AS (SELECT b, k FROM cnodes WHERE k % 1000 = 500),
+cseeds AS (
+  SELECT n.k AS s, n.b, n.lo, n.hi, min(t.k) FILTER (WHERE t.k >= n.k) AS m1, min(t.k) FILTER (WHERE t.k < n.k) AS m2
+  FROM (SELECT * FROM cnodes WHERE {seeds}) n LEFT JOIN cstops t ON t.b = n.b GROUP BY ALL),
 cvisit AS (
   SELECT s AS seed_id,
-         CAST(CASE WHEN k >= s THEN k - s ELSE hi - s + 1 + k - lo END AS BIGINT) AS depth,
+         CAST(CASE WHEN k >= s THEN k - s ELSE c.hi - s + 1 + k - c.lo END AS BIGINT) AS depth,
          'https://shop.example.net/o/' || CAST(k AS VARCHAR) || '.html' AS url
-  FROM cwalk
-  WHERE (k >= s AND k <= coalesce(m1, hi))
-     OR (m1 IS NULL AND b % 2 = 0 AND k < s AND k <= coalesce(m2, hi)))"""
+  FROM cseeds c JOIN cnodes n ON n.b = c.b
+  WHERE (k >= s AND k <= coalesce(m1, c.hi))
+     OR (m1 IS NULL AND c.b % 2 = 0 AND k < s AND k <= coalesce(m2, c.hi)))"""
+
+
+CHAIN_SQL = chain_sql()
 
 
 # ---------------------------------------------------------------- numbering records (from lineitem)
