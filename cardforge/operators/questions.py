@@ -24,13 +24,18 @@ QUESTION_INSTRUCTIONS = (
     "question only.")
 
 
+def _empty(item, key: str) -> F.Column:
+    """True for a field that is absent, null, '', 0, false, [] or {}."""
+    text = F.to_json(item_field(item, key, "variant"))
+    number = text.rlike(r"^-?0+(\.0*)?([eE].*)?$")
+    return F.coalesce(text.isin("null", '""', "false", "[]", "{}") | number, F.lit(True))
+
+
 def question_route(item) -> F.Column:
-    """QST-1: 'skip' (not an object, or no term), 'rule' (no definition),
-    else 'ask'."""
-    term, definition = item_field(item, "term"), item_field(item, "definition")
-    return (F.when(~is_json_object(item) | term.isNull() | (term == ""), F.lit("skip"))
-            .when(definition.isNull() | (definition == ""), F.lit("rule"))
-            .otherwise(F.lit("ask")))
+    """QST-1: 'skip' (not an object, or an empty term), 'rule' (an empty
+    definition), else 'ask'."""
+    return (F.when(~is_json_object(item) | _empty(item, "term"), F.lit("skip"))
+            .when(_empty(item, "definition"), F.lit("rule")).otherwise(F.lit("ask")))
 
 
 def parse_record_items(records: DataFrame, text_col: str = TEXT) -> DataFrame:

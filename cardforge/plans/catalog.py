@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardforge.functions.fences import strip_fence
+from cardforge.functions.text import decode_entities
 from cardforge.functions.urls import resolve_url, subject_of
 from cardforge.operators import crawl, dom, extraction, items, questions, subjects
 from cardforge.plans import fixtures as fx
-from cardforge.session import apply_conf, checkpoint_dir
+from cardforge.plans import lessons
+from cardforge.session import apply_conf, checkpoint_dir, materialize
 from cardforge.sinks import files
 from cardforge.sources import readers
 from cardforge.streaming import streams
@@ -404,23 +406,33 @@ LESSONS_SQL = f"""
 {fx.BLOCKS_SQL},
 pg AS (SELECT p_partkey // 50 AS page_id, count(*) AS n_parts,
               sum(CASE WHEN (p_partkey + 2) % 5 = 0 THEN 1 ELSE 0 END) AS n_img FROM part GROUP BY 1),
-mn AS (SELECT page_id, count(*) AS n_mn FROM bmn GROUP BY 1),
+mn AS (SELECT page_id, count(*) AS n_mn, string_agg(mnemonic, '|' ORDER BY k) AS mns, string_agg(highlight, '|' ORDER BY k) AS hls
+       FROM bmn GROUP BY 1),
+ims AS (SELECT p_partkey // 50 AS page_id,
+               string_agg('https://cards.example.net/img/' || CAST(p_partkey AS VARCHAR) || '.png', '|' ORDER BY p_partkey) AS ims
+        FROM part WHERE (p_partkey + 2) % 5 = 0 GROUP BY 1),
 lessons AS (
   SELECT pg.page_id, 'https://cards.example.net/blocks/' || CAST(pg.page_id AS VARCHAR) || '.html' AS url,
          'Block ' || CAST(pg.page_id AS VARCHAR) AS word, CAST(pg.n_parts AS VARCHAR) || ' parts' AS definition,
          CAST(coalesce(mn.n_mn, 0) AS INTEGER) AS n_mnemonic, CAST(coalesce(mn.n_mn, 0) AS INTEGER) AS n_highlight,
-         CAST(pg.n_img AS INTEGER) AS n_images
-  FROM pg LEFT JOIN mn USING (page_id))"""
+         CAST(pg.n_img AS INTEGER) AS n_images, coalesce(mns, '') AS mnemonics, coalesce(hls, '') AS highlights,
+         coalesce(ims, '') AS images
+  FROM pg LEFT JOIN mn USING (page_id) LEFT JOIN ims USING (page_id))"""
 
 
 @query("extract_lessons", f"""
 WITH {LESSONS_SQL}
 SELECT * FROM lessons""")
 def q_extract_lessons(spark, d):
-    """DOM-7: one lesson record per page with a container."""
-    ls = dom.extract_lessons(fx.block_pages(spark, d))
+    """DOM-7: one lesson record per page with a container, contents compared."""
+    return _lesson_columns(dom.extract_lessons(fx.block_pages(spark, d)))
+
+
+def _lesson_columns(ls: DataFrame) -> DataFrame:
     return ls.select("page_id", "url", "word", "definition", F.size("mnemonic").alias("n_mnemonic"),
-                     F.size("highlighted_text").alias("n_highlight"), F.size("images").alias("n_images"))
+                     F.size("highlighted_text").alias("n_highlight"), F.size("images").alias("n_images"),
+                     F.array_join("mnemonic", "|").alias("mnemonics"), F.array_join("highlighted_text", "|").alias("highlights"),
+                     F.array_join("images", "|").alias("images"))
 
 
 _NEXT_SQL = """
@@ -453,6 +465,67 @@ def q_index_links(spark, d):
     return _ordinal(links, "page_id", ["pos"]).select("page_id", "ordinal", "link")
 
 
+@query("index_links_all", """
+WITH b AS (SELECT o_orderkey AS k, o_orderkey // 150 AS b FROM orders WHERE o_orderkey % 150 = 0)
+SELECT b // 10 AS page_id, CAST(row_number() OVER (PARTITION BY b // 10 ORDER BY b % 3, k) AS BIGINT) AS ordinal,
+       'https://shop.example.net/o/' || CAST(k AS VARCHAR) || '.html' AS link
+FROM b""")
+def q_index_links_all(spark, d):
+    """DOM-9: the links of every container, whatever its tag."""
+    links = dom.index_links(dom.page_trees(fx.index_pages(spark, d)))
+    return _ordinal(links, "page_id", ["pos"]).select("page_id", "ordinal", "link")
+
+
+@query("select_container_empty", """
+SELECT o_orderkey AS page_id, CASE WHEN o_orderkey % 3 = 0 THEN '<div id="mainContent"><!-- k --><script>if (1<2) x="</div>"</script>'
+       || CAST(o_orderkey AS VARCHAR) || '</div>' ELSE '' END AS container_html
+FROM orders""")
+def q_select_container_empty(spark, d):
+    """DOM-2, on_missing='empty': pages without a container are kept with ''; markup
+    keeps comments and scripts."""
+    k = F.col("o_orderkey").cast("string")
+    box = F.concat(F.lit('<div id="mainContent"><!-- k --><script>if (1<2) x="</div>"</script>'), k, F.lit("</div>"))
+    html = F.concat(F.lit("<body><p>a"), F.when(F.col("o_orderkey") % 3 == 0, box).otherwise(F.lit("<p>none")), F.lit("</body>"))
+    pages = fx.table(spark, d, "orders").select(F.col("o_orderkey").alias("page_id"), F.lit("https://h/").alias("url"), html.alias("html"))
+    return dom.container_markup(dom.page_trees(pages), on_missing="empty").select("page_id", "container_html")
+
+
+@query("dom_nodes_misnested", """
+SELECT p_partkey AS page_id, CAST(u.pos AS INTEGER) AS pos, u.name, CAST(u.end_pos AS INTEGER) AS end_pos, CAST(u.depth AS INTEGER) AS depth
+FROM part, (VALUES (0, 'div', 11, 0, 0), (1, 'p', 11, 1, 0), (3, 'b', 7, 2, 0), (4, 'i', 7, 3, 0), (5, 'span', 7, 4, 0), (8, 'em', 10, 2, 0),
+                   (0, 'ul', 8, 0, 1), (1, 'li', 8, 1, 1), (2, 'img', 2, 2, 1), (4, 'li', 8, 2, 1), (5, 'a', 8, 3, 1), (9, 'p', 12, 0, 1),
+                   (10, 'p', 12, 1, 1)) u(pos, name, end_pos, depth, kind)
+WHERE p_partkey % 2 = u.kind""")
+def q_dom_nodes_misnested(spark, d):
+    """DOM-1 on misnested pages: expected places are written out by hand.
+    Even parts: <div><p>text<b><i><span>x</b><em>y</em></div>; odd parts: items
+    and paragraphs without end tags, a stray end tag."""
+    p = fx.table(spark, d, "part")
+    name = F.col("p_name")
+    even = F.concat(F.lit("<div><p>"), name, F.lit("<b><i><span>x</b><em>y</em></div>"))
+    odd = F.concat(F.lit("<ul><li><img src=a>"), name, F.lit("<li><a href=b>x</q></ul><p><p>"), name)
+    pages = p.select(F.col("p_partkey").alias("page_id"), F.lit("https://h/").alias("url"),
+                     F.when(F.col("p_partkey") % 2 == 0, even).otherwise(odd).alias("html"))
+    n = dom.dom_nodes(pages)
+    return n.filter("kind = 'start'").select("page_id", "pos", "name", "end_pos", "depth")
+
+
+# Character references and what they stand for.
+REFERENCES = {"&oslash;": "ø", "&ugrave;": "ù", "&rarr;": "→", "&copy 2020": "© 2020", "a&nbsp": "a\u00a0", "&#0000000065;": "A", "&#38;lt;": "&lt;",
+              "&amp;amp;": "&amp;", "&#x1F600;": "\U0001F600", "&unknown;": "&unknown;", "&#128;": "€", "&notit;": "¬it;"}
+_REF_SQL = ", ".join("('" + k.replace("'", "''") + "', '" + v + "')" for k, v in REFERENCES.items())
+
+
+@query("entities", f"""
+SELECT p_partkey, r.ref, p_name || ' ' || r.txt || ' ' || p_name AS decoded FROM part, (VALUES {_REF_SQL}) r(ref, txt)""")
+def q_entities(spark, d):
+    """Character references in text: full table, optional semicolon, one pass."""
+    refs = spark.createDataFrame([(k,) for k in REFERENCES], "ref string")
+    p = fx.table(spark, d, "part").select("p_partkey", "p_name").crossJoin(F.broadcast(refs))
+    text = F.concat("p_name", F.lit(" "), "ref", F.lit(" "), "p_name")
+    return p.select("p_partkey", "ref", decode_entities(text).alias("decoded"))
+
+
 # The relative reference forms resolved against every page URL.
 HREF_FORMS = ["img/x.png", "../up.html", "/root.html", "?q=1", "#frag", "//cdn.example.org/lib.js",
               "https://other.example.org/a", "./here/", "", "a/../b.html"]
@@ -720,28 +793,85 @@ def q_read_pages(spark, d):
 
 
 def _records_csv(spark, d) -> str:
+    """Two inputs of different column order and one of them with a third column."""
     path = scratch(spark, "records-csv")
-    files.refresh_rows(fx.records(spark, d).select("url", "concept_and_mnemonic"), path, fmt="csv")
+    r = fx.records(spark, d)
+    files.refresh_rows(r.where("row_no % 2 = 0").select("concept_and_mnemonic", "url"), path, fmt="csv")
+    files.append_rows(r.where("row_no % 2 = 1").select("url", F.col("row_no").cast("string").alias("mainContent"), "concept_and_mnemonic"),
+                      path, fmt="csv")
     return path
 
 
 @query("read_records", f"""
 WITH {fx.RECORDS_SQL}
-SELECT url, concept_and_mnemonic FROM records""")
+SELECT url, concept_and_mnemonic, CASE WHEN row_no % 2 = 1 THEN CAST(row_no AS VARCHAR) END AS mainContent FROM records""")
 def q_read_records(spark, d):
-    """SRC-2: header CSV with quoted multi-line fields and doubled quotes."""
+    """SRC-2: CSV files of differing column order, fields found by header name."""
     r = readers.read_records(spark, _records_csv(spark, d))
-    return r.select("url", "concept_and_mnemonic")
+    return r.select("url", "concept_and_mnemonic", "mainContent")
+
+
+@query("read_records_order", """
+SELECT o_orderkey AS k, CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS row_no FROM orders""")
+def q_read_records_order(spark, d):
+    """SRC-2: ``row_no`` follows file names, then lines, over files of any size."""
+    path = scratch(spark, "ordered-csv")
+    o = fx.table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("url"), F.lit("x").alias("concept_and_mnemonic"))
+    files.refresh_rows(o.orderBy(F.col("url").cast("long")), path, fmt="csv")
+    r = readers.read_records(spark, path)
+    # rows counted without the header line of each file
+    r = items.ordinals(r.select(F.col("url").cast("long").alias("k"), "row_no"), [], ["row_no"])
+    return r.select("k", (F.col("ordinal") - 1).cast("long").alias("row_no"))
 
 
 @query("read_records_positional", f"""
-WITH {fx.RECORDS_SQL}
-SELECT CAST(2 AS INTEGER) AS n_fields, url AS _c0, concept_and_mnemonic AS _c1 FROM records
-UNION ALL SELECT 2, 'url', 'concept_and_mnemonic'""")
+WITH {fx.RECORDS_SQL}, files AS (SELECT row_no % 2 AS f, count(*) AS n FROM records GROUP BY 1)
+SELECT CAST(2 AS INTEGER) AS n_fields, concept_and_mnemonic AS _c0, url AS _c1 FROM records WHERE row_no % 2 = 0
+UNION ALL SELECT 3, url, CAST(row_no AS VARCHAR) FROM records WHERE row_no % 2 = 1""")
 def q_read_records_positional(spark, d):
-    """SRC-3: positional read; the header line is a data row."""
+    """SRC-3: positional read of rows of two and three fields (header lines, one a
+    written file, are data rows and left out here)."""
     r = readers.read_records_positional(spark, _records_csv(spark, d))
-    return r.select(F.col("n_fields").cast("int"), "_c0", "_c1")
+    return r.where(~F.col("_c0").isin("url", "concept_and_mnemonic")).select(F.col("n_fields").cast("int"), "_c0", "_c1")
+
+
+_WIDE_SQL = """
+wide AS (SELECT p_partkey AS k, CAST(p_partkey % 11 + 1 AS INTEGER) AS n_fields, p_name FROM part),
+cells AS (SELECT k, n_fields, CAST(i AS INTEGER) AS i,
+                 CASE WHEN i % 3 = 1 THEN '' WHEN i = 0 THEN CAST(k AS VARCHAR) ELSE p_name || ' "' || CAST(i AS VARCHAR) || '", ' || chr(10) END AS v
+          FROM wide, range(0, 11) t(i) WHERE i < n_fields)"""
+
+
+def _wide_csv(spark, d) -> str:
+    path = scratch(spark, "wide-csv")
+    k = F.col("p_partkey")
+    cell = lambda i: (F.when(i % 3 == 1, F.lit("")).when(i == 0, k.cast("string"))
+                      .otherwise(F.concat(F.lit('"'), F.col("p_name"), F.lit(' ""'), i.cast("string"), F.lit('"", \n"'))))
+    line = F.array_join(F.transform(F.sequence(F.lit(0), (k % 11).cast("int")), cell), ",")
+    fx.table(spark, d, "part").select(line.alias("value")).write.text(path)
+    return path
+
+
+@query("positional_wide", f"""
+WITH {_WIDE_SQL}
+SELECT k, n_fields, i, v FROM cells""")
+def q_positional_wide(spark, d):
+    """SRC-3: rows of 1 to 11 fields, empty ones included, none lost."""
+    r = readers.read_records_positional(spark, _wide_csv(spark, d))
+    cells = r.select(F.col("_c0").cast("long").alias("k"), "n_fields", F.posexplode("fields").alias("i", "v"))
+    return cells.select("k", "n_fields", "i", "v")
+
+
+@query("rewrite_positional", f"""
+WITH {_WIDE_SQL}
+SELECT k, n_fields, i, CASE WHEN i = 1 THEN 'new' || v ELSE v END AS v FROM cells""")
+def q_rewrite_positional(spark, d):
+    """SNK-3, positional: the second field rewritten, short rows and extra fields kept."""
+    path = scratch(spark, "wide-out")
+    files.rewrite_positional(readers.read_records_positional(spark, _wide_csv(spark, d)), path, lambda c: F.concat(F.lit("new"), c))
+    r = readers.read_records_positional(spark, path)
+    cells = r.select(F.col("_c0").cast("long").alias("k"), "n_fields", F.posexplode("fields").alias("i", "v"))
+    return cells.select("k", "n_fields", "i", "v")
 
 
 @query("enumerate_urls", """
@@ -792,7 +922,7 @@ def q_append_rows(spark, d):
 
 @query("refresh_rows", f"""
 WITH {LESSONS_SQL}
-SELECT url, CAST(1 AS BIGINT) AS copies, n_mnemonic FROM lessons""")
+SELECT url, CAST(1 AS BIGINT) AS copies, mnemonics, images FROM lessons""")
 def q_refresh_rows(spark, d):
     """SNK-2: a refresh replaces the previous output."""
     path = scratch(spark, "refresh")
@@ -800,51 +930,57 @@ def q_refresh_rows(spark, d):
     files.refresh_rows(rows, path)
     files.refresh_rows(rows, path)
     back = spark.read.parquet(path)
-    return back.groupBy("url").agg(F.count(F.lit(1)).alias("copies"), F.max(F.size("mnemonic")).alias("n_mnemonic"))
+    return back.groupBy("url").agg(F.count(F.lit(1)).alias("copies"), F.max(F.array_join("mnemonic", "|")).alias("mnemonics"),
+                                   F.max(F.array_join("images", "|")).alias("images"))
 
 
 @query("rewrite_records", f"""
 WITH {fx.RECORDS_SQL}
-SELECT url,
+SELECT url, CASE WHEN row_no % 2 = 1 THEN CAST(row_no AS VARCHAR) ELSE '' END AS mainContent,
        replace(regexp_replace({_trim('concept_and_mnemonic')}, '(?i)^```json\\s*|\\s*```$', '', 'g'), '""', '"')
        AS concept_and_mnemonic
 FROM records""")
 def q_rewrite_records(spark, d):
-    """SNK-3: same-schema CSV rewrite through the collapse cleaner."""
+    """SNK-3: CSV rewrite through the collapse cleaner, every other column kept."""
     src = readers.read_records(spark, _records_csv(spark, d))
     path = scratch(spark, "rewrite")
-    files.rewrite_records(src.select("url", "concept_and_mnemonic"), path, "concept_and_mnemonic",
-                          lambda c: strip_fence(c, "collapse"))
+    files.rewrite_records(src.drop("row_no"), path, "concept_and_mnemonic", lambda c: strip_fence(c, "collapse"))
     back = readers.read_records(spark, path)
-    return back.select("url", "concept_and_mnemonic")
+    return back.select("url", "mainContent", "concept_and_mnemonic")
 
 
 # ================================================================ streams (STR-1..3)
 
 @query("stream_extract", f"""
 WITH {LESSONS_SQL}
-SELECT page_id, n_mnemonic, n_images FROM lessons""")
+SELECT * FROM lessons""")
 def q_stream_extract(spark, d):
-    """STR-1: page files arriving in a folder become lessons exactly once."""
-    src, out = scratch(spark, "stream-pages"), scratch(spark, "stream-out")
-    fx.block_pages(spark, d).repartition(4, "page_id").write.parquet(src)
-    q = streams.stream_extract(spark, src, out, scratch(spark, "stream-ckpt"))
-    q.awaitTermination()
-    back = spark.read.parquet(out)
-    return back.select("page_id", F.size("mnemonic").alias("n_mnemonic"), F.size("images").alias("n_images"))
+    """STR-1: page files arriving in a folder become lessons exactly once, over
+    several micro-batches and a restart."""
+    src, out, ckpt = scratch(spark, "stream-pages"), scratch(spark, "stream-out"), scratch(spark, "stream-ckpt")
+    pages = fx.block_pages(spark, d)
+    pages.where("page_id % 2 = 0").repartition(3, "page_id").write.parquet(src)
+    streams.stream_extract(spark, src, out, ckpt, max_files_per_trigger=1).awaitTermination()
+    pages.where("page_id % 2 = 1").repartition(2, "page_id").write.mode("append").parquet(src)
+    streams.stream_extract(spark, src, out, ckpt, max_files_per_trigger=1).awaitTermination()
+    return _lesson_columns(spark.read.parquet(out))
+
+
+def _event_files(spark, d, n: int = 5) -> str:
+    """The events in ``n`` files of consecutive times (a micro-batch each)."""
+    src = scratch(spark, "events")
+    ev = fx.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    ev.repartitionByRange(n, "ts").write.parquet(src)
+    return src
 
 
 @query("stream_dedup", """
 SELECT DISTINCT user_id, event_type FROM events""")
 def q_stream_dedup(spark, d):
-    """STR-2: first event per (user, type) within the watermark."""
-    src = scratch(spark, "events")
-    fx.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(src)
-    ev = streams.page_stream(spark, src)
-    dd = streams.stream_dedup(ev, ["user_id", "event_type"], event_time="ts", delay="1 hour")
-    name = f"dedup_{uuid.uuid4().hex[:8]}"
-    t = streams.run_to_table(spark, dd.select("user_id", "event_type"), name, scratch(spark, "dedup-ckpt"))
-    return t
+    """STR-2: the first event of each (user, type), over five micro-batches."""
+    ev = streams.page_stream(spark, _event_files(spark, d), max_files_per_trigger=1)
+    dd = streams.stream_dedup(ev, ["user_id", "event_type"]).select("user_id", "event_type")
+    return streams.run_to_table(spark, dd, scratch(spark, "dedup"), scratch(spark, "dedup-ckpt"))
 
 
 @query("stream_subject_counts", """
@@ -852,15 +988,79 @@ SELECT coalesce(nullif(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/*
        AS subject, count(*) AS n_items
 FROM pages GROUP BY 1""")
 def q_stream_subject_counts(spark, d):
-    """STR-3: running count per subject over a page stream (complete mode)."""
+    """STR-3: running count per subject over a page stream of several micro-batches."""
     src = scratch(spark, "pages")
-    fx.table(spark, d, "pages").select("page_id", "url").write.parquet(src)
-    pg = streams.page_stream(spark, src)
-    name = f"subjects_{uuid.uuid4().hex[:8]}"
-    return streams.run_to_table(spark, streams.stream_subject_counts(pg), name, scratch(spark, "subj-ckpt"),
+    fx.table(spark, d, "pages").select("page_id", "url").repartition(4, "page_id").write.parquet(src)
+    pg = streams.page_stream(spark, src, max_files_per_trigger=1)
+    return streams.run_to_table(spark, streams.stream_subject_counts(pg), scratch(spark, "subjects"), scratch(spark, "subj-ckpt"),
                                 mode="complete")
 
 
+# ================================================================ end to end (E1..E3)
+
+@query("rule_scrape", f"""
+WITH {LESSONS_SQL}
+SELECT page_id AS seed_id, CAST(0 AS BIGINT) AS depth, word, definition, mnemonics, images FROM lessons""")
+def q_rule_scrape(spark, d):
+    """E1: seeds -> walk -> lessons of the pages reached."""
+    pages = fx.block_pages(spark, d)
+    seeds = pages.select(F.col("page_id").alias("seed_id"), "url")
+    ls = lessons.rule_scrape(pages, seeds)
+    return ls.select("seed_id", "depth", "word", "definition", F.array_join("mnemonic", "|").alias("mnemonics"),
+                     F.array_join("images", "|").alias("images"))
+
+
+@query("model_scrape", f"""
+WITH {fx.chain_sql("k % 150 = 0 AND b % 7 <> 0")}
+SELECT url, CAST(1 AS BIGINT) AS copies, 'answer to ' || url AS concept_and_mnemonic
+FROM (SELECT DISTINCT url FROM cvisit) WHERE right(url, 6) <> '7.html'""")
+def q_model_scrape(spark, d):
+    """E2: index pages -> links not done -> walks -> requests -> answers (none for
+    pages whose number ends in 7) -> appended rows, read back."""
+    firsts = fx.table(spark, d, "orders").where((F.col("o_orderkey") % 150 == 0) & ((F.col("o_orderkey") / 150).cast("long") % 7 == 0))
+    done = readers.done_urls(firsts.select(fx.order_url("o_orderkey").alias("url")))
+    req = materialize(lessons.model_scrape(fx.chain_pages(spark, d), fx.index_pages(spark, d), done, ROUTES), "requests")
+    resp = req.where(~F.col("url").endswith("7.html")).select("request_id", F.concat(F.lit("answer to "), "url").alias("output_text"))
+    answered, _ = extraction.attach_responses(req, resp)
+    path = scratch(spark, "answers")
+    files.append_rows(answered, path, columns=["url", "concept_and_mnemonic"])
+    return spark.read.parquet(path).groupBy("url", "concept_and_mnemonic").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query("flashcards", f"""
+WITH {fx.ITEMS_SQL}
+SELECT t.row_no, t.pos, t.subject, t.term,
+       CASE WHEN k % 7 IN (0, 1) THEN NULL
+            WHEN (k + t.pos) % 5 = 0 THEN 'What is the first name associated with ' || t.term || '?'
+            ELSE 'What is ' || t.term || '?' END AS question
+FROM typed t""")
+def q_flashcards(spark, d):
+    """E3: records -> items -> questions (no answers given: rule or fallback) -> subjects."""
+    cards, _, _ = lessons.records_to_flashcards(fx.records(spark, d))
+    return cards.select("row_no", F.col("pos").cast("long").alias("pos"), "subject", "term", "question")
+
+
+@query("rewrite_subjects", f"""
+WITH {fx.ITEMS_SQL}
+SELECT 'by subject' AS rule, subject, count(*) AS n FROM typed GROUP BY subject
+UNION ALL SELECT 'all', subject, count(*) FROM typed WHERE subject >= 'm' GROUP BY subject""")
+def q_rewrite_subjects(spark, d):
+    """CAT-4 and CAT-5 written twice, the second time without half of the subjects:
+    the one keeps the old subjects, the other replaces all."""
+    it = materialize(_items_with_subject(spark, d).select("subject", "row_no", "pos", "item"), "items")
+    some = it.where("subject >= 'm'")
+    one, two = scratch(spark, "subjects"), scratch(spark, "allsubjects")
+    for part in (it, some):
+        files.write_by_subject(part, one)
+        files.write_all_subjects(subjects.group_by_subject(part), two)
+    out = None
+    for rule, path in (("by subject", one), ("all", two)):
+        back = spark.read.json(path).groupBy(F.col("subject").cast("string").alias("subject")).agg(F.count("item.keywords").alias("n"))
+        back = back.select(F.lit(rule).alias("rule"), "subject", "n")
+        out = back if out is None else out.union(back)
+    return out
+
+
 # ================================================================ flagship
 
 @query("heading_subject_counts", """
@@ -875,5 +1075,4 @@ SELECT subject, count(*) AS n_pages, count(*) FILTER (WHERE has_h1) AS n_with_wo
 FROM p GROUP BY ROLLUP (subject)""")
 def q_heading_subject_counts(spark, d):
     """Flagship: pages per subject with a word / definition from the first h1."""
-    from cardforge.plans.lessons import heading_subject_counts
-    return heading_subject_counts(spark, d)
+    return lessons.heading_subject_counts(spark, d)

@@ -212,6 +212,23 @@ def order_url(col) -> F.Column:
     return F.concat(F.lit("https://shop.example.net/o/"), _s(col), F.lit(".html"))
 
 
+def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index pages: the first pages of the blocks, ten blocks a page, listed in
+    three ``grid-menu`` containers of different tags by (k/150)%3; the link also
+    stands outside of them once."""
+    o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % CHAIN == 0)
+    k = F.col("o_orderkey")
+    b = (k / CHAIN).cast("long")
+    link = F.concat(F.lit('<a href="/o/'), _s(k), F.lit('.html">x</a>'))
+    g = o.groupBy((b / 10).cast("long").alias("page_id")).agg(
+        *[F.array_sort(F.collect_list(F.when(b % 3 == i, F.struct(k.alias("k"), link.alias("a"))))).alias(f"m{i}") for i in range(3)])
+    part = lambda i: F.array_join(F.transform(f"m{i}", lambda x: x["a"]), " ")
+    html = F.concat(F.lit('<html><body><a href="/o/none.html">home</a><div class="grid-menu">'), part(0), F.lit('</div><ul class="big grid-menu"><li>'),
+                    part(1), F.lit('</ul><div class="grid-menu">'), part(2), F.lit("</div></body></html>"))
+    url = F.concat(F.lit("https://shop.example.net/index/"), _s("page_id"), F.lit(".html"))
+    return g.select("page_id", url.alias("url"), html.alias("html"))
+
+
 def chain_sql(seeds: str = "true") -> str:
     """DuckDB twin: ``cvisit(seed_id, depth, url)`` of the walks from the orders
     that satisfy ``seeds`` (on ``k``, ``b``)."""

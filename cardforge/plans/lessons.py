@@ -2,6 +2,7 @@
 
 * ``heading_subject_counts`` - the flagship slice (pages -> subject ->
   heading split -> per-subject counts).
+* ``model_scrape`` - index pages -> links -> walks -> model requests.
 * ``rule_scrape`` - pages -> lessons (the rule extractor), restricted to the
   pages reached by following next links from the seeds.
 * ``records_to_flashcards`` - records -> items -> questions -> subjects.
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardforge.functions.urls import subject_of
-from cardforge.operators import crawl, dom, items, questions, subjects
+from cardforge.operators import crawl, dom, extraction, items, questions, subjects
 from cardforge.session import apply_conf
 
 
@@ -41,6 +42,23 @@ def rule_scrape(pages: DataFrame, seeds: DataFrame) -> DataFrame:
     return walks.join(lessons, "url")
 
 
+def model_scrape(pages: DataFrame, index_pages: DataFrame, done: DataFrame, routes: list[tuple[str, str]],
+                 base: str | None = None, walk: bool = True) -> DataFrame:
+    """E2, up to the model: links of the index pages -> those not done yet ->
+    their pages (with ``walk``, all pages their next links lead to) -> one request
+    a page (``extraction_requests``).  A page that several walks reach is asked
+    about once.  ``attach_responses`` and ``append_rows`` finish the run."""
+    links = dom.index_links(dom.page_trees(index_pages), base=base)
+    seeds = crawl.skip_done(links.select(F.col("link").alias("url")).distinct(), done)
+    seeds = seeds.withColumn("seed_id", F.col("url"))
+    if walk:
+        reached = crawl.follow_chain(dom.next_links(dom.page_trees(pages)).select("url", "next_url"), seeds)
+    else:
+        reached = crawl.visit_single(pages, seeds)
+    wanted = pages.join(reached.select("url").distinct(), "url", "left_semi").select("page_id", "url", "html")
+    return extraction.extraction_requests(dom.page_trees(wanted), routes)
+
+
 def records_to_flashcards(records: DataFrame, responses: DataFrame | None = None
                           ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """E3: ``(flashcards, rejects, counts)``.  Records are cleaned (strict

@@ -51,6 +51,17 @@ def rewrite_records(df: DataFrame, path: str, column: str, fn, fmt: str = "csv")
     return out
 
 
+def rewrite_positional(rows: DataFrame, path: str, fn, at: int = 1) -> DataFrame:
+    """SNK-3 for rows without header handling (``read_records_positional``):
+    field ``at`` through ``fn(col)``, all other fields and short rows as they are.
+    Written as CSV lines in ``row_no`` order."""
+    new = F.transform("fields", lambda x, i: F.when(i == at, fn(x)).otherwise(x))
+    out = rows.withColumn("fields", new)
+    quoted = F.transform("fields", lambda x: F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"')))
+    out.orderBy("row_no").select(F.array_join(quoted, ",").alias("value")).write.mode("overwrite").text(path)
+    return out
+
+
 def write_by_subject(items: DataFrame, path: str, fmt: str = "json") -> None:
     """CAT-4: one output directory per subject, items as JSON objects.  Dynamic
     partition overwrite: subjects present in this run are replaced, older

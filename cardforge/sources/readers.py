@@ -6,15 +6,20 @@ import format) or Parquet.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import io
+import itertools
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from cardforge.functions.text import is_blank
+from cardforge.session import materialize
 
-
-# a value no field holds, so that no field is read as null
-NO_NULL = "\u0000<null>\u0000"
+#: rows of a file that leave the parser together
+BATCH_ROWS = 5_000
+csv.field_size_limit((1 << 31) - 1)
 
 
 def read_pages(spark: SparkSession, path: str, urls: DataFrame | None = None) -> DataFrame:
@@ -29,27 +34,60 @@ def read_pages(spark: SparkSession, path: str, urls: DataFrame | None = None) ->
     return j.filter(F.col("html").isNotNull()).select("page_id", "url", "html")
 
 
+def read_csv_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``(row_no, file, line, fields)`` of all CSV files under ``path``: every
+    field of every row, whatever their number, doubled quotes and line breaks in
+    quotes resolved, an empty field as ''.  ``line`` counts the rows of a file
+    from 0; ``row_no`` counts over files in order of their paths, without gaps.
+
+    A CSV file with line breaks in quotes cannot be split, so a task reads a file
+    whole: an import format (up to 2 GB a file).  Convert to Parquet for
+    repeated use."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+
+    def parse(batches):
+        for batch in batches:
+            for file, text in zip(*(c.to_pylist() for c in batch.columns)):
+                rows = csv.reader(io.StringIO(text, newline=""))
+                line = 0
+                while some := [r for r in itertools.islice(rows, BATCH_ROWS) if r]:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([file] * len(some)), pa.array(range(line, line + len(some)), pa.int64()),
+                         pa.array(some, pa.list_(pa.string()))], ["file", "line", "fields"])
+                    line += len(some)
+
+    rows = materialize(files.mapInArrow(parse, "file string, line long, fields array<string>"), "csv-rows")
+    # a row a file
+    sizes = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
+    return rows.join(before, "file").select((F.col("before") + F.col("line")).alias("row_no"), "file", "line", "fields")
+
+
 def read_records(spark: SparkSession, path: str, columns: tuple[str, ...] = ("url", "concept_and_mnemonic")
                  ) -> DataFrame:
-    """SRC-2: header CSV, RFC-4180 doubled quotes, multi-line fields:
-    ``(row_no, url, concept_and_mnemonic)``.  ``row_no`` follows the read
-    order (file order within a file).  Multi-line CSV is not splittable, so
-    it is an import format: convert once to Parquet for repeated use."""
-    schema = StructType([StructField(c, StringType()) for c in columns])
-    # CSV has no null: an empty field is the empty string, as Python's csv reads it
-    df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-          .option("nullValue", NO_NULL).option("mode", "PERMISSIVE").schema(schema).csv(path))
-    return df.select(F.monotonically_increasing_id().alias("row_no"), *columns)
-
-
-def read_records_positional(spark: SparkSession, path: str, max_columns: int = 8) -> DataFrame:
-    """SRC-3: no header handling - the header line is a data row; rows may
-    have fewer or more than two fields: ``(row_no, n_fields, _c0 .. _cN)``."""
-    schema = StructType([StructField(f"_c{i}", StringType()) for i in range(max_columns)])
-    df = (spark.read.option("header", False).option("multiLine", True).option("escape", '"')
-          .option("nullValue", NO_NULL).schema(schema).csv(path))
-    n = sum(F.when(F.col(f"_c{i}").isNotNull(), 1).otherwise(0) for i in range(max_columns))
-    return df.select(F.monotonically_increasing_id().alias("row_no"), n.alias("n_fields"), *df.columns)
+    """SRC-2: CSV with a header line in each file: ``row_no``, ``columns``, then
+    every other column of any file.  Fields are found by the header of their own
+    file, so column order may differ between files; a column that a file or a
+    short row lacks is null.  Fields beyond the header are dropped."""
+    rows = read_csv_rows(spark, path)
+    heads = materialize(rows.where("line = 0").select(F.col("file").alias("f"), F.col("fields").alias("head")), "csv-heads")
+    # the distinct header lines: a few
+    names = dict.fromkeys([*columns, *(c for r in heads.select("head").distinct().orderBy("head").collect() for c in r["head"])])
+    j = rows.where("line > 0").join(heads, F.col("file") == F.col("f"))
+
+    def field(name: str) -> Column:
+        return F.get("fields", F.array_position("head", F.lit(name)).cast("int") - 1)
+
+    present = [F.when(F.array_contains("head", F.lit(c)), field(c)).alias(c) for c in names]
+    return j.select("row_no", *present)
+
+
+def read_records_positional(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-3: no header handling - a header line is a data row; rows may have
+    fewer or more than two fields, all of which are kept:
+    ``(row_no, n_fields, fields, _c0, _c1)`` (the first two, null if absent)."""
+    rows = read_csv_rows(spark, path)
+    return rows.select("row_no", F.size("fields").alias("n_fields"), "fields", F.get("fields", 0).alias("_c0"), F.get("fields", 1).alias("_c1"))
 
 
 def enumerate_urls(spans: DataFrame, template: str, lo: str = "lo", hi: str = "hi") -> DataFrame:

@@ -25,32 +25,28 @@ def page_stream(spark: SparkSession, pages_dir: str, max_files_per_trigger: int
 
 
 def stream_extract(spark: SparkSession, pages_dir: str, out_dir: str, checkpoint: str,
-                   extractor=extract_lessons, available_now: bool = True):
+                   extractor=extract_lessons, available_now: bool = True, max_files_per_trigger: int | None = None):
     """STR-1: every new page file becomes lesson rows once.
 
     Each micro-batch is written under ``batch_id=<n>`` with dynamic
     partition overwrite, so a batch replayed after a failure (foreachBatch is
-    at-least-once) replaces its own output instead of duplicating it.
-    ``extractor(batch, cached=list)`` may persist intermediates; they are
-    released after the batch is written."""
+    at-least-once) replaces its own output instead of duplicating it."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        cached: list[DataFrame] = []
-        out = extractor(batch, cached=cached).withColumn("batch_id", F.lit(batch_id))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out_dir))
-        for df in cached:  # release this batch's intermediate tables
-            df.unpersist()
-
-    w = page_stream(spark, pages_dir).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+        (extractor(batch).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_dir))
+
+    w = page_stream(spark, pages_dir, max_files_per_trigger).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 
 
 def stream_dedup(stream: DataFrame, key: list[str], event_time: str | None = None,
                  delay: str = "1 hour") -> DataFrame:
-    """STR-2: drop rows whose key was already seen.  With an event-time
-    column the state is bounded by the watermark; without one it grows with
-    the number of distinct keys."""
+    """STR-2: drop rows whose key was already seen, in this or an earlier
+    micro-batch.  Without an event time a key is dropped for ever and the state
+    grows with the distinct keys.  With one, a key is dropped for ``delay`` after
+    its first event (the state is bounded by the watermark), and may come again
+    after that."""
     if event_time:
         return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(key)
     return stream.dropDuplicates(key)
@@ -65,11 +61,19 @@ def stream_subject_counts(stream: DataFrame, url_col: str = "url") -> DataFrame:
     return stream.groupBy(subject_of(F.col(url_col)).alias("subject")).agg(F.count(F.lit(1)).alias("n_items"))
 
 
-def run_to_table(spark: SparkSession, stream: DataFrame, name: str, checkpoint: str,
+def run_to_table(spark: SparkSession, stream: DataFrame, out_dir: str, checkpoint: str,
                  mode: str = "append") -> DataFrame:
-    """Drive a stream over the files present now into a memory table and
-    return it as a batch DataFrame (used by the query catalog and tests)."""
-    q = (stream.writeStream.format("memory").queryName(name).outputMode(mode)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    """Drive a stream over the files present now into a Parquet table and return
+    it.  ``append`` writes each micro-batch under its id (a replayed one replaces
+    itself); ``complete`` replaces the table, the last batch has it all."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if mode == "complete":
+            batch.write.mode("overwrite").parquet(out_dir)
+        else:
+            (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_dir))
+
+    q = (stream.writeStream.foreachBatch(run).outputMode(mode).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name)
+    return spark.read.parquet(out_dir).select(stream.columns)

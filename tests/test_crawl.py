@@ -56,3 +56,21 @@ def test_until_first_repeat(spark):
     df = spark.createDataFrame(rows, "part string, ord int, content string")
     got = sorted((r.part, r.content) for r in until_first_repeat(df, "part", "ord", "content").collect())
     assert got == [("p", "a"), ("p", "b"), ("p", "c"), ("q", "x"), ("r", "x"), ("r", "y"), ("r", "z")]
+
+
+def test_random_graphs(spark):
+    import random
+    rnd = random.Random(5)
+    for n in (1, 7, 60):
+        names = [f"p{i}" for i in range(n)]
+        edges = {u: rnd.choice([None, "gone", *names]) for u in names}
+        links = spark.createDataFrame(list(edges.items()), "url string, next_url string")
+        seeds = [(i, rnd.choice(names + ["zz"])) for i in range(25)]
+        sd = spark.createDataFrame(seeds, "seed_id int, url string")
+        exp = sorted((sid, d, u) for sid, s in seeds for d, u in enumerate(_walk(edges, s)))
+        assert sorted((r.seed_id, r.depth, r.url) for r in follow_chain(links, sd).collect()) == exp
+        first = {}
+        for sid, d, u in exp:
+            first[u] = min(first.get(u, (sid, d)), (sid, d))
+        got = {r.url: (r.seed_id, r.depth) for r in crawl_all(links, sd, dedup="global").collect()}
+        assert got == first

@@ -1,5 +1,6 @@
 """Sources, sinks and streams on small local folders."""
 
+import json
 import os
 import tempfile
 
@@ -67,10 +68,78 @@ def test_stream_extract_is_idempotent_per_batch(spark):
 
 
 def test_stream_dedup_by_content(spark):
-    src, ck = os.path.join(_tmp(), "pages"), os.path.join(_tmp(), "ck")
-    spark.createDataFrame([(1, "u1", "<p>same</p>"), (2, "u2", "<p>same</p>"), (3, "u3", "<p>other</p>")],
-                          "page_id long, url string, html string").write.parquet(src)
-    s = streams.content_key(streams.page_stream(spark, src), "html")
+    base = _tmp()
+    src = os.path.join(base, "pages")
+    for i, html in enumerate(["<p>same</p>", "<p>same</p>", "<p>other</p>", "<p>same</p>"]):  # a file, so a micro-batch, each
+        spark.createDataFrame([(i, f"u{i}", html)], "page_id long, url string, html string").coalesce(1).write.mode("append").parquet(src)
+    s = streams.content_key(streams.page_stream(spark, src, max_files_per_trigger=1), "html")
     out = streams.run_to_table(spark, streams.stream_dedup(s, ["content_md5"]).select("content_md5"),
-                               "dedup_test", ck)
+                               os.path.join(base, "out"), os.path.join(base, "ck"))
     assert out.count() == 2
+
+
+def _csv_files(texts):
+    path = os.path.join(_tmp(), "csv")
+    os.makedirs(path)
+    for name, text in texts.items():
+        with open(os.path.join(path, name), "w", newline="") as f:
+            f.write(text)
+    return path
+
+
+def test_records_are_read_by_header_name(spark):
+    path = _csv_files({
+        "b.csv": 'concept_and_mnemonic,url\r\n"x ""q""\r\ny",u1\r\n,u2\r\n',
+        "a.csv": "url,mainContent,concept_and_mnemonic\n" + "".join(f"v{i},m,c{i}\n" for i in range(300)) + "short\nlong,m,c,more\n",
+        "c.csv": "url\nonly\n", "d.csv": ""})
+    r = readers.read_records(spark, path)
+    assert r.columns[:3] == ["row_no", "url", "concept_and_mnemonic"] and set(r.columns) == {"row_no", "url", "concept_and_mnemonic", "mainContent"}
+    rows = [(x.url, x.concept_and_mnemonic, x.mainContent) for x in r.orderBy("row_no").collect()]
+    assert rows == [(f"v{i}", f"c{i}", "m") for i in range(300)] + [
+        ("short", None, None), ("long", "c", "m"), ("u1", 'x "q"\r\ny', None), ("u2", "", None), ("only", None, None)]
+
+
+def test_positional_rows_keep_every_field(spark):
+    path = _csv_files({"a.csv": "a,,c\n" + ",".join(map(str, range(11))) + '\n""\nx\n"a\nb",c\n'})
+    r = readers.read_records_positional(spark, path).orderBy("row_no").collect()
+    assert [x.fields for x in r] == [["a", "", "c"], [str(i) for i in range(11)], [""], ["x"], ["a\nb", "c"]]
+    assert [x.n_fields for x in r] == [3, 11, 1, 1, 2] and [x.row_no for x in r] == list(range(5)) and r[3]["_c1"] is None
+    out = os.path.join(_tmp(), "out")
+    files.rewrite_positional(readers.read_records_positional(spark, path), out, lambda c: F.upper(c))
+    back = readers.read_records_positional(spark, out).orderBy("row_no").collect()
+    assert [x.fields for x in back] == [["a", "", "c"], [str(i) for i in range(11)], [""], ["x"], ["a\nb", "C"]]
+
+
+def test_items_are_written_as_objects(spark):
+    base = _tmp()
+    items = spark.sql("""select 'm' as subject, 0L as row_no, 0 as pos, parse_json('{"term": "a", "n": [1, null]}') as item
+                         union all select 'b', 1L, 0, parse_json('"text"')""")
+    for name, write in (("one", files.write_by_subject), ("flat", files.write_flat)):
+        path = os.path.join(base, name)
+        write(items, path)
+        lines = [json.loads(r.value) for r in spark.read.text(path).collect()]
+        assert {json.dumps(x["item"]) for x in lines} == {'{"n": [1, null], "term": "a"}', '"text"'}
+    path = os.path.join(base, "all")
+    files.write_all_subjects(items, path)
+    files.write_all_subjects(items.where("subject = 'm'"), path)
+    assert [r.subject for r in spark.read.json(path).collect()] == ["m"]
+
+
+def test_scratch_folder_only_on_a_local_master():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from cardforge.session import checkpoint_dir
+
+    def session(master, folder=None):
+        made = []
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: made[-1] if made else None, setCheckpointDir=made.append,
+                             getConf=lambda: SimpleNamespace(get=lambda key, default: folder))
+        return SimpleNamespace(sparkContext=sc)
+
+    for master in ("yarn", "spark://host:7077", "k8s://h", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            checkpoint_dir(session(master))
+        assert checkpoint_dir(session(master, "hdfs:///shared")) == "hdfs:///shared"
+    assert checkpoint_dir(session("local[2]")) and checkpoint_dir(session("local"))

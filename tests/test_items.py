@@ -81,3 +81,44 @@ def test_parse_strictness_random(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(
         "t", try_parse_value(F.col("t")).isNotNull().alias("v"))
     assert [r.t for r in df.collect() if r.v != _py_ok(r.t)] == []
+
+
+def test_long_strings(spark):
+    long = "x" * 300_000 + '\\"' * 20_000
+    texts = [f'[{{"term": "{long}"}}]', f'["{long}"] junk', '["' + "y" * 300_000, "[" * 300 + "1" + "]" * 300]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    from pyspark.sql import functions as F
+
+    from cardforge.operators.items import try_parse_value
+    got = {r.i: r.v for r in df.select("i", try_parse_value(F.col("t")).isNotNull().alias("v")).collect()}
+    assert got == {0: True, 1: False, 2: False, 3: True}
+
+
+def test_sparse_keys_are_numbered_over_many_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from cardforge.operators.items import _placed, ordinals, prefix_offsets
+    n = 20_000
+    d = spark.range(n).select((F.col("id") * 1_000_003).alias("k"), (F.col("id") % 3).alias("n"), F.lit("hot").alias("s"))
+    o = prefix_offsets(d, "k", "n")
+    rows = {r.k: r.offset for r in o.collect()}
+    total = 0
+    for i in range(n):
+        assert rows[i * 1_000_003] == total
+        total += i % 3
+    # even range partitions for any spacing, and for one hot key
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the rows would fit one
+    try:
+        for keys in ([], ["s"]):
+            sizes = [r["count"] for r in _placed(d, [*keys, "k"]).groupBy("_part").count().collect()]
+            assert len(sizes) > 1 and max(sizes) < n / 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    g = ordinals(d, ["s"], ["k"]).select("k", "ordinal").collect()
+    assert {r.k // 1_000_003 + 1 for r in g} == {r.ordinal for r in g} and all(r.k // 1_000_003 + 1 == r.ordinal for r in g)
+
+
+def test_numbers_skip_other_elements(spark):
+    texts = ["```json\n[1, {\"t\": 1}, null, {\"t\": 2}, \"s\"]\n```", "```json\n[{}]\n```"]
+    _, items = number_items(_records(spark, texts))
+    assert sorted((r.row_no, r.pos, r["count"]) for r in items.collect()) == [(0, 1, 1), (0, 3, 2), (1, 0, 3)]

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from cardforge.functions.urls import subject_of
 from cardforge.operators.dom import dom_nodes, extract_lessons, next_links, page_trees
-from cardforge.operators.items import number_items
+from cardforge.operators import crawl
+from cardforge.operators.items import number_items, records_to_items
 
 PAGES = "/root/testdata/sf0.001/pages.parquet"
 
@@ -35,8 +36,21 @@ def test_numbering_has_no_global_window_over_rows(spark):
                                        F.lit('```json\n[{"a": 1}, {"b": 2}]\n```').alias("concept_and_mnemonic"))
     _, items = number_items(rows)
     plan = _plan(items)
-    # the only single-partition step is the running sum over per-bucket totals
-    # (one row per 2^16 input rows), never over the rows themselves
-    windows = re.findall(r"Window \[[^\n]*", plan)
-    assert any("_bucket" in w and "row_no" in w for w in windows)
+    # the only single-partition step is the running sum over the partitions' totals
+    for window in re.findall(r"Window \[[^\n]*", plan):
+        assert "_part" in window, window
     assert items.count() == 2000
+
+
+def test_records_are_parsed_once(spark):
+    rec = spark.createDataFrame([(0, "https://a.example/x", "[1]")], "row_no long, url string, concept_and_mnemonic string")
+    items, rejects = records_to_items(rec)
+    for df in (items, rejects):
+        assert "parse_json" not in _plan(df) and "ParseJson" not in _plan(df)
+
+
+def test_walks_join_no_null_keys(spark):
+    links = spark.createDataFrame([("a", "b"), ("b", None), ("c", "gone")], "url string, next_url string")
+    g = crawl._graph(links)
+    for level in crawl.JumpTables(g, 3).levels:
+        assert level.where("j is null").count() == 0

@@ -12,7 +12,7 @@ def _records(spark, rows):
 
 
 ROWS = [
-    '```json\n[{"term": "", "definition": "d"}, {"term": "Alberto (first name)", "definition": null},'
+    '```json\n[{"term": "", "definition": "d"}, {"term": "Waldemar (given name)", "definition": null},'
     ' {"term": "Argon", "definition": "", "mnemonic": ""}, {"term": "Neon", "definition": "gas", "mnemonic": "m"},'
     ' {"term": "Xenon", "definition": "gas"}, 5]\n```',
     "   ",
@@ -43,8 +43,23 @@ def test_apply_questions_and_summary(spark):
         assert out[i] == ROWS[i]
     items = json.loads(out[0].removeprefix("```json\n").removesuffix("\n```"))
     assert [x.get("question") if isinstance(x, dict) else x for x in items] == [
-        None, "What is the first name associated with Alberto?", "What is the first name associated with Argon?",
+        None, "What is the first name associated with Waldemar?", "What is the first name associated with Argon?",
         "What gas is Neon?", "What is Xenon?", 5]
     assert items[3]["mnemonic"] == "m"
     s = run_summary(rec, after).first()
     assert (s.total, s.processed, s.errors) == (5, 1, 3)
+
+
+def test_route_of_empty_values(spark):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from cardforge.operators.questions import question_route
+    values = [None, "", "a", "0", 0, 0.0, -0.0, 1, False, True, [], ["x"], {}, {"k": 1}]
+    items = [{"term": t, "definition": d} for t in values for d in values] + [{}, {"term": "a"}, "a", 5, ["a"]]
+    rows = spark.createDataFrame([(i, json.dumps(x)) for i, x in enumerate(items)], "i int, j string")
+    got = {r.i: r.r for r in rows.select("i", question_route(F.parse_json("j")).alias("r")).collect()}
+    for i, x in enumerate(items):
+        d = x if isinstance(x, dict) else {}
+        assert got[i] == ("skip" if not d.get("term") else "ask" if d.get("definition") else "rule"), x
