@@ -192,13 +192,27 @@ def q_validity(spark, d):
 
 # ================================================================ numbering (NUM-1)
 
+@query("number_items_rows", """
+SELECT 'kept' AS kind, count(*) AS n FROM (SELECT DISTINCT l_orderkey FROM lineitem) WHERE l_orderkey % 10 <> 3
+UNION ALL SELECT 'unchanged', count(*) FROM (SELECT DISTINCT l_orderkey FROM lineitem) WHERE l_orderkey % 10 = 7
+UNION ALL SELECT 'dropped', count(*) FROM (SELECT DISTINCT l_orderkey FROM lineitem) WHERE l_orderkey % 10 = 3""")
+def q_number_items_rows(spark, d):
+    """NUM-1: rows kept, kept unchanged (no JSON) and dropped (bare objects)."""
+    rec = fx.line_records(spark, d)
+    rows, _ = items.number_items(rec)
+    both = rec.select("row_no", F.col("concept_and_mnemonic").alias("old")).join(rows, "row_no", "left")
+    kind = lambda name, cond: both.agg(F.lit(name).alias("kind"), F.count_if(cond).alias("n"))
+    new = F.col("concept_and_mnemonic")
+    return kind("kept", new.isNotNull()).union(kind("unchanged", new == F.col("old"))).union(kind("dropped", new.isNull()))
+
+
 @query("number_items", """
 SELECT l_orderkey AS row_no,
        CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
             l_extendedprice, l_returnflag) - 1 AS INTEGER) AS pos,
        CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
             l_extendedprice, l_returnflag) AS BIGINT) AS count
-FROM lineitem""")
+FROM lineitem WHERE l_orderkey % 10 NOT IN (3, 7)""")
 def q_number_items(spark, d):
     """NUM-1: global 1-based numbering over (order, line) without a
     single-partition window."""
@@ -720,8 +734,7 @@ def q_question_route(spark, d):
 
 
 _QINPUT = ("""'Term: "' || term || '"' || chr(10) || 'Definition: "' || subject || ' size ' || CAST(p_size AS VARCHAR)"""
-           """ || '"' || chr(10) || 'Mnemonic: "' || p_brand || (CASE WHEN k % 23 = 0 THEN ' json ' ELSE ' keeps ' END)"""
-           """ || p_name || '"'""")
+           f""" || '"' || chr(10) || 'Mnemonic: "' || {fx.mnemonic_sql()} || '"'""")
 
 
 @query("question_requests", f"""

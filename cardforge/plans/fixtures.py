@@ -33,8 +33,9 @@ def _item(i: int) -> F.Column:
     tkey = F.when(k % 7 == 0, "name").when(k % 7 == 1, "concept").otherwise("term")
     definition = F.when((k + i) % 5 == 0, F.lit("null")).otherwise(
         F.concat(F.lit('"'), F.col("subject"), F.lit(" size "), _s("p_size"), F.lit('"')))
+    # some are long: more than a page of text in one string
     mnemonic = F.concat(F.col("p_brand"), F.when(k % 23 == 0, F.lit(" json ")).otherwise(F.lit(" keeps ")),
-                        F.col("p_name"))
+                        F.col("p_name"), F.when(k % 97 == 0, F.repeat(F.lit(" and on"), 2000)).otherwise(F.lit("")))
     return F.concat(F.lit('{"'), tkey, F.lit('": "'), F.col("p_name"), F.lit(f" {i}"), F.lit('", "definition": '),
                     definition, F.lit(', "mnemonic": "'), mnemonic, F.lit('", "keywords": ["'), F.col("p_brand"),
                     F.lit('", "'), F.col("subject"), F.lit('"]}'))
@@ -67,12 +68,16 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(p.select(k.alias("row_no"), url.alias("url"), text.alias("concept_and_mnemonic")), "records")
 
 
+def mnemonic_sql(k: str = "k") -> str:
+    return (f"p_brand || (CASE WHEN {k} % 23 = 0 THEN ' json ' ELSE ' keeps ' END) || p_name"
+            f" || (CASE WHEN {k} % 97 = 0 THEN repeat(' and on', 2000) ELSE '' END)")
+
+
 def _sql_item(i: int) -> str:
     return (f"""'{{"' || (CASE WHEN p_partkey % 7 = 0 THEN 'name' WHEN p_partkey % 7 = 1 THEN 'concept' ELSE 'term' END)"""
             f""" || '": "' || p_name || ' {i}", "definition": ' || """
             f"""(CASE WHEN (p_partkey + {i}) % 5 = 0 THEN 'null' ELSE '"' || lower(p_type) || ' size ' """
-            f"""|| CAST(p_size AS VARCHAR) || '"' END) || ', "mnemonic": "' || p_brand || """
-            f"""(CASE WHEN p_partkey % 23 = 0 THEN ' json ' ELSE ' keeps ' END) || p_name || '", "keywords": ["' """
+            f"""|| CAST(p_size AS VARCHAR) || '"' END) || ', "mnemonic": "' || {mnemonic_sql('p_partkey')} || '", "keywords": ["' """
             f"""|| p_brand || '", "' || lower(p_type) || '"]}}'""")
 
 
@@ -101,7 +106,7 @@ records AS (
   FROM rec)"""
 
 # items every strict parse yields: not blank, not malformed, url present
-ITEMS_SQL = RECORDS_SQL + """,
+ITEMS_SQL = RECORDS_SQL + f""",
 items AS (
   SELECT row_no, url, subject, k, p_name, p_brand, p_size, CAST(i AS BIGINT) AS pos
   FROM records, range(0, 3) t(i)
@@ -111,7 +116,7 @@ typed AS (
   SELECT row_no, pos, url, subject, k,
          p_name || ' ' || CAST(pos AS VARCHAR) AS term,
          CASE WHEN (k + pos) % 5 = 0 THEN NULL ELSE subject || ' size ' || CAST(p_size AS VARCHAR) END AS definition,
-         p_brand || (CASE WHEN k % 23 = 0 THEN ' json ' ELSE ' keeps ' END) || p_name AS mnemonic,
+         {mnemonic_sql()} AS mnemonic,
          p_brand AS keyword0
   FROM items)"""
 
@@ -256,13 +261,17 @@ CHAIN_SQL = chain_sql()
 
 def line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per order: a fenced array with one object per line item
-    (an order's lines: a bounded group)."""
+    (an order's lines: a bounded group); a bare object when k%10=3, a text that
+    is no JSON when k%10=7."""
     li = table(spark, sf_dir, "lineitem")
     key = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag"]
     g = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(*key))).alias("xs"))
     objs = F.transform("xs", lambda x: F.concat(F.lit('{"line": '), x["l_linenumber"].cast("string"),
                                                 F.lit(', "flag": "'), x["l_returnflag"], F.lit('"}')))
-    text = F.concat(F.lit("```json" + NL + "["), F.array_join(objs, ", "), F.lit("]" + NL + "```"))
+    k = F.col("l_orderkey")
+    body = (F.when(k % 10 == 3, objs[0]).when(k % 10 == 7, F.concat(F.lit("[oops, "), objs[0]))
+            .otherwise(F.concat(F.lit("["), F.array_join(objs, ", "), F.lit("]"))))
+    text = F.concat(F.lit("```json" + NL), body, F.lit(NL + "```"))
     return materialize(g.select(F.col("l_orderkey").alias("row_no"), order_url("l_orderkey").alias("url"),
                                 text.alias("concept_and_mnemonic")), "records")
 
