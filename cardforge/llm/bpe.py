@@ -27,18 +27,18 @@ from cardforge.llm.common import chunks, text_batches
 from cardforge.llm.pretokenize import boundaries
 
 #: slices, and their ids, that a worker keeps before its cache starts anew
-CACHE_SLICES = 600_000
-CACHE_IDS = 8_000_000
+CACHE_SLICES = 300_000
+CACHE_IDS = 4_000_000
 #: text that is cut and encoded at a time
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
 
 
 class SliceCache:
     """Ids of distinct slices.  ``encode`` maps a list of slices to their ids,
     flat, and the number of ids of each."""
 
-    def __init__(self, encode):
-        self.encode = encode
+    def __init__(self, encode, most: int | None = None):
+        self.encode, self.most = encode, most
         self.clear()
 
     def clear(self) -> None:
@@ -51,7 +51,7 @@ class SliceCache:
         at = np.fromiter(map(self.index.get, keys, repeat(-1)), dtype=np.int64, count=len(keys))
         missing = np.flatnonzero(at < 0)
         if len(missing):
-            if len(self.index) + len(missing) > CACHE_SLICES or self.used > CACHE_IDS:
+            if len(self.index) + len(missing) > (self.most or CACHE_SLICES) or self.used > CACHE_IDS:
                 self.clear()
                 missing = np.arange(len(keys))
             new = [keys[i] for i in missing]
@@ -162,14 +162,17 @@ def _list(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
 
 
 def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text",
-                     digests: bool = False) -> DataFrame:
+                     digests: bool = False, offsets: bool = True) -> DataFrame:
     """``(doc_id, n_tokens, ids, offsets)``: token ids of each whole text and
-    the byte offset of each token in it.  With ``digests``, instead of the two
+    (unless ``offsets`` is false) the byte offset of each token in it.  With
+    ``digests``, instead of the two
     lists: ``ids_sha256`` of the decimal ids joined by a space, and
     ``decoded_sha256`` of the bytes that the ids decode to."""
     text_batches(docs.sparkSession)
     key = docs.schema[id_col].dataType.simpleString()
-    tail = "ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, offsets array<int>"
+    lists = ["ids", "offsets"] if offsets else ["ids"]
+    names = ["ids_sha256", "decoded_sha256"] if digests else lists
+    tail = ", ".join(f"{x} {'string' if digests else 'array<int>'}" for x in names)
 
     def run(batches):
         vocab = vocabulary(vocabulary_path)
@@ -183,12 +186,11 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_i
                             [hashlib.sha256(x).hexdigest() for x in joined(vocab.pieces, ids, bounds)]]
                     cols = [pa.array(c, type=pa.string()) for c in cols]
                 else:
-                    ends = np.concatenate(([0], np.cumsum(vocab.lengths[ids])))
-                    starts = ends[:-1] - np.repeat(ends[bounds[:-1]], np.diff(bounds))
-                    cols = [_list(ids, bounds), _list(starts.astype(np.int32), bounds)]
-                yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), n, *cols],
-                                                 ["doc_id", "n_tokens", *(["ids_sha256", "decoded_sha256"] if digests
-                                                                          else ["ids", "offsets"])])
+                    cols = [_list(ids, bounds)]
+                    if offsets:
+                        ends = np.concatenate(([0], np.cumsum(vocab.lengths[ids])))
+                        cols.append(_list((ends[:-1] - np.repeat(ends[bounds[:-1]], np.diff(bounds))).astype(np.int32), bounds))
+                yield pa.RecordBatch.from_arrays([keys.slice(lo, hi - lo), n, *cols], ["doc_id", "n_tokens", *names])
 
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
             .mapInArrow(run, f"doc_id {key}, n_tokens long, {tail}"))

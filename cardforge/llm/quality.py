@@ -248,7 +248,8 @@ def rate(measured_docs: DataFrame, estimates: DataFrame, tail: float = TAIL) ->
             part = part + F.col(f"_e.w{j}_{k}") * v[k]
         total = total + part * part
     d = d.withColumn("_d2", total / F.col("_e.unit"))
-    keep = ~F.col("_q.failed") & F.coalesce(F.col("_d2") <= chi2_quantile(tail), F.lit(True))
+    # one expression over both sides of the join: a filter on it stays above, and texts are counted once
+    keep = F.when(F.col("_q.failed"), F.lit(False)).otherwise(F.coalesce(F.col("_d2") <= chi2_quantile(tail), F.lit(True)))
     return d.withColumn("_v", F.struct(F.col("_d2").alias("distance2"), keep.alias("kept"))).drop("_e", "_d2")
 
 

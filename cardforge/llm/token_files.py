@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cardforge.llm.bpe import CHUNK_BYTES, SliceCache, encode_chunk
+from cardforge.llm.bpe import SliceCache, encode_chunk
 from cardforge.llm.common import chunks, text_batches
 
 #: options of the Parquet writer: row groups, pages, encodings (fixed values)
@@ -40,6 +40,10 @@ FILE_OPTIONS = {
     "compression": "zstd",
 }
 
+#: text that is encoded at a time, and slices that a worker keeps: more of both than
+#: for an encoder of our own, as the library's calls cost more
+CHUNK_BYTES = 8 << 20
+CACHE_SLICES = 600_000
 #: up to so many files their offsets are broadcast, beyond that joined by a shuffle
 BROADCAST_FILES = 100_000
 
@@ -56,7 +60,7 @@ def slice_cache(tokenizer_path: str) -> SliceCache:
         done = tokenizer.encode([str(p, "utf-8") for p in pieces], is_pretokenized=True, add_special_tokens=False)
         return np.array(done.ids, dtype=np.int32), np.bincount(done.word_ids, minlength=len(pieces))
 
-    return SliceCache(encode)
+    return SliceCache(encode, CACHE_SLICES)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id",
