@@ -62,6 +62,8 @@ comments consent cookie cookies copyright disqus feedback foot footer form gdpr
 metadata modal nav navbar navigation navi newsletter notice notices pager pagination popup promo promoted promotion related
 replies reply respond responses share sharing sidebar sidebars sidenav signup skip social sponsor sponsored subscribe
 subscription tags teaser toc toolbar topbar tracking widget widgets""".split())
+OWN_HEAD = {"head", "header"}
+LAYOUT = {"container", "grid", "has", "inner", "layout", "no", "outer", "row", "with", "without", "wrap", "wrapper"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 TIE_NEXT = 0.6
 TIE_PARENT = 0.8
@@ -139,9 +141,11 @@ class BlockReader(HTMLParser):
         if tag in BLOCK_TAGS and tag not in ("html", "body"):
             words = {w.lower() for v in (attrs.get("class"), attrs.get("id")) for w in _NAME.findall(v or "")}
             words |= {w.lower() for v in (attrs.get("class"), attrs.get("id")) for w in re.split(r"[\s_-]+", v or "")}
-            if words & NAMED_BOILERPLATE:
+            # an article's own head belongs to it; a name of both kinds ("content-sidebar-wrap") says nothing
+            bad, good = words & NAMED_BOILERPLATE - (OWN_HEAD if in_article else set()), words & NAMED_CONTENT
+            if bad and not (good and len(words & LAYOUT)):
                 own -= 7.0
-            elif words & NAMED_CONTENT:
+            elif good and not bad:
                 own += 2.0
         return own
 

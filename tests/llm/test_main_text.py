@@ -31,6 +31,13 @@ def test_without_semantic_tags():
     assert mt.main_text(page) == "Hello World\n\nSome long paragraph with a lot of words in it so that it stays.\n\nAnother one with words that go on."
 
 
+def test_names_of_wrappers():
+    page = """<body class="has-sidebar"><div class="content-sidebar-wrap"><article><div class="article-header"><h1>The title</h1></div>
+    <p>A paragraph with enough words to be the text of the page, surely.</p><div id="ad-1">Buy this now and here today!</div>
+    </article><div class="widget-area sidebar"><p>Something else that nobody came to this page to read at all.</p></div></div>"""
+    assert mt.main_text(page) == "The title\n\nA paragraph with enough words to be the text of the page, surely."
+
+
 def test_min_cut_is_minimal():
     rng = random.Random(4)
     for _ in range(200):
