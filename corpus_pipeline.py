@@ -40,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each whole text."""
-    return bpe.encode_documents(docs, RANKS).select("doc_id", "n_tokens", "ids")
+    return bpe.encode_documents(docs, RANKS, offsets=False)
 
 
 STAGES = [
