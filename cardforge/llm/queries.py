@@ -75,7 +75,50 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
+# components of pairs(a, b): the least id reachable
+_COMPONENTS = """
+        sym AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+        reach(x, y) AS (SELECT a, b FROM sym UNION SELECT r.x, s.b FROM reach r JOIN sym s ON s.a = r.y),
+        least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)"""
+
 ORACLES: dict[str, str] = {
+    "op1_ngram_join": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents),
+        sh AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+            FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        pairs AS (
+            SELECT x.doc_id AS a, y.doc_id AS b FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id
+            JOIN n p ON p.doc_id = x.doc_id JOIN n q ON q.doc_id = y.doc_id
+            GROUP BY x.doc_id, y.doc_id, p.n, q.n HAVING 100 * count(*) >= 90 * (p.n + q.n - count(*))),
+        {_COMPONENTS}
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(l.y, d.doc_id), d.doc_id) AS component_id
+        FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN least l ON l.x = d.doc_id
+    """,
+    "op8_main_text": """
+        WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS a FROM pages),
+        b AS (SELECT page_id, url, list_filter(list_transform(regexp_split_to_array(a, '</?(?:p|h1)>'), lambda x: trim(regexp_replace(
+                         regexp_replace(regexp_replace(x, '<br>', ' ', 'g'), '<[^>]*>', '', 'g'), '\\s+', ' ', 'g'))), lambda x: x <> '') AS blocks
+              FROM a),
+        t AS (SELECT page_id, url, regexp_replace(replace(replace(replace(replace(replace(array_to_string(blocks, chr(10) || chr(10)),
+                         '&middot;', '·'), '&copy;', '©'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;?', '&', 'g') AS text FROM b)
+        SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM t
+    """,
+    "op10_embedding_dedup": f"""
+        WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        pairs AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id < y.vec_id
+                  WHERE list_cosine_similarity(x.e, y.e) >= 0.95),
+        {_COMPONENTS},
+        links AS (SELECT id, count(*) AS n FROM (SELECT a AS id FROM pairs UNION ALL SELECT b FROM pairs) GROUP BY id)
+        SELECT v.vec_id, coalesce(k.n, 0) AS n_links, coalesce(least(l.y, v.vec_id), v.vec_id) AS component_id,
+               coalesce(l.y >= v.vec_id, true) AS kept
+        FROM v LEFT JOIN links k ON k.id = v.vec_id LEFT JOIN least l ON l.x = v.vec_id
+    """,
     "op6_url_filter": """
         WITH p AS (
             SELECT page_id, url,
