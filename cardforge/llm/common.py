@@ -1,5 +1,5 @@
-"""Helpers shared by the operators: tables, lineage cuts, word splitting on
-Arrow buffers, connected components and distributed prefix offsets."""
+"""Helpers shared by the operators: tables, word splitting on Arrow buffers,
+connected components.  Lineage is cut by ``cardforge.session.materialize``."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardforge.session import checkpoint_dir
+from cardforge.session import checkpoint_dir, materialize
 
 #: rows of text handed to Python at a time (texts may be long)
 TEXT_BATCH_ROWS = 1500
@@ -39,14 +39,6 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/cardforge-{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back: a lineage
-    cut that survives lost executors."""
-    path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def chunks(texts: pa.Array, most_bytes: int = 4 << 20):
     """``(start, stop)`` row ranges of at most ``most_bytes`` of text (one row
     at least)."""

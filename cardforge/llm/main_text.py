@@ -57,11 +57,13 @@ IN_TAG = {"article": 3.0, "main": 2.5, "nav": -8.0, "footer": -8.0, "aside": -8.
 IN_ROLE = {"main": 2.5, "article": 3.0, "navigation": -8.0, "banner": -8.0, "contentinfo": -8.0, "complementary": -8.0,
            "search": -8.0, "dialog": -8.0, "alert": -8.0, "alertdialog": -8.0, "menu": -8.0, "menubar": -8.0, "form": -8.0}
 NAMED_CONTENT = set("article articlebody body content entry main maincontent post story text".split())
-NAMED_BOILERPLATE = set("""ad ads adv advert advertisement advertising adverts banner breadcrumb breadcrumbs byline comment commentlist
-comments consent cookie cookies copyright disqus feedback foot footer form gdpr head header legal login masthead menu
-metadata modal nav navbar navigation navi newsletter notice notices pager pagination popup promo promoted promotion related
-replies reply respond responses share sharing sidebar sidebars sidenav signup skip social sponsor sponsored subscribe
-subscription tags teaser toc toolbar topbar tracking widget widgets""".split())
+NAMED_BOILERPLATE = set("""ad adblock adbox adcontainer ads adslot adunit adv advert advertisement advertising adverts adwrapper alert
+alerts banner bottombar branding breadcrumb breadcrumbs byline colophon comment commenters commentlist
+comments consent cookie cookies copyright discussion disqus feedback flash foot footer form gdpr head header
+legal login masthead menu metadata modal nav navbar navi navigation newsletter notice notices overlay pager
+pagination paywall popup privacy promo promoted promotion rail related replies reply respond responses share
+sharing side sidebar sidebars sidecol sidenav signup skip social sponsor sponsored subscribe subscription tags
+teaser toast toc toolbar topbar tracking warning widget widgets""".split())
 OWN_HEAD = {"head", "header"}
 LAYOUT = {"container", "grid", "has", "inner", "layout", "no", "outer", "row", "with", "without", "wrap", "wrapper"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
