@@ -35,45 +35,50 @@ def resolve_links(links: DataFrame) -> DataFrame:
 
 
 class JumpTables:
-    """Level k: ``(url, j)``, the page 2^k steps ahead, for pages whose walk is
+    """Level k: ``(u, j)``, the page 2^k steps ahead, for pages whose walk is
     that long.  Rows of walks that end earlier leave the tables, so no join meets
     their null keys."""
 
-    def __init__(self, graph: DataFrame, n_nodes: int):
-        # m: smallest url among the 2^k pages from here on (names a cycle)
-        now = materialize(graph.where("nxt is not null").select("url", F.col("nxt").alias("j"), F.col("url").alias("m")), "jump")
+    def __init__(self, edges: DataFrame, nodes: DataFrame, n_nodes: int):
+        # m: smallest page number among the 2^k pages from here on (names a cycle)
+        now = materialize(edges.select("u", F.col("v").alias("j"), F.col("u").alias("m")), "jump")
         self.levels = [now]
-        ends = materialize(graph.where("nxt is null").select("url", F.col("url").alias("m")), "jump")
+        ends = materialize(nodes.select("u", F.col("u").alias("m")).join(edges.select("u"), "u", "left_anti"), "jump")
         image = now.select("j").distinct().count()
         while image:
             # ``m`` of all pages is needed at the far end of a jump, ended walks included
-            far = now.select(F.col("url").alias("j"), F.col("j").alias("jj"), F.col("m").alias("mm")) \
-                .union(ends.select(F.col("url").alias("j"), F.lit(None).cast("string").alias("jj"), F.col("m").alias("mm")))
-            both = now.withColumnRenamed("m", "pm").join(far, "j").select(
-                "url", F.col("jj").alias("j"), F.least("pm", "mm").alias("m"), "pm")
-            both = materialize(both, "jump")
+            far = now.select(F.col("u").alias("j"), F.col("j").alias("jj"), F.col("m").alias("mm")) \
+                .union(ends.select(F.col("u").alias("j"), F.lit(None).cast("long").alias("jj"), F.col("m").alias("mm")))
+            both = materialize(now.withColumnRenamed("m", "pm").join(far, "j").select(
+                "u", F.col("jj").alias("j"), F.least("pm", "mm").alias("m"), "pm"), "jump")
             nxt = both.where("j is not null")
             # Done when the image of the jump no longer shrinks (the jump permutes it: the
             # image is the cycle pages) and no minimum on the way changed (windows of
             # cycle pages hold their whole cycle).  After log2(n) levels at most.
             stats = nxt.agg(F.count_distinct("j").alias("img"), F.count_if(F.col("m") != F.col("pm")).alias("moved")).first()
-            ends = materialize(ends.union(both.where("j is null").select("url", "m")), "jump")
-            now = nxt.select("url", "j", "m")
+            ends = materialize(ends.union(both.where("j is null").select("u", "m")), "jump")
+            now = nxt.select("u", "j", "m")
             self.levels.append(now)
             if stats["img"] == image and stats["moved"] == 0 or (1 << len(self.levels)) >= 4 * max(n_nodes, 1):
                 break
             image = stats["img"]
 
     def cycles(self) -> DataFrame:
-        """``(url, lam)``: the pages on cycles, and their cycle's length."""
+        """``(u, lam)``: the pages on cycles, and their cycle's length."""
         top = self.levels[-1]
-        nodes = top.select(F.col("j").alias("url")).distinct().join(top.select("url", "m"), "url")
-        return materialize(nodes.join(nodes.groupBy("m").agg(F.count(F.lit(1)).alias("lam")), "m").select("url", "lam"), "cycles")
+        on = top.select(F.col("j").alias("u")).distinct().join(top.select("u", "m"), "u")
+        return materialize(on.join(on.groupBy("m").agg(F.count(F.lit(1)).alias("lam")), "m").select("u", "lam"), "cycles")
 
 
-def _graph(links: DataFrame) -> DataFrame:
-    # the link table is read twice (pages and targets): written once
-    return materialize(resolve_links(materialize(links.select("url", "next_url"), "links")), "graph")
+def _graph(links: DataFrame) -> tuple[DataFrame, DataFrame, JumpTables]:
+    """``nodes(url, u)`` with a number for each page, ``edges(u, v)``, and the jump
+    tables over numbers."""
+    links = materialize(resolve_links(materialize(links.select("url", "next_url"), "links")), "graph")
+    nodes = materialize(links.select("url").withColumn("u", F.monotonically_increasing_id()), "nodes")
+    edges = (links.where("nxt is not null").join(nodes, "url").select("u", F.col("nxt").alias("url"))
+             .join(nodes.withColumnRenamed("u", "v"), "url").select("u", "v"))
+    edges = materialize(edges, "edges")
+    return nodes, edges, JumpTables(edges, nodes, nodes.count())
 
 
 def follow_chain(links: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -88,54 +93,52 @@ def follow_chain(links: DataFrame, seeds: DataFrame) -> DataFrame:
     A walk's length is its tail, found by descending the jump tables on the page
     table, and its cycle's length.  The rows are built by doubling: rows of depth
     below 2^k joined to level k give those up to 2^(k+1), so an output row is
-    shuffled about twice, whatever its depth.
+    joined about twice, whatever its depth, and gets its URL at the end.
     """
-    g = _graph(links)
-    jumps = JumpTables(g, g.count())
+    nodes, edges, jumps = _graph(links)
     cyc = jumps.cycles()
     # steps each distinct seed page takes before its walk ends or is on a cycle
-    pages = seeds.select("url").distinct().join(g.select("url"), "url").join(cyc, "url", "left")
-    st = pages.withColumn("cur", F.col("url")).withColumn("steps", F.lit(0).cast("long"))
-    on_cycle = cyc.select(F.col("url").alias("to"), F.lit(True).alias("_c"))
+    pages = seeds.select("url").distinct().join(nodes, "url").join(cyc, "u", "left").select("url", "u", "lam")
+    st = pages.withColumn("cur", F.col("u")).withColumn("steps", F.lit(0).cast("long"))
+    on_cycle = cyc.select(F.col("u").alias("to"))
     for k in range(len(jumps.levels) - 1, -1, -1):
-        # jumps that do not reach a cycle; pages of longer reach move there
-        off = jumps.levels[k].select(F.col("url").alias("cur"), F.col("j").alias("to")).join(on_cycle, "to", "left_anti")
+        # jumps that do not reach a cycle
+        off = jumps.levels[k].select(F.col("u").alias("cur"), F.col("j").alias("to")).join(on_cycle, "to", "left_anti")
         st = st.join(off, "cur", "left")
         move = F.col("lam").isNull() & F.col("to").isNotNull()
         st = (st.withColumn("steps", F.when(move, F.col("steps") + (1 << k)).otherwise(F.col("steps")))
               .withColumn("cur", F.when(move, F.col("to")).otherwise(F.col("cur"))).drop("to"))
-    entry = g.where("nxt is not null").select(F.col("url").alias("cur"), F.col("nxt").alias("to")).join(
-        cyc.select(F.col("url").alias("to"), F.col("lam").alias("to_lam")), "to").drop("to")
+    entry = edges.select(F.col("u").alias("cur"), F.col("v").alias("to")).join(
+        cyc.select(F.col("u").alias("to"), F.col("lam").alias("to_lam")), "to").drop("to")
     st = st.join(entry, "cur", "left")
     length = F.coalesce("lam", F.col("steps") + 1 + F.coalesce("to_lam", F.lit(0)))
-    walks = materialize(st.select("url", length.alias("n")), "walks")
-    rows = seeds.select("seed_id", "url").join(walks, "url").select("seed_id", F.lit(0).cast("long").alias("depth"), "url", "n")
+    walks = materialize(st.select("url", "u", length.alias("n")), "walks")
+    rows = seeds.select("seed_id", "url").join(walks, "url").select("seed_id", F.lit(0).cast("long").alias("depth"), "u", "n")
     longest = walks.agg(F.max("n")).first()[0] or 0
     for k in range(len(jumps.levels)):
         if longest <= 1 << k:
             break
         rows = materialize(rows, "walks")
-        ahead = jumps.levels[k].select("url", F.col("j").alias("to"))
-        more = (rows.where(F.col("depth") + (1 << k) < F.col("n")).join(ahead, "url")
-                .select("seed_id", (F.col("depth") + (1 << k)).alias("depth"), F.col("to").alias("url"), "n"))
+        ahead = jumps.levels[k].select("u", F.col("j").alias("to"))
+        more = (rows.where(F.col("depth") + (1 << k) < F.col("n")).join(ahead, "u")
+                .select("seed_id", (F.col("depth") + (1 << k)).alias("depth"), F.col("to").alias("u"), "n"))
         rows = rows.union(more)
-    return rows.select("seed_id", "depth", "url")
+    return rows.join(nodes, "u").select("seed_id", "depth", "url")
 
 
 def first_visits(links: DataFrame, seeds: DataFrame) -> DataFrame:
     """``(url, seed_id, depth)``: each page that some walk visits, with the least
     (seed_id, depth) it is visited at.  Least visits travel along the jump
     tables, so no walk is expanded: a row a page and level."""
-    g = _graph(links)
-    jumps = JumpTables(g, g.count())
-    best = seeds.join(g.select("url"), "url").groupBy("url").agg(
+    nodes, _, jumps = _graph(links)
+    best = seeds.join(nodes, "url").groupBy("u").agg(
         F.min(F.struct("seed_id", F.lit(0).cast("long").alias("depth"))).alias("b"))
     for k, level in enumerate(jumps.levels):
         best = materialize(best, "visits")
-        moved = best.join(level.select("url", "j"), "url").select(
-            F.col("j").alias("url"), F.struct(F.col("b.seed_id").alias("seed_id"), (F.col("b.depth") + (1 << k)).alias("depth")).alias("b"))
-        best = best.union(moved).groupBy("url").agg(F.min("b").alias("b"))
-    return best.select("url", "b.seed_id", "b.depth")
+        moved = best.join(level.select("u", "j"), "u").select(
+            F.col("j").alias("u"), F.struct(F.col("b.seed_id").alias("seed_id"), (F.col("b.depth") + (1 << k)).alias("depth")).alias("b"))
+        best = best.union(moved).groupBy("u").agg(F.min("b").alias("b"))
+    return best.join(nodes, "u").select("url", "b.seed_id", "b.depth")
 
 
 def visit_single(pages: DataFrame, seeds: DataFrame) -> DataFrame:

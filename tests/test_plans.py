@@ -51,6 +51,6 @@ def test_records_are_parsed_once(spark):
 
 def test_walks_join_no_null_keys(spark):
     links = spark.createDataFrame([("a", "b"), ("b", None), ("c", "gone")], "url string, next_url string")
-    g = crawl._graph(links)
-    for level in crawl.JumpTables(g, 3).levels:
+    _, _, jumps = crawl._graph(links)
+    for level in jumps.levels:
         assert level.where("j is null").count() == 0
