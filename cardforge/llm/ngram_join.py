@@ -78,7 +78,7 @@ class Rule:
         return {int(n).bit_length(), int(-(-n * self.percent // 100)).bit_length()}
 
     def subclasses(self, band: int) -> int:
-        return max(1, (1 << (band - 1)) * (100 - self.percent) // 400)
+        return max(1, (1 << (band - 1)) * (100 - self.percent) // 100)
 
 
 def _long(tokens: np.ndarray) -> pa.Array:
