@@ -49,7 +49,7 @@ from cardforge.llm.shingles import set_digests, shingle_sets
 #: a token in at most so many classes is rare
 RARE = 32
 #: a token in more classes than this is indexed in threes, else in twos
-VERY_FREQUENT = 1000
+VERY_FREQUENT = 10_000
 #: a slot of a group holds about so many tokens, and so many sets, at most
 TILE_TOKENS = 500_000
 TILE_SETS = 1500
