@@ -4,8 +4,11 @@ Every whole text gives counts (``text_counts``) and from them a vector of
 transformed statistics.  Per language and source, a regularised minimum
 covariance determinant estimate is fitted: a start from medians and median
 absolute deviations, then concentration steps that refit mean and covariance
-on the ``SUPPORT`` share of documents nearest to the last estimate.  A document
-is rejected when its squared Mahalanobis distance passes a chi-square quantile.
+on the nearer half of the documents (``(n + P + 1) / 2``) until the estimate
+settles, so that just under half of a source may be junk.  Scales, mean and
+covariance are then taken again from all documents within the ``INSIDE``
+quantile of that estimate.  A document is rejected when its squared Mahalanobis
+distance passes a chi-square quantile.
 
 Everything is DataFrame expressions and aggregates.  Quantiles come from exact
 counts of narrow bins, so they merge in any order; an estimate is one row a
@@ -29,9 +32,12 @@ from pyspark.sql import functions as F
 from cardforge.functions._col import let
 from cardforge.llm.common import materialize, packed
 
-SUPPORT = 0.75
 MIN_GROUP = 200
-STEPS = 3
+#: concentration steps end when no centre or factor changes by more than SETTLED (bins are 2% wide)
+SETTLED = 0.01
+MOST_STEPS = 40
+#: share of normal documents that the reweighted estimate is taken from
+INSIDE = 0.975
 RIDGE = 0.25
 #: chance of a larger distance under normality; small, as clean texts have heavier tails than that
 TAIL = 1e-9
@@ -188,36 +194,79 @@ def _whitening(t: DataFrame) -> DataFrame:
     return t
 
 
-def fit(rows: DataFrame, min_group: int = MIN_GROUP, steps: int = STEPS, support: float = SUPPORT) -> DataFrame:
-    """Estimates from ``(key, lang, failed, x0..)``: a row a key with centre,
-    scales, whitening factors and ``unit`` (the consistency factor of the squared
-    distance: its median over the chi-square median)."""
-    pools = materialize(_pools(rows, min_group), "quality")
-    used = rows.where(~F.col("failed")).join(pools.where(F.col("pool").isNotNull()), "key")
-    xs = [F.col(f"x{j}") for j in range(P)]
-    med = materialize(_medians(used, xs, "m"), "quality")
+def _frame(used: DataFrame) -> DataFrame:
+    """A row a pool with medians and scales of its rows."""
+    med = materialize(_medians(used, [F.col(f"x{j}") for j in range(P)], "m"), "quality")
     mad = _medians(used.join(med, "pool"), [F.abs(F.col(f"x{j}") - F.col(f"m{j}")) for j in range(P)], "a")
     floors = list(STATISTICS.values())
-    est = (med.join(mad, "pool")
-           .select("pool", *[f"m{j}" for j in range(P)],
-                   *[F.greatest(1.4826 * F.col(f"a{j}"), F.lit(floors[j])).alias(f"s{j}") for j in range(P)],
-                   *[F.lit(0.0).alias(f"c{j}") for j in range(P)],
-                   *[F.lit(1.0 if j == k else 0.0).alias(f"w{j}_{k}") for j in range(P) for k in range(j + 1)]))
-    est = materialize(est, "quality")
-    frame = ["pool", *[f"m{j}" for j in range(P)], *[f"s{j}" for j in range(P)]]
-    for _ in range(steps):
-        near = used.join(est, "pool").withColumn("bin", _log_bin(_distance()))
-        limit = materialize(_bin_quantile(near, ["pool"], "bin", support, "limit"), "quality")
-        near = near.join(limit, "pool").where("bin <= limit")
-        moments = near.groupBy("pool").agg(*[F.avg(_z(j)).alias(f"c{j}") for j in range(P)],
-                                           *[F.avg(_z(j) * _z(k)).alias(f"e{j}_{k}") for j in range(P) for k in range(j + 1)])
-        est = materialize(_whitening(materialize(est.select(*frame).join(moments, "pool"), "quality"))
-                          .select(*frame, *[f"c{j}" for j in range(P)], *[f"w{j}_{k}" for j in range(P) for k in range(j + 1)]),
-                          "quality")
-    mid = _bin_quantile(used.join(est, "pool").withColumn("bin", _log_bin(_distance())), ["pool"], "bin", 0.5, "mid")
+    return materialize(med.join(mad, "pool").select(
+        "pool", *[f"m{j}" for j in range(P)],
+        *[F.greatest(1.4826 * F.col(f"a{j}"), F.lit(floors[j])).alias(f"s{j}") for j in range(P)]), "quality")
+
+
+FRAME = ["pool", *[f"m{j}" for j in range(P)], *[f"s{j}" for j in range(P)]]
+CENTRE = [f"c{j}" for j in range(P)]
+FACTOR = [f"w{j}_{k}" for j in range(P) for k in range(j + 1)]
+PAIRS = [(j, k) for j in range(P) for k in range(j + 1)]
+
+
+def _estimate(frame: DataFrame, moments: DataFrame) -> DataFrame:
+    t = _whitening(materialize(frame.select(*FRAME).join(moments, "pool"), "quality"))
+    return materialize(t.select(*FRAME, *CENTRE, *FACTOR), "quality")
+
+
+def _nearer_half(used: DataFrame, est: DataFrame) -> DataFrame:
+    """Moments of the ``(n + P + 1) / 2`` rows of each pool nearest to its
+    estimate.  Sums are kept a bin of distance; the last bin counts by the part
+    of it that is needed, so that a bin full of copies is not taken in whole."""
+    bins = (used.join(est, "pool").withColumn("bin", _log_bin(_distance())).groupBy("pool", "bin")
+            .agg(F.count(F.lit(1)).alias("n"), *[F.sum(_z(j)).alias(f"c{j}") for j in range(P)],
+                 *[F.sum(_z(j) * _z(k)).alias(f"e{j}_{k}") for j, k in PAIRS]))
+    w = Window.partitionBy("pool")
+    bins = (bins.withColumn("before", F.sum("n").over(w.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
+            .withColumn("half", F.least(F.sum("n").over(w), F.floor((F.sum("n").over(w) + P + 1) / 2)))
+            .where("before < half")
+            .withColumn("part", F.least(F.lit(1.0), (F.col("half") - F.col("before")) / F.col("n"))))
+    return bins.groupBy("pool").agg(*[(F.sum(F.col("part") * F.col(c)) / F.max("half")).alias(c)
+                                      for c in [*CENTRE, *[f"e{j}_{k}" for j, k in PAIRS]]])
+
+
+def _change(old: DataFrame, new: DataFrame) -> float:
+    """The largest change of a centre, or relative change of a diagonal factor."""
+    both = old.alias("a").join(new.alias("b"), "pool")
+    change = F.greatest(*[F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) for c in CENTRE],
+                        *[F.abs(F.col(f"a.w{j}_{j}") / F.col(f"b.w{j}_{j}") - 1) for j in range(P)])
+    return both.agg(F.max(change)).first()[0] or 0.0
+
+
+def _units(rows: DataFrame, est: DataFrame, share: float = 1.0) -> DataFrame:
+    """``pool -> unit``: the consistency factor of the squared distance, its
+    median over the chi-square median of the nearest ``share`` of normal rows."""
+    mid = _bin_quantile(rows.join(est, "pool").withColumn("bin", _log_bin(_distance())), ["pool"], "bin", 0.5, "mid")
     # where the least scales hold, distances are small by construction: never inflate them
-    unit = mid.select("pool", F.greatest(F.exp((F.col("mid") + 0.5) / 50) / chi2_quantile(0.5), F.lit(1.0)).alias("unit"))
-    out = pools.join(est.join(unit, "pool"), "pool", "left").drop("pool")
+    return mid.select("pool", F.greatest(F.exp((F.col("mid") + 0.5) / 50) / chi2_quantile(1 - share / 2), F.lit(1.0)).alias("unit"))
+
+
+def fit(rows: DataFrame, min_group: int = MIN_GROUP, most_steps: int = MOST_STEPS) -> DataFrame:
+    """Estimates from ``(key, lang, failed, x0..)``: a row a key with centre,
+    scales, whitening factors and ``unit`` (see ``_units``)."""
+    pools = materialize(_pools(rows, min_group), "quality")
+    used = rows.where(~F.col("failed")).join(pools.where(F.col("pool").isNotNull()), "key")
+    frame = _frame(used)
+    est = materialize(frame.select(*FRAME, *[F.lit(0.0).alias(c) for c in CENTRE],
+                                   *[F.lit(1.0 if j == k else 0.0).alias(f"w{j}_{k}") for j, k in PAIRS]), "quality")
+    for _ in range(most_steps):
+        last, est = est, _estimate(frame, _nearer_half(used, est))
+        if _change(last, est) <= SETTLED:
+            break
+    half = materialize(est.join(_units(used, est), "pool"), "quality")
+    inside = materialize(used.join(half, "pool").where(_distance() <= F.col("unit") * chi2_quantile(1 - INSIDE))
+                         .select("pool", *[f"x{j}" for j in range(P)]), "quality")
+    frame = _frame(inside)
+    moments = inside.join(frame, "pool").groupBy("pool").agg(*[F.avg(_z(j)).alias(f"c{j}") for j in range(P)],
+                                                             *[F.avg(_z(j) * _z(k)).alias(f"e{j}_{k}") for j, k in PAIRS])
+    est = _estimate(frame, moments)
+    out = pools.join(est.join(_units(inside, est, INSIDE), "pool"), "pool", "left").drop("pool")
     return materialize(out, "quality")
 
 

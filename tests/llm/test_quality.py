@@ -72,3 +72,21 @@ def test_no_python_in_the_plan(edge_docs):
 def test_quantile():
     assert abs(quality.chi2_quantile(0.05, 6) - 12.5916) < 1e-3
     assert F is not None
+
+
+def test_junk_of_nearly_half_a_source(spark):
+    """Far junk, distinct or copies of one text, does not hide itself."""
+    rng = random.Random(3)
+    rows, junk = [], set()
+    for source, share, copied in (("d35", 35, False), ("d45", 45, False), ("c35", 35, True), ("c45", 45, True)):
+        one = " ".join(x + "%" for x in words(rng, 120, "abcdefghijklmnop"))
+        for i in range(400):
+            w = words(rng, rng.randint(60, 300), "abcdefghijklmnop")
+            bad = i % 100 < share
+            if bad:
+                junk.add(len(rows))
+            rows.append((len(rows), (one if copied else " ".join(x + "%" for x in w)) if bad else " ".join(w), "en", source))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r["doc_id"] for r in quality.quality_rules(docs).where("kept").collect()}
+    assert not kept & junk
+    assert len(kept) == len(rows) - len(junk)
