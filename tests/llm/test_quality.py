@@ -90,3 +90,18 @@ def test_junk_of_nearly_half_a_source(spark):
     kept = {r["doc_id"] for r in quality.quality_rules(docs).where("kept").collect()}
     assert not kept & junk
     assert len(kept) == len(rows) - len(junk)
+
+
+def test_texts_of_mostly_equal_lines(spark):
+    """Repeated lines alone reject a text when most of it is them, not when a third is."""
+    rng = random.Random(6)
+    rows = [(i, "\n".join(" ".join(words(rng, 30, "abcdefghijklmnop")) for _ in range(rng.randint(3, 9))), "en", "s") for i in range(300)]
+    prose = " ".join(words(rng, 220, "abcdefghijklmnop"))
+    mostly = [prose + "\nRead more" * 100, "Read more\n" * 40 + prose]
+    third = [prose + "\nRead more\nRead more", "Read all of it\n" + prose + "\nRead all of it"]
+    rows += [(1000 + i, t, "en", "s") for i, t in enumerate(mostly + third)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality.quality_rules(docs).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert [got[1000 + i]["kept"] for i in range(4)] == [False, False, True, True]
+    assert all(got[i]["kept"] for i in range(300))
