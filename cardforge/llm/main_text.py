@@ -7,8 +7,10 @@ sink.  Neighbouring blocks, and blocks of one parent element, are tied by
 smoothness edges.  Maximum flow gives the cheapest labelling: a short paragraph
 between paragraphs stays, a long notice in a side column goes.
 
-Blocks that are never text (scripts, styles, head, forms, comments of markup)
-are not read at all.  References are decoded, white space inside a block is one
+Blocks that are never text (scripts, styles, head, controls, comments of markup)
+are not read at all.  A form speaks against its blocks the more, the less of the
+page's text it holds, as some pages are one form; an article or main inside it
+is not of the form.  Math is inline text.  References are decoded, white space inside a block is one
 space, blocks are joined by two line feeds.
 
 Pages are independent: one pass, no shuffle.  Memory is that of a page.
@@ -35,8 +37,8 @@ BLOCK_TAGS = set("""address article aside blockquote body center dd details dial
 footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary table tbody td tfoot th
 thead tr ul caption""".split())
 #: elements without text of the page (fixed values)
-SKIPPED_TAGS = set("""script style head title noscript template svg canvas iframe object select option textarea button form
-input datalist audio video map math""".split())
+SKIPPED_TAGS = set("""script style head title noscript template svg canvas iframe object select option textarea button
+input datalist audio video map annotation annotation-xml""".split())
 VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
 #: elements whose end may be missing: closed by the start of one of the given
 CLOSED_BY = {
@@ -65,8 +67,12 @@ pagination paywall popup privacy promo promoted promotion rail related replies r
 sharing side sidebar sidebars sidecol sidenav signup skip social sponsor sponsored subscribe subscription tags
 teaser toast toc toolbar topbar tracking warning widget widgets""".split())
 OWN_HEAD = {"head", "header"}
+#: what follows these in a name is said to be there or not, somewhere inside
+WITHOUT = {"has", "no", "with", "without"}
 LAYOUT = {"container", "grid", "has", "inner", "layout", "no", "outer", "row", "with", "without", "wrap", "wrapper"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: against the blocks of a form that holds next to nothing of the page's text
+IN_FORM = -12.0
 TIE_NEXT = 0.6
 TIE_PARENT = 0.8
 
@@ -74,12 +80,22 @@ _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[A-Za-z][a-z]*|[0-9]+")
 
 
+def words_of_name(name: str) -> set[str]:
+    """Words of a class or id; in "has-sidebar" or "post-no-footer" the sidebar
+    and the footer are not this element."""
+    out: set[str] = set()
+    for parts in (_NAME.findall(name), re.split(r"[_-]+", name)):
+        parts = [p.lower() for p in parts]
+        out.update(parts[:next((i for i, p in enumerate(parts) if p in WITHOUT), len(parts))])
+    return out
+
+
 class Block:
-    __slots__ = ("text", "links", "tag", "parent", "evidence", "in_article")
+    __slots__ = ("text", "links", "tag", "parent", "evidence", "in_article", "form")
 
-    def __init__(self, text, links, tag, parent, evidence, in_article):
+    def __init__(self, text, links, tag, parent, evidence, in_article, form):
         self.text, self.links, self.tag, self.parent = text, links, tag, parent
-        self.evidence, self.in_article = evidence, in_article
+        self.evidence, self.in_article, self.form = evidence, in_article, form
 
 
 class BlockReader(HTMLParser):
@@ -87,7 +103,7 @@ class BlockReader(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, float, bool]] = []  # tag, number, evidence, within an article
+        self.open: list[tuple[str, int, float, bool, int]] = []  # tag, number, evidence, within an article, form's number
         self.block_at: list[int] = []  # where in it the block elements are
         self.count: Counter[str] = Counter()  # open elements of each tag
         self.number = 0
@@ -100,10 +116,10 @@ class BlockReader(HTMLParser):
     def flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.pieces)).strip()
         if text:
-            own = self.open[self.block_at[-1]] if self.block_at else ("", 0, 0.0, False)
+            own = self.open[self.block_at[-1]] if self.block_at else ("", 0, 0.0, False, 0)
             parent = self.open[self.block_at[-2]][1] if len(self.block_at) > 1 else 0
             last = self.open[-1] if self.open else own
-            self.blocks.append(Block(text, self.links, own[0], parent, last[2], last[3]))
+            self.blocks.append(Block(text, self.links, own[0], parent, last[2], last[3], last[4]))
         self.pieces, self.links = [], 0
 
     def handle_starttag(self, tag, attrs):
@@ -114,7 +130,7 @@ class BlockReader(HTMLParser):
         self.close_implied(tag)
         if tag in VOID_TAGS:
             return
-        evidence, article = (self.open[-1][2], self.open[-1][3]) if self.open else (0.0, False)
+        evidence, article, form = self.open[-1][2:] if self.open else (0.0, False, 0)
         own = self.evidence_of(tag, dict(attrs), article)
         # an advert in an article is an advert: what speaks against a part outweighs what speaks for the whole
         evidence = min(evidence, 0.0) + own if own < 0 else evidence + own
@@ -122,7 +138,8 @@ class BlockReader(HTMLParser):
         if tag in BLOCK_TAGS:
             self.block_at.append(len(self.open))
         self.count[tag] += 1
-        self.open.append((tag, self.number, evidence, article or tag in ("article", "main")))
+        form = self.number if tag == "form" else 0 if tag in ("article", "main") else form
+        self.open.append((tag, self.number, evidence, article or tag in ("article", "main"), form))
         self.skipping += tag in SKIPPED_TAGS
         self.in_link += tag == "a"
 
@@ -141,8 +158,7 @@ class BlockReader(HTMLParser):
         if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style") or "", re.I):
             own -= 8.0
         if tag in BLOCK_TAGS and tag not in ("html", "body"):
-            words = {w.lower() for v in (attrs.get("class"), attrs.get("id")) for w in _NAME.findall(v or "")}
-            words |= {w.lower() for v in (attrs.get("class"), attrs.get("id")) for w in re.split(r"[\s_-]+", v or "")}
+            words = {w for v in (attrs.get("class"), attrs.get("id")) for name in (v or "").split() for w in words_of_name(name)}
             # an article's own head belongs to it; a name of both kinds ("content-sidebar-wrap") says nothing
             bad, good = words & NAMED_BOILERPLATE - (OWN_HEAD if in_article else set()), words & NAMED_CONTENT
             if bad and not (good and len(words & LAYOUT)):
@@ -194,6 +210,13 @@ def blocks_of(html: str) -> list[Block]:
     reader.feed(html)
     reader.close()
     reader.flush()
+    sizes: Counter[int] = Counter()  # characters of each form; 0: of none
+    for b in reader.blocks:
+        sizes[b.form] += len(b.text)
+    total = sizes.total()
+    for b in reader.blocks:
+        if b.form:
+            b.evidence += IN_FORM * (1 - sizes[b.form] / total) ** 2
     return reader.blocks
 
 

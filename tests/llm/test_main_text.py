@@ -62,3 +62,28 @@ def test_edges(spark):
     by = {r[0]: r[2] for r in got}
     assert by[2] == by[3] == by[None] == "" and by[5].count("\n\n") == 2999
     assert mt.extract_pages(d.limit(0)).collect() == []
+
+
+LONG = "A paragraph with enough words to be the text of the page, surely, and some more of them to go on."
+
+
+def test_layout_names_say_nothing():
+    for name in ("has-sidebar", "no-sidebar", "with-sidebar", "without_comments", "hasSidebar", "layout-with-sidebar"):
+        page = f'<body><div class="{name}"><article><h1>The title</h1><p>{LONG}</p></article><div class="sidebar"><p>{LONG}</p></div></div>'
+        assert mt.main_text(page) == f"The title\n\n{LONG}", name
+    assert mt.main_text(f'<div class="post"><p>{LONG}</p></div><div class="sidebar-no-padding"><p>{LONG}</p></div>') == LONG
+
+
+def test_page_in_a_form():
+    inner = f'<nav><a href=1>Home</a></nav><div class="%s"><h1>The title</h1><p>{LONG}</p><p>{LONG}</p></div>'
+    for body in (inner % "text", inner % "x", f"<nav>Home</nav><article><h1>The title</h1><p>{LONG}</p><p>{LONG}</p></article>",
+                 f"<main><h1>The title</h1><p>{LONG}</p><p>{LONG}</p></main><label>Email</label><p>Subscribe to our letter for more.</p>"):
+        page = f'<body><form id="aspnet"><input type=hidden>{body}<button>Go</button></form><footer>All rights reserved.</footer>'
+        assert mt.main_text(page) == f"The title\n\n{LONG}\n\n{LONG}", body
+    small = f"<article><p>{LONG}</p><form><p>Subscribe to our newsletter for more.</p></form><p>{LONG}</p></article>"
+    assert mt.main_text(small) == f"{LONG}\n\n{LONG}"
+
+
+def test_math_is_inline_text():
+    page = f"<article><p>{LONG} So <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation encoding='t'>x=1</annotation></math> holds.</p></article>"
+    assert mt.main_text(page) == f"{LONG} So x=1 holds."
