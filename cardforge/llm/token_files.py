@@ -9,6 +9,10 @@ Columns of the files: ``part`` (rank of the partition in id order),
 ``part_start`` (ids of the partition before the document), ``doc_id``,
 ``n_tokens`` (with the end id) and ``ids``.
 
+Ids are those of the library's own call, ``encode(text,
+add_special_tokens=False)``: strings of the tokenizer's added tokens (such as
+``<|endoftext|>``) inside a text become their ids.
+
 Defined results: a null or empty text is written as the end id alone; null ids
 sort first; rows with equal ids are ordered by text (null first), equal rows
 keep one place each; an empty table gives no rows.
@@ -17,6 +21,8 @@ keep one place each; an empty table gives no rows.
 from __future__ import annotations
 
 import functools
+import json
+import re
 import zlib
 
 import numpy as np
@@ -49,12 +55,54 @@ BROADCAST_FILES = 100_000
 
 
 @functools.lru_cache(maxsize=2)
-def slice_cache(tokenizer_path: str) -> SliceCache:
-    """Ids of pre-token slices by the tokenizers library."""
+def library(tokenizer_path: str):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    return Tokenizer.from_file(tokenizer_path)
+
+
+@functools.lru_cache(maxsize=2)
+def added_tokens(tokenizer_path: str) -> tuple[str, dict[str, int], bool]:
+    """A pattern of the added tokens (longest first, '' for none), their ids, and
+    whether texts can be cut at them as they stand."""
+    with open(tokenizer_path, encoding="utf-8") as file:
+        spec = json.load(file)
+    tokens = [t for t in spec.get("added_tokens") or [] if t["content"]]
+    plain = not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in tokens)
+    names = sorted((t["content"] for t in tokens), key=len, reverse=True)
+    return "|".join(map(re.escape, names)), {t["content"]: t["id"] for t in tokens}, plain
+
+
+def encode_texts(texts: pa.Array, tokenizer_path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of a chunk of texts, flat, and the bounds of each text's ids."""
+    cache, (pattern, of, plain) = slice_cache(tokenizer_path), added_tokens(tokenizer_path)
+    texts = pc.fill_null(texts, "")
+    holds = np.asarray(pc.match_substring_regex(texts, pattern)) if pattern else np.zeros(len(texts), dtype=bool)
+    if not holds.any():
+        return encode_chunk(texts, cache)
+    pieces, after, last = [], [], []  # pieces between added tokens, ids that follow each, pieces up to each text's end
+    for text, cut in zip(texts.to_pylist(), holds):
+        if not cut:
+            pieces.append(text)
+            after.append([])
+        elif plain:
+            parts = re.split(f"({pattern})", text)
+            pieces += parts[::2]
+            after += [[of[x]] for x in parts[1::2]] + [[]]
+        else:  # tokens that take spaces or whole words: the library's call itself
+            pieces.append("")
+            after.append(library(tokenizer_path).encode(text, add_special_tokens=False).ids)
+        last.append(len(pieces))
+    ids, bounds = encode_chunk(pa.array(pieces, type=pa.large_string()), cache)
+    sizes = [len(x) for x in after]
+    ids = np.insert(ids, np.repeat(bounds[1:], sizes), [x for part in after for x in part])
+    return ids, (bounds + np.concatenate(([0], np.cumsum(sizes))))[[0, *last]]
+
+
+@functools.lru_cache(maxsize=2)
+def slice_cache(tokenizer_path: str) -> SliceCache:
+    """Ids of pre-token slices by the tokenizers library."""
+    tokenizer = library(tokenizer_path)
 
     def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         done = tokenizer.encode([str(p, "utf-8") for p in pieces], is_pretokenized=True, add_special_tokens=False)
@@ -72,10 +120,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        cache, part, done = slice_cache(tokenizer_path), TaskContext.get().partitionId(), 0
+        part, done = TaskContext.get().partitionId(), 0
         for batch in batches:
             for lo, hi in chunks(batch.column(1), CHUNK_BYTES):
-                ids, bounds = encode_chunk(batch.column(1).slice(lo, hi - lo), cache)
+                ids, bounds = encode_texts(batch.column(1).slice(lo, hi - lo), tokenizer_path)
                 ids = np.insert(ids, bounds[1:], end_id)
                 bounds = bounds + np.arange(len(bounds))
                 yield pa.RecordBatch.from_arrays(

@@ -8,7 +8,7 @@ import public_tokenizers as P
 import pyarrow as pa
 import pytest
 import tiktoken
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from cardforge.llm import bpe, token_files
 from cardforge.llm.queries import RANKS, TOKENIZER
@@ -90,3 +90,27 @@ def test_token_files(edge_docs, edge_rows, no_docs, spark, tmp_path):
     empty = str(tmp_path / "none")
     token_files.write_token_files(no_docs, empty, TOKENIZER, end_id=2)
     assert token_files.read_token_files(spark, empty).collect() == []
+
+
+def test_added_tokens_as_the_library_call(tmp_path, spark):
+    t = Tokenizer.from_file(TOKENIZER)
+    texts = [*texts_to_try(), "one <|endoftext|> two", "<|endoftext|><|endoftext|>", " <|endoftext|>\n ", "<|endoftext|x|>", "plain"]
+    for part in (pa.array(texts), pa.array(texts).slice(777, 3000), pa.array(["plain", None])):
+        ids, bounds = token_files.encode_texts(part, TOKENIZER)
+        want = t.encode_batch([x or "" for x in part.to_pylist()], add_special_tokens=False)
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [w.ids for w in want]
+    path = str(tmp_path / "tokens")
+    docs = spark.createDataFrame([(1, "one <|endoftext|> two"), (2, "next")], "doc_id long, text string")
+    token_files.write_token_files(docs, path, TOKENIZER, end_id=2)
+    got = token_files.read_token_files(spark, path).orderBy("doc_id").collect()
+    assert [(r["start"], r["ids"]) for r in got] == [(0, [505, 220, 50256, 734, 2]), (5, t.encode("next").ids + [2])]
+
+
+def test_added_tokens_that_take_spaces(tmp_path):
+    t = Tokenizer.from_file(TOKENIZER)
+    t.add_special_tokens([AddedToken("<|x|>", lstrip=True, rstrip=True), AddedToken("word", single_word=True)])
+    path = str(tmp_path / "tokenizer.json")
+    t.save(path)
+    texts = ["a  <|x|>  b", "words word", "a word\n<|endoftext|> ", "plain", None]
+    ids, bounds = token_files.encode_texts(pa.array(texts), path)
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
