@@ -150,7 +150,7 @@ def _light(rule: Rule, sets: DataFrame, shared: DataFrame) -> DataFrame:
     not fill the prefix: the rare tokens that do, or ``heavy`` if they cannot."""
     need = F.floor(F.col("n") * (100 - rule.percent) / 100) + 1
     rows = (sets.select("cid", "n", F.size("tokens").alias("size")).join(shared, "cid", "left")
-            .withColumn("missing", need - F.col("size") + F.coalesce(F.size("shared"), F.lit(0))).where("missing > 0"))
+            .withColumn("missing", need - F.col("size") + F.when(F.col("shared").isNull(), 0).otherwise(F.size("shared"))).where("missing > 0"))
     rare = F.sort_array(F.transform(F.filter(F.coalesce("shared", F.array().cast("array<struct<token:bigint,df:bigint>>")),
                                              lambda x: x["df"] <= RARE), lambda x: F.struct(x["df"], x["token"])))
     rows = rows.select("cid", "n", "missing", rare.alias("rare"))

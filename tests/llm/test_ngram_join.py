@@ -87,3 +87,19 @@ def test_keep_one(edge_docs, edge_rows, no_docs):
 def test_low_thresholds_are_refused(no_docs):
     with pytest.raises(ValueError):
         ngram_join.jaccard_components(no_docs, 3, 50)
+
+
+def test_links_without_ansi_mode(spark):
+    """Nine shingles of ten are linked also where no token of the slice is shared and ANSI mode is off."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(60):
+        w = ["".join(rng.choice("abcdefghijkl") for _ in range(5)) for _ in range(12)]
+        rows += [(2 * i, " ".join(w[:11])), (2 * i + 1, " ".join(w))]
+    ansi = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(i, i // 2 * 2) for i in range(120)]
