@@ -9,9 +9,9 @@ log(trigrams).  The prediction is the leading language of the chosen set, the
 score its share of the document.
 
 The model has one row a language and trigram bucket, so it is bounded by the
-number of languages; more than ``MAX_LANGUAGES`` labels are refused.  With more
-than ``CANDIDATES`` languages the mixture starts from those that explain the
-document best one by one.
+number of languages; more than ``MAX_LANGUAGES`` labels are refused.  The
+mixture is always one of all languages; documents are taken in blocks of at most
+``BLOCK_CELLS`` likelihoods (one document at least).
 
 Defined results: ``und`` with score 0 for a text that is null or has no letter,
 and for all when nothing can be learned (no labelled text); ties go to the
@@ -37,7 +37,7 @@ ROUNDS = 8
 PENALTY = 6.0
 #: a language of a smaller share is not tried for the set
 LEAST_SHARE = 0.02
-CANDIDATES = 8
+BLOCK_CELLS = 1 << 22
 MAX_LANGUAGES = 1000
 UNKNOWN = "und"
 
@@ -115,28 +115,15 @@ def _mixture(theta: np.ndarray, x: np.ndarray, starts: np.ndarray, rounds: int)
     return share, np.add.reduceat(x * np.log(np.maximum(mixed, 1e-30)), starts)
 
 
-def infer(doc: np.ndarray, bucket: np.ndarray, n: int, probs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Leading language of each of ``n`` documents (-1: none) and its share."""
-    best, score = np.full(n, -1), np.zeros(n)
-    counts = np.bincount(doc.astype(np.int64) * BUCKETS + bucket, minlength=n * BUCKETS)
-    key = np.flatnonzero(counts)
-    if not len(key) or not probs.shape[1]:
-        return best, score
-    x = counts[key].astype(np.float32)
-    doc, bucket = key // BUCKETS, key % BUCKETS
-    ids, starts = np.unique(doc, return_index=True)
+def _leading(theta: np.ndarray, x: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Leading language of each document of a block and its share (see ``_mixture``)."""
     lengths = np.diff(np.append(starts, len(x)))
-    langs = np.broadcast_to(np.arange(probs.shape[1]), (len(ids), probs.shape[1]))
-    if probs.shape[1] > CANDIDATES:
-        alone = np.stack([np.add.reduceat(x * np.log(probs[bucket, j]), starts) for j in range(probs.shape[1])], axis=1)
-        langs = np.sort(np.argsort(-alone, axis=1, kind="stable")[:, :CANDIDATES], axis=1)
-    theta = probs[bucket] if langs.shape[1] == probs.shape[1] else probs[bucket[:, None], np.repeat(langs, lengths, axis=0)]
     share, _ = _mixture(theta, x, starts, ROUNDS)
     order = np.argsort(-share, axis=1, kind="stable")
-    rows = np.arange(len(ids))
+    rows = np.arange(len(starts))
     logn = np.log(np.maximum(np.add.reduceat(x, starts), 2))
     value = np.add.reduceat(x * np.log(theta[np.arange(len(x)), np.repeat(order[:, 0], lengths)]), starts)
-    best[ids], score[ids] = langs[rows, order[:, 0]], 1.0
+    best, score = order[:, 0].copy(), np.ones(len(starts))
     alive = rows
     for k in range(2, share.shape[1] + 1):
         alive = alive[share[alive, order[alive, k - 1]] >= LEAST_SHARE]
@@ -145,7 +132,7 @@ def infer(doc: np.ndarray, bucket: np.ndarray, n: int, probs: np.ndarray) -> tup
         pick = np.concatenate([np.arange(starts[i], starts[i] + lengths[i]) for i in alive])
         some = np.repeat(order[alive, :k], lengths[alive], axis=0)
         first = np.concatenate(([0], np.cumsum(lengths[alive])[:-1]))
-        part, ll = _mixture(np.take_along_axis(theta[pick], some, axis=1), x[pick], first, 2 * ROUNDS)
+        part, ll = _mixture(theta[pick[:, None], some], x[pick], first, 2 * ROUNDS)
         # the penalty of one language more than in the set accepted last
         better = ll - PENALTY * logn[alive] > value[alive]
         alive, part, ll = alive[better], part[better], ll[better]
@@ -153,11 +140,31 @@ def infer(doc: np.ndarray, bucket: np.ndarray, n: int, probs: np.ndarray) -> tup
             break
         value[alive] = ll
         lead = part.argmax(axis=1)
-        best[ids[alive]] = langs[alive, order[alive, lead]]
-        score[ids[alive]] = part[np.arange(len(alive)), lead]
+        best[alive] = order[alive, lead]
+        score[alive] = part[np.arange(len(alive)), lead]
     return best, np.clip(score, 0.0, 1.0)
 
 
+def infer(doc: np.ndarray, bucket: np.ndarray, n: int, probs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Leading language of each of ``n`` documents (-1: none) and its share."""
+    best, score = np.full(n, -1), np.zeros(n)
+    counts = np.bincount(doc.astype(np.int64) * BUCKETS + bucket, minlength=n * BUCKETS)
+    key = np.flatnonzero(counts)
+    if not len(key) or not probs.shape[1]:
+        return best, score
+    x = counts[key].astype(np.float32)
+    doc, bucket = key // BUCKETS, key % BUCKETS
+    ids, starts = np.unique(doc, return_index=True)
+    ends = np.append(starts[1:], len(x))
+    most, lo = BLOCK_CELLS // probs.shape[1], 0
+    while lo < len(ids):
+        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + most, side="right")))
+        rows = slice(starts[lo], ends[hi - 1])
+        best[ids[lo:hi]], score[ids[lo:hi]] = _leading(probs[bucket[rows]], x[rows], starts[lo:hi] - starts[lo])
+        lo = hi
+    return best, score
+
+
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text") -> DataFrame:
     """``row`` (the columns of ``docs``), ``lang_pred`` and ``score``."""
     names, probs = model

@@ -57,3 +57,24 @@ def test_more_languages_than_candidates():
     bucket = np.concatenate([rng.choice(li.BUCKETS, 300, p=probs[:, j].astype(float) / probs[:, j].astype(float).sum()) for j in range(12)])
     best, score = li.infer(doc, bucket, 12, probs)
     assert best.tolist() == list(range(12)) and (score > 0.8).all()
+
+
+def test_mixed_document_among_many_languages(monkeypatch):
+    """The largest part of a document leads, also when each of many other languages explains it better alone."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    common = rng.dirichlet(np.full(li.BUCKETS // 2, 0.05))
+    probs = np.zeros((li.BUCKETS, 14))
+    for j in range(13):
+        probs[:li.BUCKETS // 2, j] = 0.8 * common + 0.2 * rng.dirichlet(np.full(li.BUCKETS // 2, 0.05))
+    probs[li.BUCKETS // 2:, 13] = rng.dirichlet(np.full(li.BUCKETS // 2, 0.05))
+    probs = (probs + 1e-6) / (probs + 1e-6).sum(axis=0)
+    parts = [rng.choice(li.BUCKETS, 900, p=probs[:, 13])] + [rng.choice(li.BUCKETS, 85, p=probs[:, j]) for j in range(13)]
+    bucket = np.tile(np.concatenate(parts), 3)
+    doc = np.repeat(np.arange(3), len(bucket) // 3)
+    whole = li.infer(doc, bucket, 4, probs.astype(np.float32))
+    assert whole[0].tolist() == [13, 13, 13, -1] and (whole[1][:3] > 0.4).all()
+    monkeypatch.setattr(li, "BLOCK_CELLS", 14)
+    blocks = li.infer(doc, bucket, 4, probs.astype(np.float32))
+    assert blocks[0].tolist() == whole[0].tolist() and np.allclose(blocks[1], whole[1])
