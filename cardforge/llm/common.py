@@ -52,18 +52,26 @@ def chunks(texts: pa.Array, most_bytes: int = 4 << 20):
         start = stop
 
 
-def ascii_lowered(texts: pa.Array) -> pa.Array:
-    """Large strings with A-Z lower-cased (Arrow's own kernel misreads slices)."""
+#: bytes with A-Z lower-cased
+LOWERED = np.arange(256, dtype=np.uint8)
+LOWERED[ord("A"):ord("Z") + 1] += 32
+
+
+def mapped_bytes(texts: pa.Array, table: np.ndarray) -> pa.Array:
+    """Large strings without nulls, each byte replaced by ``table`` (ASCII for ASCII)."""
     if not len(texts) or texts.buffers()[2] is None:
         return texts
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]]
-    table = np.arange(256, dtype=np.uint8)
-    table[ord("A"):ord("Z") + 1] += 32
     return pa.Array.from_buffers(pa.large_string(), len(texts),
                                  [None, pa.py_buffer(offsets - offsets[0]), pa.py_buffer(table[data])])
 
 
+def ascii_lowered(texts: pa.Array) -> pa.Array:
+    """Large strings with A-Z lower-cased (Arrow's own kernel misreads slices)."""
+    return mapped_bytes(texts, LOWERED)
+
+
 def words_of(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a chunk of texts (null: none), flat, and the offsets of
     each text's words in it."""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardforge.llm import (bpe, embedding_dedup, language_id, main_text, mixing, ngram_join, quality, token_files, toxicity,
-                           url_filter)
+from cardforge.llm import (bpe, divergence, embedding_dedup, hash_tree, language_id, main_text, mixing, ngram_join, periodic_runs,
+                           quality, token_files, toxicity, url_filter)
 from cardforge.llm.common import shared_path, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -62,6 +62,19 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_repeats(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.find_runs(docs))
+
+
+def op12_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_tree.shard_table(table(spark, sf_dir, "documents"), hash_tree.balanced(8))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
@@ -73,6 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_language_id": op9_language_id,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_hash_tree": op12_hash_tree,
+    "op13_divergence": op13_divergence,
 }
 
 # components of pairs(a, b): the least id reachable
@@ -119,6 +135,33 @@ ORACLES: dict[str, str] = {
                coalesce(l.y >= v.vec_id, true) AS kept
         FROM v LEFT JOIN links k ON k.id = v.vec_id LEFT JOIN least l ON l.x = v.vec_id
     """,
+    "op13_divergence": r"""
+        WITH t AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        k AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM t) GROUP BY ALL HAVING count(*) >= 10),
+        v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+        c AS (SELECT lang, source, term, count(*) AS c FROM (SELECT lang, source, unnest(w) AS term FROM t) JOIN k USING (lang, term)
+              GROUP BY ALL),
+        n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL),
+        g AS (SELECT lang, source, coalesce(v, 0) AS v, coalesce(n, 0) AS n FROM (SELECT DISTINCT lang, source FROM t)
+              LEFT JOIN n USING (lang, source) LEFT JOIN v USING (lang)),
+        s AS (SELECT lang, source, term, coalesce(c, 0) AS c,
+                     CAST(1 + 1000000000 * (CAST(coalesce(c, 0) AS HUGEINT) + 2) // (n + 2 * v) AS HUGEINT) AS p
+              FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+        l AS (SELECT lang, term, CAST(1 + 1000000000 * (CAST(sum(c) AS HUGEINT) + 2) // (n + 2 * v) AS HUGEINT) AS q
+              FROM c JOIN (SELECT lang, sum(n) AS n, max(v) AS v FROM g GROUP BY lang) USING (lang) GROUP BY lang, term, n, v),
+        pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0) AS value
+                  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                  LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+                             FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) x
+                  ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+        terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM s JOIN l USING (lang, term)
+                  WHERE c > 0 AND p > q),
+        r AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms),
+        o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM o WHERE part = 'pair' OR rank <= 10
+    """,
     "op6_url_filter": """
         WITH p AS (
             SELECT page_id, url,
