@@ -6,6 +6,7 @@ All but ``decode_entities`` are built-in Spark expressions (JVM side).
 from __future__ import annotations
 
 import html
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -43,6 +44,20 @@ def strip_chars(c, chars: str) -> Column:
     return F.regexp_replace(as_col(c), rf"^[{cls}]+|[{cls}]+\z", "")
 
 
+#: references with more digits than Python turns into an integer
+_LONG_REFERENCE = re.compile(r"&#0*([0-9]*)")
+
+
+def unescape(text: str) -> str:
+    """``text`` with character references decoded as the HTML standard does; numbers
+    of any length (those beyond the last code point give U+FFFD)."""
+    if "&" not in text:
+        return text
+    if "&#" in text:
+        text = _LONG_REFERENCE.sub(lambda m: m.group() if len(m.group()) < 4000 else f"&#{m.group(1)[:8] or 0}", text)
+    return html.unescape(text)
+
+
 def decode_entities(c) -> Column:
     """Decode character references as the HTML standard does: the full table,
     ``;`` optional where the standard says so, numeric ones of any length, in one
@@ -52,4 +67,4 @@ def decode_entities(c) -> Column:
 
 @F.pandas_udf(StringType())
 def _unescape(values: pd.Series) -> pd.Series:
-    return values.map(html.unescape, na_action="ignore")
+    return values.map(unescape, na_action="ignore")

@@ -20,12 +20,12 @@ nothing; what is open at the end ends with the page.
 
 from __future__ import annotations
 
-import html as html_lib
-import re
-from collections import Counter
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,23 +33,7 @@ from pyspark.sql import types as T
 from cardforge.functions._col import let
 from cardforge.functions.text import nbsp_to_space, strip_ws
 from cardforge.functions.urls import resolve_url
-
-# Elements that never have content (closed as soon as opened).
-VOID_ELEMENTS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link", "menuitem",
-                 "meta", "param", "source", "track", "wbr", "basefont", "bgsound", "command", "frame", "image",
-                 "isindex", "nextid", "spacer")
-_VOID = frozenset(VOID_ELEMENTS)
-
-# comment, declaration or instruction, tag (a quoted attribute may hold '>'),
-# text run, stray '<'; possessive loops: linear on any input
-_TOKEN = re.compile(r"""(?s:<!--.*?-->)|<[!?][^>]*+>|</?[a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^<]++|<""")
-_NAME = re.compile(r"</?([a-zA-Z][^\t\n\r\f />\x00]*)")
-_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style")}
-# Html.parser's tolerant attribute pattern (name, "=" value with
-# single, double or no quotes; an unquoted value keeps a trailing "/").
-_ATTR = re.compile(r"""((?<=['"\s/])[^\s/>][^\s/=>]*)(\s*=+\s*('[^']*'|"[^"]*"|(?!['"])[^>\s]*))?(?:\s|/(?!>))*""")
-# "/>" closes the tag only when the "/" is not the end of an unquoted value
-_UNQUOTED_SLASH = re.compile(r"""=+\s*(?:[^\s'"=>][^\s>]*)?/>$""")
+from cardforge.operators.tokens import START, TEXT, PageTokens, read_attributes, read_tokens
 
 #: tokens of several pages that leave a task together
 EMIT_TOKENS = 20_000
@@ -63,99 +47,22 @@ ELEMENT = T.StructType([T.StructField(n, t) for n, t in (
     ("m1", T.IntegerType()))])
 
 
-class Token:
-    """One token, and for a start tag the element that it opens."""
-
-    __slots__ = ("kind", "name", "raw", "pos", "end_pos", "depth", "parent", "text", "t0", "t1", "m0", "m_end", "m1")
-
-    def __init__(self, kind, name, raw, pos, depth, parent, at):
-        self.kind, self.name, self.raw, self.pos, self.end_pos = kind, name, raw, pos, pos
-        self.depth, self.parent, self.text = depth, parent, None
-        self.t0 = self.t1 = 0
-        self.m0, self.m_end, self.m1 = at, at + len(raw), at + len(raw)
-
-
-def read_tokens(html: str) -> list[Token]:
-    """The tokens of a page in order.  Comments, declarations and the contents
-    of scripts and styles are no tokens (text on both sides of a comment is one
-    token), but they stay in the markup ranges."""
-    out: list[Token] = []
-    stack: list[Token] = []
-    open_names: Counter[str] = Counter()
-    at, length, done = 0, 0, len(html)
-
-    def close(element: Token, pos: int, end: int) -> None:
-        element.end_pos, element.t1, element.m_end, element.m1 = pos, length, end, end
-        open_names[element.name] -= 1
-
-    def settle(token: Token) -> int:
-        token.text = html_lib.unescape(token.raw)
-        return len(token.text)
-
-    run: Token | None = None  # a text run that a comment may have interrupted
-    while at < done:
-        m = _TOKEN.match(html, at)
-        raw, start, at = m.group(), at, m.end()
-        if raw.startswith(("<!", "<?")):
-            continue
-        tag = _NAME.match(raw) if len(raw) > 1 and raw[0] == "<" else None
-        if tag is None:
-            if run is not None and raw != "<":
-                run.raw += raw
-                continue
-            if run is not None:
-                length += settle(run)
-            token = Token("text", None, raw, len(out), len(stack), stack[-1].pos if stack else None, start)
-            out.append(token)
-            if raw == "<":
-                run = None
-                length += settle(token)
-            else:
-                run = token
-            continue
-        if run is not None:
-            length += settle(run)
-            run = None
-        name = tag.group(1).lower()
-        if raw[1] == "/":
-            pos = len(out)
-            if open_names[name]:
-                while stack[-1].name != name:
-                    close(stack.pop(), pos, start)
-                element = stack.pop()
-                close(element, pos, start)
-                element.m1 = at
-            out.append(Token("end", name, raw, pos, len(stack), stack[-1].pos if stack else None, start))
-            continue
-        token = Token("start", name, raw, len(out), len(stack), stack[-1].pos if stack else None, start)
-        out.append(token)
-        token.t0 = token.t1 = length
-        if name in _VOID or (raw.endswith("/>") and not _UNQUOTED_SLASH.search(raw)):
-            continue
-        stack.append(token)
-        open_names[name] += 1
-        if name in _RAW_END:
-            end = _RAW_END[name].search(html, at)
-            if end:
-                at = end.start()
-    if run is not None:
-        length += settle(run)
-    while stack:
-        close(stack.pop(), len(out), done)
-    return out
-
-
-def read_attributes(raw: str) -> list[dict[str, str]]:
-    """Attributes of a start tag in order: names lower-cased, values unquoted and
-    decoded, '' without a value."""
-    body = raw[_NAME.match(raw).end():-1]
-    found = []
-    for m in _ATTR.finditer(body):
-        value = m.group(3) or ""
-        if len(value) > 1 and value[0] == value[-1] and value[0] in "'\"":
-            value = value[1:-1]
-        found.append({"k": m.group(1).lower(), "v": html_lib.unescape(value)})
-    return found
+def _ints(column) -> np.ndarray:
+    return np.frombuffer(column, dtype=np.int32) if len(column) else np.zeros(0, dtype=np.int32)
+
+
+def _attributes(raws) -> pa.Array:
+    """``array<struct<k, v>>`` of start tags (None: null)."""
+    keys, values, ends, null = [], [], [0], []
+    for raw in raws:
+        found = read_attributes(raw) if raw is not None else ()
+        for k, v in found:
+            keys.append(k)
+            values.append(v)
+        ends.append(len(keys))
+        null.append(raw is None)
+    pairs = pa.StructArray.from_arrays([pa.array(keys, pa.string()), pa.array(values, pa.string())], ["k", "v"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs, mask=pa.array(null, pa.bool_()) if null else None)
 
 
 def dom_nodes(pages: DataFrame) -> DataFrame:
@@ -171,31 +78,37 @@ def dom_nodes(pages: DataFrame) -> DataFrame:
         ("page_id", key), ("url", T.StringType()), ("pos", T.IntegerType()), ("kind", T.StringType()), ("name", T.StringType()),
         ("attrs", PAIRS), ("text", T.StringType()), ("raw", T.StringType()), ("end_pos", T.IntegerType()),
         ("depth", T.IntegerType()), ("parent_pos", T.IntegerType()))])
-    pairs = pa.list_(pa.struct([("k", pa.string()), ("v", pa.string())]))
-
-    def emit(batch, rows, tokens):
-        at = pa.array(rows, pa.int64())
-        cols = [batch.column(0).take(at), batch.column(1).take(at),
-                pa.array([t.pos for t in tokens], pa.int32()), pa.array([t.kind for t in tokens], pa.string()),
-                pa.array([t.name for t in tokens], pa.string()),
-                pa.array([read_attributes(t.raw) if t.kind == "start" else None for t in tokens], pairs),
-                pa.array([t.text for t in tokens], pa.string()), pa.array([t.raw for t in tokens], pa.string()),
-                pa.array([t.end_pos for t in tokens], pa.int32()), pa.array([t.depth for t in tokens], pa.int32()),
-                pa.array([t.parent for t in tokens], pa.int32())]
+    kinds = pa.array(["start", "end", "text"])
+
+    def emit(batch, row: int, page: PageTokens, lo: int, hi: int, texts: int) -> pa.RecordBatch:
+        """Tokens ``[lo, hi)`` of a page, of which ``texts`` texts came before."""
+        kind = np.frombuffer(page.kind, dtype=np.uint8)[lo:hi]
+        text = kind == TEXT
+        which = np.where(text, texts + np.cumsum(text) - 1, -1).tolist()
+        cols = [*(batch.column(i).take(pa.array(np.full(hi - lo, row))) for i in range(2)), pa.array(np.arange(lo, hi, dtype=np.int32)),
+                kinds.take(pa.array(kind)), pa.array(page.name[lo:hi], pa.string()),
+                _attributes([page.raw(k) if page.kind[k] == START else None for k in range(lo, hi)]),
+                pa.array([page.texts[i] if i >= 0 else None for i in which], pa.string()),
+                pa.array([page.raws[i] if i >= 0 else page.raw(k) for k, i in zip(range(lo, hi), which)], pa.string()),
+                pa.array(_ints(page.end_pos)[lo:hi]), pa.array(_ints(page.depth)[lo:hi]),
+                pa.array(_ints(page.parent)[lo:hi], mask=_ints(page.parent)[lo:hi] < 0)]
         return pa.RecordBatch.from_arrays(cols, schema.names)
 
     def run(batches):
         for batch in batches:
-            rows, tokens = [], []
-            for row, page in enumerate(batch.column(2).to_pylist()):
-                found = read_tokens(page) if page else []
-                rows += [row] * len(found)
-                tokens += found
-                if len(tokens) >= EMIT_TOKENS:
-                    yield emit(batch, rows, tokens)
-                    rows, tokens = [], []
-            if tokens:
-                yield emit(batch, rows, tokens)
+            held, size = [], 0
+            for row, html in enumerate(batch.column(2).to_pylist()):
+                page, texts = read_tokens(html or ""), 0
+                for lo in range(0, len(page), EMIT_TOKENS):
+                    hi = min(lo + EMIT_TOKENS, len(page))
+                    held.append(emit(batch, row, page, lo, hi, texts))
+                    texts += page.kind[lo:hi].count(TEXT)
+                    size += hi - lo
+                    if size >= EMIT_TOKENS:
+                        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                        held, size = [], 0
+            if held:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
     return pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")) \
         .mapInArrow(run, schema)
@@ -207,20 +120,27 @@ def page_trees(pages: DataFrame) -> DataFrame:
     key = pages.schema["page_id"].dataType
     schema = T.StructType([T.StructField("page_id", key), T.StructField("url", T.StringType()), T.StructField("html", T.StringType()),
                            T.StructField("text", T.StringType()), T.StructField("els", T.ArrayType(ELEMENT))])
-    pairs = pa.list_(pa.struct([("k", pa.string()), ("v", pa.string())]))
-    ints = ("depth", "parent", "t0", "t1", "m0", "m_end", "m1")
-
     def run(batches):
         for batch in batches:
-            texts, ends, starts = [], [0], []
-            for page in batch.column(2).to_pylist():
-                tokens = read_tokens(page or "")
-                texts.append("".join(t.text for t in tokens if t.kind == "text"))
-                starts += [t for t in tokens if t.kind == "start"]
-                ends.append(len(starts))
-            fields = [pa.array([t.pos for t in starts], pa.int32()), pa.array([t.end_pos for t in starts], pa.int32()),
-                      pa.array([t.name for t in starts], pa.string()), pa.array([read_attributes(t.raw) for t in starts], pairs),
-                      *(pa.array([getattr(t, c) for t in starts], pa.int32()) for c in ints)]
+            texts, found = [], []
+            for html in batch.column(2).to_pylist():
+                page = read_tokens(html or "")
+                texts.append("".join(page.texts))
+                page.raws.clear()
+                page.texts.clear()
+                found.append(page)
+            ends = np.concatenate(([0], np.cumsum([len(page.pos) for page in found])))
+
+            def of_elements(column: str) -> pa.Array:  # columns of elements as they are, those of tokens by position
+                own = column in ("pos", "t0", "t1", "m_end", "m1")
+                return pa.array(np.concatenate([_ints(getattr(page, column)) if own else _ints(getattr(page, column))[_ints(page.pos)]
+                                                for page in found]))
+
+            parent = of_elements("parent")
+            fields = [of_elements("pos"), of_elements("end_pos"), pa.array([page.name[k] for page in found for k in page.pos], pa.string()),
+                      _attributes(page.tag(k) for page in found for k in range(len(page.pos))), of_elements("depth"),
+                      pa.array(parent.to_numpy(), mask=parent.to_numpy() < 0),
+                      *(of_elements(c) for c in ("t0", "t1", "m0", "m_end", "m1"))]
             els = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ELEMENT.names))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(texts, pa.string()), els],
                                              schema.names)
@@ -356,98 +276,161 @@ def page_images(trees: DataFrame, pred: Predicate = MAIN) -> DataFrame:
 
 # ---------------------------------------------------------------- DOM-5/6
 
-_BLOCK_TYPE = T.ArrayType(T.StructType([
-    T.StructField("pos", T.IntegerType()), T.StructField("processed", T.BooleanType()),
-    T.StructField("is_mnemonic", T.BooleanType()), T.StructField("text", T.StringType()),
-    T.StructField("spans", T.ArrayType(T.StructType([
-        T.StructField("pos", T.IntegerType()), T.StructField("text", T.StringType()), T.StructField("black", T.BooleanType())])))]))
-
-
-def _colours(attrs: list[dict[str, str]] | None) -> str:
-    return next((p["v"].replace(" ", "").lower() for p in reversed(attrs or ()) if p["k"] == "style"), "")
-
-
-def walk_blocks(html: str, text: str, els: list[dict], box: dict) -> list[dict]:
-    """The p and figcaption blocks of a container, each with the red spans in it.
+_BLOCK = T.StructType([T.StructField(n, t) for n, t in (
+    ("pos", T.IntegerType()), ("processed", T.BooleanType()),
+    # null unless the block is a mnemonic; red spans [lo, hi) of the page's are in the block
+    ("mnemonic", T.StringType()), ("lo", T.IntegerType()), ("hi", T.IntegerType()))])
+_RED = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("text", T.StringType()), T.StructField("black", T.BooleanType())])
+_WANTED = ("img", "p", "figcaption", "span")
+_HASHES = ((2147483647, 1000003), (2147483629, 998244353), (2147483587, 754974721))  # fixed values: primes and bases
+
+
+class _Markups:
+    """Which markups of a page were seen before, by prefix hashes: a comparison does not read them."""
+
+    def __init__(self, html: str):
+        self.html, self.sums, self.seen = html, None, {}
+
+    def _hashes(self):
+        if self.sums is None:
+            codes = np.frombuffer(self.html.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
+            self.sums = []
+            for prime, base in _HASHES:
+                powers, done = np.ones(len(codes) + 1, dtype=np.uint64), 1
+                while done < len(powers):
+                    more = min(done, len(powers) - done)
+                    powers[done:done + more] = powers[:more] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+                    done += more
+                sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(codes * powers[:-1] % np.uint64(prime)))) % np.uint64(prime)
+                self.sums.append((prime, base, sums))
+        return self.sums
+
+    def _key(self, lo: int, hi: int) -> tuple:
+        # divided by the power of its place, a hash depends on the characters alone
+        return tuple((int(sums[hi]) - int(sums[lo])) * pow(base, -lo, prime) % prime for prime, base, sums in self._hashes())
+
+    def new(self, lo: int, hi: int) -> bool:
+        """Whether ``[lo, hi)`` was not seen yet; it is now."""
+        rough = (hi - lo, self.html[lo:min(hi, lo + 32)], self.html[max(lo, hi - 32):hi])
+        before = self.seen.get(rough)
+        if before is None:  # the only one like it so far: no hash is needed
+            self.seen[rough] = [(lo, hi)]
+            return True
+        if isinstance(before, list):
+            before = self.seen[rough] = {self._key(*before[0])}
+        key = self._key(lo, hi)
+        if key in before:
+            return False
+        before.add(key)
+        return True
+
+
+def walk_blocks(html: str, text: str, names: list[str], colours: list[str], ints: dict[str, list[int]], box: tuple[int, int],
+                ) -> tuple[list[tuple], list[tuple]]:
+    """The p and figcaption blocks of a container, and its red spans.
 
     An img starts a new segment.  In the segment before the first img every
     block is processed; in a later one the blocks up to and including its first
     mnemonic.  A processed block is a mnemonic when it holds a red span, its
     text has no NOTE, and no earlier mnemonic has the same markup.
 
-    Two sweeps over the elements: one gives each red span to the blocks open
-    around it, and each black span to the red spans open around it; one decides.
+    Elements come as columns in order of ``pos`` (``colours``: the style of spans).
+    Blocks hold offsets: those of a block's red spans among all, found by search in
+    sorted positions, as are black spans in red ones and NOTEs in blocks.  Text is
+    cut for mnemonics and red spans only.
     """
-    blocks: dict[int, dict] = {}
-    reds: dict[int, dict] = {}
-    sequence: list[dict | None] = []  # blocks, and None for an img
-    around: list[tuple[int, dict, bool]] = []  # end, block or span, is a block
-    for e in els:
-        if not box["pos"] < e["pos"] < box["end_pos"]:
-            continue
-        while around and around[-1][0] <= e["pos"]:
-            around.pop()
-        if e["name"] == "img":
-            sequence.append(None)
-        elif e["name"] in ("p", "figcaption"):
-            block = {"pos": e["pos"], "processed": False, "is_mnemonic": False, "text": text[e["t0"]:e["t1"]],
-                     "markup": html[e["m0"]:e["m_end"]], "spans": []}
-            blocks[e["pos"]] = block
-            sequence.append(block)
-            around.append((e["end_pos"], block, True))
-        elif e["name"] == "span":
-            colours = _colours(e["attrs"])
-            if "#000000" in colours:
-                for _, span, is_block in around:
-                    if not is_block:
-                        span["black"] = True
-            if "#ff0000" in colours:
-                span = {"pos": e["pos"], "text": text[e["t0"]:e["t1"]], "black": False}
-                reds[e["pos"]] = span
-                for _, block, is_block in around:
-                    if is_block:
-                        block["spans"].append(span)
-                around.append((e["end_pos"], span, False))
-    seen: set[str] = set()
+    pos, end_pos, t0, t1 = ints["pos"], ints["end_pos"], ints["t0"], ints["t1"]
+    lo, hi = bisect_right(pos, box[0]), bisect_left(pos, box[1])
+    black = [pos[i] for i in range(lo, hi) if "#000000" in colours[i]]
+    red = [i for i in range(lo, hi) if "#ff0000" in colours[i]]
+    red_pos = [pos[i] for i in red]
+    notes, at = [], text.find("NOTE")
+    while at >= 0:
+        notes.append(at)
+        at = text.find("NOTE", at + 4)
+    seen, blocks = _Markups(html), []
     images, settled = 0, False
-    for block in sequence:
-        if block is None:
+    for i in range(lo, hi):
+        if names[i] == "img":
             images, settled = images + 1, False
-        elif not settled:
-            block["processed"] = True
-            if block["spans"] and "NOTE" not in block["text"] and block["markup"] not in seen:
-                seen.add(block["markup"])
-                block["is_mnemonic"], settled = True, images > 0
-    return [b for b in sequence if b is not None]
+        elif names[i] != "span":
+            first, last = bisect_right(red_pos, pos[i]), bisect_left(red_pos, end_pos[i])
+            processed, mnemonic = not settled, None
+            if processed and first < last:
+                note = bisect_left(notes, t0[i])
+                if not (note < len(notes) and notes[note] + 4 <= t1[i]) and seen.new(ints["m0"][i], ints["m_end"][i]):
+                    mnemonic, settled = text[t0[i]:t1[i]], images > 0
+            blocks.append((pos[i], processed, mnemonic, first, last))
+
+    def holds_black(i: int) -> bool:
+        k = bisect_right(black, pos[i])
+        return k < len(black) and black[k] < end_pos[i]
+
+    return blocks, [(pos[i], text[t0[i]:t1[i]], holds_black(i)) for i in red]
+
+
+def _colours(attrs: pa.Array) -> list[str]:
+    """The style of each element (the last one of it), without spaces and lower-cased."""
+    styles = []
+    for pairs in attrs.to_pylist():
+        style = next((p["v"] for p in reversed(pairs or ()) if p["k"] == "style"), "")
+        styles.append(style.replace(" ", "").lower())
+    return styles
 
 
 def with_blocks(boxed: DataFrame) -> DataFrame:
-    """Adds ``blocks`` to the output of :func:`select_container`."""
-    schema = T.StructType([*boxed.schema.fields, T.StructField("blocks", _BLOCK_TYPE)])
-    arrow = pa.list_(pa.struct([("pos", pa.int32()), ("processed", pa.bool_()), ("is_mnemonic", pa.bool_()), ("text", pa.string()),
-                                ("spans", pa.list_(pa.struct([("pos", pa.int32()), ("text", pa.string()), ("black", pa.bool_())])))]))
-    wanted = ("img", "p", "figcaption", "span")
+    """Adds ``blocks`` and ``reds`` to the output of :func:`select_container`."""
+    schema = T.StructType([*boxed.schema.fields, T.StructField("blocks", T.ArrayType(_BLOCK)), T.StructField("reds", T.ArrayType(_RED))])
+    block = pa.struct([("pos", pa.int32()), ("processed", pa.bool_()), ("mnemonic", pa.string()), ("lo", pa.int32()), ("hi", pa.int32())])
+    red = pa.struct([("pos", pa.int32()), ("text", pa.string()), ("black", pa.bool_())])
+
+    def of_page(html: str, text: str, els: pa.StructArray, box: dict | None) -> tuple[list, list]:
+        if box is None:
+            return [], []
+        els = els.filter(pc.is_in(els.field(ELEMENT.names.index("name")), pa.array(_WANTED)))
+        name = els.field(ELEMENT.names.index("name"))
+        span = np.flatnonzero(np.asarray(pc.equal(name, "span").to_numpy(zero_copy_only=False)))
+        colours = [""] * len(els)
+        for i, style in zip(span.tolist(), _colours(els.field(ELEMENT.names.index("attrs")).take(pa.array(span)))):
+            colours[i] = style
+        ints = {c: els.field(ELEMENT.names.index(c)).to_pylist() for c in ("pos", "end_pos", "t0", "t1", "m0", "m_end")}
+        return walk_blocks(html, text, name.to_pylist(), colours, ints, (box["pos"], box["end_pos"]))
+
+    def lists(rows: list[list[tuple]], kind: pa.StructType) -> pa.Array:
+        flat = [x for row in rows for x in row]
+        columns = [pa.array([x[i] for x in flat], kind.field(i).type) for i in range(kind.num_fields)]
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(row) for row in rows]))), pa.int32()),
+                                        pa.StructArray.from_arrays(columns, [kind.field(i).name for i in range(kind.num_fields)]))
 
     def run(batches):
         for batch in batches:
             names = batch.schema.names
-            html, text, els, box = (batch.column(names.index(c)).to_pylist() for c in ("html", "text", "els", "box"))
-            rows = [walk_blocks(h, t, [e for e in x if e["name"] in wanted], b) if b else [] for h, t, x, b in zip(html, text, els, box)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, arrow)], [*names, "blocks"])
+            html, text, els, box = (batch.column(names.index(c)) for c in ("html", "text", "els", "box"))
+            ends = np.asarray(els.offsets) - els.offsets[0].as_py()
+            flat, boxes = els.flatten(), pc.struct_field(box, "pos").to_pylist()
+            box_ends = pc.struct_field(box, "end_pos").to_pylist()
+            done = [of_page(html[i].as_py(), text[i].as_py(), flat.slice(ends[i], ends[i + 1] - ends[i]),
+                            None if boxes[i] is None else {"pos": boxes[i], "end_pos": box_ends[i]}) for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists([b for b, _ in done], block), lists([r for _, r in done], red)],
+                                             [*names, "blocks", "reds"])
 
     return boxed.mapInArrow(run, schema)
 
 
 def _mnemonic_array() -> Column:
-    return F.transform(F.filter("blocks", lambda b: b["is_mnemonic"]),
-                       lambda b: F.struct(b["pos"].alias("pos"), strip_ws(b["text"]).alias("mnemonic")))
+    return F.transform(F.filter("blocks", lambda b: b["mnemonic"].isNotNull()),
+                       lambda b: F.struct(b["pos"].alias("pos"), strip_ws(b["mnemonic"]).alias("mnemonic")))
+
+
+def _block_highlights(b: Column) -> Column:
+    """``array<struct<block_pos, pos, highlight>>`` of one block."""
+    marked = F.transform(F.filter(F.slice("reds", b["lo"] + 1, b["hi"] - b["lo"]), lambda s: ~s["black"]),
+                         lambda s: F.struct(b["pos"].alias("block_pos"), s["pos"].alias("pos"), strip_ws(s["text"]).alias("highlight")))
+    return F.filter(marked, lambda s: F.instr(s["highlight"], "NOTE") == 0)
 
 
 def _highlight_array() -> Column:
-    spans = F.flatten(F.transform(F.filter("blocks", lambda b: b["processed"]), lambda b: F.transform(
-        F.filter(b["spans"], lambda s: ~s["black"]),
-        lambda s: F.struct(b["pos"].alias("block_pos"), s["pos"].alias("pos"), strip_ws(s["text"]).alias("highlight")))))
-    return F.filter(spans, lambda s: F.instr(s["highlight"], "NOTE") == 0)
+    return F.flatten(F.transform(F.filter("blocks", lambda b: b["processed"]), _block_highlights))
 
 
 def highlights(trees: DataFrame, pred: Predicate = MAIN) -> DataFrame:
@@ -455,7 +438,8 @@ def highlights(trees: DataFrame, pred: Predicate = MAIN) -> DataFrame:
     each red span under it without a black span inside and without 'NOTE' in
     its stripped text; text stripped (empty strings kept)."""
     t = with_blocks(select_container(trees, pred))
-    return t.select("page_id", F.explode(_highlight_array()).alias("h")).select("page_id", "h.*")
+    blocks = t.select("page_id", "reds", F.explode(F.filter("blocks", lambda b: b["processed"] & (b["lo"] < b["hi"]))).alias("b"))
+    return blocks.select("page_id", F.explode(_block_highlights(F.col("b"))).alias("h")).select("page_id", "h.*")
 
 
 def mnemonic_blocks(trees: DataFrame, pred: Predicate = MAIN) -> DataFrame:
