@@ -60,16 +60,25 @@ def extraction_requests(trees: DataFrame, routes: list[tuple[str, str]], default
                         F.element_at(instructions, F.col("template")).alias("instructions"), "input")
 
 
+def one_answer(responses: DataFrame) -> DataFrame:
+    """``(request_id, output_text)``, one row a request that was answered.
+
+    Batch inference delivers at least once: of several answers to one request the
+    least text (by code point) counts, whatever their order; a null answer is none."""
+    given = responses.where(F.col("output_text").isNotNull() & F.col("request_id").isNotNull())
+    return given.groupBy("request_id").agg(F.min("output_text").alias("output_text"))
+
+
 def attach_responses(requests: DataFrame, responses: DataFrame, on_missing: str = "skip") -> tuple[DataFrame, DataFrame]:
     """EXT-2: ``(answered, unanswered)``.  Answered rows carry the raw
-    output unparsed as ``concept_and_mnemonic``.  A request without an answer
-    (a failed call) is left out and reported in ``unanswered``; with
+    output unparsed as ``concept_and_mnemonic``, one answer a request (see
+    :func:`one_answer`).  A request without an answer (a failed call) is left out and reported in ``unanswered``; with
     ``on_missing='stop'`` the run ends there instead: of the requests in order
     of ``page_id`` (ties: ``request_id``) those before the first unanswered one
     are answered, and all others are unanswered."""
     if on_missing not in ("skip", "stop"):
         raise ValueError("on_missing: 'skip' or 'stop'")
-    r = responses.select("request_id", F.col("output_text").alias("concept_and_mnemonic"))
+    r = one_answer(responses).withColumnRenamed("output_text", "concept_and_mnemonic")
     answered = requests.join(r, "request_id")
     unanswered = requests.join(r.select("request_id"), "request_id", "left_anti")
     if on_missing == "stop":

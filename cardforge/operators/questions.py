@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from cardforge.functions.fences import strip_fence, wrap_fence
 from cardforge.functions.questions import clean_answer, fallback_question, rule_question
 from cardforge.functions.text import is_blank
+from cardforge.operators.extraction import one_answer
 from cardforge.operators.items import TEXT, is_json_array, is_json_object, item_field, try_parse_value, with_key
 from cardforge.session import materialize
 
@@ -72,9 +73,10 @@ def question_requests(items: DataFrame) -> DataFrame:
 def item_questions(items: DataFrame, requests: DataFrame, responses: DataFrame) -> DataFrame:
     """QST-2/4/5: the question of every non-skipped item
     ``(row_no, pos, question)``: rule question for 'rule' items, cleaned
-    answer for 'ask' items (a blank one stays blank), fallback when none came back."""
-    ans = requests.select("request_id", "row_no", "pos").join(
-        responses.select("request_id", F.col("output_text").alias("answer")), "request_id")
+    answer for 'ask' items (a blank one stays blank), fallback when none came back.
+    One answer a request, however often it was made or answered."""
+    asked = requests.select("request_id", "row_no", "pos").distinct()
+    ans = asked.join(one_answer(responses).withColumnRenamed("output_text", "answer"), "request_id")
     j = items.filter(F.col("route") != "skip").join(ans.drop("request_id"), ["row_no", "pos"], "left")
     term = item_field("item", "term")
     q = (F.when(F.col("route") == "rule", rule_question(term))

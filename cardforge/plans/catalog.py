@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from cardforge.functions.fences import strip_fence
 from cardforge.functions.text import decode_entities
 from cardforge.functions.urls import resolve_url, subject_of
-from cardforge.operators import crawl, dom, extraction, items, questions, subjects
+from cardforge.operators import crawl, dom, extraction, items, questions, subjects, tokens
 from cardforge.plans import fixtures as fx
 from cardforge.plans import lessons
 from cardforge.session import apply_conf, checkpoint_dir, materialize
-from cardforge.sinks import files
+from cardforge.sinks import documents, files
 from cardforge.sources import readers
 from cardforge.streaming import streams
 
@@ -299,10 +299,32 @@ def q_write_flat(spark, d):
     return back.select(F.col("row_no").cast("long"), F.col("pos").cast("long"), "term")
 
 
+@query("subjects_document", f"""
+WITH {fx.ITEMS_SQL}
+SELECT subject, CAST(row_number() OVER (PARTITION BY subject ORDER BY row_no, pos) AS BIGINT) AS ordinal, term FROM typed""")
+def q_subjects_document(spark, d):
+    """CAT-5: all subjects as one JSON document written in parallel parts; read back
+    in order, subjects found from the document's own keys."""
+    path = scratch(spark, "document")
+    documents.write_subjects_document(subjects.group_by_subject(_items_with_subject(spark, d)).select("subject", "ordinal", "item"), path)
+    back = documents.read_document(spark, path)
+    return back.select("subject", "ordinal", F.get_json_object("json", "$.term").alias("term"))
+
+
+@query("flat_document", f"""
+WITH {fx.ITEMS_SQL}
+SELECT CAST(row_number() OVER (ORDER BY row_no, pos) AS BIGINT) AS ordinal, term FROM typed""")
+def q_flat_document(spark, d):
+    """CAT-6: all items in file order as one JSON array written in parallel parts."""
+    path = scratch(spark, "document")
+    documents.write_flat_document(_items_with_subject(spark, d).select("row_no", "pos", "item"), path)
+    return documents.read_document(spark, path).select("ordinal", F.get_json_object("json", "$.term").alias("term"))
+
+
 # ================================================================ page structure (DOM-1..9, URL-1)
 
 _TOKEN_SQL = r"""'</?[a-zA-Z](?:[^>"'']|"[^"]*"|''[^'']*'')*>|[^<]+|<'"""
-_VOID_SQL = ", ".join(f"'{v}'" for v in dom.VOID_ELEMENTS)
+_VOID_SQL = ", ".join(f"'{v}'" for v in tokens.VOID_ELEMENTS)
 
 DOM_SQL = f"""
 cleaned AS (SELECT page_id, url, {fx.CLEAN_HTML_SQL} AS h FROM pages),
@@ -710,6 +732,27 @@ def q_unanswered(spark, d):
     return unanswered.select("conv_id", "turn")
 
 
+def _repeated(responses):
+    """Every answer twice, a null one, and a later (greater) text for each."""
+    later = responses.withColumn("output_text", F.concat("output_text", F.lit(" again")))
+    return responses.union(responses).union(later).union(responses.withColumn("output_text", F.lit(None).cast("string")))
+
+
+@query("attach_responses_repeated", """
+SELECT u.conv_id, u.turn, md5(a.text) AS answer FROM conversations u LEFT JOIN conversations a
+  ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant' AND a.turn % 4 <> 3
+WHERE u.role = 'user'""")
+def q_attach_responses_repeated(spark, d):
+    """EXT-2: answers delivered several times count once; requests that got only
+    null answers are unanswered."""
+    req, resp = _conversation_tables(spark, d)
+    null_ids = req.where("(turn + 1) % 4 = 3").select("request_id").withColumn("output_text", F.lit(None).cast("string"))
+    some = resp.join(null_ids.select("request_id"), "request_id", "left_anti").union(null_ids)
+    answered, unanswered = extraction.attach_responses(req, _repeated(some))
+    one = answered.select("conv_id", "turn", F.md5("concept_and_mnemonic").alias("answer"))
+    return one.union(unanswered.select("conv_id", "turn", F.lit(None).cast("string")))
+
+
 # ================================================================ flashcard questions (QST-1..7)
 
 QITEMS_SQL = fx.RECORDS_SQL + """,
@@ -781,6 +824,24 @@ def q_apply_questions(spark, d):
     return again.select("row_no", F.col("pos").cast("int"), items.item_field("item", "question").alias("question"))
 
 
+@query("apply_questions_repeated", f"""
+WITH {QITEMS_SQL}
+SELECT row_no, pos, count(*) AS copies,
+       max(CASE WHEN route = 'skip' THEN NULL
+                WHEN route = 'rule' THEN 'What is the first name associated with ' || term || '?'
+                WHEN (row_no + pos) % 7 = 3 THEN 'What is ' || term || '?'
+                ELSE 'How is ' || term || ' described?' END) AS question
+FROM qitems GROUP BY row_no, pos""")
+def q_apply_questions_repeated(spark, d):
+    """QST-6: requests made twice and answered several times leave one item each."""
+    rec = fx.records(spark, d)
+    it = questions.parse_record_items(rec)
+    req = questions.question_requests(it)
+    after = questions.apply_questions(rec, req.union(req), _repeated(_question_responses(spark, d, it, req)), items=it)
+    again = questions.parse_record_items(after).select("row_no", F.col("pos").cast("int"), items.item_field("item", "question").alias("q"))
+    return again.groupBy("row_no", "pos").agg(F.count(F.lit(1)).alias("copies"), F.max("q").alias("question"))
+
+
 @query("run_summary", f"""
 WITH {fx.RECORDS_SQL}
 SELECT count(*) AS total,
