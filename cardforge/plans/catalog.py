@@ -306,7 +306,9 @@ def q_subjects_document(spark, d):
     """CAT-5: all subjects as one JSON document written in parallel parts; read back
     in order, subjects found from the document's own keys."""
     path = scratch(spark, "document")
-    documents.write_subjects_document(subjects.group_by_subject(_items_with_subject(spark, d)).select("subject", "ordinal", "item"), path)
+    it = _items_with_subject(spark, d)
+    it = it.withColumn("item", F.struct("term", "item"))  # the harmonised term beside the item as it came
+    documents.write_subjects_document(subjects.group_by_subject(it).select("subject", "ordinal", "item"), path)
     back = documents.read_document(spark, path)
     return back.select("subject", "ordinal", F.get_json_object("json", "$.term").alias("term"))
 
@@ -317,7 +319,8 @@ SELECT CAST(row_number() OVER (ORDER BY row_no, pos) AS BIGINT) AS ordinal, term
 def q_flat_document(spark, d):
     """CAT-6: all items in file order as one JSON array written in parallel parts."""
     path = scratch(spark, "document")
-    documents.write_flat_document(_items_with_subject(spark, d).select("row_no", "pos", "item"), path)
+    it = _items_with_subject(spark, d)
+    documents.write_flat_document(it.select("row_no", "pos", F.struct("term", "item").alias("item")), path)
     return documents.read_document(spark, path).select("ordinal", F.get_json_object("json", "$.term").alias("term"))
 
 
