@@ -23,7 +23,7 @@ from cardforge.plans import lessons
 from cardforge.session import apply_conf, checkpoint_dir, materialize
 from cardforge.sinks import documents, files
 from cardforge.sources import readers
-from cardforge.streaming import streams
+from cardforge.streaming import stateful, streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1060,6 +1060,66 @@ def q_stream_dedup(spark, d):
     return streams.run_to_table(spark, dd, scratch(spark, "dedup"), scratch(spark, "dedup-ckpt"))
 
 
+def _files_in_order(spark, df, key: str, cuts: list[float], label: str) -> str:
+    """One file a range of ``key``, written one after the other (a stream reads them in that order)."""
+    path = scratch(spark, label)
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
+        part = df if lo is None else df.where(F.col(key) > lo)
+        part = part if hi is None else part.where(F.col(key) <= hi)
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@query("stream_until_repeat", """
+WITH h AS (SELECT source, doc_id, md5(text) AS hh FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY source, hh ORDER BY doc_id) > 1 AS rep FROM h),
+m AS (SELECT *, max(CASE WHEN rep THEN 1 ELSE 0 END) OVER (PARTITION BY source ORDER BY doc_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seen FROM r)
+SELECT source, doc_id FROM m WHERE seen = 0""")
+def q_stream_until_repeat(spark, d):
+    """TRV-3 over runs: documents of each source up to the first repeated content, in
+    five micro-batches and with a restart after two of them."""
+    docs = fx.table(spark, d, "documents").select("source", "doc_id", "text")
+    cuts = docs.approxQuantile("doc_id", [0.2, 0.4, 0.6, 0.8], 0.01)
+    src, out, ckpt = scratch(spark, "docs"), scratch(spark, "until"), scratch(spark, "until-ckpt")
+    result = None
+    for lo, hi, files_ in ((None, cuts[1], cuts[:1]), (cuts[1], None, cuts[2:])):
+        part = docs.where(F.col("doc_id") <= hi) if lo is None else docs.where(F.col("doc_id") > lo)
+        for a, b in zip([None, *files_], [*files_, None]):
+            some = part if a is None else part.where(F.col("doc_id") > a)
+            (some if b is None else some.where(F.col("doc_id") <= b)).coalesce(1).write.mode("append").parquet(src)
+        stream = streams.page_stream(spark, src, max_files_per_trigger=1)
+        with stateful.entry_store(spark):
+            result = streams.run_to_table(spark, stateful.stream_until_repeat(stream, "source", "doc_id", "text"), out, ckpt)
+    return result.select("source", "doc_id")
+
+
+@query("stream_answers", """
+SELECT u.conv_id, u.turn, CASE WHEN u.turn % 5 < 3 THEN md5(a.text) END AS answer FROM conversations u LEFT JOIN conversations a
+  ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant' WHERE u.role = 'user'""")
+def q_stream_answers(spark, d):
+    """EXT-2 as a stream: answers within 30 minutes (some come twice, some an hour
+    late), unanswered requests at the deadline, over five micro-batches of each side."""
+    req, resp = _conversation_tables(spark, d)
+    minute = F.col("conv_id") * 3 + F.col("turn")
+    begin = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    at = lambda m: F.timestamp_add("MINUTE", m.cast("int"), begin)
+    asked = req.select("request_id", "conv_id", "turn", minute.alias("m"), at(minute).alias("asked_at"))
+    times = asked.select("request_id", F.when(F.col("turn") % 5 < 3, F.col("turn") % 5 * 10).otherwise(F.lit(90)).alias("lag"), "m")
+    given = resp.join(times, "request_id").select("request_id", at(F.col("m") + F.col("lag")).alias("answered_at"), "output_text",
+                                                  (F.col("m") + F.col("lag")).alias("m"))
+    # a row of each side far ahead lets the last deadlines pass
+    end = spark.range(1).select(F.lit("end").alias("request_id"), at(F.lit(100_000_000)).alias("t"), F.lit(100_000_000).cast("long").alias("m"))
+    asked = asked.union(end.select("request_id", F.lit(None).cast("long"), F.lit(None).cast("long"), "m", "t"))
+    given = given.union(given).union(end.select("request_id", "t", F.lit("x"), "m"))
+    cuts = asked.where("m < 100000000").approxQuantile("m", [0.25, 0.5, 0.75, 1.0], 0.0)
+    sides = [streams.page_stream(spark, _files_in_order(spark, side, "m", cuts, name), 1).drop("m")
+             for side, name in ((asked, "asked"), (given, "given"))]
+    out = streams.run_to_table(spark, stateful.stream_answers(*sides, deadline="30 MINUTES", delay="5 minutes"),
+                               scratch(spark, "answers"), scratch(spark, "answers-ckpt"))
+    return out.where("conv_id is not null").select("conv_id", "turn", F.md5("concept_and_mnemonic").alias("answer"))
+
+
 @query("stream_subject_counts", """
 SELECT coalesce(nullif(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/*([^/?#;]*)', 1), ''), 'unknown')
        AS subject, count(*) AS n_items
