@@ -21,7 +21,7 @@ from cardforge.operators import crawl, dom, extraction, items, questions, subjec
 from cardforge.plans import fixtures as fx
 from cardforge.plans import lessons
 from cardforge.session import apply_conf, checkpoint_dir, materialize
-from cardforge.sinks import documents, files
+from cardforge.sinks import documents, files, published
 from cardforge.sources import readers
 from cardforge.streaming import stateful, streams
 
@@ -1011,6 +1011,35 @@ def q_refresh_rows(spark, d):
                                    F.max(F.array_join("images", "|")).alias("images"))
 
 
+@query("published_runs", f"""
+WITH {LESSONS_SQL}
+SELECT url, CAST(2 AS BIGINT) AS copies, mnemonics FROM lessons""")
+def q_published_runs(spark, d):
+    """SNK-1 and SNK-2 by manifest: a refresh, an append and its replay, a run that
+    wrote its rows and was lost before it published them."""
+    path, rows = scratch(spark, "published"), _lesson_rows(spark, d)
+    published.refresh_run(rows, path, "first")
+    published.append_run(rows, path, "second")
+    published.append_run(rows, path, "second")
+    published.stage(rows, path, "lost")
+    back = published.read_published(spark, path)
+    return back.groupBy("url").agg(F.count(F.lit(1)).alias("copies"), F.max(F.array_join("mnemonic", "|")).alias("mnemonics"))
+
+
+@query("published_subjects", f"""
+WITH {fx.ITEMS_SQL}
+SELECT CASE WHEN subject >= 'm' THEN 'second' ELSE 'first' END AS run, subject, count(*) AS n FROM typed
+WHERE subject < 'm' OR row_no % 2 = 0 GROUP BY ALL""")
+def q_published_subjects(spark, d):
+    """CAT-4 by manifest: a second run replaces the later half of the subjects (by the items of every other record)."""
+    path = scratch(spark, "published-subjects")
+    it = materialize(_items_with_subject(spark, d).select("subject", "row_no", "pos", "item"), "items")
+    published.write_subjects_run(it, path, "first")
+    for _ in range(2):
+        published.write_subjects_run(it.where("subject >= 'm' and row_no % 2 = 0"), path, "second")
+    return published.read_published(spark, path).groupBy("run", "subject").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("rewrite_records", f"""
 WITH {fx.RECORDS_SQL}
 SELECT url, CASE WHEN row_no % 2 = 1 THEN CAST(row_no AS VARCHAR) ELSE '' END AS mainContent,
