@@ -6,20 +6,15 @@ import format) or Parquet.
 
 from __future__ import annotations
 
-import csv
-import io
-import itertools
-
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardforge.functions.text import is_blank
 from cardforge.session import materialize
+from cardforge.sources.csv_rows import read_csv_rows
 
-#: rows of a file that leave the parser together
-BATCH_ROWS = 5_000
-csv.field_size_limit((1 << 31) - 1)
+#: different column names of all header lines together
+MOST_COLUMNS = 10_000
 
 
 def read_pages(spark: SparkSession, path: str, urls: DataFrame | None = None) -> DataFrame:
@@ -34,33 +29,17 @@ def read_pages(spark: SparkSession, path: str, urls: DataFrame | None = None) ->
     return j.filter(F.col("html").isNotNull()).select("page_id", "url", "html")
 
 
-def read_csv_rows(spark: SparkSession, path: str) -> DataFrame:
-    """``(row_no, file, line, fields)`` of all CSV files under ``path``: every
-    field of every row, whatever their number, doubled quotes and line breaks in
-    quotes resolved, an empty field as ''.  ``line`` counts the rows of a file
-    from 0; ``row_no`` counts over files in order of their paths, without gaps.
-
-    A CSV file with line breaks in quotes cannot be split, so a task reads a file
-    whole: an import format (up to 2 GB a file).  Convert to Parquet for
-    repeated use."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-
-    def parse(batches):
-        for batch in batches:
-            for file, text in zip(*(c.to_pylist() for c in batch.columns)):
-                rows = csv.reader(io.StringIO(text, newline=""))
-                line = 0
-                while some := [r for r in itertools.islice(rows, BATCH_ROWS) if r]:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([file] * len(some)), pa.array(range(line, line + len(some)), pa.int64()),
-                         pa.array(some, pa.list_(pa.string()))], ["file", "line", "fields"])
-                    line += len(some)
-
-    rows = materialize(files.mapInArrow(parse, "file string, line long, fields array<string>"), "csv-rows")
-    # a row a file
-    sizes = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
-    return rows.join(before, "file").select((F.col("before") + F.col("line")).alias("row_no"), "file", "line", "fields")
+def _apart(names: list[str], taken: set[str]) -> list[str]:
+    """Output names that differ also without regard to case: a clash gets ``_2``, ``_3``, ..."""
+    out = []
+    for name in names:
+        new, k = name, 1
+        while new.lower() in taken:
+            k += 1
+            new = f"{name}_{k}"
+        taken.add(new.lower())
+        out.append(new)
+    return out
 
 
 def read_records(spark: SparkSession, path: str, columns: tuple[str, ...] = ("url", "concept_and_mnemonic")
@@ -68,18 +47,25 @@ def read_records(spark: SparkSession, path: str, columns: tuple[str, ...] = ("ur
     """SRC-2: CSV with a header line in each file: ``row_no``, ``columns``, then
     every other column of any file.  Fields are found by the header of their own
     file, so column order may differ between files; a column that a file or a
-    short row lacks is null.  Fields beyond the header are dropped."""
+    short row lacks is null.  Fields beyond the header are dropped.
+
+    A name that a header has twice means its last field.  Names that clash with
+    ``row_no``, ``columns`` or each other (names of a table do not differ by case) get
+    ``_2``, ``_3``, ... in order of code points."""
     rows = read_csv_rows(spark, path)
     heads = materialize(rows.where("line = 0").select(F.col("file").alias("f"), F.col("fields").alias("head")), "csv-heads")
-    # the distinct header lines: a few
-    names = dict.fromkeys([*columns, *(c for r in heads.select("head").distinct().orderBy("head").collect() for c in r["head"])])
+    # the columns of the result, so the driver must know them
+    found = [r["c"] for r in heads.select(F.explode("head").alias("c")).distinct().orderBy("c").limit(MOST_COLUMNS + 1).collect()]
+    if len(found) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} different column names")
+    names = list(dict.fromkeys([*columns, *found]))
     j = rows.where("line > 0").join(heads, F.col("file") == F.col("f"))
 
     def field(name: str) -> Column:
-        return F.get("fields", F.array_position("head", F.lit(name)).cast("int") - 1)
+        from_end = F.array_position(F.reverse("head"), F.lit(name))
+        return F.when(from_end > 0, F.get("fields", (F.size("head") - from_end).cast("int")))
 
-    present = [F.when(F.array_contains("head", F.lit(c)), field(c)).alias(c) for c in names]
-    return j.select("row_no", *present)
+    return j.select("row_no", *[field(c).alias(out) for c, out in zip(names, _apart(names, {"row_no"}))])
 
 
 def read_records_positional(spark: SparkSession, path: str) -> DataFrame:

@@ -99,6 +99,42 @@ def test_records_are_read_by_header_name(spark):
         ("short", None, None), ("long", "c", "m"), ("u1", 'x "q"\r\ny', None), ("u2", "", None), ("only", None, None)]
 
 
+def test_headers_that_clash_or_repeat(spark):
+    path = _csv_files({"a.csv": "URL,url,row_no,x,x\n1,2,3,4,5\n", "b.csv": "concept_and_mnemonic,Url\nc,u\n"})
+    r = readers.read_records(spark, path)
+    assert r.columns == ["row_no", "url", "concept_and_mnemonic", "URL_2", "Url_3", "row_no_2", "x"]
+    assert sorted((tuple(x)[1:] for x in r.collect()), key=str) == [("2", None, "1", None, "3", "5"), (None, "c", None, "u", None, None)]
+
+
+def test_rows_equal_the_standard_parser_over_any_splits(spark):
+    import csv
+    import io
+    import random
+
+    rng = random.Random(3)
+    pieces = ["a", "b c", ",", ",", '"', '""', "\n", "\r\n", '"x\ny"', '"p""q"', "é", "\n\n", '"\n', ' "']
+    texts = {f"{i:02}.csv": "".join(rng.choice(pieces) for _ in range(rng.randint(0, 60))) for i in range(40)}
+    texts["long.csv"] = "".join(f'{i},"line {i}\n{"more " * (i % 7)}""q"""\r\n' for i in range(300))
+    path = _csv_files(texts)
+    # a carriage return that no line feed follows is text here, the end of a line there
+    want = {name: [r for r in csv.reader(io.StringIO(t, newline="")) if r] for name, t in sorted(texts.items())}
+    for size in ("64", "1024", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            rows = readers.read_csv_rows(spark, path).orderBy("row_no").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        got = {name: [] for name in want}
+        for r in rows:
+            assert r.line == len(got[r.file.rsplit("/", 1)[1]])
+            got[r.file.rsplit("/", 1)[1]].append(r.fields)
+        assert [r.row_no for r in rows] == list(range(len(rows)))
+        for name in want:
+            assert got[name] == want[name], (size, name, texts[name])
+
+
 def test_positional_rows_keep_every_field(spark):
     path = _csv_files({"a.csv": "a,,c\n" + ",".join(map(str, range(11))) + '\n""\nx\n"a\nb",c\n'})
     r = readers.read_records_positional(spark, path).orderBy("row_no").collect()
