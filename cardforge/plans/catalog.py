@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 from cardforge.functions.fences import strip_fence
 from cardforge.functions.text import decode_entities
 from cardforge.functions.urls import resolve_url, subject_of
-from cardforge.operators import crawl, dom, extraction, items, questions, subjects, tokens
+from cardforge.operators import crawl, dom, extraction, items, numbering, questions, subjects, tokens
 from cardforge.plans import fixtures as fx
 from cardforge.plans import lessons
 from cardforge.session import apply_conf, checkpoint_dir, materialize
 from cardforge.sinks import documents, files, published
-from cardforge.sources import readers
-from cardforge.streaming import stateful, streams
+from cardforge.sources import readers, snapshot
+from cardforge.streaming import stateful, streams, totals
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -324,6 +324,19 @@ def q_flat_document(spark, d):
     return documents.read_document(spark, path).select("ordinal", F.get_json_object("json", "$.term").alias("term"))
 
 
+@query("numbered_batches", """
+WITH n AS (SELECT l_orderkey AS row_no, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT row_no, CAST(1 + sum(n) OVER (ORDER BY row_no % 2, row_no) - n AS BIGINT) AS first, n FROM n""")
+def q_numbered_batches(spark, d):
+    """NUM-1 over runs: the lines of even orders get numbers first; the second batch has
+    all orders, of which the even ones keep theirs; then it is replayed."""
+    path = scratch(spark, "ledger")
+    sizes = fx.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("row_no")).agg(F.count(F.lit(1)).alias("n"))
+    numbering.number_batch(sizes.where("row_no % 2 = 0"), path, "even")
+    numbering.number_batch(sizes, path, "all")
+    return numbering.number_batch(sizes, path, "all")
+
+
 # ================================================================ page structure (DOM-1..9, URL-1)
 
 _TOKEN_SQL = r"""'</?[a-zA-Z](?:[^>"'']|"[^"]*"|''[^'']*'')*>|[^<]+|<'"""
@@ -869,6 +882,18 @@ def q_read_pages(spark, d):
     return pages.select("page_id", "url", F.length("html").alias("n_chars"))
 
 
+@query("read_urls", """
+SELECT page_id, url, CAST(length(html) AS INTEGER) AS n_chars FROM pages
+WHERE url IN (SELECT url FROM pages WHERE page_id % 3 = 0)""")
+def q_read_urls(spark, d):
+    """SRC-1 by URL: a third of the pages from a snapshot clustered by URL hash (as many wanted URLs are missing)."""
+    pages, path = fx.table(spark, d, "pages"), scratch(spark, "snapshot")
+    snapshot.write_snapshot(pages, path)
+    wanted = pages.where("page_id % 3 = 0").select("url")
+    found = snapshot.read_urls(spark, path, wanted.union(wanted.select(F.concat("url", F.lit("?missing=1")))))
+    return found.select("page_id", "url", F.length("html").alias("n_chars"))
+
+
 def _records_csv(spark, d) -> str:
     """Two inputs of different column order and one of them with a third column."""
     path = scratch(spark, "records-csv")
@@ -1164,6 +1189,23 @@ def q_stream_subject_counts(spark, d):
 
 # ================================================================ end to end (E1..E3)
 
+@query("stream_totals", """
+SELECT coalesce(nullif(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/*([^/?#;]*)', 1), ''), 'unknown') AS subject,
+       count(*) AS n_items FROM pages GROUP BY 1""")
+def q_stream_totals(spark, d):
+    """STR-3 with totals that merge on read: six micro-batches over two runs, folded
+    into a base between them, the last batch of the first run delivered again."""
+    pages, path = fx.table(spark, d, "pages").select("page_id", "url"), scratch(spark, "totals")
+    src, ckpt, keys = scratch(spark, "totals-src"), scratch(spark, "totals-ckpt"), {"subject": subject_of("url")}
+    for part in (0, 1):
+        pages.where(F.col("page_id") % 2 == part).repartition(3, "page_id").write.mode("append").parquet(src)
+        totals.stream_totals(streams.page_stream(spark, src, 1), keys, path, ckpt).awaitTermination()
+        if part == 0:
+            last = totals.compact(spark, path)
+            totals.write_partial(pages.where("page_id % 2 = 0"), keys, path, last)
+    return totals.read_totals(spark, path)
+
+
 @query("rule_scrape", f"""
 WITH {LESSONS_SQL}
 SELECT page_id AS seed_id, CAST(0 AS BIGINT) AS depth, word, definition, mnemonics, images FROM lessons""")

@@ -29,7 +29,7 @@ BROADCAST_ENTRIES = 100_000
 ENTRY = "run string, subject string"
 
 
-def _names(spark: SparkSession, pattern: str) -> list[str]:
+def path_names(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a pattern, by Hadoop's file system."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
@@ -38,7 +38,7 @@ def _names(spark: SparkSession, pattern: str) -> list[str]:
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Published versions, oldest first."""
-    marks = _names(spark, f"{path.rstrip('/')}/manifest/v=*/_SUCCESS")
+    marks = path_names(spark, f"{path.rstrip('/')}/manifest/v=*/_SUCCESS")
     return sorted(int(re.search(r"/v=(\d+)/_SUCCESS$", m).group(1)) for m in marks)
 
 
@@ -52,7 +52,8 @@ def manifest(spark: SparkSession, path: str, version: int | None = None) -> Data
 
 def _is_done(spark: SparkSession, path: str, run: str) -> bool:
     """Whether the run was published, now live or not."""
-    return any(not manifest(spark, path, v).where(F.col("run") == run).isEmpty() for v in reversed(versions(spark, path)))
+    known = [f"{path.rstrip('/')}/manifest/v={v}" for v in versions(spark, path)]
+    return bool(known) and not spark.read.schema(ENTRY).parquet(*known).where(F.col("run") == run).isEmpty()
 
 
 def _folder(path: str, run: str) -> str:
@@ -118,7 +119,7 @@ def write_subjects_run(items: DataFrame, path: str, run: str) -> bool:
 
 def _subjects_of(spark: SparkSession, path: str, run: str) -> DataFrame:
     """``(run, subject)`` of a staged run (its folder names decide, no row is read)."""
-    marks = _names(spark, f"{_folder(path, run)}/subject=*")
+    marks = path_names(spark, f"{_folder(path, run)}/subject=*")
     if not marks:
         return spark.createDataFrame([], ENTRY)
     found = spark.read.parquet(_folder(path, run)).select(F.col("subject").cast("string").alias("subject")).distinct()
@@ -131,7 +132,7 @@ def read_published(spark: SparkSession, path: str, version: int | None = None) -
     try:
         # names of runs, and of their folders that hold files: as many as the reader lists anyway
         runs = [r["run"] for r in live.select("run").distinct().collect()]
-        folders = [_folder(path, r) for r in runs if _names(spark, f"{_folder(path, r)}/*.parquet") or _names(spark, f"{_folder(path, r)}/subject=*")]
+        folders = [_folder(path, r) for r in runs if path_names(spark, f"{_folder(path, r)}/*.parquet") or path_names(spark, f"{_folder(path, r)}/subject=*")]
         if not folders:
             return None
         rows = spark.read.option("basePath", f"{path.rstrip('/')}/data").option("mergeSchema", True).parquet(*folders)
@@ -153,4 +154,4 @@ def expired_runs(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     kept = set()
     for v in versions(spark, path)[-keep:]:
         kept |= {r["run"] for r in manifest(spark, path, v).select("run").distinct().collect()}
-    return sorted(f for f in _names(spark, f"{path.rstrip('/')}/data/run=*") if f.rsplit("run=", 1)[1] not in kept)
+    return sorted(f for f in path_names(spark, f"{path.rstrip('/')}/data/run=*") if f.rsplit("run=", 1)[1] not in kept)
