@@ -26,47 +26,73 @@ from pyspark.sql import functions as F
 from cardforge.llm.common import chunks, text_batches
 from cardforge.llm.pretokenize import boundaries
 
-#: slices, and their ids, that a worker keeps before its cache starts anew
+#: slices of one generation of a worker's cache (it keeps two), and their ids
 CACHE_SLICES = 300_000
 CACHE_IDS = 4_000_000
 #: text that is cut and encoded at a time
 CHUNK_BYTES = 2 << 20
 
 
+class _Generation:
+    """Ids of some distinct slices, flat, and where those of each begin and end."""
+
+    def __init__(self) -> None:
+        self.index: dict[bytes, int] = {}
+        self.ids, self.ends, self.used = np.empty(1 << 16, dtype=np.int32), np.zeros(1 << 14, dtype=np.int64), 0
+
+    def places(self, keys: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.index.get, keys, repeat(-1)), dtype=np.int64, count=len(keys))
+
+    def add(self, keys: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        n, used = len(self.index), self.used + len(ids)
+        if used > len(self.ids):
+            self.ids = np.concatenate([self.ids[:self.used], np.empty(2 * used, dtype=np.int32)])
+        if n + len(keys) + 1 > len(self.ends):
+            self.ends = np.concatenate([self.ends[:n + 1], np.empty(2 * (n + len(keys)), dtype=np.int64)])
+        self.ids[self.used:used] = ids
+        self.ends[n + 1:n + 1 + len(keys)] = self.used + np.cumsum(lengths)
+        self.used = used
+        self.index.update(zip(keys, range(n, n + len(keys))))
+        return np.arange(n, n + len(keys))
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some slices, flat, and how many each has."""
+        lengths = self.ends[at + 1] - self.ends[at]
+        ends = np.cumsum(lengths)
+        return self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.ends[at] - (ends - lengths), lengths)], lengths
+
+
 class SliceCache:
     """Ids of distinct slices.  ``encode`` maps a list of slices to their ids,
-    flat, and the number of ids of each."""
+    flat, and the number of ids of each.
+
+    There are two generations.  When the young one is full it becomes the old one;
+    a slice that is used again moves from the old one to the young one, so that
+    frequent slices stay and those seen once go."""
 
     def __init__(self, encode, most: int | None = None):
         self.encode, self.most = encode, most
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.ids, self.ends, self.used = np.empty(1 << 16, dtype=np.int32), np.zeros(1 << 14, dtype=np.int64), 0
+        self.young, self.old = _Generation(), _Generation()
 
     def lookup(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Where each slice's ids begin, how many they are, and the ids."""
         keys = pieces.to_pylist()
-        at = np.fromiter(map(self.index.get, keys, repeat(-1)), dtype=np.int64, count=len(keys))
+        at = self.young.places(keys)
         missing = np.flatnonzero(at < 0)
+        if len(missing) and (len(self.young.index) + len(missing) > (self.most or CACHE_SLICES) or self.young.used > CACHE_IDS):
+            self.young, self.old = _Generation(), self.young
+            missing = np.arange(len(keys))
         if len(missing):
-            if len(self.index) + len(missing) > (self.most or CACHE_SLICES) or self.used > CACHE_IDS:
-                self.clear()
-                missing = np.arange(len(keys))
-            new = [keys[i] for i in missing]
-            ids, lengths = self.encode(new)
-            n, used = len(self.index), self.used + len(ids)
-            if used > len(self.ids):
-                self.ids = np.concatenate([self.ids[:self.used], np.empty(2 * used, dtype=np.int32)])
-            if n + len(new) + 1 > len(self.ends):
-                self.ends = np.concatenate([self.ends[:n + 1], np.empty(2 * (n + len(new)), dtype=np.int64)])
-            self.ids[self.used:used] = ids
-            self.ends[n + 1:n + 1 + len(new)] = self.used + np.cumsum(lengths)
-            self.used = used
-            self.index.update(zip(new, range(n, n + len(new))))
-            at[missing] = np.arange(n, n + len(new))
-        return self.ends[at], self.ends[at + 1] - self.ends[at], self.ids
+            wanted = [keys[i] for i in missing] if len(missing) < len(keys) else keys
+            before = self.old.places(wanted)
+            known, new = np.flatnonzero(before >= 0), np.flatnonzero(before < 0)
+            if len(known):
+                at[missing[known]] = self.young.add([wanted[i] for i in known], *self.old.take(before[known]))
+            if len(new):
+                fresh = [wanted[i] for i in new] if len(known) else wanted
+                at[missing[new]] = self.young.add(fresh, *self.encode(fresh))
+        ends = self.young.ends
+        return ends[at], ends[at + 1] - ends[at], self.young.ids
 
 
 class Vocabulary:

@@ -24,6 +24,7 @@ import functools
 import json
 import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ FILE_OPTIONS = {
 #: text that is encoded at a time, and slices that a worker keeps: more of both than
 #: for an encoder of our own, as the library's calls cost more
 CHUNK_BYTES = 8 << 20
-CACHE_SLICES = 600_000
+CACHE_SLICES = 300_000
 #: up to so many files their offsets are broadcast, beyond that joined by a shuffle
 BROADCAST_FILES = 100_000
 
@@ -61,13 +62,16 @@ def library(tokenizer_path: str):
     return Tokenizer.from_file(tokenizer_path)
 
 
+def _spec(tokenizer_path: str) -> dict:
+    with open(tokenizer_path, encoding="utf-8") as file:
+        return json.load(file)
+
+
 @functools.lru_cache(maxsize=2)
 def added_tokens(tokenizer_path: str) -> tuple[str, dict[str, int], bool]:
     """A pattern of the added tokens (longest first, '' for none), their ids, and
     whether texts can be cut at them as they stand."""
-    with open(tokenizer_path, encoding="utf-8") as file:
-        spec = json.load(file)
-    tokens = [t for t in spec.get("added_tokens") or [] if t["content"]]
+    tokens = [t for t in _spec(tokenizer_path).get("added_tokens") or [] if t["content"]]
     plain = not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in tokens)
     names = sorted((t["content"] for t in tokens), key=len, reverse=True)
     return "|".join(map(re.escape, names)), {t["content"]: t["id"] for t in tokens}, plain
@@ -99,14 +103,27 @@ def encode_texts(texts: pa.Array, tokenizer_path: str) -> tuple[np.ndarray, np.n
     return ids, (bounds + np.concatenate(([0], np.cumsum(sizes))))[[0, *last]]
 
 
+def byte_letters() -> str:
+    """The letters that stand for the 256 bytes in a byte-level vocabulary: printable
+    bytes for themselves, the others in order for those from U+0100 (a fixed rule)."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in printable]
+    return "".join(chr(b) if b in printable else chr(256 + hidden.index(b)) for b in range(256))
+
+
 @functools.lru_cache(maxsize=2)
 def slice_cache(tokenizer_path: str) -> SliceCache:
-    """Ids of pre-token slices by the tokenizers library."""
-    tokenizer = library(tokenizer_path)
+    """Ids of pre-token slices by the library's model."""
+    spec, tokenizer = _spec(tokenizer_path), library(tokenizer_path)
+    cutter = spec.get("pre_tokenizer") or {}
+    if spec.get("normalizer") or cutter.get("type") != "ByteLevel" or cutter.get("add_prefix_space") or not cutter.get("use_regex", True):
+        raise ValueError("a byte-level tokenizer without normalizer and added spaces")
+    model, letters = tokenizer.model, byte_letters()
 
     def encode(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        done = tokenizer.encode([str(p, "utf-8") for p in pieces], is_pretokenized=True, add_special_tokens=False)
-        return np.array(done.ids, dtype=np.int32), np.bincount(done.word_ids, minlength=len(pieces))
+        found = [[t.id for t in model.tokenize(str(p, "latin-1").translate(letters))] for p in pieces]
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum())), lengths
 
     return SliceCache(encode, CACHE_SLICES)
 
