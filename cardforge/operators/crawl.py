@@ -95,7 +95,11 @@ def follow_chain(links: DataFrame, seeds: DataFrame) -> DataFrame:
     below 2^k joined to level k give those up to 2^(k+1), so an output row is
     joined about twice, whatever its depth, and gets its URL at the end.
     """
-    nodes, edges, jumps = _graph(links)
+    return expand_walks(*_graph(links), seeds)
+
+
+def expand_walks(nodes: DataFrame, edges: DataFrame, jumps: JumpTables, seeds: DataFrame) -> DataFrame:
+    """The rows of :func:`follow_chain` from jump tables."""
     cyc = jumps.cycles()
     # steps each distinct seed page takes before its walk ends or is on a cycle
     pages = seeds.select("url").distinct().join(nodes, "url").join(cyc, "u", "left").select("url", "u", "lam")

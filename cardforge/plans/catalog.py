@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cardforge.functions.fences import strip_fence
 from cardforge.functions.text import decode_entities
 from cardforge.functions.urls import resolve_url, subject_of
-from cardforge.operators import crawl, dom, extraction, items, numbering, questions, subjects, tokens
+from cardforge.operators import crawl, dom, extraction, items, maintained, numbering, questions, subjects, tokens
 from cardforge.plans import fixtures as fx
 from cardforge.plans import lessons
 from cardforge.session import apply_conf, checkpoint_dir, materialize
@@ -684,6 +684,21 @@ def q_crawl_all_repeats(spark, d):
                                 F.max("depth").alias("last_depth"))
 
 
+@query("maintained_walks", f"""
+WITH {fx.CHAIN_SQL}
+SELECT url, count(*) AS visits, min(depth) AS first_depth, max(depth) AS last_depth FROM cvisit GROUP BY url""")
+def q_maintained_walks(spark, d):
+    """TRV-1 from kept jump tables: built without every 997th page and with wrong links of
+    others, which a second version adds and mends."""
+    links = materialize(_chain_links(spark, d), "links")
+    late = F.pmod(F.xxhash64("url"), F.lit(997))
+    tables = maintained.WalkTables(spark, scratch(spark, "walk-tables"))
+    tables.update(links.where(late > 0).select("url", F.when(late == 1, F.lit("https://shop.example.net/gone")).otherwise(F.col("next_url")).alias("next_url")))
+    tables.update(links.where(late <= 1))
+    w = tables.walks(_seeds(spark, d))
+    return w.groupBy("url").agg(F.count(F.lit(1)).alias("visits"), F.min("depth").alias("first_depth"), F.max("depth").alias("last_depth"))
+
+
 @query("crawl_all", f"""
 WITH {fx.CHAIN_SQL},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seed_id, depth) AS rn FROM cvisit)
