@@ -10,10 +10,17 @@ between paragraphs stays, a long notice in a side column goes.
 Blocks that are never text (scripts, styles, head, controls, comments of markup)
 are not read at all.  A form speaks against its blocks the more, the less of the
 page's text it holds, as some pages are one form; an article or main inside it
-is not of the form.  Math is inline text.  References are decoded, white space inside a block is one
-space, blocks are joined by two line feeds.
-
-Pages are independent: one pass, no shuffle.  Memory is that of a page.
+is not of the form.  So does an element with a telling name (class or id): its
+weight falls to nothing as it comes to hold all of the page's prose, is shared by
+the other words of the name ("related-work" says half of what "related" does), and
+takes back what an enclosing article says only if the name has one meaning
+("advert", "comments"; not "discussion").  Math is inline text, and so is a button amid the words of a
+paragraph.  References are decoded, white space inside a block is one space,
+blocks are joined by two line feeds.
+
+Pages are independent: one pass, no shuffle.  Time and memory are in proportion to
+the page, however broken it is (``operators.tokens``; open elements are found by
+name, not by walking).
 
 Defined results: a null or empty page gives the empty text, as does one without
 content blocks; broken markup is read as far as it goes; repeated rows are read
@@ -23,14 +30,15 @@ each; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections import Counter, deque
-from html.parser import HTMLParser
+from collections import Counter, defaultdict, deque
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardforge.llm.common import text_batches
+from cardforge.operators.tokens import END, START, read_attributes, read_tokens
 
 #: elements that start and end a block (fixed values)
 BLOCK_TAGS = set("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure
@@ -51,6 +59,8 @@ CLOSED_BY = {
     "th": {"td", "th", "tr", "tbody", "tfoot"},
     "option": {"option", "optgroup"},
 }
+#: tag -> the elements that its start closes
+CLOSES = {tag: [name for name, closers in CLOSED_BY.items() if tag in closers] for tag in set().union(*CLOSED_BY.values())}
 #: an open paragraph or item is not looked for beyond these
 SCOPES = set("article aside body blockquote div dl footer form header main nav ol section table td th ul".split())
 #: weights of the classifier: evidence for content (positive) or boilerplate, in units of cost (fixed values)
@@ -59,17 +69,27 @@ IN_TAG = {"article": 3.0, "main": 2.5, "nav": -8.0, "footer": -8.0, "aside": -8.
 IN_ROLE = {"main": 2.5, "article": 3.0, "navigation": -8.0, "banner": -8.0, "contentinfo": -8.0, "complementary": -8.0,
            "search": -8.0, "dialog": -8.0, "alert": -8.0, "alertdialog": -8.0, "menu": -8.0, "menubar": -8.0, "form": -8.0}
 NAMED_CONTENT = set("article articlebody body content entry main maincontent post story text".split())
-NAMED_BOILERPLATE = set("""ad adblock adbox adcontainer ads adslot adunit adv advert advertisement advertising adverts adwrapper alert
-alerts banner bottombar branding breadcrumb breadcrumbs byline colophon comment commenters commentlist
-comments consent cookie cookies copyright discussion disqus feedback flash foot footer form gdpr head header
-legal login masthead menu metadata modal nav navbar navi navigation newsletter notice notices overlay pager
-pagination paywall popup privacy promo promoted promotion rail related replies reply respond responses share
-sharing side sidebar sidebars sidecol sidenav signup skip social sponsor sponsored subscribe subscription tags
-teaser toast toc toolbar topbar tracking warning widget widgets""".split())
+#: names of one meaning, and names that also stand for parts of a text
+NAMED_BOILERPLATE = set("""ad adblock adbox adcontainer ads adslot adunit adv advert advertisement advertising adverts adwrapper
+banner bottombar branding breadcrumb breadcrumbs byline colophon comment commenters commentlist
+comments consent cookie cookies copyright disqus footer gdpr masthead menu modal nav navbar newsletter overlay pager
+pagination paywall popup promo promoted replies sidebar sidebars sidecol sidenav signup skip sponsor sponsored subscribe
+teaser toast toc toolbar topbar widget widgets""".split())
+NAMED_PERHAPS = set("""alert alerts discussion feedback flash foot form guestbook head header legal login metadata navi navigation
+notice notices privacy promotion rail ratings related reply respond responses reviews share sharing side social
+subscription tags thread threads tracking warning""".split())
+#: words that add nothing to a name
+NEUTRAL = set("""area block bottom box bar col column component desktop global group holder item items latest left list main mobile
+module new page panel primary reader readers region right secondary section site top user users visitor visitors""".split())
+#: evidence of a telling name
+IN_NAMED = -7.0
 OWN_HEAD = {"head", "header"}
 #: what follows these in a name is said to be there or not, somewhere inside
 WITHOUT = {"has", "no", "with", "without"}
 LAYOUT = {"container", "grid", "has", "inner", "layout", "no", "outer", "row", "with", "without", "wrap", "wrapper"}
+#: a button amid the words of one of these is part of them, and then has a name of its own
+TEXT_BUTTON = "button of a text"
+TEXT_TAGS = set("p li dd dt td blockquote figcaption h1 h2 h3 h4 h5 h6".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: against the blocks of a form that holds next to nothing of the page's text
 IN_FORM = -12.0
@@ -91,21 +111,22 @@ def words_of_name(name: str) -> set[str]:
 
 
 class Block:
-    __slots__ = ("text", "links", "tag", "parent", "evidence", "in_article", "form")
+    __slots__ = ("text", "links", "tag", "parent", "evidence", "form")
 
-    def __init__(self, text, links, tag, parent, evidence, in_article, form):
-        self.text, self.links, self.tag, self.parent = text, links, tag, parent
-        self.evidence, self.in_article, self.form = evidence, in_article, form
+    def __init__(self, text, links, tag, parent, evidence, form):
+        self.text, self.links, self.tag, self.parent, self.evidence, self.form = text, links, tag, parent, evidence, form
 
 
-class BlockReader(HTMLParser):
+class BlockReader:
     """Blocks of a page, with what their open elements say about them."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, float, bool, int]] = []  # tag, number, evidence, within an article, form's number
-        self.block_at: list[int] = []  # where in it the block elements are
-        self.count: Counter[str] = Counter()  # open elements of each tag
+        # tag, number, evidence, within an article, form's number, first block and weight of a telling name
+        self.open: list[tuple[str, int, float, bool, int, int, float]] = []
+        self.at: dict[str, list[int]] = defaultdict(list)  # where in it each tag is
+        self.block_at: list[int] = []  # where the block elements are
+        self.scope_at: list[int] = []  # where the scopes are
+        self.named: list[tuple[int, int, float]] = []  # blocks [first, last) of an element with a telling name, its weight
         self.number = 0
         self.skipping = 0
         self.in_link = 0
@@ -113,40 +134,65 @@ class BlockReader(HTMLParser):
         self.links = 0
         self.blocks: list[Block] = []
 
+    def read(self, html: str) -> list[Block]:
+        page, texts = read_tokens(html), 0
+        for k in range(len(page)):
+            if page.kind[k] == START:
+                raw = page.raw(k)
+                self.start(page.name[k], dict(read_attributes(raw)) if "=" in raw or " " in raw else {}, page.end_pos[k] == k)
+            elif page.kind[k] == END:
+                self.end(page.name[k])
+            else:
+                self.text(page.texts[texts])
+                texts += 1
+        self.flush()
+        self.close_at(0)
+        return self.blocks
+
     def flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.pieces)).strip()
         if text:
             own = self.open[self.block_at[-1]] if self.block_at else ("", 0, 0.0, False, 0)
             parent = self.open[self.block_at[-2]][1] if len(self.block_at) > 1 else 0
             last = self.open[-1] if self.open else own
-            self.blocks.append(Block(text, self.links, own[0], parent, last[2], last[3], last[4]))
+            self.blocks.append(Block(text, self.links, own[0], parent, last[2], last[4]))
         self.pieces, self.links = [], 0
 
-    def handle_starttag(self, tag, attrs):
+    def start(self, tag: str, attrs: dict, closed: bool) -> None:
         if tag in BLOCK_TAGS:
             self.flush()
         elif tag == "br":
             self.pieces.append(" ")
-        self.close_implied(tag)
+        # the nearest element that this tag closes, within the nearest scope
+        near = max((self.at[name][-1] for name in CLOSES.get(tag, ()) if self.at[name]), default=-1)
+        if near >= 0 and near >= (self.scope_at[-1] if self.scope_at else -1):
+            self.close_at(near)
         if tag in VOID_TAGS:
             return
-        evidence, article, form = self.open[-1][2:] if self.open else (0.0, False, 0)
-        own = self.evidence_of(tag, dict(attrs), article)
-        # an advert in an article is an advert: what speaks against a part outweighs what speaks for the whole
-        evidence = min(evidence, 0.0) + own if own < 0 else evidence + own
+        evidence, article, form = self.open[-1][2:5] if self.open else (0.0, False, 0)
+        own = self.evidence_of(tag, attrs, article)
+        # what speaks against a part outweighs what speaks for the whole
+        evidence, before = (min(evidence, 0.0) + own if own < 0 else evidence + own), evidence
+        weight = self.weight_of_name(tag, attrs, article, before)
         self.number += 1
+        place = len(self.open)
         if tag in BLOCK_TAGS:
-            self.block_at.append(len(self.open))
-        self.count[tag] += 1
+            self.block_at.append(place)
+        if tag in SCOPES:
+            self.scope_at.append(place)
         form = self.number if tag == "form" else 0 if tag in ("article", "main") else form
-        self.open.append((tag, self.number, evidence, article or tag in ("article", "main"), form))
-        self.skipping += tag in SKIPPED_TAGS
+        name = TEXT_BUTTON if tag == "button" and self.amid_words(form) else tag
+        self.at[name].append(place)
+        self.open.append((name, self.number, evidence, article or tag in ("article", "main"), form, len(self.blocks) if weight else -1, weight))
+        self.skipping += name in SKIPPED_TAGS
         self.in_link += tag == "a"
+        if closed and tag not in BLOCK_TAGS:
+            self.close_at(place)
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID_TAGS and tag not in BLOCK_TAGS and self.open and self.open[-1][0] == tag:
-            self.close_at(len(self.open) - 1)
+    def amid_words(self, form: int) -> bool:
+        """Whether a paragraph outside forms has words already."""
+        own = self.open[self.block_at[-1]][0] if self.block_at else ""
+        return own in TEXT_TAGS and not form and not self.skipping and any(not p.isspace() for p in self.pieces)
 
     @staticmethod
     def evidence_of(tag: str, attrs: dict, in_article: bool) -> float:
@@ -158,47 +204,59 @@ class BlockReader(HTMLParser):
         if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style") or "", re.I):
             own -= 8.0
         if tag in BLOCK_TAGS and tag not in ("html", "body"):
-            words = {w for v in (attrs.get("class"), attrs.get("id")) for name in (v or "").split() for w in words_of_name(name)}
-            # an article's own head belongs to it; a name of both kinds ("content-sidebar-wrap") says nothing
-            bad, good = words & NAMED_BOILERPLATE - (OWN_HEAD if in_article else set()), words & NAMED_CONTENT
-            if bad and not (good and len(words & LAYOUT)):
-                own -= 7.0
-            elif good and not bad:
+            words = BlockReader.words(attrs)
+            if words & NAMED_CONTENT and not words & (NAMED_BOILERPLATE | NAMED_PERHAPS):
                 own += 2.0
         return own
 
-    def close_implied(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            name = self.open[i][0]
-            if tag in CLOSED_BY.get(name, ()):
-                self.close_at(i)
-                return
-            if name in SCOPES:
-                return
+    @staticmethod
+    def words(attrs: dict) -> set[str]:
+        return {w for v in (attrs.get("class"), attrs.get("id")) for name in (v or "").split() for w in words_of_name(name)}
+
+    @staticmethod
+    def weight_of_name(tag: str, attrs: dict, in_article: bool, evidence: float) -> float:
+        """What an element's name says against it (0: nothing)."""
+        if tag not in BLOCK_TAGS or tag in ("html", "body"):
+            return 0.0
+        words = BlockReader.words(attrs)
+        # an article's own head belongs to it; a name of both kinds ("content-sidebar-wrap") says nothing
+        bad = words & (NAMED_BOILERPLATE | NAMED_PERHAPS) - (OWN_HEAD if in_article else set())
+        if not bad or (words & NAMED_CONTENT and words & LAYOUT):
+            return 0.0
+        other = {w for w in words - bad - NAMED_CONTENT - LAYOUT - NEUTRAL if not w.isdigit()}
+        # parts of compound words ("comment-list" and "commentlist") do not count twice
+        other = {w for w in other if not any(w != b and (w in b or b in w) for b in bad)}
+        share = len(bad) / (len(bad) + len(other))
+        if bad & NAMED_BOILERPLATE:
+            return IN_NAMED * max(share, 0.7) - max(evidence, 0.0)
+        return IN_NAMED * share * (0.4 if in_article and tag == "section" else 1.0)
 
     def close_at(self, i: int) -> None:
         while self.block_at and self.block_at[-1] >= i:
             self.block_at.pop()
-        for name, *_ in self.open[i:]:
-            self.count[name] -= 1
+        while self.scope_at and self.scope_at[-1] >= i:
+            self.scope_at.pop()
+        for name, _, _, _, _, first, weight in self.open[i:]:
+            self.at[name].pop()
             self.skipping -= name in SKIPPED_TAGS
             self.in_link -= name == "a"
+            if weight:
+                self.named.append((first, len(self.blocks), weight))
         del self.open[i:]
 
-    def handle_endtag(self, tag):
+    def end(self, tag: str) -> None:
         if tag in BLOCK_TAGS:
             self.flush()
-        if not self.count[tag]:
+        if tag == "button" and (self.at[TEXT_BUTTON] or [-1])[-1] > (self.at[tag] or [-1])[-1]:
+            tag = TEXT_BUTTON
+        if not self.at[tag]:
             return
-        for i in range(len(self.open) - 1, -1, -1):
-            name = self.open[i][0]
-            if name == tag:
-                self.close_at(i)
-                return
-            if name in SCOPES and tag not in SCOPES:
-                return  # an inline end tag does not leave its container
-
-    def handle_data(self, data):
+        i = self.at[tag][-1]
+        # an inline end tag does not leave its container
+        if tag in SCOPES or i > (self.scope_at[-1] if self.scope_at else -1):
+            self.close_at(i)
+
+    def text(self, data: str) -> None:
         if not self.skipping:
             self.pieces.append(data)
             if self.in_link:
@@ -207,17 +265,25 @@ class BlockReader(HTMLParser):
 
 def blocks_of(html: str) -> list[Block]:
     reader = BlockReader()
-    reader.feed(html)
-    reader.close()
-    reader.flush()
+    blocks = reader.read(html)
     sizes: Counter[int] = Counter()  # characters of each form; 0: of none
-    for b in reader.blocks:
+    for b in blocks:
         sizes[b.form] += len(b.text)
     total = sizes.total()
-    for b in reader.blocks:
+    for b in blocks:
         if b.form:
             b.evidence += IN_FORM * (1 - sizes[b.form] / total) ** 2
-    return reader.blocks
+    # words that are not of links, up to each block; changes of the evidence at the ends of named elements
+    prose = [0, *accumulate(max(len(b.text.split()) - b.links, 0) for b in blocks)]
+    change = [0.0] * (len(blocks) + 1)
+    for first, last, weight in reader.named:
+        share = (prose[last] - prose[first]) / max(prose[-1], 1)
+        weight *= min(1.0, 2 * (1 - share))
+        change[first] += weight
+        change[last] -= weight
+    for b, named in zip(blocks, accumulate(change)):
+        b.evidence += named
+    return blocks
 
 
 def content_cost(block: Block) -> float:

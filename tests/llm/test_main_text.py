@@ -87,3 +87,46 @@ def test_page_in_a_form():
 def test_math_is_inline_text():
     page = f"<article><p>{LONG} So <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation encoding='t'>x=1</annotation></math> holds.</p></article>"
     assert mt.main_text(page) == f"{LONG} So x=1 holds."
+
+
+OTHER = "Another paragraph of the text that goes on for quite a while with words, so that it is long enough to be read by people."
+
+
+def test_a_section_is_not_lost_by_one_word_of_its_name():
+    for part in (f'<section id="discussion"><h2>Discussion</h2><p>{OTHER}</p></section>',
+                 f'<section class="related-work"><h2>Discussion</h2><p>{OTHER}</p></section>',
+                 f'<div class="social-media-strategy"><h2>Discussion</h2><p>{OTHER}</p></div>'):
+        page = f"<body><nav>Home</nav><article><h1>The title</h1><p>{LONG}</p>{part}<p>{LONG}</p></article><footer>x</footer>"
+        assert mt.main_text(page) == "\n\n".join(["The title", LONG, "Discussion", OTHER, LONG]), part
+    page = f'<main><h1>The title</h1><p>{LONG}</p><div class="privacy-policy"><p>{OTHER}</p></div></main>'
+    assert mt.main_text(page) == "\n\n".join(["The title", LONG, OTHER])
+    page = f'<nav>Home</nav><div class="lesson-navigation-systems"><p>{LONG}</p><p>{OTHER}</p><p>{LONG}</p></div><footer>x</footer>'
+    assert mt.main_text(page) == "\n\n".join([LONG, OTHER, LONG])
+    page = f'<nav>Home</nav><div class="comments-wrapper"><article><h1>The title</h1><p>{LONG}</p><p>{OTHER}</p></article></div>'
+    assert mt.main_text(page) == "\n\n".join(["The title", LONG, OTHER])
+
+
+def test_reader_comments_and_adverts_go():
+    for part in ('<div class="thread">%s</div>', '<div id="user-reviews">%s</div>', '<section class="comments">%s</section>',
+                 '<div class="post-comments"><ol class="comment-list"><li>%s</ol></div>', '<div id="visitor-comments">%s</div>',
+                 '<div class="related">%s</div>', '<div class="cookie-notice">%s</div>'):
+        said = "<p>I think that this text is very good, thanks a lot for it all.</p>"
+        page = f"<main><h1>The title</h1><p>{LONG}</p><p>{OTHER}</p><p>{LONG}</p>{part % said}</main>"
+        assert mt.main_text(page) == "\n\n".join(["The title", LONG, OTHER, LONG]), part
+    for part in ('<div class="ad">%s</div>', '<section id="comments">%s</section>', '<div class="newsletter-signup">%s</div>'):
+        page = f"<article><h1>The title</h1><p>{LONG}</p>{part % '<p>Buy our great product now for little money!</p>'}<p>{LONG}</p></article>"
+        assert mt.main_text(page) == "\n\n".join(["The title", LONG, LONG]), part
+
+
+def test_a_button_amid_words():
+    page = f"<article><p>{LONG} Press <button>Start</button> now.</p><p><button>Share</button></p><button>Print</button><form><p>Or <button>Send</button></form></article>"
+    assert mt.main_text(page) == f"{LONG} Press Start now."
+
+
+def test_broken_pages_cost_as_much_as_their_length():
+    import time
+
+    for unit in ("<a ", "<!--", '<a "', "<b>word ", "<p>word ", "<div class=ad>word ", "<td>x", "</b><i>x", "<button>x"):
+        begin = time.process_time()
+        mt.blocks_of(unit * (400_000 // len(unit)))
+        assert time.process_time() - begin < 8, unit
