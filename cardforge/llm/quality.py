@@ -1,41 +1,49 @@
 """Quality rules by robust multivariate outliers (operator 4), native.
 
 Every whole text gives counts (``text_counts``) and from them a vector of
-transformed statistics.  Per language and source, a regularised minimum
-covariance determinant estimate is fitted: a start from medians and median
-absolute deviations, then concentration steps that refit mean and covariance
-on the nearer half of the documents (``(n + P + 1) / 2``) until the estimate
-settles, so that just under half of a source may be junk.  Scales, mean and
-covariance are then taken again from all documents within the ``INSIDE``
-quantile of that estimate.  A document is rejected when its squared Mahalanobis
-distance passes a chi-square quantile.
+transformed statistics.  Per language and source, per language and over all, a
+regularised minimum covariance determinant estimate is fitted: a start from
+medians and median absolute deviations, then concentration steps that refit mean
+and covariance on the nearer half of the documents (``(n + P + 1) / 2``) until no
+estimate changes any more, so that just under half of a source may be junk.  Mean and
+covariance are then taken again from all documents within the ``INSIDE`` quantile.
+
+A group's estimate is shrunk towards its language's, and that towards the whole's:
+its weight is ``n / (n + PRIOR)`` for the ``n`` documents inside beyond ``2 P`` (of fewer,
+an estimate cannot resist any junk), so it grows smoothly with the group.  A document is rejected when its
+squared Mahalanobis distance passes a chi-square quantile.
 
 Everything is DataFrame expressions and aggregates.  Quantiles come from exact
-counts of narrow bins, so they merge in any order; an estimate is one row a
-group.  Groups of fewer than ``MIN_GROUP`` documents share one estimate a
-language, and languages with fewer share one; if that is smaller still, only
-the base rules apply.
+counts of narrow bins, so they merge in any order; an estimate is one row of arrays
+a group, and a concentration step is one pass over narrow rows and one write, with a
+plan whose size does not depend on the step.
 
 Defined results: a null text counts as empty (no words: base rule fails); null
 lang or source is a group of its own; repeated rows are rated alike; columns
-of the input never clash, as all results sit in one struct; an empty table
-gives an empty result.
+of the input never clash, as all results sit in one struct; a few documents lie
+about as far from their own mean as they can and are kept (as if by the base rules
+alone); an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from cardforge.functions._col import let
 from cardforge.llm.common import materialize, packed
 
-MIN_GROUP = 200
+#: documents of its own at which a group's estimate counts as much as its language's
+PRIOR = 50
 #: concentration steps end when no centre or factor changes by more than SETTLED (bins are 2% wide)
 SETTLED = 0.01
-MOST_STEPS = 40
+#: estimates (some 600 bytes each) that are broadcast; more are joined by a shuffle
+BROADCAST_POOLS = 20_000
+#: after so many steps the estimates are taken as they are, with a warning
+MOST_STEPS = 60
 #: share of normal documents that the reweighted estimate is taken from
 INSIDE = 0.975
 RIDGE = 0.25
@@ -132,172 +140,266 @@ def _bin_quantile(rows: DataFrame, by: list[str], bin_col: str, share: float, na
             .where(F.col("c") >= share * F.col("t")).groupBy(*by).agg(F.min(bin_col).alias(name)))
 
 
-def _medians(rows: DataFrame, values: list[Column], name: str) -> DataFrame:
-    """A row a group with the median of each statistic (to 0.005)."""
-    long = rows.select("pool", F.posexplode(F.array(*[F.floor(v * 200) for v in values])).alias("dim", "bin"))
-    q = _bin_quantile(long, ["pool", "dim"], "bin", 0.5, "q")
-    return q.groupBy("pool").agg(*[F.max(F.when(F.col("dim") == j, (F.col("q") + 0.5) / 200)).alias(f"{name}{j}")
-                                   for j in range(P)])
+#: the lower triangle of a matrix, row by row
+PAIRS = [(j, k) for j in range(P) for k in range(j + 1)]
+STEP = 200  # bins a unit, for medians
+ALL = "a"
+
+
+def pooled(rows: DataFrame) -> DataFrame:
+    """``(pool, x)``: each row that passes the base rules in its group, its language and the whole."""
+    language = F.concat(F.lit("l"), F.coalesce(F.concat(F.lit("="), "lang"), F.lit("-")))
+    pools = F.array(F.concat(F.lit("g"), "key"), language, F.lit(ALL))
+    return rows.where(~F.col("failed")).select(F.explode(pools).alias("pool"), "x")
+
+
+def _frame(used: DataFrame) -> DataFrame:
+    """``(pool, mu, s)``: medians and scales (median absolute deviations, at least the
+    least scales) of each pool, both from one count of narrow bins."""
+    bins = F.transform("x", lambda v, i: F.struct(i.alias("dim"), F.floor(v * STEP).alias("bin")))
+    hist = materialize(used.select("pool", F.explode(bins).alias("b")).select("pool", "b.*")
+                       .groupBy("pool", "dim", "bin").agg(F.count(F.lit(1)).alias("n")), "quality")
+
+    def median(h: DataFrame, bin_col: str, name: str) -> DataFrame:
+        w = Window.partitionBy("pool", "dim")
+        upto = F.sum("n").over(w.orderBy(bin_col).rowsBetween(Window.unboundedPreceding, 0))
+        return (h.select("pool", "dim", bin_col, upto.alias("c"), F.sum("n").over(w).alias("t"))
+                .where(F.col("c") >= 0.5 * F.col("t")).groupBy("pool", "dim").agg(F.min(bin_col).alias(name)))
 
+    centre = median(hist, "bin", "m")
+    spread = median(hist.join(centre, ["pool", "dim"]).withColumn("off", F.abs(F.col("bin") - F.col("m"))), "off", "a")
 
-def _pools(rows: DataFrame, min_group: int) -> DataFrame:
-    """``key -> pool`` (null: too few documents even when pooled)."""
-    n = rows.groupBy("key", "lang").agg(F.sum(F.when(~F.col("failed"), 1).otherwise(0)).alias("n"))
-    n = n.withColumn("p1", F.when(F.col("n") >= min_group, F.concat(F.lit("g"), "key"))
-                     .otherwise(F.concat(F.lit("l"), F.coalesce("lang", F.lit("\x00")))))
-    s1 = n.groupBy("p1").agg(F.sum("n").alias("n1"))
-    s1 = s1.withColumn("pool", F.when(F.col("n1") >= min_group, F.col("p1")).otherwise(F.lit("rest")))
-    s2 = s1.groupBy("pool").agg(F.sum("n1").alias("n2"))
-    return (n.join(s1, "p1").join(s2, "pool")
-            .select("key", F.when(F.col("n2") >= min_group, F.col("pool")).alias("pool")))
+    def listed(value: Column) -> Column:
+        return F.transform(F.sort_array(F.collect_list(F.struct("dim", value.alias("v")))), lambda e: e["v"])
 
+    floors = F.get(F.lit(list(STATISTICS.values())), F.col("dim"))
+    scale = F.greatest(1.4826 * (F.col("a") + 0.5) / STEP, floors)
+    return centre.join(spread, ["pool", "dim"]).groupBy("pool").agg(listed((F.col("m") + 0.5) / STEP).alias("mu"), listed(scale).alias("s"))
 
-def _z(j: int) -> Column:
-    return (F.col(f"x{j}") - F.col(f"m{j}")) / F.col(f"s{j}")
 
+def _offsets(x: Column, mu: Column, s: Column) -> list[Column]:
+    return [(F.get(x, j) - F.get(mu, j)) / F.get(s, j) for j in range(P)]
 
-def _distance() -> Column:
-    """Squared Mahalanobis distance from the columns of an estimate."""
-    v = [_z(j) - F.col(f"c{j}") for j in range(P)]
+
+def _squared(z: list[Column], w: Column) -> Column:
+    """The squared length of ``w z`` (``w``: rows of a lower triangular matrix)."""
     total = F.lit(0.0)
     for j in range(P):
         part = F.lit(0.0)
         for k in range(j + 1):
-            part = part + F.col(f"w{j}_{k}") * v[k]
+            part = part + F.get(F.get(w, j), k) * z[k]
         total = total + part * part
     return total
 
 
+class _Columns:
+    """The larger expressions of a fit, built once for all its steps."""
+
+    def __init__(self, few: bool) -> None:
+        self.few = few
+        self.offsets = {f"z{j}": c for j, c in enumerate(_offsets(F.col("x"), F.col("mu"), F.col("s")))}
+        z = [F.col(f"z{j}") for j in range(P)]
+        self.distance = _squared(z, F.col("w"))
+        products = [z[j] * z[k] for j, k in PAIRS]
+        self.sums = [F.sum(c).alias(name) for c, name in zip([*z, *products], SUMS)]
+        self.averages = _packed([F.avg(c) for c in [*z, *products]])
+        part = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("half") - F.col("before")) / F.col("n")))
+        self.nearer = [part.alias("part"), *[F.col(c) for c in SUMS]]
+        self.moments = _packed([F.sum(F.col("part") * F.col(c)) / F.max("half") for c in SUMS])
+        self.factor = whitening(covariance(F.col("c"), F.col("e")))
+        turned = F.transform(_numbers(range(P)), lambda j: F.abs(F.get(F.get("w", j), j) / F.get(F.get("new", j), j) - 1))
+        self.change = F.greatest(F.array_max(F.transform("c", lambda v: F.abs(v))), F.array_max(turned))
+        self.moved = F.zip_with("mu", F.zip_with("c", "s", lambda c, s: c * s), lambda m, d: m + d).alias("mu")
+
+    def hint(self, estimates: DataFrame) -> DataFrame:
+        """Marks a table of a row a pool for a broadcast, if there are few of them."""
+        return F.broadcast(estimates) if self.few else estimates
+
+    def with_distance(self, rows: DataFrame) -> DataFrame:
+        """Adds offsets ``z0..`` and the squared distance ``d2`` from ``x`` and an estimate's columns."""
+        return rows.withColumns(self.offsets).withColumn("d2", self.distance)
+
+
 def _log_bin(d: Column) -> Column:
     return F.floor(F.log(d + 1e-9) * 50)
 
 
-def _whitening(t: DataFrame) -> DataFrame:
-    """Adds ``w{j}_{k}``: the inverse Cholesky factor of the regularised
-    covariance given by the moments ``c{j}`` and ``e{j}_{k}``."""
-    for j in range(P):
-        for k in range(j + 1):
-            cov = (F.col(f"e{j}_{k}") - F.col(f"c{j}") * F.col(f"c{k}")) * (1 - RIDGE) + (RIDGE if j == k else 0.0)
-            for i in range(k):
-                cov = cov - F.col(f"l{j}_{i}") * F.col(f"l{k}_{i}")
-            value = F.sqrt(F.greatest(cov, F.lit(RIDGE / 10))) if j == k else cov / F.col(f"l{k}_{k}")
-            t = t.withColumn(f"l{j}_{k}", value)
-    for k in range(P):
-        for j in range(k, P):
-            if j == k:
-                value = 1 / F.col(f"l{j}_{j}")
-            else:
-                value = F.lit(0.0)
-                for i in range(k, j):
-                    value = value - F.col(f"l{j}_{i}") * F.col(f"w{i}_{k}")
-                value = value / F.col(f"l{j}_{j}")
-            t = t.withColumn(f"w{j}_{k}", value)
-    return t
+def _of_bin(b: Column) -> Column:
+    return F.exp((b + 0.5) / 50)
 
 
-def _frame(used: DataFrame) -> DataFrame:
-    """A row a pool with medians and scales of its rows."""
-    med = materialize(_medians(used, [F.col(f"x{j}") for j in range(P)], "m"), "quality")
-    mad = _medians(used.join(med, "pool"), [F.abs(F.col(f"x{j}") - F.col(f"m{j}")) for j in range(P)], "a")
-    floors = list(STATISTICS.values())
-    return materialize(med.join(mad, "pool").select(
-        "pool", *[f"m{j}" for j in range(P)],
-        *[F.greatest(1.4826 * F.col(f"a{j}"), F.lit(floors[j])).alias(f"s{j}") for j in range(P)]), "quality")
-
-
-FRAME = ["pool", *[f"m{j}" for j in range(P)], *[f"s{j}" for j in range(P)]]
-CENTRE = [f"c{j}" for j in range(P)]
-FACTOR = [f"w{j}_{k}" for j in range(P) for k in range(j + 1)]
-PAIRS = [(j, k) for j in range(P) for k in range(j + 1)]
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, v: t + v)
+
+
+def _numbers(values) -> Column:
+    return F.lit([int(v) for v in values])
+
+
+def covariance(mean: Column, second: Column) -> Column:
+    """The packed covariance of a mean and packed second moments."""
+    j, k = _numbers(j for j, _ in PAIRS), _numbers(k for _, k in PAIRS)
+    return F.transform(second, lambda e, i: e - F.get(mean, F.get(j, i)) * F.get(mean, F.get(k, i)))
+
+
+def whitening(cov: Column) -> Column:
+    """Rows of the inverse Cholesky factor of a packed covariance, made regular by RIDGE."""
+    row, column = _numbers(j for j, _ in PAIRS), _numbers(k for _, k in PAIRS)
+
+    def begin(j):  # where row j begins in a packed triangle
+        return F.floor(j * (j + 1) / 2).cast("int")
+
+    def next_entry(done, i):
+        j, k = F.get(row, i), F.get(column, i)
+        rest = (F.get(cov, i) * (1 - RIDGE) + F.when(j == k, RIDGE).otherwise(0.0)
+                - _dot(F.slice(done, begin(j) + 1, k), F.slice(done, begin(k) + 1, k)))
+        value = F.when(j == k, F.sqrt(F.greatest(rest, F.lit(RIDGE / 10)))).otherwise(rest / F.get(done, begin(k) + k))
+        return F.concat(done, F.array(value))
 
+    def inverse(low):
+        def next_row(done, j):
+            def entry(k):
+                above = F.aggregate(F.zip_with(F.slice(low, begin(j) + 1, j), done, lambda a, r: a * F.get(r, k)), F.lit(0.0), lambda t, v: t + v)
+                return (F.when(j == k, 1.0).otherwise(0.0) - above) / F.get(low, begin(j) + j)
+            return F.concat(done, F.array(F.transform(_numbers(range(P)), entry)))
+        return F.aggregate(_numbers(range(P)), F.array().cast("array<array<double>>"), next_row)
 
-def _estimate(frame: DataFrame, moments: DataFrame) -> DataFrame:
-    t = _whitening(materialize(frame.select(*FRAME).join(moments, "pool"), "quality"))
-    return materialize(t.select(*FRAME, *CENTRE, *FACTOR), "quality")
-
-
-def _nearer_half(used: DataFrame, est: DataFrame) -> DataFrame:
-    """Moments of the ``(n + P + 1) / 2`` rows of each pool nearest to its
-    estimate.  Sums are kept a bin of distance; the last bin counts by the part
-    of it that is needed, so that a bin full of copies is not taken in whole."""
-    bins = (used.join(est, "pool").withColumn("bin", _log_bin(_distance())).groupBy("pool", "bin")
-            .agg(F.count(F.lit(1)).alias("n"), *[F.sum(_z(j)).alias(f"c{j}") for j in range(P)],
-                 *[F.sum(_z(j) * _z(k)).alias(f"e{j}_{k}") for j, k in PAIRS]))
-    w = Window.partitionBy("pool")
-    bins = (bins.withColumn("before", F.sum("n").over(w.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
-            .withColumn("half", F.least(F.sum("n").over(w), F.floor((F.sum("n").over(w) + P + 1) / 2)))
-            .where("before < half")
-            .withColumn("part", F.least(F.lit(1.0), (F.col("half") - F.col("before")) / F.col("n"))))
-    return bins.groupBy("pool").agg(*[(F.sum(F.col("part") * F.col(c)) / F.max("half")).alias(c)
-                                      for c in [*CENTRE, *[f"e{j}_{k}" for j, k in PAIRS]]])
-
-
-def _change(old: DataFrame, new: DataFrame) -> float:
-    """The largest change of a centre, or relative change of a diagonal factor."""
-    both = old.alias("a").join(new.alias("b"), "pool")
-    change = F.greatest(*[F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) for c in CENTRE],
-                        *[F.abs(F.col(f"a.w{j}_{j}") / F.col(f"b.w{j}_{j}") - 1) for j in range(P)])
-    return both.agg(F.max(change)).first()[0] or 0.0
-
-
-def _units(rows: DataFrame, est: DataFrame, share: float = 1.0) -> DataFrame:
-    """``pool -> unit``: the consistency factor of the squared distance, its
-    median over the chi-square median of the nearest ``share`` of normal rows."""
-    mid = _bin_quantile(rows.join(est, "pool").withColumn("bin", _log_bin(_distance())), ["pool"], "bin", 0.5, "mid")
-    # where the least scales hold, distances are small by construction: never inflate them
-    return mid.select("pool", F.greatest(F.exp((F.col("mid") + 0.5) / 50) / chi2_quantile(1 - share / 2), F.lit(1.0)).alias("unit"))
-
-
-def fit(rows: DataFrame, min_group: int = MIN_GROUP, most_steps: int = MOST_STEPS) -> DataFrame:
-    """Estimates from ``(key, lang, failed, x0..)``: a row a key with centre,
-    scales, whitening factors and ``unit`` (see ``_units``)."""
-    pools = materialize(_pools(rows, min_group), "quality")
-    used = rows.where(~F.col("failed")).join(pools.where(F.col("pool").isNotNull()), "key")
-    frame = _frame(used)
-    est = materialize(frame.select(*FRAME, *[F.lit(0.0).alias(c) for c in CENTRE],
-                                   *[F.lit(1.0 if j == k else 0.0).alias(f"w{j}_{k}") for j, k in PAIRS]), "quality")
+    return let(F.aggregate(_numbers(range(len(PAIRS))), F.array().cast("array<double>"), next_entry), inverse)
+
+
+SUMS = [*[f"c{j}" for j in range(P)], *[f"e{j}_{k}" for j, k in PAIRS]]
+
+
+def _packed(columns: list[Column]) -> list[Column]:
+    return [F.array(*columns[:P]).alias("c"), F.array(*columns[P:]).alias("e")]
+
+
+def _concentrate(used: DataFrame, est: DataFrame, watch: Observation, columns: _Columns) -> DataFrame:
+    """One step: ``(pool, mu, s, w, mid)`` from the ``(n + P + 1) / 2`` rows of each pool
+    nearest to its estimate; ``mid`` is the median bin of their distances from the old one.
+
+    Sums are kept a bin of distance; the last bin counts by the part of it that is
+    needed, so that a bin full of copies is not taken in whole."""
+    rows = columns.with_distance(used.join(columns.hint(est), "pool"))
+    bins = rows.groupBy("pool", _log_bin(F.col("d2")).alias("bin")).agg(F.count(F.lit(1)).alias("n"), *columns.sums)
+    whole = Window.partitionBy("pool")
+    upto = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    bins = bins.withColumns({"upto": F.sum("n").over(upto), "total": F.sum("n").over(whole)})
+    bins = bins.withColumns({"half": F.least(F.col("total"), F.floor((F.col("total") + P + 1) / 2)), "before": F.col("upto") - F.col("n")})
+    moments = bins.select("pool", "bin", "upto", "total", "half", *columns.nearer).groupBy("pool").agg(
+        F.min(F.when(F.col("upto") >= 0.5 * F.col("total"), F.col("bin"))).alias("mid"), *columns.moments)
+    new = est.drop("mid").join(columns.hint(moments), "pool").withColumn("new", columns.factor).withColumn("change", columns.change)
+    return (new.observe(watch, F.max("change").alias("change"), F.count_if(F.col("change") > SETTLED).alias("moving"))
+            .select("pool", columns.moved, "s", F.col("new").alias("w"), "mid"))
+
+
+def _weight() -> Column:
+    """Of a pool's own estimate, against its parent's."""
+    n = F.greatest(F.col("n") - 2 * P, F.lit(0))
+    return n / (n + PRIOR)
+
+
+def _shrunk(own: DataFrame, parent: DataFrame, key: str, columns: _Columns) -> DataFrame:
+    """``own(pool, n, mu, cov, unit, ...)`` with moments shrunk towards those of the pool named by ``key``."""
+    p = parent.select(F.col("pool").alias(key), F.struct("mu", "cov").alias("_p"))
+    share = _weight()
+
+    def mix(a: str) -> Column:
+        return F.zip_with(F.col(a), F.col(f"_p.{a}"), lambda x, y: share * x + (1 - share) * y)
+
+    return own.join(columns.hint(p), key).withColumns({"mu": mix("mu"), "cov": mix("cov")}).drop("_p")
+
+
+def _finished(moments: DataFrame) -> DataFrame:
+    """Adds scales and whitening of the (shrunk) moments."""
+    floors, diagonal = F.lit(list(STATISTICS.values())), _numbers(i for i, (j, k) in enumerate(PAIRS) if j == k)
+    row, column = _numbers(j for j, _ in PAIRS), _numbers(k for _, k in PAIRS)
+    scale = F.transform(diagonal, lambda i, j: F.greatest(F.sqrt(F.greatest(F.get("cov", i), F.lit(0.0))), F.get(floors, j)))
+    d = moments.withColumn("s", scale)
+    scaled = F.transform("cov", lambda v, i: v / (F.get("s", F.get(row, i)) * F.get("s", F.get(column, i))))
+    return d.withColumn("w", whitening(scaled))
+
+
+def _unit(mid: Column, share: float = 1.0) -> Column:
+    """The consistency factor of the squared distance: its median over the chi-square
+    median of the nearest ``share`` of normal rows.  Where the least scales hold,
+    distances are small by construction: never inflate them."""
+    return F.greatest(_of_bin(mid) / chi2_quantile(1 - share / 2), F.lit(1.0))
+
+
+def fit(rows: DataFrame, most_steps: int = MOST_STEPS) -> DataFrame:
+    """Estimates from ``(key, lang, failed, x)``: ``(pool, mu, s, w, unit)``, one row a
+    group that has rows (``g`` and its key)."""
+    used = pooled(rows)
+    unit_rows = F.transform(_numbers(range(P)), lambda j: F.transform(_numbers(range(P)), lambda k: F.when(j == k, 1.0).otherwise(0.0)))
+    pools = Observation()
+    est = _frame(used).withColumns({"w": unit_rows, "mid": F.lit(0).cast("bigint")})
+    est = materialize(est.observe(pools, F.count(F.lit(1)).alias("n")), "quality")
+    columns = _Columns(pools.get["n"] <= BROADCAST_POOLS)
     for _ in range(most_steps):
-        last, est = est, _estimate(frame, _nearer_half(used, est))
-        if _change(last, est) <= SETTLED:
+        watch = Observation()
+        est = materialize(_concentrate(used, est, watch, columns), "quality")
+        if not watch.get["moving"]:
             break
-    half = materialize(est.join(_units(used, est), "pool"), "quality")
-    inside = materialize(used.join(half, "pool").where(_distance() <= F.col("unit") * chi2_quantile(1 - INSIDE))
-                         .select("pool", *[f"x{j}" for j in range(P)]), "quality")
-    frame = _frame(inside)
-    moments = inside.join(frame, "pool").groupBy("pool").agg(*[F.avg(_z(j)).alias(f"c{j}") for j in range(P)],
-                                                             *[F.avg(_z(j) * _z(k)).alias(f"e{j}_{k}") for j, k in PAIRS])
-    est = _estimate(frame, moments)
-    out = pools.join(est.join(_units(inside, est, INSIDE), "pool"), "pool", "left").drop("pool")
-    return materialize(out, "quality")
+    else:
+        logging.getLogger(__name__).warning("%d estimates still move after %d steps (by up to %.3f)", watch.get["moving"], most_steps,
+                                            watch.get["change"])
+
+    # all rows near the estimate of their pool, and moments of these
+    known = est.withColumn("unit", _unit(F.col("mid")))
+    near = (columns.with_distance(used.join(columns.hint(known), "pool")).where(F.col("d2") <= F.col("unit") * chi2_quantile(1 - INSIDE))
+            .select("pool", "x", *[f"z{j}" for j in range(P)]))
+    near = materialize(near, "quality")
+    sums = near.groupBy("pool").agg(F.count(F.lit(1)).alias("n"), *columns.averages)
+    row, column = _numbers(j for j, _ in PAIRS), _numbers(k for _, k in PAIRS)
+    moments = est.join(columns.hint(sums), "pool").select(
+        "pool", "n", columns.moved,
+        F.transform(covariance(F.col("c"), F.col("e")), lambda v, i: v * F.get("s", F.get(row, i)) * F.get("s", F.get(column, i))).alias("cov"))
+    languages = rows.select(F.concat(F.lit("g"), "key").alias("pool"), F.concat(F.lit("l"), F.coalesce(F.concat(F.lit("="), "lang"), F.lit("-")))
+                            .alias("language")).distinct()
+    moments = materialize(moments.join(columns.hint(languages), "pool", "left"), "quality")
+
+    whole = moments.where(F.col("pool") == ALL)
+    by_language = _shrunk(moments.where("pool like 'l%'").withColumn("parent", F.lit(ALL)), whole, "parent", columns)
+    names = ["pool", "n", "language", "mu", "cov"]
+    by_group = _shrunk(moments.where("pool like 'g%'"), by_language, "language", columns)
+    est = materialize(_finished(whole.select(*names).union(by_language.select(*names)).union(by_group.select(*names))), "quality")
+
+    # consistency factors, shrunk in the same way
+    bins = columns.with_distance(near.select("pool", "x").join(columns.hint(est.select("pool", "mu", "s", "w")), "pool"))
+    mids = _bin_quantile(bins.select("pool", _log_bin(F.col("d2")).alias("bin")), ["pool"], "bin", 0.5, "mid")
+    units = materialize(est.join(columns.hint(mids), "pool").withColumn("log_unit", F.log(_unit(F.col("mid"), INSIDE))), "quality")
+    share = _weight()
+    top = units.where(F.col("pool") == ALL).select(F.col("log_unit").alias("_whole"))
+    middle = units.where("pool like 'l%'").join(F.broadcast(top)).select(  # one row
+        F.col("pool").alias("language"), (share * F.col("log_unit") + (1 - share) * F.col("_whole")).alias("_language"))
+    unit = F.exp(share * F.col("log_unit") + (1 - share) * F.col("_language")).alias("unit")
+    groups = units.where("pool like 'g%'").join(columns.hint(middle), "language").select("pool", "mu", "s", "w", unit)
+    # documents of one source may be a third of all: they meet few estimates by a broadcast
+    return columns.hint(materialize(groups, "quality"))
 
 
 def measured(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """``row`` (the columns of ``docs``) and struct ``_q``: counts, failed, key,
-    lang and statistics."""
+    lang and statistics ``x``."""
     lang, source = F.col(lang_col).cast("string"), F.col(source_col).cast("string")
     d = docs.select(packed(docs), text_counts(F.col(text_col)).alias("_c"), lang.alias("_lang"), source.alias("_source"))
     c = F.col("_c")
     return d.select("row", F.struct(c.alias("counts"), base_failed(c).alias("failed"),
                                     _key(F.col("_lang"), F.col("_source")).alias("key"), F.col("_lang").alias("lang"),
-                                    *[s.alias(f"x{j}") for j, s in enumerate(statistics(c))]).alias("_q"))
+                                    F.array(*statistics(c)).alias("x")).alias("_q"))
 
 
 def fit_rows(measured_docs: DataFrame) -> DataFrame:
-    return measured_docs.select("_q.key", "_q.lang", "_q.failed", *[f"_q.x{j}" for j in range(P)])
+    return measured_docs.select("_q.key", "_q.lang", "_q.failed", "_q.x")
 
 
 def rate(measured_docs: DataFrame, estimates: DataFrame, tail: float = TAIL) -> DataFrame:
     """Adds struct ``_v``: squared distance (null: no estimate) and ``kept``."""
-    e = estimates.select(F.col("key").alias("_key"), F.struct(*[c for c in estimates.columns if c != "key"]).alias("_e"))
-    d = measured_docs.join(e, F.col("_q.key") == F.col("_key"), "left").drop("_key")
-    v = [(F.col(f"_q.x{j}") - F.col(f"_e.m{j}")) / F.col(f"_e.s{j}") - F.col(f"_e.c{j}") for j in range(P)]
-    total = F.lit(0.0)
-    for j in range(P):
-        part = F.lit(0.0)
-        for k in range(j + 1):
-            part = part + F.col(f"_e.w{j}_{k}") * v[k]
-        total = total + part * part
-    d = d.withColumn("_d2", total / F.col("_e.unit"))
+    e = estimates.select(F.col("pool").alias("_pool"), F.struct(*[c for c in estimates.columns if c != "pool"]).alias("_e"))
+    d = measured_docs.join(e, F.concat(F.lit("g"), F.col("_q.key")) == F.col("_pool"), "left").drop("_pool")
+    z = _offsets(F.col("_q.x"), F.col("_e.mu"), F.col("_e.s"))
+    d = d.withColumn("_d2", _squared(z, F.col("_e.w")) / F.col("_e.unit"))
     # one expression over both sides of the join: a filter on it stays above, and texts are counted once
     keep = F.when(F.col("_q.failed"), F.lit(False)).otherwise(F.coalesce(F.col("_d2") <= chi2_quantile(tail), F.lit(True)))
     return d.withColumn("_v", F.struct(F.col("_d2").alias("distance2"), keep.alias("kept"))).drop("_e", "_d2")

@@ -56,12 +56,123 @@ def test_distance_is_mahalanobis(spark):
     a = rng.standard_normal((quality.P, quality.P))
     x = rng.standard_normal((500, quality.P)) @ a
     c, e = x.mean(axis=0), x.T @ x / len(x)
-    row = {**{f"c{j}": float(c[j]) for j in range(quality.P)},
-           **{f"e{j}_{k}": float(e[j, k]) for j in range(quality.P) for k in range(j + 1)}}
-    got = quality._whitening(spark.createDataFrame([row])).first()
-    w = np.array([[got[f"w{j}_{k}"] if k <= j else 0.0 for k in range(quality.P)] for j in range(quality.P)])
+    row = ([float(v) for v in c], [float(e[j, k]) for j, k in quality.PAIRS])
+    d = spark.createDataFrame([row], "c array<double>, e array<double>")
+    w = np.array(d.select(quality.whitening(quality.covariance(F.col("c"), F.col("e")))).first()[0])
     cov = (e - np.outer(c, c)) * (1 - quality.RIDGE) + quality.RIDGE * np.eye(quality.P)
-    assert np.allclose(w.T @ w, np.linalg.inv(cov))
+    assert np.allclose(np.triu(w, 1), 0) and np.allclose(w.T @ w, np.linalg.inv(cov))
+
+
+def plain_estimates(groups):
+    """The estimate of the module docstring, by numpy: ``{(lang, source): (mu, s, cov, unit)}``."""
+    import numpy as np
+
+    p, floors = quality.P, np.array(list(quality.STATISTICS.values()))
+
+    def lower_median(values):
+        v = np.sort(values, axis=0)
+        return v[int(np.ceil(0.5 * len(v))) - 1]
+
+    def regular(cov):
+        return cov * (1 - quality.RIDGE) + quality.RIDGE * np.eye(p)
+
+    def distances(z, cov):
+        return np.einsum("ij,jk,ik->i", z, np.linalg.inv(regular(cov)), z)
+
+    def log_bin(d):
+        return np.floor(np.log(d + 1e-9) * 50)
+
+    def unit(d, share=1.0):
+        return max(np.exp((lower_median(log_bin(d)) + 0.5) / 50) / quality.chi2_quantile(1 - share / 2), 1.0)
+
+    def robust(x):
+        bins = np.floor(x * quality.STEP)
+        m = lower_median(bins)
+        mu = (m + 0.5) / quality.STEP
+        s = np.maximum(1.4826 * (lower_median(np.abs(bins - m)) + 0.5) / quality.STEP, floors)
+        cov = np.eye(p)
+        white = np.linalg.inv(np.linalg.cholesky(np.eye(p)))
+        for _ in range(200):
+            z = (x - mu) / s
+            d = np.einsum("ij,ij->i", z @ white.T, z @ white.T)
+            b = log_bin(d)
+            half, weight, before = min(len(x), (len(x) + p + 1) // 2), np.zeros(len(x)), 0
+            for v in np.unique(b):
+                n = int((b == v).sum())
+                weight[b == v] = min(1.0, max(0.0, (half - before) / n))
+                before += n
+            c = weight @ z / half
+            cov = (z * weight[:, None]).T @ z / half - np.outer(c, c)
+            new = np.linalg.inv(np.linalg.cholesky(regular(cov)))
+            change = max(np.abs(c).max(), np.abs(np.diag(white) / np.diag(new) - 1).max())
+            last, mu, white = d, mu + c * s, new
+            if change <= quality.SETTLED:
+                break
+        z = (x - mu) / s
+        inside = distances(z, cov) <= unit(last) * quality.chi2_quantile(1 - quality.INSIDE)
+        z = z[inside]
+        return {"x": x[inside], "n": len(z), "mu": mu + s * z.mean(axis=0), "cov": np.cov(z.T, bias=True) * np.outer(s, s)}
+
+    def weight(e):
+        n = max(e["n"] - 2 * p, 0)
+        return n / (n + quality.PRIOR)
+
+    def finish(e, parent):
+        a = weight(e) if parent else 1.0
+        for name in ("mu", "cov"):
+            e[name] = a * e[name] + (1 - a) * parent[name] if parent else e[name]
+        e["s"] = np.maximum(np.sqrt(np.diag(e["cov"])), floors)
+        e["r"] = e["cov"] / np.outer(e["s"], e["s"])
+        own = np.log(unit(distances((e["x"] - e["mu"]) / e["s"], e["r"]), quality.INSIDE))
+        e["log_unit"] = a * own + (1 - a) * parent["log_unit"] if parent else own
+        return e
+
+    whole = finish(robust(np.concatenate(list(groups.values()))), None)
+    langs = {lang: finish(robust(np.concatenate([x for (g, _), x in groups.items() if g == lang])), whole)
+             for lang in {lang for lang, _ in groups}}
+    found = {key: finish(robust(x), langs[key[0]]) for key, x in groups.items()}
+    return lambda key, x: distances((x - found[key]["mu"]) / found[key]["s"], found[key]["r"]) / np.exp(found[key]["log_unit"])
+
+
+def test_distances_against_plain_estimates(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    groups, rows = {}, []
+    for lang, source, n, junk in (("en", "a", 300, 40), ("en", "b", 60, 5), ("en", "c", 9, 1), ("de", "a", 150, 0), (None, None, 30, 12)):
+        x = rng.standard_normal((n, quality.P)) * [0.5, 0.1, 0.05, 0.02, 0.05, 0.03] + [5, 1.7, 0.1, 0.0, 0.2, 0.2]
+        x[:junk] += [0, 0, 1.5, 0, 0, 0]
+        groups[lang, source] = x
+        rows += [(f"{lang}/{source}", lang, False, [float(v) for v in r]) for r in x]
+    data = spark.createDataFrame(rows, "key string, lang string, failed boolean, x array<double>").repartition(5)
+    est = quality.fit(data)
+    counts = F.struct(F.lit(60).alias("n_words"))
+    measured = data.select(F.struct(F.lit(1).alias("one")).alias("row"), F.struct(counts.alias("counts"), "failed", "key", "lang", "x").alias("_q"))
+    got = {tuple(r.x): r.d for r in quality.rate(measured, est).select("_q.x", F.col("_v.distance2").alias("d")).collect()}
+    plain = plain_estimates(groups)
+    for key, x in groups.items():
+        for r, d in zip(x, plain(key, x)):
+            assert abs(got[tuple(float(v) for v in r)] / d - 1) < 0.02, key  # a distance on a bin's edge may fall on either side
+
+
+def test_junk_in_small_inputs(spark):
+    """No number of documents switches the verdict on or off."""
+    for n in (60, 120, 199, 220):
+        rng = random.Random(n)
+        rows = [(i, " ".join(words(rng, rng.randint(60, 300), "abcdefghijklmnop")), "en", "s0") for i in range(n)]
+        rows += [(n + i, " ".join(x + "%%%" for x in words(rng, 100, "abcdefghijklmnop")), "en", "s0") for i in range(n // 20)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        kept = {r["doc_id"] for r in quality.quality_rules(docs).where("kept").collect()}
+        assert kept == set(range(n)), n
+
+
+def test_many_pools_without_broadcasts(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, " ".join(words(rng, 80, "abcdefghijklmnop")) + (" %" * 60 if i % 40 == 0 else ""), f"l{i % 2}", f"s{i % 3}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    want = sorted((r.doc_id, r.kept, round(r.distance2, 6)) for r in quality.quality_rules(docs).collect())
+    monkeypatch.setattr(quality, "BROADCAST_POOLS", 0)
+    assert sorted((r.doc_id, r.kept, round(r.distance2, 6)) for r in quality.quality_rules(docs).collect()) == want
 
 
 def test_no_python_in_the_plan(edge_docs):
