@@ -41,5 +41,25 @@ def test_stages(spark, folder):
     assert sorted(map(tuple, corpus_pipeline.run(spark, path).collect())) == sorted(map(tuple, docs.collect()))
 
 
+def test_edge_rows_go_through_every_stage(spark, edge_docs, edge_rows, no_docs, tmp_path):
+    """Null ids, repeated rows, columns whose names clash with operators' own, an empty table."""
+    for name, rows in (("edge", edge_docs), ("none", no_docs)):
+        path = str(tmp_path / name)
+        rows.write.parquet(f"{path}/documents.parquet")
+        docs = spark.read.parquet(f"{path}/documents.parquet")
+        for stage, function in corpus_pipeline.STAGES[:-1]:
+            kept = function(spark, docs, path)
+            assert kept.columns == rows.columns, stage
+            before = {tuple(r) for r in docs.collect()}
+            assert {tuple(r) for r in kept.collect()} <= before, stage
+            docs = kept
+        out = corpus_pipeline.run(spark, path)
+        assert out.columns == ["doc_id", "n_tokens", "ids"]
+        if name == "none":
+            assert out.count() == 0
+        else:  # the long clean text stays whole, texts of too few words go
+            assert {r.doc_id for r in out.collect()} <= {r[0] for r in edge_rows}
+
+
 def test_registered():
-    assert sorted(q.split("_")[0] for q in queries.QUERIES) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(q.split("_")[0] for q in queries.QUERIES) == sorted(f"op{n}" for n in range(1, 14))
