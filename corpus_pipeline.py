@@ -3,8 +3,15 @@ mixing of sources, byte-level BPE.
 
 Each stage takes the documents that its predecessor kept, and is written as
 Parquet and read again before the next.  All but the last return the columns of
-``documents``; the last gives ``(doc_id, n_tokens, ids)`` for each document that
-the mix takes, as often as it takes it.
+``documents``, whatever their names; the last gives ``(doc_id, n_tokens, ids)`` for each
+document that the mix takes, as often as it takes it.
+
+Defined results: a null or empty text has no words and goes with the base rules; a
+null lang or source is a group of its own; rows that share an id count as one document,
+so one of them stays; rows with a null id are linked with nothing and stay; an empty
+table gives no rows.  Every stage writes a table under
+``spark.checkpoint.dir`` and leaves it there (about three times the documents in all): a
+lost executor costs the tasks that it had, a lost driver the stage.
 """
 
 from __future__ import annotations
