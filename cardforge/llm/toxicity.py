@@ -6,9 +6,12 @@ thresholds t_1 < t_2 < ... split the line of w.x into grades, P(grade >= k) =
 s(w.x - t_k) with the logistic s.  The result is the expected grade, the most
 probable grade and the chance of any.
 
-Labels say toxic or not.  Grades for fitting come from them: of the words that
-toxic documents prefer significantly, a toxic document with one occurrence has
-grade 1, with ``STEPS[0]`` or more grade 2, with ``STEPS[1]`` or more grade 3.
+Labels say toxic or not, so the grade of a toxic document is hidden.  It is found by
+expectation-maximisation in its classifying form: the present weights rank the toxic
+documents by their score, the ranking deals them grades 1 to 3 in the proportions
+``SHARES`` (the labels' likelihood alone leaves the upper thresholds open; equal scores
+get the lower grade), and weights and thresholds of all grades are fitted again, until
+the grades stay.  So severity is the weight of learned evidence, not a count of words.
 
 The fit uses at most ``SAMPLE`` labelled documents, chosen by a hash of the id;
 its vocabulary is the words that tell the labels apart significantly (a
@@ -39,7 +42,10 @@ FEATURES = 4096
 #: first letters of a word that are a feature beside the word
 START = 4
 GRADES = 4
-STEPS = (2, 4)
+#: proportions of the hidden grades among toxic documents
+SHARES = (1 / 2, 1 / 3, 1 / 6)
+#: rounds of expectation-maximisation, and the part of grades that may still change at its end
+MOST_ROUNDS, SETTLED = 8, 0.005
 LEAST_DOCS = 3
 #: of 100,000 words without a preference, less than one passes by chance
 LEAST_Z = 4.5
@@ -90,12 +96,14 @@ class Model:
         return above[:, :-1] - above[:, 1:]
 
 
-def fit_ordinal(row, col, value, width: int, grade: np.ndarray, rounds: int = ROUNDS, ridge: float = RIDGE):
+def fit_ordinal(row, col, value, width: int, grade: np.ndarray, rounds: int = ROUNDS, ridge: float = RIDGE, start=None):
     """Weights and thresholds of largest penalised likelihood, by accelerated
-    gradient steps.  Thresholds are a first one and positive gaps."""
+    gradient steps (from ``start``, if given).  Thresholds are a first one and positive gaps."""
     n, levels = len(grade), GRADES - 1
     times = np.full(n, 1 / n)
     w, first, gaps = np.zeros(width), 0.0, np.zeros(levels - 1)
+    if start is not None:
+        w, first, gaps = start[0].copy(), start[1][0], np.clip(np.log(np.maximum(np.diff(start[1]), 1e-9)), -6, 6)
     m, v = np.zeros(width + levels), np.zeros(width + levels)
     for step in range(1, rounds + 1):
         t = first + np.concatenate(([0.0], np.cumsum(np.exp(gaps))))
@@ -118,6 +126,27 @@ def fit_ordinal(row, col, value, width: int, grade: np.ndarray, rounds: int = RO
     return w, first + np.concatenate(([0.0], np.cumsum(np.exp(gaps))))
 
 
+def dealt_grades(score: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Grades of documents by the rank of their score among the toxic ones, 0 for clean ones."""
+    ranked = np.sort(score[toxic == 1])
+    cuts = ranked[np.maximum(np.ceil(np.cumsum(SHARES)[:-1] * len(ranked) - 1e-9).astype(int) - 1, 0)]
+    return np.where(toxic == 1, 1 + np.searchsorted(cuts, score, side="left"), 0)
+
+
+def fit_hidden(row, col, value, width: int, toxic: np.ndarray):
+    """Weights and thresholds from labels that only say toxic (1) or not (0)."""
+    n = len(toxic)
+    w, t = fit_ordinal(row, col, value, width, toxic)  # one grade above 0: its threshold alone is learned
+    grade = toxic
+    for _ in range(MOST_ROUNDS):
+        dealt = dealt_grades(np.bincount(row, weights=value * w[col], minlength=n), toxic)
+        if (dealt != grade).sum() <= SETTLED * n:
+            break
+        grade = dealt
+        w, t = fit_ordinal(row, col, value, width, grade, ROUNDS // 2, start=(w, np.minimum(t, t[0] + np.arange(GRADES - 1))))
+    return w, t
+
+
 def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", sample: int = SAMPLE) -> Model | None:
     spark = documents.sparkSession
@@ -173,29 +202,24 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     if not best.num_rows:
         return None
     vocabulary = best.column("word").combine_chunks().cast(pa.large_string())
-    starts = np.asarray(pc.ends_with(vocabulary, "*"))
-    markers = [(np.asarray(best.column("z")) > 0) & kind for kind in (starts, ~starts)]
 
     def featurize(batches):
         for batch in batches:
             for lo, hi in chunks(batch.column(0)):
                 doc, word = term_ids(batch.column(0).slice(lo, hi - lo), vocabulary)
-                # a word and its start may both be markers: one occurrence
-                hits = np.maximum(*(np.bincount(doc[m[word]], minlength=hi - lo) for m in markers))
                 r, c, x = _features(doc, word, len(vocabulary))
                 ends = np.searchsorted(r, np.arange(hi - lo + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(1).slice(lo, hi - lo), pa.array(hits), pa.ListArray.from_arrays(pa.array(ends), pa.array(c)),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(x))], ["toxic", "hits", "c", "x"])
+                    [batch.column(1).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(c)),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(x))], ["toxic", "c", "x"])
 
     # at most ``sample`` documents of at most FEATURES words
-    got = texts.select("text", "toxic").mapInArrow(featurize, "toxic int, hits long, c array<long>, x array<double>").toArrow()
-    toxic, hits = np.asarray(got.column("toxic")), np.asarray(got.column("hits"))
-    grade = np.where(toxic == 1, 1 + (hits >= STEPS[0]) + (hits >= STEPS[1]), 0)
+    got = texts.select("text", "toxic").mapInArrow(featurize, "toxic int, c array<long>, x array<double>").toArrow()
+    toxic = np.asarray(got.column("toxic"))
     lists = got.column("c").combine_chunks()
     row = np.repeat(np.arange(len(toxic)), np.diff(np.asarray(lists.offsets)))
-    w, t = fit_ordinal(row, np.asarray(lists.flatten()), np.asarray(got.column("x").combine_chunks().flatten()),
-                       len(vocabulary), grade)
+    w, t = fit_hidden(row, np.asarray(lists.flatten()), np.asarray(got.column("x").combine_chunks().flatten()),
+                      len(vocabulary), toxic.astype(np.int64))
     keep = np.abs(w) > 1e-3
     return Model([x for x, k in zip(vocabulary.to_pylist(), keep) if k], w[keep], t)
 

@@ -44,6 +44,49 @@ def test_gradient_reaches_the_maximum():
     assert np.allclose(chances.sum(axis=1), 1) and (chances.argmax(axis=1) == grade).mean() > 0.9
 
 
+def test_hidden_grades_are_found():
+    """Severity follows planted grades, of which the labels tell only whether they are 0."""
+    rng = np.random.default_rng(3)
+    n, width = 3000, 30
+    planted = rng.choice(4, size=n, p=[0.7, 0.15, 0.1, 0.05])
+    strength = rng.uniform(0.3, 1.5, size=10)  # features that toxic documents prefer, of different weight
+    x = rng.poisson(0.3, size=(n, width)).astype(float)
+    x[:, :10] = rng.poisson(planted[:, None] * strength[None, :] * 0.5)
+    row, col = np.nonzero(x)
+    w, t = tx.fit_hidden(row, col, np.log1p(x[row, col]), width, (planted > 0).astype(np.int64))
+    score = np.log1p(x) @ w
+    severity = tx.Model([], w, t).grade_chances(score) @ np.arange(4)
+    means = [severity[planted == g].mean() for g in range(4)]
+    assert means == sorted(means) and means[0] < 0.3 and means[3] > 2 and (np.diff(t) > 0).all()
+    # as a plain logistic regression would, the first threshold tells toxic from clean
+    assert ((score > t[0]) == (planted > 0)).mean() > 0.9
+    assert np.abs(w[10:]).max() < np.abs(w[:10]).min()
+
+
+def test_equal_scores_get_equal_grades():
+    toxic = np.array([0, 1, 1, 1, 1, 0, 1, 1])
+    assert tx.dealt_grades(np.zeros(8), toxic).tolist() == [0, 1, 1, 1, 1, 0, 1, 1]
+    assert tx.dealt_grades(np.array([9, 1, 2, 3, 4, 0, 5, 6.0]), toxic).tolist() == [0, 1, 1, 1, 2, 0, 2, 3]
+
+
+def test_scores_against_plain_python(spark):
+    """Severity of every document by the formulas, word by word."""
+    import math
+
+    rows = corpus(300, 9)
+    model = tx.Model(["scummy", "idiotic", "path*", "good"], np.array([2.0, 1.5, 1.0, -1.0]), np.array([0.5, 1.0, 2.0]))
+    docs = spark.createDataFrame([(i, t if i % 7 else t + " Good, good!") for i, t, _ in rows], "doc_id long, text string")
+    for r, d in zip(sorted(tx.score(docs, model).collect(), key=lambda r: r.doc_id), sorted(docs.collect())):
+        score = 0.0
+        bare = [w.lower().strip(tx.EDGES) for w in d.text.split()]
+        for word, weight in zip(model.words, model.weights):
+            n = sum(w[:tx.START] + "*" == word for w in bare) if word.endswith("*") else bare.count(word)
+            score += weight * math.log1p(n)
+        above = [1.0, *(1 / (1 + math.exp(t - score)) for t in model.thresholds), 0.0]
+        assert abs(r.severity - sum(k * (above[k] - above[k + 1]) for k in range(4))) < 1e-9
+        assert abs(r.toxic_probability - above[1]) < 1e-9
+
+
 def test_edges(edge_docs, edge_rows, no_docs, spark):
     labels = spark.createDataFrame([(1, 0), (1, 1), (2, None), (None, 1), (6, 1), (6, 1), (7, 0)], "doc_id long, toxic int")
     assert len(tx.rate(edge_docs, labels).collect()) == len(edge_rows)
