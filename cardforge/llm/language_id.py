@@ -73,7 +73,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tu
 
         for batch in batches:
             langs = batch.column(1).to_pylist()
-            for lo, hi in chunks(batch.column(0)):
+            for lo, hi in chunks(batch.column(0), 1 << 20):
                 doc, bucket = trigrams(batch.column(0).slice(lo, hi - lo))
                 for lang in set(langs[lo:hi]):
                     if lang not in totals:
