@@ -130,4 +130,5 @@ class WalkTables:
         jumps.levels = [materialize(self.level(k).where("j is not null"), "jump") for k in range(self.n_levels())]
         there = self._newest("links", "url", LINKS).select("url")
         nodes = materialize(self._newest("nodes", "url", NODES).join(there, "url", "left_semi"), "nodes")
+        jumps.nodes = nodes.select("u", F.lit(1).alias("n"))
         return expand_walks(nodes, jumps.levels[0].select("u", F.col("j").alias("v")), jumps, seeds)

@@ -74,3 +74,22 @@ def test_random_graphs(spark):
             first[u] = min(first.get(u, (sid, d)), (sid, d))
         got = {r.url: (r.seed_id, r.depth) for r in crawl_all(links, sd, dedup="global").collect()}
         assert got == first
+
+
+def test_pages_come_out_of_pieces_without_a_shuffle(spark, monkeypatch):
+    from cardforge.operators import crawl
+    edges = {**_links(), **{f"r{i}": f"r{(i + 1) % 90}" for i in range(90)}, "t1": "r7", "t2": "c100"}
+    links = spark.createDataFrame(list(edges.items()), "url string, next_url string")
+    seeds = list(enumerate([*edges, "c3", "zz"]))
+    sd = spark.createDataFrame(seeds, "seed_id int, url string")
+    exp = sorted((sid, d, u) for sid, s in seeds for d, u in enumerate(_walk(edges, s)))
+    for piece in (1, 8, 1 << 40):  # with the last, runs are cut where walks meet only, and rings have no start
+        monkeypatch.setattr(crawl, "PIECE", piece)
+        walks = follow_chain(links, sd)
+        assert sorted((r.seed_id, r.depth, r.url) for r in walks.collect()) == exp
+        first = {}
+        for sid, d, u in exp:
+            first[u] = min(first.get(u, (sid, d)), (sid, d))
+        assert {r.url: (r.seed_id, r.depth) for r in crawl_all(links, sd, dedup="global").collect()} == first
+        plan = walks._jdf.queryExecution().executedPlan().toString()
+        assert "Generate" in plan and "Exchange" not in plan[:plan.index("Generate")]
