@@ -20,13 +20,14 @@ nothing; what is open at the end ends with the page.
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +38,12 @@ from cardforge.operators.tokens import START, TEXT, PageTokens, read_attributes,
 
 #: tokens of several pages that leave a task together
 EMIT_TOKENS = 20_000
+#: pages that come to a task at once
+BATCH_PAGES = 1_500
+#: characters of html that a task reads into elements at once
+PORTION_CHARS = 1_000_000
+#: start tags whose attributes are kept while a portion is read, and their greatest length
+KNOWN_TAGS, SHORT_TAG = 2_000, 200
 
 PAIRS = T.ArrayType(T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.StringType())]))
 ELEMENT = T.StructType([T.StructField(n, t) for n, t in (
@@ -53,9 +60,15 @@ def _ints(column) -> np.ndarray:
 
 def _attributes(raws) -> pa.Array:
     """``array<struct<k, v>>`` of start tags (None: null)."""
-    keys, values, ends, null = [], [], [0], []
+    keys, values, ends, null, known = [], [], [0], [], {}
     for raw in raws:
-        found = read_attributes(raw) if raw is not None else ()
+        found = ()
+        if raw is not None:
+            found = known.get(raw)
+            if found is None:
+                found = read_attributes(raw)
+                if len(raw) <= SHORT_TAG and len(known) < KNOWN_TAGS:
+                    known[raw] = found
         for k, v in found:
             keys.append(k)
             values.append(v)
@@ -65,6 +78,29 @@ def _attributes(raws) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs, mask=pa.array(null, pa.bool_()) if null else None)
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of pages small (a session option, lowered only)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if now <= 0 or now > BATCH_PAGES:
+        spark.conf.set(key, str(BATCH_PAGES))
+
+
+def _portions(column: pa.Array):
+    """``(row, html)`` lists of a batch's pages, each up to PORTION_CHARS of html or one page: what
+    a task holds does not grow with the rows of a batch."""
+    held, size = [], 0
+    for row in range(len(column)):
+        html = column[row].as_py() or ""
+        if held and size + len(html) > PORTION_CHARS:
+            yield held
+            held, size = [], 0
+        held.append((row, html))
+        size += len(html)
+    if held:
+        yield held
+
+
 def dom_nodes(pages: DataFrame) -> DataFrame:
     """DOM-1: ``pages(page_id, url, html)`` -> one row a token: page_id, url, pos,
     kind ('start'|'end'|'text'), name, attrs (array<struct<k,v>>), text (decoded,
@@ -73,6 +109,7 @@ def dom_nodes(pages: DataFrame) -> DataFrame:
     other tokens), depth (number of open elements), parent_pos.
 
     One pass a page, no shuffle.  A null html has no tokens."""
+    _small_batches(pages.sparkSession)
     key = pages.schema["page_id"].dataType
     schema = T.StructType([T.StructField(n, t) for n, t in (
         ("page_id", key), ("url", T.StringType()), ("pos", T.IntegerType()), ("kind", T.StringType()), ("name", T.StringType()),
@@ -80,35 +117,51 @@ def dom_nodes(pages: DataFrame) -> DataFrame:
         ("depth", T.IntegerType()), ("parent_pos", T.IntegerType()))])
     kinds = pa.array(["start", "end", "text"])
 
-    def emit(batch, row: int, page: PageTokens, lo: int, hi: int, texts: int) -> pa.RecordBatch:
-        """Tokens ``[lo, hi)`` of a page, of which ``texts`` texts came before."""
-        kind = np.frombuffer(page.kind, dtype=np.uint8)[lo:hi]
-        text = kind == TEXT
-        which = np.where(text, texts + np.cumsum(text) - 1, -1).tolist()
-        cols = [*(batch.column(i).take(pa.array(np.full(hi - lo, row))) for i in range(2)), pa.array(np.arange(lo, hi, dtype=np.int32)),
-                kinds.take(pa.array(kind)), pa.array(page.name[lo:hi], pa.string()),
-                _attributes([page.raw(k) if page.kind[k] == START else None for k in range(lo, hi)]),
-                pa.array([page.texts[i] if i >= 0 else None for i in which], pa.string()),
-                pa.array([page.raws[i] if i >= 0 else page.raw(k) for k, i in zip(range(lo, hi), which)], pa.string()),
-                pa.array(_ints(page.end_pos)[lo:hi]), pa.array(_ints(page.depth)[lo:hi]),
-                pa.array(_ints(page.parent)[lo:hi], mask=_ints(page.parent)[lo:hi] < 0)]
+    def emit(batch, parts: list[tuple[int, PageTokens, int, int, int]]) -> pa.RecordBatch:
+        """Tokens ``[lo, hi)`` of each page, of which ``texts`` texts came before."""
+        rows, pos, names, tags, texts, raws = [], [], [], [], [], []
+        kind, ints = bytearray(), {c: array("i") for c in ("end_pos", "depth", "parent")}
+        for row, page, lo, hi, text in parts:
+            rows += [row] * (hi - lo)
+            pos += range(lo, hi)
+            names += page.name[lo:hi]
+            kind += page.kind[lo:hi]
+            for c, column in ints.items():
+                column.extend(getattr(page, c)[lo:hi])
+            for k in range(lo, hi):
+                if page.kind[k] == TEXT:
+                    tags.append(None)
+                    texts.append(page.texts[text])
+                    raws.append(page.raws[text])
+                    text += 1
+                else:
+                    raw = page.raw(k)
+                    tags.append(raw if page.kind[k] == START else None)
+                    texts.append(None)
+                    raws.append(raw)
+        parent, row = _ints(ints["parent"]), pa.array(rows, pa.int32())
+        cols = [batch.column(0).take(row), batch.column(1).take(row), pa.array(pos, pa.int32()),
+                kinds.take(pa.array(np.frombuffer(kind, dtype=np.uint8))), pa.array(names, pa.string()),
+                _attributes(tags), pa.array(texts, pa.string()), pa.array(raws, pa.string()),
+                pa.array(_ints(ints["end_pos"])), pa.array(_ints(ints["depth"])), pa.array(parent, mask=parent < 0)]
         return pa.RecordBatch.from_arrays(cols, schema.names)
 
     def run(batches):
         for batch in batches:
             held, size = [], 0
-            for row, html in enumerate(batch.column(2).to_pylist()):
-                page, texts = read_tokens(html or ""), 0
-                for lo in range(0, len(page), EMIT_TOKENS):
-                    hi = min(lo + EMIT_TOKENS, len(page))
-                    held.append(emit(batch, row, page, lo, hi, texts))
-                    texts += page.kind[lo:hi].count(TEXT)
-                    size += hi - lo
-                    if size >= EMIT_TOKENS:
-                        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                        held, size = [], 0
+            for portion in _portions(batch.column(2)):
+                for row, html in portion:
+                    page, texts = read_tokens(html), 0
+                    for lo in range(0, len(page), EMIT_TOKENS):
+                        hi = min(lo + EMIT_TOKENS, len(page))
+                        held.append((row, page, lo, hi, texts))
+                        texts += page.kind[lo:hi].count(TEXT)
+                        size += hi - lo
+                        if size >= EMIT_TOKENS:
+                            yield emit(batch, held)
+                            held, size = [], 0
             if held:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                yield emit(batch, held)
 
     return pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")) \
         .mapInArrow(run, schema)
@@ -117,33 +170,36 @@ def dom_nodes(pages: DataFrame) -> DataFrame:
 def page_trees(pages: DataFrame) -> DataFrame:
     """``(page_id, url, html, text, els)``, one row a page: the whole text, and
     the elements in document order (see ``ELEMENT``).  A null html is ''."""
+    _small_batches(pages.sparkSession)
     key = pages.schema["page_id"].dataType
     schema = T.StructType([T.StructField("page_id", key), T.StructField("url", T.StringType()), T.StructField("html", T.StringType()),
                            T.StructField("text", T.StringType()), T.StructField("els", T.ArrayType(ELEMENT))])
+    own, of_token = ("pos", "t0", "t1", "m_end", "m1"), ("end_pos", "depth", "parent", "m0")
+
     def run(batches):
         for batch in batches:
-            texts, found = [], []
-            for html in batch.column(2).to_pylist():
-                page = read_tokens(html or "")
-                texts.append("".join(page.texts))
-                page.raws.clear()
-                page.texts.clear()
-                found.append(page)
-            ends = np.concatenate(([0], np.cumsum([len(page.pos) for page in found])))
-
-            def of_elements(column: str) -> pa.Array:  # columns of elements as they are, those of tokens by position
-                own = column in ("pos", "t0", "t1", "m_end", "m1")
-                return pa.array(np.concatenate([_ints(getattr(page, column)) if own else _ints(getattr(page, column))[_ints(page.pos)]
-                                                for page in found]))
-
-            parent = of_elements("parent")
-            fields = [of_elements("pos"), of_elements("end_pos"), pa.array([page.name[k] for page in found for k in page.pos], pa.string()),
-                      _attributes(page.tag(k) for page in found for k in range(len(page.pos))), of_elements("depth"),
-                      pa.array(parent.to_numpy(), mask=parent.to_numpy() < 0),
-                      *(of_elements(c) for c in ("t0", "t1", "m0", "m_end", "m1"))]
-            els = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ELEMENT.names))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(texts, pa.string()), els],
-                                             schema.names)
+            for portion in _portions(batch.column(2)):
+                texts, ends, names, tags = [], [0], [], []
+                ints = {c: array("i") for c in (*own, *of_token)}
+                for _, html in portion:
+                    page = read_tokens(html)
+                    texts.append("".join(page.texts))
+                    ends.append(ends[-1] + len(page.pos))
+                    names += [page.name[k] for k in page.pos]
+                    tags += [page.raw(k) for k in page.pos]
+                    for c in own:  # a value an element; the others: a value a token
+                        ints[c].extend(getattr(page, c))
+                    for c in of_token:
+                        column = getattr(page, c)
+                        ints[c].extend([column[k] for k in page.pos])
+                flat = {c: _ints(column) for c, column in ints.items()}
+                fields = [pa.array(flat["pos"]), pa.array(flat["end_pos"]), pa.array(names, pa.string()), _attributes(tags),
+                          pa.array(flat["depth"]), pa.array(flat["parent"], mask=flat["parent"] < 0),
+                          *(pa.array(flat[c]) for c in ("t0", "t1", "m0", "m_end", "m1"))]
+                els = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, ELEMENT.names))
+                part = batch.slice(portion[0][0], len(portion))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(texts, pa.string()), els],
+                                                 schema.names)
 
     return pages.select("page_id", F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).mapInArrow(run, schema)
@@ -380,6 +436,7 @@ def _colours(attrs: pa.Array) -> list[str]:
 
 def with_blocks(boxed: DataFrame) -> DataFrame:
     """Adds ``blocks`` and ``reds`` to the output of :func:`select_container`."""
+    _small_batches(boxed.sparkSession)
     schema = T.StructType([*boxed.schema.fields, T.StructField("blocks", T.ArrayType(_BLOCK)), T.StructField("reds", T.ArrayType(_RED))])
     block = pa.struct([("pos", pa.int32()), ("processed", pa.bool_()), ("mnemonic", pa.string()), ("lo", pa.int32()), ("hi", pa.int32())])
     red = pa.struct([("pos", pa.int32()), ("text", pa.string()), ("black", pa.bool_())])
@@ -405,14 +462,16 @@ def with_blocks(boxed: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             names = batch.schema.names
-            html, text, els, box = (batch.column(names.index(c)) for c in ("html", "text", "els", "box"))
-            ends = np.asarray(els.offsets) - els.offsets[0].as_py()
-            flat, boxes = els.flatten(), pc.struct_field(box, "pos").to_pylist()
-            box_ends = pc.struct_field(box, "end_pos").to_pylist()
-            done = [of_page(html[i].as_py(), text[i].as_py(), flat.slice(ends[i], ends[i + 1] - ends[i]),
-                            None if boxes[i] is None else {"pos": boxes[i], "end_pos": box_ends[i]}) for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists([b for b, _ in done], block), lists([r for _, r in done], red)],
-                                             [*names, "blocks", "reds"])
+            for portion in _portions(batch.column(names.index("html"))):
+                part = batch.slice(portion[0][0], len(portion))
+                html, text, els, box = (part.column(names.index(c)) for c in ("html", "text", "els", "box"))
+                ends = np.asarray(els.offsets) - els.offsets[0].as_py()
+                flat, boxes = els.flatten(), pc.struct_field(box, "pos").to_pylist()
+                box_ends = pc.struct_field(box, "end_pos").to_pylist()
+                done = [of_page(html[i].as_py(), text[i].as_py(), flat.slice(ends[i], ends[i + 1] - ends[i]),
+                                None if boxes[i] is None else {"pos": boxes[i], "end_pos": box_ends[i]}) for i in range(part.num_rows)]
+                yield pa.RecordBatch.from_arrays([*part.columns, lists([b for b, _ in done], block), lists([r for _, r in done], red)],
+                                                 [*names, "blocks", "reds"])
 
     return boxed.mapInArrow(run, schema)
 

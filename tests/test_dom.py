@@ -252,3 +252,30 @@ def test_attributes_and_self_closing_random(spark):
         starts = [r.pos for r in mine]
         got = [(r.name, sum(1 for q in starts if q <= r.end_pos), r.depth) for r in mine]
         assert got == [(e["name"], e["end"], e["depth"]) for e in walk(h)], h
+
+
+def test_what_a_task_holds_does_not_grow_with_the_batch(spark):
+    import pyarrow as pa
+    page = "<div id=mainContent><p><span style='color:#ff0000'>a</span> b</p></div>" * 40
+    pages = spark.createDataFrame([(i, "https://h/", page) for i in range(3)], "page_id long, url string, html string")
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(["https://h/"] * 2000), pa.array([page] * 2000)], ["page_id", "url", "html"])
+
+    from cardforge.operators import dom as D
+    seen = {}
+    real = type(pages).mapInArrow
+
+    def catch(self, run, schema, *args):
+        seen["run"] = run
+        return real(self, run, schema, *args)
+
+    type(pages).mapInArrow = catch
+    try:
+        trees = D.page_trees(pages)
+        tree = seen["run"]
+        assert trees.count() == 3
+    finally:
+        type(pages).mapInArrow = real
+    out = list(tree(iter([batch])))
+    assert len(out) > 2 and sum(b.num_rows for b in out) == 2000
+    assert [x for b in out for x in b.column(0).to_pylist()] == list(range(2000))
+    assert max(sum(map(len, b.column(2).to_pylist())) for b in out) <= D.PORTION_CHARS
