@@ -16,6 +16,11 @@ from cardforge.functions.text import is_blank, strip_chars, strip_ws
 MODES = ("strict", "guarded", "symmetric", "collapse")
 
 
+def _without(s: Column, head: int, tail: int) -> Column:
+    """``s`` without so many characters at its ends."""
+    return F.substr(s, F.lit(head + 1), F.length(s) - head - tail)
+
+
 def strip_fence(c, mode: str = "strict") -> Column:
     """Remove a Markdown JSON fence.
 
@@ -31,14 +36,15 @@ def strip_fence(c, mode: str = "strict") -> Column:
     """
     col = as_col(c)
     if mode == "strict":
-        s = F.regexp_replace(strip_ws(col), r"^```(?:json)?", "")
-        return strip_ws(F.regexp_replace(s, r"```\z", ""))
+        s = strip_ws(col)
+        s = F.when(s.startswith("```json"), _without(s, 7, 0)).when(s.startswith("```"), _without(s, 3, 0)).otherwise(s)
+        return let(s, lambda t: strip_ws(F.when(t.endswith("```"), _without(t, 0, 3)).otherwise(t)))
     if mode == "guarded":
         def head(s):
             return F.when(s.startswith("```json"), strip_ws(F.substring(s, 8, 1 << 30))).otherwise(s)
 
         def tail(s):
-            return F.when(s.endswith("```"), strip_ws(F.regexp_replace(s, r"```\z", ""))).otherwise(s)
+            return F.when(s.endswith("```"), strip_ws(_without(s, 0, 3))).otherwise(s)
 
         def pick(s):
             ok = s.startswith("[") | s.startswith("{")

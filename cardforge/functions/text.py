@@ -17,16 +17,16 @@ from cardforge.functions._col import as_col
 
 # Python's ``str.strip()`` removes every Unicode whitespace character plus the
 # information separators 0x1C-0x1F; Java's ``(?U)\s`` misses the latter.
-# ``\z`` (not ``$``) so that a final newline is stripped too.
 _WS = r"[\s\x1c-\x1f]"
-_STRIP_RE = rf"(?U)^{_WS}+|{_WS}+\z"
+#: the same characters, for a trim that looks at the ends of a text only
+_WS_CHARS = "".join(map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _LSTRIP_RE = rf"(?U)^{_WS}+"
 _RSTRIP_RE = rf"(?U){_WS}+\z"
 
 
 def strip_ws(c) -> Column:
     """Equivalent of Python ``str.strip()`` with no argument."""
-    return F.regexp_replace(as_col(c), _STRIP_RE, "")
+    return F.btrim(as_col(c), F.lit(_WS_CHARS))
 
 
 def is_blank(c) -> Column:

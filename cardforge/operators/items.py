@@ -25,41 +25,21 @@ from cardforge.session import materialize
 TEXT = "concept_and_mnemonic"
 
 
-# a JSON string literal (escapes included), and anything that is not a bracket;
-# possessive: Java's engine would recurse once a repetition and overflow on long strings
-_STRING_RE = r'"(?:[^"\\]++|\\.)*+"'
-_NOT_BRACKET_RE = r"[^\[\]{}]"
-
-
-def closes_early(text) -> Column:
-    """True when, outside string literals, the text closes more brackets
-    than it opened at some point (``1]x``): wrapped in ``[...]`` it would end
-    the wrapper early, and the parser ignores what follows.  String literals
-    are removed with a JSON-lexing regex, then a fold runs over the few
-    remaining bracket characters."""
-    brackets = F.regexp_replace(F.regexp_replace(as_col(text), _STRING_RE, ""), _NOT_BRACKET_RE, "")
-    init = F.struct(F.lit(0).alias("d"), F.lit(False).alias("bad"))
-
-    def step(acc, c):
-        nd = F.when((c == "[") | (c == "{"), acc["d"] + 1).when((c == "]") | (c == "}"), acc["d"] - 1) \
-            .otherwise(acc["d"])
-        return F.struct(nd.alias("d"), (acc["bad"] | (nd < 0)).alias("bad"))
-
-    return F.aggregate(F.split(brackets, ""), init, step)["bad"]
-
-
 def try_parse_value(text) -> Column:
-    """VARIANT of the JSON text, or null when it is not exactly one JSON value
-    (the text wrapped in ``[...]`` must parse to one element and must not
-    close the wrapper early)."""
+    """VARIANT of the JSON text, or null when it is not exactly one JSON value.
+
+    The text wrapped in ``[...]`` must parse to one element.  The parser ignores what follows
+    a text that closes the wrapper early (``1]x``); such a text does not parse
+    inside ``{"v":...}``, as its first closing bracket too many is no ``}``."""
     def parse(t):
         arr = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))), "$", "array<variant>")
-        return let(arr, lambda a: F.when((F.size(a) == 1) & ~closes_early(t), a[0]))
+        sound = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}"))).isNotNull()
+        return let(arr, lambda a: F.when((F.size(a) == 1) & sound, a[0]))
     return let(as_col(text), parse)
 
 
 def is_json_array(v) -> Column:
-    return F.coalesce(F.schema_of_variant(as_col(v)).startswith("ARRAY"), F.lit(False))
+    return F.try_variant_get(as_col(v), "$", "array<variant>").isNotNull()
 
 
 def is_json_object(v) -> Column:
@@ -69,14 +49,14 @@ def is_json_object(v) -> Column:
 def as_item_array(v) -> Column:
     """JSN-6: an array gives its elements; any other value a one-element list."""
     col = as_col(v)
-    return F.when(is_json_array(col), F.try_variant_get(col, "$", "array<variant>")).otherwise(F.array(col))
+    return F.coalesce(F.try_variant_get(col, "$", "array<variant>"), F.array(col))
 
 
 def drop_incomplete(records: DataFrame, url_col: str = "url", text_col: str = TEXT) -> tuple[DataFrame, DataFrame]:
     """JSN-7: strip both columns; rows where either is empty (or null) are
     skipped and reported.  Returns (kept, rejects)."""
     trimmed = records.withColumn(url_col, strip_ws(F.col(url_col))).withColumn(text_col, strip_ws(F.col(text_col)))
-    missing = is_blank(F.col(url_col)) | is_blank(F.col(text_col))
+    missing = F.coalesce(F.col(url_col) == "", F.lit(True)) | F.coalesce(F.col(text_col) == "", F.lit(True))
     rejects = records.filter(is_blank(F.col(url_col)) | is_blank(F.col(text_col))).select(
         "row_no", F.col(url_col).alias("url"), F.col(text_col).alias("raw"), F.lit("missing").alias("reason"))
     return trimmed.filter(~missing), rejects
@@ -122,12 +102,10 @@ def harmonise_items(items: DataFrame, item_col: str = "item") -> DataFrame:
     mnemonic, image, keywords}, {name, mnemonic}, {concept, definition,
     mnemonic}): term = coalesce(term, name, concept); absent fields null;
     non-objects give all nulls."""
-    it = F.col(item_col)
-    obj = is_json_object(it)
-    cols = [F.when(obj, F.coalesce(*[item_field(it, k) for k in TERM_KEYS])).alias("term")]
-    cols += [F.when(obj, item_field(it, k)).alias(k) for k in STRING_FIELDS]
-    cols += [F.when(obj, item_field(it, "keywords", "array<string>")).alias("keywords"),
-             F.when(obj, item_field(it, "count", "bigint")).alias("count")]
+    it = F.col(item_col)  # of a value that is no object every field is null
+    cols = [F.coalesce(*[item_field(it, k) for k in TERM_KEYS]).alias("term")]
+    cols += [item_field(it, k).alias(k) for k in STRING_FIELDS]
+    cols += [item_field(it, "keywords", "array<string>").alias("keywords"), item_field(it, "count", "bigint").alias("count")]
     return items.select("*", *cols)
 
 
