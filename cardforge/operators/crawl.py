@@ -20,6 +20,8 @@ from cardforge.session import materialize
 
 #: cut-offs of so many parts (a key and a position each) are broadcast
 BROADCAST_PARTS = 100_000
+#: rows of both sides that a task of ``visit_single`` joins
+TASK_ROWS = 1_000_000
 #: one page in so many begins a piece of the link graph
 PIECE = 32
 
@@ -267,8 +269,12 @@ def first_visits(links: DataFrame, seeds: DataFrame) -> DataFrame:
 
 def visit_single(pages: DataFrame, seeds: DataFrame) -> DataFrame:
     """TRV-2: the advance disabled - each seed present in the snapshot is
-    visited once: ``(seed_id, depth=0, url)``."""
-    have = pages.select("url").distinct()
+    visited once: ``(seed_id, depth=0, url)``.  Tasks get more in number, not in
+    size, when there are more rows."""
+    have = pages.select("url").where("url is not null")
+    tasks = (have.count() + seeds.count()) // TASK_ROWS + 1
+    if tasks > int(seeds.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        have, seeds = have.repartition(tasks, "url"), seeds.repartition(tasks, "url")
     return seeds.join(have, "url", "left_semi").select("seed_id", F.lit(0).cast("long").alias("depth"), "url")
 
 

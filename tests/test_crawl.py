@@ -93,3 +93,14 @@ def test_pages_come_out_of_pieces_without_a_shuffle(spark, monkeypatch):
         assert {r.url: (r.seed_id, r.depth) for r in crawl_all(links, sd, dedup="global").collect()} == first
         plan = walks._jdf.queryExecution().executedPlan().toString()
         assert "Generate" in plan and "Exchange" not in plan[:plan.index("Generate")]
+
+
+def test_single_visits_of_more_rows_take_more_tasks(spark, monkeypatch):
+    from cardforge.operators import crawl
+    monkeypatch.setattr(crawl, "TASK_ROWS", 10)
+    pages = spark.createDataFrame([(f"p{i % 90}",) for i in range(180)] + [(None,)], "url string")
+    seeds = spark.createDataFrame([(i, f"p{i}") for i in range(100)] + [(100, None), (101, "p3")], "seed_id int, url string")
+    got = visit_single(pages, seeds)
+    assert sorted((r.seed_id, r.depth, r.url) for r in got.collect()) == [(i, 0, f"p{i}") for i in range(90)] + [(101, 0, "p3")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and ", 29), REPARTITION_BY_NUM" in plan
