@@ -163,10 +163,11 @@ class Pieces:
         total = F.coalesce("lam", F.col("steps") + F.col("last_n") + F.coalesce("to_lam", F.lit(0)))
         return materialize(st.select(F.col("u").alias("h"), total.alias("total"), "lam"), "lengths")
 
-    def walks(self, seeds: DataFrame) -> DataFrame:
-        """``(seed_id, depth, url)`` of every seed's walk."""
+    def walks(self, seeds: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
+        """``(seed_id, depth, url)`` of every seed's walk (``lengths``: if the caller has them already)."""
+        lengths = self.lengths() if lengths is None else lengths
         # at: the depth of the piece's first page (below 0 if the walk begins inside)
-        rows = seeds.select("seed_id", "url").join(self.places, "url").join(self.lengths(), "h").select(
+        rows = seeds.select("seed_id", "url").join(self.places, "url").join(lengths, "h").select(
             "seed_id", (-F.col("i")).alias("at"), "h", F.coalesce("lam", F.col("total") - F.col("i")).alias("total"))
         rows = materialize(rows, "walks")
         for level in self.jumps.levels:
@@ -228,12 +229,11 @@ def follow_chain(links: DataFrame, seeds: DataFrame) -> DataFrame:
     return _graph(links)[1].walks(seeds)
 
 
-def expand_walks(nodes: DataFrame, edges: DataFrame, jumps: JumpTables, seeds: DataFrame) -> DataFrame:
-    """The rows of :func:`follow_chain` from jump tables over pages."""
+def walk_lengths(edges: DataFrame, jumps: JumpTables, starts: DataFrame) -> DataFrame:
+    """``(u, total, lam)`` of the pages ``starts(u)`` by jump tables over pages: the pages that
+    a walk from there visits, and the length of the cycle that the page is on (null: on none)."""
     cyc = jumps.cycles()
-    # steps each distinct seed page takes before its walk ends or is on a cycle
-    pages = seeds.select("url").distinct().join(nodes, "url").join(cyc, "u", "left").select("url", "u", "lam")
-    st = pages.withColumn("cur", F.col("u")).withColumn("steps", F.lit(0).cast("long"))
+    st = starts.select("u").join(cyc, "u", "left").withColumn("cur", F.col("u")).withColumn("steps", F.lit(0).cast("long"))
     on_cycle = cyc.select(F.col("u").alias("to"))
     for k in range(len(jumps.levels) - 1, -1, -1):
         # jumps that do not reach a cycle
@@ -244,20 +244,8 @@ def expand_walks(nodes: DataFrame, edges: DataFrame, jumps: JumpTables, seeds: D
               .withColumn("cur", F.when(move, F.col("to")).otherwise(F.col("cur"))).drop("to"))
     entry = edges.select(F.col("u").alias("cur"), F.col("v").alias("to")).join(
         cyc.select(F.col("u").alias("to"), F.col("lam").alias("to_lam")), "to").drop("to")
-    st = st.join(entry, "cur", "left")
-    length = F.coalesce("lam", F.col("steps") + 1 + F.coalesce("to_lam", F.lit(0)))
-    walks = materialize(st.select("url", "u", length.alias("n")), "walks")
-    rows = seeds.select("seed_id", "url").join(walks, "url").select("seed_id", F.lit(0).cast("long").alias("depth"), "u", "n")
-    longest = walks.agg(F.max("n")).first()[0] or 0
-    for k in range(len(jumps.levels)):
-        if longest <= 1 << k:
-            break
-        rows = materialize(rows, "walks")
-        ahead = jumps.levels[k].select("u", F.col("j").alias("to"))
-        more = (rows.where(F.col("depth") + (1 << k) < F.col("n")).join(ahead, "u")
-                .select("seed_id", (F.col("depth") + (1 << k)).alias("depth"), F.col("to").alias("u"), "n"))
-        rows = rows.union(more)
-    return rows.join(nodes, "u").select("seed_id", "depth", "url")
+    total = F.coalesce("lam", F.col("steps") + 1 + F.coalesce("to_lam", F.lit(0)))
+    return materialize(st.join(entry, "cur", "left").select("u", total.alias("total"), "lam"), "lengths")
 
 
 def first_visits(links: DataFrame, seeds: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardforge.operators.crawl import JumpTables, expand_walks
+from cardforge.operators.crawl import JumpTables, Pieces, walk_lengths
 from cardforge.operators.items import ordinals
 from cardforge.session import materialize
 from cardforge.sinks.published import path_names
@@ -107,17 +107,17 @@ class WalkTables:
                 now = rows.where("not gone").drop("gone")
             else:
                 now = before.join(rows.select("u"), "u", "left_anti").union(rows.where("not gone").drop("gone"))
-            now = materialize(now, "jump")
+                now = materialize(now, "jump")
             if (1 << k) >= max(pages, 1) and k + 1 >= self.n_levels():
                 break
-            if before is None or k + 1 >= self.n_levels():
-                reach = now.select("u", F.lit(False).alias("gone"))
+            far = now.select(F.col("u").alias("j"), F.col("j").alias("jj"), F.col("m").alias("mm"))
+            to = ("u", F.col("jj").alias("j"), F.least("m", "mm").alias("m"), "gone")
+            if before is None or k + 1 >= self.n_levels():  # all rows of the next level
+                rows = now.withColumn("gone", F.lit(False)).join(far, "j", "left").select(*to)
             else:
                 back = before.join(rows.select(F.col("u").alias("j")), "j", "left_semi").select("u", F.lit(False).alias("gone"))
                 reach = rows.select("u", "gone").union(back.join(rows.select("u"), "u", "left_anti"))
-            far = now.select(F.col("u").alias("j"), F.col("j").alias("jj"), F.col("m").alias("mm"))
-            rows = reach.join(now, "u", "left").join(far, "j", "left").select(
-                "u", F.col("jj").alias("j"), F.least("m", "mm").alias("m"), "gone")
+                rows = reach.join(now, "u", "left").join(far, "j", "left").select(*to)
             k += 1
         spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/versions/version={version}")
         return touched
@@ -131,4 +131,7 @@ class WalkTables:
         there = self._newest("links", "url", LINKS).select("url")
         nodes = materialize(self._newest("nodes", "url", NODES).join(there, "url", "left_semi"), "nodes")
         jumps.nodes = nodes.select("u", F.lit(1).alias("n"))
-        return expand_walks(nodes, jumps.levels[0].select("u", F.col("j").alias("v")), jumps, seeds)
+        edges = jumps.levels[0].select("u", F.col("j").alias("v"))
+        pieces = Pieces(materialize(nodes.join(edges, "u", "left").select("u", "url", "v"), "pages"))
+        lengths = walk_lengths(edges, jumps, pieces.rows.select(F.col("h").alias("u"))).withColumnRenamed("u", "h")
+        return pieces.walks(seeds, lengths)

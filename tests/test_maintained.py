@@ -72,3 +72,10 @@ def test_a_version_that_was_not_finished_does_not_count(spark, tmp_path):
     check(spark, tables, {"a": "b", "b": None})
     tables.update(spark.createDataFrame([("b", "a")], LINK))
     check(spark, tables, {"a": "b", "b": "a"})
+
+
+def test_walks_are_lists_of_pieces(spark, tmp_path):
+    tables = WalkTables(spark, str(tmp_path / "walks"))
+    tables.update(spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "b")], LINK))
+    plan = tables.walks(spark.createDataFrame([(1, "x")], "seed_id int, url string"))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "Exchange" not in plan[:plan.index("Generate")]
