@@ -1129,14 +1129,19 @@ def q_stream_dedup(spark, d):
     return streams.run_to_table(spark, dd, scratch(spark, "dedup"), scratch(spark, "dedup-ckpt"))
 
 
-def _files_in_order(spark, df, key: str, cuts: list[float], label: str) -> str:
-    """One file a range of ``key``, written one after the other (a stream reads them in that order)."""
-    path = scratch(spark, label)
+def _ranges(df: DataFrame, key: str, cuts: list[float]):
+    """The rows of ``df`` by ranges of ``key``, in order."""
     for lo, hi in zip([None, *cuts], [*cuts, None]):
         part = df if lo is None else df.where(F.col(key) > lo)
-        part = part if hi is None else part.where(F.col(key) <= hi)
-        part.coalesce(1).write.mode("append").parquet(path)
-    return path
+        yield part if hi is None else part.where(F.col(key) <= hi)
+
+
+def _batches_in_order(spark, df, key: str, cuts: list[float], label: str, n_files: int, by: str) -> DataFrame:
+    """A stream with a micro-batch a range of ``key``."""
+    path = scratch(spark, label)
+    for part in _ranges(df, key, cuts):
+        streams.write_batch(part, path, n_files, by)
+    return streams.batch_stream(spark, path, n_files)
 
 
 @query("stream_until_repeat", """
@@ -1151,13 +1156,12 @@ def q_stream_until_repeat(spark, d):
     docs = fx.table(spark, d, "documents").select("source", "doc_id", "text")
     cuts = docs.approxQuantile("doc_id", [0.2, 0.4, 0.6, 0.8], 0.01)
     src, out, ckpt = scratch(spark, "docs"), scratch(spark, "until"), scratch(spark, "until-ckpt")
-    result = None
+    result, n_files = None, streams.batch_files(docs, len(cuts) + 1)
     for lo, hi, files_ in ((None, cuts[1], cuts[:1]), (cuts[1], None, cuts[2:])):
         part = docs.where(F.col("doc_id") <= hi) if lo is None else docs.where(F.col("doc_id") > lo)
-        for a, b in zip([None, *files_], [*files_, None]):
-            some = part if a is None else part.where(F.col("doc_id") > a)
-            (some if b is None else some.where(F.col("doc_id") <= b)).coalesce(1).write.mode("append").parquet(src)
-        stream = streams.page_stream(spark, src, max_files_per_trigger=1)
+        for some in _ranges(part, "doc_id", files_):
+            streams.write_batch(some, src, n_files, "doc_id")
+        stream = streams.batch_stream(spark, src, n_files)
         with stateful.entry_store(spark):
             result = streams.run_to_table(spark, stateful.stream_until_repeat(stream, "source", "doc_id", "text"), out, ckpt)
     return result.select("source", "doc_id")
@@ -1182,7 +1186,8 @@ def q_stream_answers(spark, d):
     asked = asked.union(end.select("request_id", F.lit(None).cast("long"), F.lit(None).cast("long"), "m", "t"))
     given = given.union(given).union(end.select("request_id", "t", F.lit("x"), "m"))
     cuts = asked.where("m < 100000000").approxQuantile("m", [0.25, 0.5, 0.75, 1.0], 0.0)
-    sides = [streams.page_stream(spark, _files_in_order(spark, side, "m", cuts, name), 1).drop("m")
+    n_files = streams.batch_files(fx.table(spark, d, "conversations"), len(cuts) + 1)
+    sides = [_batches_in_order(spark, side, "m", cuts, name, n_files, "request_id").drop("m")
              for side, name in ((asked, "asked"), (given, "given"))]
     out = streams.run_to_table(spark, stateful.stream_answers(*sides, deadline="30 MINUTES", delay="5 minutes"),
                                scratch(spark, "answers"), scratch(spark, "answers-ckpt"))

@@ -24,6 +24,29 @@ def page_stream(spark: SparkSession, pages_dir: str, max_files_per_trigger: int
     return r.parquet(pages_dir)
 
 
+def write_batch(batch: DataFrame, path: str, n_files: int, key: str) -> None:
+    """Append ``batch`` to the folder of a :func:`batch_stream` as exactly ``n_files`` files,
+    each written by its own task (rows by the hash of ``key``).  A row a file that
+    marks it, and the stream drops again, keeps files without other rows from being left out.
+    Batches must be written one after the other: the stream reads files by their age."""
+    spark, name = batch.sparkSession, F.xxhash64(key)
+    rows = batch.select("*", F.lit(True).alias("_row"), F.pmod(name, F.lit(n_files)).cast("int").alias("_file"))
+    marks = spark.range(n_files).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in batch.schema.fields],
+                                        F.lit(False).alias("_row"), F.col("id").cast("int").alias("_file"))
+    rows.union(marks).repartitionById(n_files, "_file").drop("_file").write.mode("append").parquet(path)
+
+
+def batch_stream(spark: SparkSession, path: str, n_files: int) -> DataFrame:
+    """The batches that :func:`write_batch` wrote, one a micro-batch and in their order."""
+    return page_stream(spark, path, max_files_per_trigger=n_files).where("_row").drop("_row")
+
+
+def batch_files(table: DataFrame, n_batches: int) -> int:
+    """Files a batch, if ``table`` (read from files) is dealt over ``n_batches``: as many in all
+    as tasks read the table."""
+    return -(-table.rdd.getNumPartitions() // n_batches)
+
+
 def stream_extract(spark: SparkSession, pages_dir: str, out_dir: str, checkpoint: str,
                    extractor=extract_lessons, available_now: bool = True, max_files_per_trigger: int | None = None):
     """STR-1: every new page file becomes lesson rows once.

@@ -34,6 +34,37 @@ def test_any_split_into_batches_equals_the_batch_operator(spark, tmp_path, seed)
     assert run(spark, tmp_path, batches, {1}) == sorted(((r.part or "", r.n) for r in want.collect()))
 
 
+def test_batches_of_several_files_stay_whole_and_in_order(spark, tmp_path):
+    rows = [[("p", k, str(k)) for k in range(a, b)] for a, b in ((0, 40), (40, 41), (41, 90))]
+    path, sizes = str(tmp_path / "src"), []
+    for batch in rows:  # one of them has fewer rows than files
+        streams.write_batch(spark.createDataFrame(batch, SCHEMA), path, 4, "n")
+        assert len(spark.read.parquet(path).inputFiles()) == 4 * (len(sizes) + 1)
+        sizes.append(len(batch))
+    streams.run_to_table(spark, streams.batch_stream(spark, path, 4), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    got = sorted((r.batch_id, r.n) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [(k, r[1]) for k, batch in enumerate(rows) for r in batch]
+
+
+def test_no_task_of_the_query_writes_a_whole_batch(spark, tmp_path):
+    from cardforge.plans import catalog
+    docs = [(k, f"text {k}" if k != 170 else "text 3", "en", "web", 6) for k in range(200)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(20).write.parquet(
+        str(tmp_path / "documents.parquet"))
+    paths, scratch = {}, catalog.scratch
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(catalog, "scratch", lambda s, tag: paths.setdefault(tag, scratch(s, tag)))
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+        try:
+            got = catalog.QUERIES["stream_until_repeat"](spark, str(tmp_path)).collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(r.doc_id for r in got) == list(range(170))
+    sizes = sorted(r["count"] for r in spark.read.parquet(paths["docs"]).where("doc_id is not null").groupBy("_metadata.file_path").count().collect())
+    assert len(sizes) > 10 and sizes[-1] < 40  # a batch has 40 rows
+
+
 def test_a_repeat_ends_its_part_for_good(spark, tmp_path):
     batches = [[("p", 1, "x"), ("q", 2, "x")], [("p", 3, "x"), ("p", 4, "new")], [("p", 5, "newer"), ("q", 6, "y")], [("p", 7, "z"), ("q", 8, "x")]]
     assert run(spark, tmp_path, batches, {0, 1, 2}) == [("p", 1), ("q", 2), ("q", 6)]
