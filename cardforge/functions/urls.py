@@ -16,6 +16,14 @@ from cardforge.functions._col import as_col, let
 _SCHEME = r"^([a-zA-Z][a-zA-Z0-9+.-]*):"
 _SPLIT = r"^(?:([a-zA-Z][a-zA-Z0-9+.-]*):)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 
+# plain URLs: scheme and host, and with the folders of a path without empty segments
+_ORIGIN = r"^https?://[^/?#]+"
+_FOLDER = _ORIGIN + r"/(?:[^/?#]+/)*+(?=[^/?#]*(?:[?#]|\z))"
+# plain references: whole URLs, paths from the root, names (with folders) beside the page
+_WHOLE = r"^https?://[^/?#][^?#]*\z"
+_FROM_ROOT = r"^/(?!/)[^?#]*\z"
+_BESIDE = r"^(?:[a-zA-Z0-9_%~-][^/?#:]*/)*+[a-zA-Z0-9_%~-][^/?#:]*\z"
+
 
 def _part(c: Column, idx: int) -> Column:
     """Regex group as a nullable string (empty group -> null)."""
@@ -55,10 +63,24 @@ def resolve_url(base, href) -> Column:
     * ``/p`` and relative paths -> dot segments removed; in a relative merge
       empty middle segments are dropped, as urljoin does
 
-    Each URL is split once (``let``) and the parts are reused.
+    Plain references (no query, fragment or dot segments but one leading ``../``) to plain
+    bases are concatenated; for all others each URL is split once (``let``) and the
+    parts are reused.
     """
-    b_in, h_in = as_col(base), as_col(href)
-    return let(_split(b_in), lambda bp: let(_split(h_in), lambda hp: _join(b_in, h_in, bp, hp)))
+    b, h = as_col(base), as_col(href)
+    origin, folder = F.regexp_extract(b, _ORIGIN, 0), F.regexp_extract(b, _FOLDER, 0)
+    up = F.when(folder.rlike(_ORIGIN + "/$"), folder).otherwise(F.regexp_replace(folder, "[^/]+/$", ""))
+    rest = F.substr(h, F.lit(4))
+    return (F.when((origin != "") & h.rlike(_WHOLE), h)
+            .when((origin != "") & h.rlike(_FROM_ROOT) & ~F.contains(h, F.lit("/.")), F.concat(origin, h))
+            .when((folder != "") & ~F.contains(folder, F.lit("/.")) & h.rlike(_BESIDE), F.concat(folder, h))
+            .when((folder != "") & ~F.contains(folder, F.lit("/.")) & h.startswith("../") & rest.rlike(_BESIDE), F.concat(up, rest))
+            .otherwise(_resolve(b, h)))
+
+
+def _resolve(b: Column, h: Column) -> Column:
+    """``resolve_url`` of any two URLs."""
+    return let(_split(b), lambda bp: let(_split(h), lambda hp: _join(b, h, bp, hp)))
 
 
 def _join(b: Column, h: Column, bp: Column, hp: Column) -> Column:

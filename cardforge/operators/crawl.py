@@ -13,7 +13,9 @@ so lineage stays flat and a lost executor recomputes one level at most.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardforge.session import materialize
@@ -81,41 +83,59 @@ def page_table(links: DataFrame) -> DataFrame:
     # one next link per page (a snapshot has one row per page; min keeps duplicates deterministic)
     first = links.where("url is not null").groupBy("url").agg(F.min("next_url").alias("next_url"))
     first = materialize(first.withColumn("u", F.monotonically_increasing_id()), "nodes")
-    to = first.where("next_url is not null").select("u", F.col("next_url").alias("url")).join(
-        first.select("url", F.col("u").alias("v")), "url").select("u", "v")
-    return materialize(first.select("u", "url").join(to, "u", "left"), "pages")
+    # pages without a next link spread over the tasks by their number
+    apart = F.when(F.col("next_url").isNull(), F.col("u")).otherwise(0).alias("apart")
+    to = first.select(F.col("url").alias("next_url"), F.col("u").alias("v"), F.lit(0).cast("long").alias("apart"))
+    return materialize(first.select("u", "url", "next_url", apart).join(to, ["next_url", "apart"], "left").select("u", "url", "v"), "pages")
+
+
+@contextmanager
+def _hash_joins(spark: SparkSession):
+    """Joins run inside take hash tables instead of sorts, where every shuffle partition is small
+    (as Spark finds at run time)."""
+    key, size = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, spark.conf.get(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def _ranked(back: DataFrame) -> DataFrame:
     """``(u, h, i)`` from ``back(u, p)``: the start (``p`` null) that each page comes to by
     going back, and the steps.  Pointers double: all pages within 2^k steps of a start know
-    it after k rounds.  Pages on cycles without a start get the least page as theirs."""
+    it after k rounds.  On cycles without a start, each page that is less than the one before it
+    becomes one."""
     start = F.col("p").isNull()
     rows = materialize(back.select("u", F.coalesce("p", "u").alias("h"), F.when(start, 0).otherwise(1).cast("long").alias("i"),
-                                   start.alias("done"), F.least("u", "p").alias("m")), "ranks")
+                                   start.alias("done")), "ranks")
     done, going = [rows.where("done")], rows.where("not done")
     while True:
-        known = done[0]
-        for part in [*done[1:], going]:
-            known = known.union(part)
-        ahead = known.select(F.col("u").alias("h"), F.col("h").alias("hh"), F.col("i").alias("ii"),
-                             F.col("done").alias("dd"), F.col("m").alias("mm"))
+        known = _union([*done, going])
+        ahead = known.select(F.col("u").alias("h"), F.col("h").alias("hh"), F.col("i").alias("ii"), F.col("done").alias("dd"))
         step = materialize(going.join(ahead, "h").select(
-            "u", F.col("hh").alias("h"), (F.col("i") + F.col("ii")).alias("i"), F.col("dd").alias("done"),
-            F.least("m", "mm").alias("m"), (F.col("mm") < F.col("m")).alias("moved")), "ranks")
-        stats = step.agg(F.count(F.lit(1)).alias("n"), F.count_if("done").alias("ended"), F.count_if("moved").alias("moved")).first()
-        step = step.drop("moved")
+            "u", F.col("hh").alias("h"), (F.col("i") + F.col("ii")).alias("i"), F.col("dd").alias("done")), "ranks")
+        stats = step.agg(F.count(F.lit(1)).alias("n"), F.count_if("done").alias("ended")).first()
         done, going = [*done, step.where("done")], step.where("not done")
         # a run with pages that go on has some that come to its start in this round
-        if stats["n"] == stats["ended"] or stats["ended"] == 0 and stats["moved"] == 0:
+        if stats["ended"] in (0, stats["n"]):
             break
-    out = done[0]
-    for part in done[1:]:
-        out = out.union(part)
-    out = out.select("u", "h", "i")
+    out = _union(done).select("u", "h", "i")
     if stats["n"] > stats["ended"]:
-        least = going.select("u", "m").join(back, "u").select("u", F.when(F.col("u") != F.col("m"), F.col("p")).alias("p"))
-        out = out.union(_ranked(materialize(least, "ranks")))
+        # what is left are cycles without a start: there each page below the one before it is one
+        left = going.select("u").join(rows, "u").select("u", F.when(F.col("u") > F.col("h"), F.col("h")).alias("p"))
+        out = out.union(_ranked(left))
+    return out
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
     return out
 
 
@@ -132,7 +152,7 @@ class Pieces:
         into = pages.where("v is not null").groupBy(F.col("v").alias("u")).agg(F.min("u").alias("p"), F.count(F.lit(1)).alias("n"))
         inner = (F.col("n") == 1) & (F.pmod(F.xxhash64("u"), F.lit(PIECE)) != 0)
         back = pages.select("u").join(into, "u", "left").select("u", F.when(inner, F.col("p")).alias("p"))
-        at = materialize(_ranked(materialize(back, "back")).join(pages, "u").select("url", "h", "i", "v"), "places")
+        at = materialize(_ranked(back).join(pages, "u").select("url", "h", "i", "v"), "places")
         self.places = at.select("url", "h", "i")
         run = at.groupBy("h").agg(F.array_sort(F.collect_list(F.struct("i", "url", "v"))).alias("run"))
         run = materialize(run.select("h", F.size("run").cast("long").alias("n"), F.col("run.url").alias("urls"),
@@ -226,7 +246,8 @@ def follow_chain(links: DataFrame, seeds: DataFrame) -> DataFrame:
     its cycle's length.  Its pieces are listed by doubling: those of the first 2^k
     joined to level k give those up to 2^(k+1).  Pages come out of the pieces at the end.
     """
-    return _graph(links)[1].walks(seeds)
+    with _hash_joins(links.sparkSession):
+        return _graph(links)[1].walks(seeds)
 
 
 def walk_lengths(edges: DataFrame, jumps: JumpTables, starts: DataFrame) -> DataFrame:
@@ -252,7 +273,8 @@ def first_visits(links: DataFrame, seeds: DataFrame) -> DataFrame:
     """``(url, seed_id, depth)``: each page that some walk visits, with the least
     (seed_id, depth) it is visited at.  Least visits travel along the jump
     tables over pieces, so no walk is expanded."""
-    return _graph(links)[1].first_visits(seeds)
+    with _hash_joins(links.sparkSession):
+        return _graph(links)[1].first_visits(seeds)
 
 
 def visit_single(pages: DataFrame, seeds: DataFrame) -> DataFrame:

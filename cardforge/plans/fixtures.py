@@ -190,6 +190,8 @@ bmn AS (
 # ---------------------------------------------------------------- chain pages (from orders)
 
 CHAIN = 150
+#: orders whose pages one task builds and hands on (a file's splits hold millions)
+TASK_PAGES = 20_000
 
 
 def chain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +199,8 @@ def chain_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     of a block links back to the block start when the block number is even
     and has no next link when odd; k%1000=500 links to a page that does not
     exist.  The href form (absolute path, relative, absolute URL) by k%3."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    o = o.repartition(o.count() // TASK_PAGES + 1, "o_orderkey")
     k = F.col("o_orderkey")
     last = k % CHAIN == CHAIN - 1
     even = (k / CHAIN).cast("long") % 2 == 0

@@ -1,5 +1,7 @@
 """Traversal against a brute-force walk."""
 
+from pyspark.sql import functions as F
+
 from cardforge.operators.crawl import crawl_all, follow_chain, skip_done, until_first_repeat, visit_single
 
 
@@ -104,3 +106,23 @@ def test_single_visits_of_more_rows_take_more_tasks(spark, monkeypatch):
     assert sorted((r.seed_id, r.depth, r.url) for r in got.collect()) == [(i, 0, f"p{i}") for i in range(90)] + [(101, 0, "p3")]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Aggregate" not in plan and ", 29), REPARTITION_BY_NUM" in plan
+
+
+def test_short_cycles_without_a_start_of_their_own(spark):
+    # nearly all of these cycles hold no page that begins a piece by its hash
+    pages = [(f"{n}-{k}", f"{n}-{(k + 1) % n}") for n in range(1, 25) for k in range(n)]
+    links = spark.createDataFrame(pages, "url string, next_url string")
+    seeds = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(pages)], "seed_id long, url string")
+    number = {u: i for i, (u, _) in enumerate(pages)}
+    got = {(r.seed_id, r.depth): r.url for r in follow_chain(links, seeds).collect()}
+    assert got == {(number[f"{n}-{k}"], d): f"{n}-{(k + d) % n}" for n in range(1, 25) for k in range(n) for d in range(n)}
+    least = {r.url: (r.seed_id, r.depth) for r in crawl_all(links, seeds, dedup="global").collect()}
+    assert least == {f"{n}-{k}": (number[f"{n}-0"], k) for n in range(1, 25) for k in range(n)}
+
+
+def test_pages_of_one_file_are_built_and_read_by_many_tasks(spark, tmp_path):
+    from cardforge.plans import fixtures
+    spark.range(50_000).select(F.col("id").alias("o_orderkey")).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    pages = fixtures.chain_pages(spark, str(tmp_path))
+    sizes = [r["count"] for r in pages.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 3 and sum(sizes) == 50_000 and max(sizes) < 20_000
