@@ -28,6 +28,10 @@ def _s(c) -> F.Column:
 
 # ---------------------------------------------------------------- records (from part)
 
+#: parts whose records one task builds
+TASK_RECORDS = 20_000
+
+
 def _item(i: int) -> F.Column:
     k = F.col("p_partkey")
     tkey = F.when(k % 7 == 0, "name").when(k % 7 == 1, "concept").otherwise("term")
@@ -46,7 +50,8 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = p_partkey: 1 + k%3 items; bare object when k%11=0; a stray quote
     (invalid) when k%17=0; blank text when k%13=0; blank url when k%19=0;
     fence style by k%4; term key 'name' / 'concept' / 'term' by k%7."""
-    p = table(spark, sf_dir, "part").withColumn("subject", F.lower("p_type"))
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    p = p.repartition(p.count() // TASK_RECORDS + 1, "p_partkey").withColumn("subject", F.lower("p_type"))
     k = F.col("p_partkey")
     n = F.lit(1) + k % 3
     # staged through named columns so each piece is built once

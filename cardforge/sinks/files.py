@@ -62,11 +62,17 @@ def rewrite_positional(rows: DataFrame, path: str, fn, at: int = 1) -> DataFrame
     return out
 
 
+def by_subject(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt by subject over tasks of bounded size (a large subject over several): a writer
+    of a folder a subject sorts all rows of its task."""
+    return rows.hint("rebalance", "subject")
+
+
 def write_by_subject(items: DataFrame, path: str, fmt: str = "json") -> None:
     """CAT-4: one output directory per subject, items as JSON objects.  Dynamic
     partition overwrite: subjects present in this run are replaced, older
     subjects stay."""
-    (items.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (by_subject(items).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("subject").format(fmt).save(path))
 
 
@@ -74,7 +80,7 @@ def write_all_subjects(grouped: DataFrame, path: str) -> None:
     """CAT-5: all subjects in one output, which replaces the previous one whole:
     a directory a subject of JSON lines with the in-subject ``ordinal`` (from
     ``group_by_subject``) that orders the subject's list."""
-    (grouped.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (by_subject(grouped).write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy("subject").json(path))
 
 

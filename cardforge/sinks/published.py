@@ -24,6 +24,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardforge.sinks import files
+
 #: subjects in a manifest that are broadcast to the reader (some 50 bytes each)
 BROADCAST_ENTRIES = 100_000
 ENTRY = "run string, subject string"
@@ -65,7 +67,7 @@ def _folder(path: str, run: str) -> str:
 def stage(rows: DataFrame, path: str, run: str, by_subject: bool = False) -> None:
     """Writes the rows under the run's id; what an earlier attempt left there is replaced."""
     if by_subject:
-        rows = rows.withColumn("subject", F.coalesce(F.col("subject").cast("string"), F.lit("unknown")))
+        rows = files.by_subject(rows.withColumn("subject", F.coalesce(F.col("subject").cast("string"), F.lit("unknown"))))
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy("subject") if by_subject else writer).parquet(_folder(path, run))
 

@@ -179,3 +179,19 @@ def test_scratch_folder_only_on_a_local_master():
             checkpoint_dir(session(master))
         assert checkpoint_dir(session(master, "hdfs:///shared")) == "hdfs:///shared"
     assert checkpoint_dir(session("local[2]")) and checkpoint_dir(session("local"))
+
+
+def test_no_task_sorts_a_large_subject_alone(spark, tmp_path):
+    rows = spark.range(40_000).select(F.when(F.col("id") % 3 > 0, "large").otherwise(F.concat(F.lit("s"), F.col("id") % 7)).alias("subject"),
+                                      "id", F.sha2(F.col("id").cast("string"), 512).alias("text")).coalesce(1)
+    key, path = "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(tmp_path / "out")
+    before = spark.conf.get(key)
+    spark.conf.set(key, "200000")
+    try:
+        files.write_by_subject(rows, path)
+    finally:
+        spark.conf.set(key, before)
+    back = spark.read.json(path)
+    assert back.select("subject", "id", "text").exceptAll(rows).isEmpty() and back.count() == 40_000
+    sizes = [r["count"] for r in back.groupBy("_metadata.file_path").count().collect()]
+    assert max(sizes) < 15_000  # one task wrote all 26,667 rows of the large subject
