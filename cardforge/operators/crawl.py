@@ -90,7 +90,7 @@ def page_table(links: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def _hash_joins(spark: SparkSession):
+def hash_joins(spark: SparkSession):
     """Joins run inside take hash tables instead of sorts, where every shuffle partition is small
     (as Spark finds at run time)."""
     key, size = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -246,7 +246,7 @@ def follow_chain(links: DataFrame, seeds: DataFrame) -> DataFrame:
     its cycle's length.  Its pieces are listed by doubling: those of the first 2^k
     joined to level k give those up to 2^(k+1).  Pages come out of the pieces at the end.
     """
-    with _hash_joins(links.sparkSession):
+    with hash_joins(links.sparkSession):
         return _graph(links)[1].walks(seeds)
 
 
@@ -255,25 +255,27 @@ def walk_lengths(edges: DataFrame, jumps: JumpTables, starts: DataFrame) -> Data
     a walk from there visits, and the length of the cycle that the page is on (null: on none)."""
     cyc = jumps.cycles()
     st = starts.select("u").join(cyc, "u", "left").withColumn("cur", F.col("u")).withColumn("steps", F.lit(0).cast("long"))
-    on_cycle = cyc.select(F.col("u").alias("to"))
+    # starts without such a jump spread over the tasks by their number
+    on_cycle = cyc.select(F.col("u").alias("at"), F.col("lam").alias("to_lam"))
+    at = F.coalesce("to", -1 - F.col("u")).alias("at")
     for k in range(len(jumps.levels) - 1, -1, -1):
+        ahead = jumps.levels[k].select(F.col("u").alias("cur"), F.col("j").alias("to"))
+        st = st.join(ahead, "cur", "left").select("u", "lam", "cur", "steps", "to", at).join(on_cycle, "at", "left")
         # jumps that do not reach a cycle
-        off = jumps.levels[k].select(F.col("u").alias("cur"), F.col("j").alias("to")).join(on_cycle, "to", "left_anti")
-        st = st.join(off, "cur", "left")
-        move = F.col("lam").isNull() & F.col("to").isNotNull()
-        st = (st.withColumn("steps", F.when(move, F.col("steps") + (1 << k)).otherwise(F.col("steps")))
-              .withColumn("cur", F.when(move, F.col("to")).otherwise(F.col("cur"))).drop("to"))
-    entry = edges.select(F.col("u").alias("cur"), F.col("v").alias("to")).join(
-        cyc.select(F.col("u").alias("to"), F.col("lam").alias("to_lam")), "to").drop("to")
+        move = F.col("lam").isNull() & F.col("to").isNotNull() & F.col("to_lam").isNull()
+        st = st.select("u", "lam", F.when(move, F.col("to")).otherwise(F.col("cur")).alias("cur"),
+                       F.when(move, F.col("steps") + (1 << k)).otherwise(F.col("steps")).alias("steps"))
+    entry = edges.select(F.col("u").alias("cur"), F.col("v").alias("to"))
+    st = st.join(entry, "cur", "left").select("u", "lam", "steps", at).join(on_cycle, "at", "left")
     total = F.coalesce("lam", F.col("steps") + 1 + F.coalesce("to_lam", F.lit(0)))
-    return materialize(st.join(entry, "cur", "left").select("u", total.alias("total"), "lam"), "lengths")
+    return materialize(st.select("u", total.alias("total"), "lam"), "lengths")
 
 
 def first_visits(links: DataFrame, seeds: DataFrame) -> DataFrame:
     """``(url, seed_id, depth)``: each page that some walk visits, with the least
     (seed_id, depth) it is visited at.  Least visits travel along the jump
     tables over pieces, so no walk is expanded."""
-    with _hash_joins(links.sparkSession):
+    with hash_joins(links.sparkSession):
         return _graph(links)[1].first_visits(seeds)
 
 

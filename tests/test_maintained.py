@@ -79,3 +79,36 @@ def test_walks_are_lists_of_pieces(spark, tmp_path):
     tables.update(spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "b")], LINK))
     plan = tables.walks(spark.createDataFrame([(1, "x")], "seed_id int, url string"))._jdf.queryExecution().executedPlan().toString()
     assert "Generate" in plan and "Exchange" not in plan[:plan.index("Generate")]
+
+
+def test_levels_end_where_nothing_is_new(spark, tmp_path):
+    tables = WalkTables(spark, str(tmp_path / "walks"))
+    d = lambda rows: spark.createDataFrame(list(rows), LINK)
+    kept = lambda: len(list((tmp_path / "walks").glob("level=*")))
+    # chains of 3 pages, rings of 3, and a tail of 6 into one of them: jumps of 8 see every walk whole
+    links = {f"c{c}-{i}": f"c{c}-{i + 1}" if i < 2 else None for c in range(20) for i in range(3)}
+    links.update({f"r{c}-{i}": f"r{c}-{(i + 1) % 3}" for c in range(20) for i in range(3)})
+    links.update({f"t{i}": f"t{i + 1}" if i < 5 else "r0-0" for i in range(6)})
+    assert tables.update(d(links.items())) == [126] * 8
+    assert kept() <= 6
+    # walks get longer than all former ones: levels are added; a level of a version that was not finished is none
+    spark.createDataFrame([(0, None, 0, False)], "u long, j long, m long, gone boolean").write.parquet(f"{tables.path}/level=40/version=2")
+    change = {f"c{c}-2": f"c{c + 1}-0" for c in range(12)}
+    tables.update(d([*change.items(), ("r1-2", "t0")]))
+    links.update({**change, "r1-2": "t0"})
+    check(spark, tables, links)
+    # and shorter: later changes reach back over the added levels too
+    touched = tables.update(d([("c8-0", None), ("new", "c0-0")]))
+    links.update({"c8-0": None, "new": "c0-0"})
+    assert max(touched) == 26 and tables.n_levels() == 8
+    check(spark, tables, links)
+
+
+def test_a_ring_behind_a_tail_of_rising_numbers(spark, tmp_path):
+    tables = WalkTables(spark, str(tmp_path / "walks"))
+    names = [f"p{i:02}" for i in range(40)]
+    links = dict(zip(names, [*names[1:], names[-1]], strict=True))
+    tables.update(spark.createDataFrame(list(links.items()), LINK).coalesce(1))
+    links["p20"] = "p03"
+    tables.update(spark.createDataFrame([("p20", "p03")], LINK))
+    check(spark, tables, links)
