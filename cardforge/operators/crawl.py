@@ -73,7 +73,9 @@ class JumpTables:
     def cycles(self) -> DataFrame:
         """``(u, lam)``: the nodes on cycles, and their cycle's weight."""
         top = self.levels[-1]
-        on = top.select(F.col("j").alias("u")).distinct().join(top.select("u", "m"), "u").join(self.nodes, "u")
+        on = top.select(F.col("j").alias("u")).distinct().join(top.select("u", "m"), "u")
+        # without nodes each weighs one
+        on = on.withColumn("n", F.lit(1).cast("long")) if self.nodes is None else on.join(self.nodes, "u")
         return materialize(on.join(on.groupBy("m").agg(F.sum("n").alias("lam")), "m").select("u", "lam"), "cycles")
 
 

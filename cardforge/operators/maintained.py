@@ -52,7 +52,8 @@ def _reached(before: DataFrame, rows: DataFrame) -> DataFrame:
     pages whose jump leads to a changed row, and those that changed already."""
     live = rows.where("not gone")
     far = live.select(F.col("u").alias("j"), F.col("j").alias("jj"), F.col("m").alias("mm"))
-    back = before.where("j is not null").join(far, "j").join(rows.select("u"), "u", "left_anti")
+    # an outer join: an anti join would be pushed below the other, and move all rows of the level once more
+    back = before.where("j is not null").join(far, "j").join(rows.select("u", F.lit(True).alias("known")), "u", "left").where("known is null")
     on = live.where("j is not null")
     apart = on.join(far.select("j"), "j", "left_anti").join(
         before.select(F.col("u").alias("j"), F.col("j").alias("jj"), F.col("m").alias("mm")), "j")
@@ -90,7 +91,8 @@ class WalkTables:
             others = [c for c in rows.columns if c != key]
             if len(known) > 2:
                 later = later.groupBy(key).agg(F.max_by(F.struct(*others), "version").alias("r")).select(key, "r.*")
-            later = later.select(*rows.columns)
+            # dealt by the key, as the join deals the first: then a join of both by the key moves no row again
+            later = later.select(*rows.columns).repartition(key)
             rows = rows.join(later.select(key), key, "left_anti").select(*rows.columns).union(later)
         return rows.where("not gone").drop("gone") if "gone" in rows.columns else rows
 
@@ -232,7 +234,7 @@ class WalkTables:
             jumps.levels[-1] = materialize(jumps.levels[-1], "jump")
             first = self._kept(0, known, since).select("u", F.col("j").alias("v"))
             pages = materialize(self._nodes(known).join(first, "u").select("u", "url", "v"), "pages")
-            jumps.nodes = pages.select("u", F.lit(1).alias("n"))
+            jumps.nodes = None
             pieces = Pieces(pages)
             lengths = walk_lengths(pages.where("v is not null").select("u", "v"), jumps, pieces.rows.select(F.col("h").alias("u")))
             return pieces.walks(seeds, lengths.withColumnRenamed("u", "h"))
